@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -23,8 +24,22 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import clean_lines
+
+    out = clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_failed")
+
+
+def op9_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_codec,)}
+    return {f.__name__: f for f in (op2_bpe_codec, op5_line_first_quality, op9_line_dedup_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
