@@ -10,7 +10,8 @@ linked parts instead, which gives the same merges.
 Vocabulary files are those of the ``tokenizers`` library; their path is a
 parameter.  Supported: a BPE model with an end-of-word suffix over byte-level
 symbols, NFC, white space and lower-case normalisers, a split pattern, and
-special tokens that are matched in the raw text.
+special tokens that are matched in the raw text.  Characters that newer versions of
+Unicode added may be classed otherwise than by the library's older tables.
 """
 
 from __future__ import annotations

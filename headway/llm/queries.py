@@ -38,8 +38,29 @@ def op9_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct("spans.kind")), ",").alias("kinds"))
+
+
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import save
+    from .tokenscan import count_documents, write_flat
+
+    flat = save(write_flat(table(spark, sf_dir, "documents"), vocabulary()), "flat")
+    return count_documents(flat).select("doc_id", "file_id", "ordinal", "start", "n_tokens", "complete")
+
+
+def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_codec, op5_line_first_quality, op9_line_dedup_runs)}
+    return {f.__name__: f for f in (op2_bpe_codec, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
