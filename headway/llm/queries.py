@@ -18,6 +18,13 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .htmltext import extract
+
+    out = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import digests
 
@@ -60,7 +67,7 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_codec, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
