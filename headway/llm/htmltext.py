@@ -246,7 +246,7 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "te
     ``df`` named ``text`` is replaced.  An empty table stays empty.
     """
     rest = df.select(*[c for c in df.columns if c != text])
-    keys = ["_k1", "_k2"]
+    kept, keys = rest.columns, ["_k1", "_k2"]
     keyed = rest.withColumns({"_k1": F.xxhash64(url, html), "_k2": F.xxhash64(F.lit(1), html, url)})
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
@@ -271,6 +271,6 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "te
         for b in pieces(batches, html):
             sets = [frozenset(x % (1 << 64) for x in g or ()) for g in b.column("_gone").to_pylist()]
             texts = [main_text(p, g) for p, g in zip(b.column(html).to_pylist(), sets, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest.columns), pa.array(texts, pa.string())], [*rest.columns, text])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, text])
 
     return both.mapInArrow(write, T.StructType([*rest.schema.fields, T.StructField(text, T.StringType())]))
