@@ -31,6 +31,12 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op5_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import clean_lines
 
@@ -67,7 +73,7 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
