@@ -58,6 +58,12 @@ def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct("spans.kind")), ",").alias("kinds"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import save
     from .tokenscan import count_documents, write_flat
@@ -73,7 +79,7 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op5_line_first_quality, op6_feistel_pseudonyms, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
