@@ -37,6 +37,12 @@ def op3_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op4_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import with_held_out
+
+    return with_held_out(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import clean_lines
 
@@ -79,7 +85,7 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op4_crf_language, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
