@@ -27,8 +27,8 @@ CAPACITY, END = 4096, 1
 ROUNDS, COLUMNS, ETA, STEP = 24, 160, 4.0, 0.34
 #: Passes of the program over what remains; the last REST pieces a length are packed best-fit; the share of a sequence that a pattern may waste.
 PASSES, REST, WASTE = 6, 8, 0.002
-#: Rows of one length that one task ranks.
-RANK_ROWS = 50_000
+#: Pieces of one length that one task ranks, about, if all pieces had that length.
+RANK_ROWS = 5_000
 
 
 class Knapsack:

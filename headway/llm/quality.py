@@ -3,8 +3,8 @@
 Only DataFrame functions; one pass without a shuffle.  A line fails where one of
 these holds:
 
-* punctuation: it holds no sentence mark, or over SYMBOL_SHARE of its characters
-  are symbols, or it is all in capitals (and not short);
+* punctuation: it holds no sentence mark, or three symbols or more that are over
+  SYMBOL_SHARE of its characters, or it is all in capitals (and not short);
 * navigation: it is a list of short entries between bars or arrows;
 * boilerplate: it is short and holds a phrase of licences, cookie notices and the like.
 
@@ -90,7 +90,7 @@ def line_passes(line: Column) -> Column:
     bars = F.size(F.split(line, SEPARATORS)) - 1
     navigation = (bars >= 3) & (bars * 5 >= n_words_of(line))
     boilerplate = (n <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)
-    return line.rlike(SENTENCE_MARK) & (symbols <= n * F.lit(SYMBOL_SHARE)) & ~shout & ~navigation & ~boilerplate
+    return line.rlike(SENTENCE_MARK) & ((symbols < 3) | (symbols <= n * F.lit(SYMBOL_SHARE))) & ~shout & ~navigation & ~boilerplate
 
 
 def clean_lines(df: DataFrame, text: str = "text") -> DataFrame:
