@@ -1 +1 @@
-
+"""Derived tables and queries as DataFrame functions."""

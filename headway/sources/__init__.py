@@ -1 +1 @@
-
+"""Feeds: readers, sinks and the test projection."""

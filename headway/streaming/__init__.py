@@ -1 +1 @@
-
+"""Incremental refresh of derived tables."""
