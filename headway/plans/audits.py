@@ -1 +1,68 @@
-"""x"""
+"""Quality audits as queries: one row of counters each, computed in one pass per table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import derive
+from .registry import query
+from .tables import MAPPED, PATHS, members
+
+
+@query("""SELECT count(*) FILTER (trim(coalesce(stop_name, '')) = '') AS unnamed, count(*) FILTER (stop_lat IS NULL OR stop_lon IS NULL) AS unplaced, count(*) FILTER (location_type = 1) AS stations,
+ (SELECT count(*) FROM trips WHERE route_id NOT IN (SELECT route_id FROM routes)) AS unknown_routes, (SELECT count(*) FROM stop_areas WHERE stop_count >= 50) AS large_areas FROM stops""")
+def aud01_import_warnings(f):
+    own = f.stops.agg(F.count_if(F.trim(F.coalesce("stop_name", F.lit(""))) == "").alias("unnamed"), F.count_if(F.col("stop_lat").isNull() | F.col("stop_lon").isNull()).alias("unplaced"), F.count_if(F.col("location_type") == 1).alias("stations"))
+    routes = f.trips.join(f.routes, "route_id", "left_anti").agg(F.count("*").alias("unknown_routes"))
+    large = derive.stop_areas(f.stops).agg(F.count_if(F.col("stop_count") >= 50).alias("large_areas"))
+    return own.crossJoin(F.broadcast(routes)).crossJoin(F.broadcast(large))
+
+
+@query("""SELECT count(*) AS services, count(*) FILTER (has_calendar = 0 AND addition_count = 0) AS unresolved, count(*) FILTER (has_calendar = 1 AND weekday_mask = 0) AS without_days,
+ (SELECT count(*) FROM calendar_dates WHERE NOT regexp_matches(date, '^[0-9]{8}$')) AS bad_dates, (SELECT count(*) FROM calendar_dates WHERE exception_type NOT IN (1, 2)) AS bad_types,
+ (SELECT count(*) FROM stop_times WHERE greatest(arrival_seconds, departure_seconds) >= 86400) AS overflow FROM summary""")
+def aud03_service_days(f):
+    s = derive.calendar_summary(f.calendar, f.calendar_dates, f.trips)
+    own = s.agg(F.count("*").alias("services"), F.count_if((F.col("has_calendar") == 0) & (F.col("addition_count") == 0)).alias("unresolved"), F.count_if((F.col("has_calendar") == 1) & (F.col("weekday_mask") == 0)).alias("without_days"))
+    dates = f.calendar_dates.agg(F.count_if(~F.col("date").rlike("^[0-9]{8}$")).alias("bad_dates"), F.count_if(~F.col("exception_type").isin(1, 2)).alias("bad_types"))
+    late = f.stop_times.agg(F.count_if(F.greatest("arrival_seconds", "departure_seconds") >= 86400).alias("overflow"))
+    return own.crossJoin(F.broadcast(dates)).crossJoin(F.broadcast(late))
+
+
+@query(MAPPED + f""", paths AS ({PATHS}) SELECT (SELECT count(*) FROM transfers) AS transfers, count(*) AS mapped, count(*) FILTER (pedestrian_usable = 1) AS usable, count(*) FILTER (min_transfer_time > 3600) AS suspicious,
+ (SELECT count(*) FROM paths WHERE is_traversable = 1 AND (distance_meters > 400 OR min_transfer_seconds < 120)) AS bad_paths FROM mapped""")
+def aud04_transfers(f):
+    rows = derive.mapped_transfers(f.transfers, members(f)).agg(F.count("*").alias("mapped"), F.count_if(F.col("pedestrian_usable") == 1).alias("usable"), F.count_if(F.col("min_transfer_time") > 3600).alias("suspicious"))
+    every = f.transfers.agg(F.count("*").alias("transfers"))
+    bad = derive.footpaths(f.stops).agg(F.count_if((F.col("is_traversable") == 1) & ((F.col("distance_meters") > 400) | (F.col("min_transfer_seconds") < 120))).alias("bad_paths"))
+    return rows.crossJoin(F.broadcast(every)).crossJoin(F.broadcast(bad))
+
+
+@query("""SELECT 'stops' AS name, count(*) AS n, count(*) - count(DISTINCT stop_id) AS repeated FROM stops UNION ALL SELECT 'trips', count(*), count(*) - count(DISTINCT trip_id) FROM trips
+ UNION ALL SELECT 'calendar', count(*), count(*) - count(DISTINCT service_id) FROM calendar UNION ALL SELECT 'calendar_dates', count(*), count(*) - count(DISTINCT service_id || '/' || date) FROM calendar_dates""")
+def aud08_keys(f):
+    from ..sources.gtfs import key_counts
+
+    return key_counts(f, {"stops": ["stop_id"], "trips": ["trip_id"], "calendar": ["service_id"], "calendar_dates": ["service_id", "date"]})
+
+
+@query("SELECT stop_id FROM stops WHERE stop_id = 'S7'")
+def aud09_point_lookup(f):
+    return f.stops.filter("stop_id = 'S7'").select("stop_id")
+
+
+@query("""SELECT count(*) FILTER (s.stop_id IS NULL) AS unknown_stops, count(*) FILTER (t.trip_id IS NULL) AS unknown_trips, count(*) AS calls FROM stop_times st LEFT JOIN stops s ON s.stop_id = st.stop_id LEFT JOIN trips t ON t.trip_id = st.trip_id""")
+def pkg02_dangling_references(f):
+    rows = f.stop_times.join(f.stops.select("stop_id", F.lit(True).alias("s")), "stop_id", "left").join(f.trips.select("trip_id", F.lit(True).alias("t")), "trip_id", "left")
+    return rows.agg(F.count_if(F.col("s").isNull()).alias("unknown_stops"), F.count_if(F.col("t").isNull()).alias("unknown_trips"), F.count("*").alias("calls"))
+
+
+@query("""SELECT 'stop_times' AS name, count(*) AS n FROM stop_times WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2')) UNION ALL
+ SELECT 'trips', count(*) FROM trips WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2')) UNION ALL
+ SELECT 'stops', count(DISTINCT stop_id) FROM stop_times WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2'))""")
+def pkg01_corridor(f):
+    from ..sources.gtfs import corridor
+
+    part = corridor(f, ["S1", "S2"])
+    counts = [part[t].agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t in ("stop_times", "trips", "stops")]
+    return counts[0].union(counts[1]).union(counts[2])

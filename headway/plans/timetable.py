@@ -1 +1,174 @@
-"""x"""
+"""Read-only timetable questions as queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import columns as c
+from ..operators import derive, journeys
+from .registry import query
+from .rules import TOKENS
+from .tables import DAY, all_legs, members
+
+LEG = "trip_id, route_id, service_id, from_stop_id, to_stop_id, from_sequence, to_sequence, departure_seconds, arrival_seconds"
+LEG_COLUMNS = LEG.split(", ")
+
+
+@query("SELECT area_id, area_name, stop_count FROM stop_areas WHERE area_id = 'N3'")
+def q01_resolve_area(f):
+    return derive.stop_areas(f.stops.filter("stop_id = 'N3' OR parent_station = 'N3'")).select("area_id", "area_name", "stop_count")
+
+
+@query("SELECT m.stop_id, stop_name, member_role FROM members m LEFT JOIN stops s USING (stop_id) WHERE area_id = 'N3'")
+def q02_area_members(f):
+    return members(f).filter("area_id = 'N3'").join(f.stops.select("stop_id", "stop_name"), "stop_id", "left").select("stop_id", "stop_name", "member_role")
+
+
+@query("""SELECT st.trip_id, st.stop_id, t.route_id, st.departure_seconds FROM stop_times st JOIN members m USING (stop_id) JOIN trips t USING (trip_id) JOIN active USING (service_id)
+ WHERE m.area_id = 'N3' AND departure_seconds BETWEEN 21600 AND 64800 ORDER BY departure_seconds, st.trip_id, st.stop_sequence LIMIT 50""")
+def q03_departures(f):
+    return journeys.departures(f.stop_times, members(f), f.trips, derive.active_services(f.calendar, f.calendar_dates, DAY), "N3", 21600, 64800, 50).select("trip_id", "stop_id", "route_id", "departure_seconds")
+
+
+@query("SELECT service_id FROM active")
+def q04_active_services(f):
+    return derive.active_services(f.calendar, f.calendar_dates, DAY)
+
+
+STATUS = "CASE WHEN removed THEN 'removal' WHEN added THEN 'addition' WHEN base THEN 'calendar' ELSE 'inactive' END AS reason"
+
+
+@query(f"""SELECT service_id, {STATUS} FROM (SELECT s.service_id, coalesce(bool_or(d.exception_type = 2), false) AS removed, coalesce(bool_or(d.exception_type = 1), false) AS added,
+ coalesce(bool_or(c.start_date <= '{DAY}' AND c.end_date >= '{DAY}' AND c.tuesday = 1), false) AS base FROM (SELECT DISTINCT service_id FROM trips) s
+ LEFT JOIN calendar_dates d ON d.service_id = s.service_id AND d.date = '{DAY}' LEFT JOIN calendar c ON c.service_id = s.service_id GROUP BY 1)""")
+def q05_service_status(f):
+    return journeys.service_status(f.trips.select("service_id").distinct(), f.calendar, f.calendar_dates, DAY)
+
+
+@query(f"SELECT {LEG} FROM legs WHERE from_area = 'N20' AND to_area = 'N19' AND departure_seconds BETWEEN 18000 AND 79200 ORDER BY departure_seconds, arrival_seconds, trip_id, from_sequence, to_sequence LIMIT 500")
+def q06_direct_legs(f):
+    rows = all_legs(f, from_area="N20", to_area="N19").filter(F.col("departure_seconds").between(18000, 79200))
+    return rows.orderBy("departure_seconds", "arrival_seconds", "trip_id", "from_sequence", "to_sequence").limit(500).select(*LEG_COLUMNS)
+
+
+@query("""SELECT to_area, trip_id, departure_seconds, arrival_seconds FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds, trip_id, to_sequence, from_sequence) AS r
+ FROM legs WHERE from_area = 'N20' AND to_area <> 'N20' AND departure_seconds BETWEEN 21600 AND 64800) WHERE r = 1""")
+def q07_next_legs(f):
+    rows = all_legs(f, from_area="N20").filter("to_area <> 'N20' AND departure_seconds BETWEEN 21600 AND 64800")
+    return journeys.earliest(rows, "to_area").select("to_area", "trip_id", "departure_seconds", "arrival_seconds")
+
+
+@query("SELECT trip_id, stop_sequence, st.stop_id, stop_name, arrival_seconds, departure_seconds FROM stop_times st LEFT JOIN stops USING (stop_id) WHERE trip_id = 'T5'")
+def q08_trip_calls(f):
+    return f.stop_times.filter("trip_id = 'T5'").join(f.stops.select("stop_id", "stop_name"), "stop_id", "left").select("trip_id", "stop_sequence", "stop_id", "stop_name", "arrival_seconds", "departure_seconds")
+
+
+@query("""SELECT s.service_id, d.day, CASE WHEN x.removed THEN 'REMOVED_BY_EXCEPTION' WHEN x.added THEN 'ADDED_BY_EXCEPTION' WHEN has_calendar = 0 THEN 'NO_CALENDAR' WHEN d.day < start_date THEN 'BEFORE_RANGE' WHEN d.day > end_date THEN 'AFTER_RANGE'
+ WHEN (weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0 THEN 'ACTIVE_BY_CALENDAR' ELSE 'INACTIVE_WEEKDAY' END AS reason FROM summary s CROSS JOIN (VALUES ('20240102'), ('20240106'), ('20240116'), ('20231231')) d(day)
+ LEFT JOIN (SELECT service_id, date, bool_or(exception_type = 2) AS removed, bool_or(exception_type = 1) AS added FROM calendar_dates GROUP BY 1, 2) x ON x.service_id = s.service_id AND x.date = d.day""")
+def q09_service_day_reasons(f):
+    return journeys.day_reasons(derive.calendar_summary(f.calendar, f.calendar_dates, f.trips), f.calendar_dates, ["20240102", "20240106", "20240116", "20231231"])
+
+
+@query("SELECT service_id, list_sort(list(trip_id))[1:20] AS sample FROM trips JOIN active USING (service_id) GROUP BY 1")
+def q10_trip_samples(f):
+    rows = f.trips.join(derive.active_services(f.calendar, f.calendar_dates, DAY), "service_id")
+    few = rows.withColumn("r", F.row_number().over(Window.partitionBy("service_id").orderBy("trip_id"))).filter("r <= 20")
+    return few.groupBy("service_id").agg(F.array_sort(F.collect_list("trip_id")).alias("sample"))
+
+
+@query(f"SELECT {LEG} FROM (SELECT * FROM legs WHERE from_area = 'N20' AND to_area = 'N19' ORDER BY trip_id, from_sequence, to_sequence LIMIT 100) ORDER BY departure_seconds, arrival_seconds, trip_id, from_sequence, to_sequence LIMIT 10")
+def q11_direct_connections(f):
+    scan = all_legs(f, from_area="N20", to_area="N19").orderBy("trip_id", "from_sequence", "to_sequence").limit(100)
+    return scan.orderBy("departure_seconds", "arrival_seconds", "trip_id", "from_sequence", "to_sequence").limit(10).select(*LEG_COLUMNS)
+
+
+@query("SELECT count(*) AS legs, count(*) FILTER (arrival_seconds >= departure_seconds) AS in_order, count(DISTINCT trip_id) AS trips, count(DISTINCT route_id) AS routes FROM legs WHERE from_area = 'N20' AND to_area = 'N19'")
+def q12_direct_diagnostics(f):
+    rows = all_legs(f, from_area="N20", to_area="N19")
+    return rows.agg(F.count("*").alias("legs"), F.count_if(F.col("arrival_seconds") >= F.col("departure_seconds")).alias("in_order"), F.count_distinct("trip_id").alias("trips"), F.count_distinct("route_id").alias("routes"))
+
+
+@query("""SELECT transfer_area, first_trip, second_trip, departure_seconds, arrival_seconds FROM (SELECT a.to_area AS transfer_area, a.trip_id AS first_trip, b.trip_id AS second_trip, a.departure_seconds, b.arrival_seconds,
+ row_number() OVER (PARTITION BY a.to_area ORDER BY b.departure_seconds, b.arrival_seconds, b.trip_id, b.from_sequence, b.to_sequence) AS r FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds DESC, trip_id, from_sequence, to_sequence) AS k
+ FROM (SELECT * FROM legs WHERE from_area = 'N20' AND to_area NOT IN ('N20', 'N19') AND departure_seconds BETWEEN 21600 AND 64800 ORDER BY departure_seconds, arrival_seconds, trip_id, from_sequence, to_sequence LIMIT 500)) WHERE k = 1) a
+ JOIN legs b ON b.from_area = a.to_area AND b.to_area = 'N19' AND b.trip_id <> a.trip_id AND b.departure_seconds BETWEEN a.arrival_seconds + 180 AND a.arrival_seconds + 2700) WHERE r <= 20""")
+def q13_one_transfer(f):
+    return journeys.one_transfer(all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), "N20", "N19", 21600, 64800)
+
+
+@query(None)
+def q14_hybrid_search(f):
+    direct = all_legs(f, from_area="N20", to_area="N19").filter(F.col("departure_seconds").between(21600, 64800))
+    return journeys.hybrid(direct, all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), "N20", "N19", 21600, 64800, enough=3)
+
+
+@query("SELECT count(*) AS legs, count(DISTINCT to_area) AS areas, count(*) FILTER (arrival_seconds - departure_seconds <= 3600) AS within_hour FROM legs WHERE from_area = 'N20'")
+def q15_next_leg_funnel(f):
+    rows = all_legs(f, from_area="N20")
+    return rows.agg(F.count("*").alias("legs"), F.count_distinct("to_area").alias("areas"), F.count_if(F.col("arrival_seconds") - F.col("departure_seconds") <= 3600).alias("within_hour"))
+
+
+SEARCH = TOKENS + """, hits AS (SELECT area_id, CAST(sum(points) AS BIGINT) AS score, count(DISTINCT q) AS found FROM (SELECT area_id, q, max(CASE WHEN token = q THEN 1600 ELSE 420 END) AS points
+ FROM tokens JOIN (VALUES ('stadt1'), ('hauptbahnhof')) t(q) ON token = q OR starts_with(token, q) GROUP BY 1, 2) GROUP BY 1)
+"""
+
+
+@query(SEARCH + "SELECT area_id, area_name, score + CASE WHEN found = 2 THEN 4000 ELSE -4000 * (2 - found) END AS score FROM hits JOIN stop_areas USING (area_id) ORDER BY score DESC, area_id LIMIT 20")
+def q16_stop_search(f):
+    return journeys.search(derive.search_tokens(f.stops), derive.stop_areas(f.stops), ["stadt1", "hauptbahnhof"], 20)
+
+
+@query("SELECT area_id, count(*) AS departures, min(departure_seconds) AS first_departure FROM stop_times JOIN members USING (stop_id) JOIN trips USING (trip_id) JOIN active USING (service_id) GROUP BY 1")
+def q17_area_day_status(f):
+    rows = f.stop_times.join(members(f), "stop_id").join(f.trips, "trip_id").join(derive.active_services(f.calendar, f.calendar_dates, DAY), "service_id")
+    return rows.groupBy("area_id").agg(F.count("*").alias("departures"), F.min("departure_seconds").alias("first_departure"))
+
+
+@query("""SELECT area_id, CAST(max(points) AS BIGINT) AS score FROM (SELECT area_id, CASE WHEN lower(area_name) = 'stadt4 hbf' THEN 45000 WHEN starts_with(lower(area_name), 'stadt4') THEN 18000 END AS points FROM stop_areas
+ UNION ALL SELECT area_id, 20000 FROM stop_areas WHERE lower(replace(area_name, 'Hbf', 'Hauptbahnhof')) = 'stadt4 hauptbahnhof') WHERE points IS NOT NULL GROUP BY 1""")
+def q18_canonical_search(f):
+    name = F.lower("area_name")
+    areas = derive.stop_areas(f.stops)
+    by_name = areas.select("area_id", F.when(name == "stadt4 hbf", 45000).when(name.startswith("stadt4"), 18000).alias("points"))
+    by_alias = areas.filter(F.lower(F.replace("area_name", F.lit("Hbf"), F.lit("Hauptbahnhof"))) == "stadt4 hauptbahnhof").select("area_id", F.lit(20000).alias("points"))
+    return by_name.union(by_alias).filter("points IS NOT NULL").groupBy("area_id").agg(F.max("points").cast("long").alias("score"))
+
+
+@query("SELECT from_area, to_area, count(*) AS legs, min(arrival_seconds - departure_seconds) AS fastest FROM legs WHERE from_area <> to_area GROUP BY 1, 2")
+def q22_all_relations(f):
+    rows = all_legs(f).filter("from_area <> to_area")
+    return rows.groupBy("from_area", "to_area").agg(F.count("*").alias("legs"), F.min(F.col("arrival_seconds") - F.col("departure_seconds")).alias("fastest"))
+
+
+@query("""SELECT r.a, r.b, w.lo, count(l.trip_id) AS legs, CASE WHEN count(l.trip_id) > 0 THEN 'DIRECT' ELSE 'NONE' END AS outcome FROM (VALUES ('N20', 'N19'), ('N1', 'N2'), ('N3', 'N7')) r(a, b)
+ CROSS JOIN (VALUES (21600, 36000), (36000, 57600), (57600, 79200)) w(lo, hi) LEFT JOIN legs l ON l.from_area = r.a AND l.to_area = r.b AND l.departure_seconds >= w.lo AND l.departure_seconds < w.hi GROUP BY 1, 2, 3""")
+def q23_coverage_matrix(f):
+    return journeys.coverage(all_legs(f), [("N20", "N19"), ("N1", "N2"), ("N3", "N7")], [(21600, 36000), (36000, 57600), (57600, 79200)])
+
+
+@query("SELECT trip_id, from_sequence, to_sequence, to_sequence > from_sequence AS in_sequence, arrival_seconds >= departure_seconds AS in_time, from_stop_id <> to_stop_id AS moves FROM legs WHERE from_area = 'N20' AND to_area = 'N19'")
+def q25_leg_validation(f):
+    rows = all_legs(f, from_area="N20", to_area="N19")
+    return rows.select("trip_id", "from_sequence", "to_sequence", (F.col("to_sequence") > F.col("from_sequence")).alias("in_sequence"), (F.col("arrival_seconds") >= F.col("departure_seconds")).alias("in_time"), (F.col("from_stop_id") != F.col("to_stop_id")).alias("moves"))
+
+
+@query("SELECT to_area, trip_id FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds DESC, trip_id, from_sequence, to_sequence) AS k FROM legs WHERE from_area = 'N20' AND to_area <> 'N20') WHERE k = 1")
+def win04_latest_departure(f):
+    return journeys.earliest(all_legs(f, from_area="N20").filter("to_area <> 'N20'"), "to_area", latest=True).select("to_area", "trip_id")
+
+
+@query("SELECT to_area, trip_id, arrival_seconds FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds, trip_id, to_sequence, from_sequence) AS r FROM legs WHERE from_area = 'N5') WHERE r = 1")
+def win01_earliest_arrival(f):
+    return journeys.earliest(all_legs(f, from_area="N5"), "to_area").select("to_area", "trip_id", "arrival_seconds")
+
+
+@query("SELECT trip_id, stop_id, departure_seconds FROM stop_times ORDER BY departure_seconds, trip_id, stop_sequence LIMIT 25")
+def ord01_first_departures(f):
+    return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(25).select("trip_id", "stop_id", "departure_seconds")
+
+
+@query("SELECT stop_id, count(*) AS n FROM (SELECT * FROM stop_times ORDER BY departure_seconds, trip_id, stop_sequence LIMIT 500) GROUP BY 1")
+def ord02_limit_then_count(f):
+    return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(500).groupBy("stop_id").agg(F.count("*").alias("n"))
