@@ -89,4 +89,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import oracles
+
+    return {"op3_mtree_top_k": oracles.TOP_K, "op5_line_first_quality": oracles.QUALITY, "op7_jaccard_join": oracles.NEAR, "op9_line_dedup_runs": oracles.LINES}
