@@ -47,3 +47,70 @@ def duplicate_trips(patterns: DataFrame) -> DataFrame:
     own = Window.partitionBy("exact_hash", "signature").orderBy("source_priority", "trip_id")
     kept = F.first("trip_id").over(own)
     return patterns.withColumn("kept_trip_id", kept).withColumn("suppressed", (F.col("trip_id") != F.col("kept_trip_id")).cast("int"))
+
+
+#: Seconds by which the same call may differ between feeds; trips of a bucket beyond which nothing is decided.
+NEAR_SECONDS, BUCKET = 90, 1000
+
+
+def same_call(a: tuple, b: tuple) -> bool:
+    """Calls (stop, arrival, departure) at one stop whose known times are near each other."""
+    return a[0] == b[0] and all(x < 0 or y < 0 or abs(x - y) <= NEAR_SECONDS for x, y in zip(a[1:], b[1:], strict=True))
+
+
+def is_part(short: list[tuple], long: list[tuple]) -> bool:
+    """Whether a trip's calls are a stretch of another's without a gap."""
+    n = len(short)
+    return any(all(same_call(x, y) for x, y in zip(short, long[k : k + n], strict=True)) for k in range(len(long) - n + 1))
+
+
+def overlap(a: list[tuple], b: list[tuple]) -> int:
+    """Calls at the end of one trip that begin the other; 0 if under two."""
+    return next((n for n in range(min(len(a), len(b)) - 1, 1, -1) if all(same_call(x, y) for x, y in zip(a[-n:], b[:n], strict=True))), 0)
+
+
+def decide_bucket(trips: list[dict]) -> list[tuple[str, str, str]]:
+    """(trip, decision, other trip) for trips of one service, mode and line: parts are suppressed, ends stitched, likenesses kept apart."""
+    trips = sorted(trips, key=lambda t: (-len(t["calls"]), t["source_id"], t["trip_id"]))
+    if len(trips) > BUCKET:
+        return [(t["trip_id"], "BUCKET_TOO_LARGE_KEPT", "") for t in trips]
+    gone: dict[str, str] = {}
+    for k, long in enumerate(trips):
+        if long["trip_id"] in gone:
+            continue
+        for short in trips[k + 1 :]:
+            if short["trip_id"] not in gone and short["source_id"] != long["source_id"] and is_part(short["calls"], long["calls"]):
+                gone[short["trip_id"]] = long["trip_id"]
+    out = [(t, "SUBSET_SUPPRESSED", by) for t, by in gone.items()]
+    rest = [t for t in trips if t["trip_id"] not in gone]
+    used: set[str] = set()
+    for a in rest:
+        for b in rest:
+            if a["source_id"] != b["source_id"] and not {a["trip_id"], b["trip_id"]} & used and a["journey_key"] and a["journey_key"] == b["journey_key"] and overlap(a["calls"], b["calls"]):
+                used |= {a["trip_id"], b["trip_id"]}
+                out += [(a["trip_id"], "STITCHED", b["trip_id"]), (b["trip_id"], "STITCHED", a["trip_id"])]
+    for k, a in enumerate(rest):
+        for b in rest[k + 1 :]:
+            shared = sum(any(same_call(x, y) for y in b["calls"]) for x in a["calls"])
+            if a["source_id"] != b["source_id"] and shared >= 2 and not {a["trip_id"], b["trip_id"]} & used:
+                out.append((a["trip_id"], "AMBIGUOUS_KEPT", b["trip_id"]))
+    return out
+
+
+def fuse_trips(trips: DataFrame) -> DataFrame:
+    """Decisions for trips (source_id, trip_id, signature, mode, line_key, journey_key, calls) by bucket of signature, mode and line.
+
+    Buckets with one source have nothing to decide.  A bucket with over BUCKET trips is kept whole, natively.
+    """
+    import pandas as pd
+
+    key = ["signature", "mode", "line_key"]
+    sizes = trips.groupBy(*key).agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources")).filter("sources > 1")
+    rows = trips.join(sizes, key)
+    large = rows.filter(F.col("n") > BUCKET).select("trip_id", F.lit("BUCKET_TOO_LARGE_KEPT").alias("decision"), F.lit("").alias("other_trip_id"))
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        records = [r | {"calls": [(c["stop_key"], c["arrival"], c["departure"]) for c in r["calls"]]} for r in part.to_dict("records")]
+        return pd.DataFrame(decide_bucket(records), columns=["trip_id", "decision", "other_trip_id"])
+
+    return rows.filter(F.col("n") <= BUCKET).groupBy(*key).applyInPandas(one, "trip_id string, decision string, other_trip_id string").union(large)

@@ -25,7 +25,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from . import audits, rules, tables, timetable  # noqa: F401
+    from . import audits, entities, rules, tables, timetable  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
