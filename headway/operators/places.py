@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,11 +44,18 @@ def inside(x: float, y: float, rings: list) -> bool:
     return odd
 
 
+def ring_area(ring: Column) -> Column:
+    """Area of a ring that ends where it begins, in square degrees."""
+    cross = lambda p, q: F.coalesce(p[0] * q[1] - q[0] * p[1], F.lit(0.0))
+    steps = F.zip_with(ring, F.slice(ring, 2, F.size(ring)), cross)
+    return F.abs(F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)) / 2
+
+
 def locate(points: DataFrame, polygons: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
     """key with the smallest polygon that covers the point: an equi-join on grid cells of bounding boxes, then the exact test."""
     xs, ys = F.transform(F.flatten("rings"), lambda p: p[0]), F.transform(F.flatten("rings"), lambda p: p[1])
     boxes = polygons.withColumns({"x1": F.array_min(xs), "x2": F.array_max(xs), "y1": F.array_min(ys), "y2": F.array_max(ys)})
-    boxes = boxes.withColumn("size", (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")))
+    boxes = boxes.withColumn("size", F.aggregate("rings", F.lit(0.0), lambda a, r: a + ring_area(r)))
     span = lambda a, b: F.explode(F.sequence(c.cell(F.col(a), CELL), c.cell(F.col(b), CELL)))
     cells = boxes.withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
     own = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(key, F.col(lat).alias("lat"), F.col(lon).alias("lon"), c.cell(F.col(lon), CELL).alias("cx"), c.cell(F.col(lat), CELL).alias("cy"))
