@@ -52,3 +52,9 @@ def clean_display(name: Column) -> Column:
 
 def display_quality(name: Column) -> Column:
     return F.when(name.contains("Gleis"), "TECHNICAL").when(name.contains(",") | name.contains("/"), "AVOID_FOR_USER").otherwise("GOOD")
+
+
+def station_name(name: Column, city: Column) -> Column:
+    """The name without the city before it, where a word ends there."""
+    rest = F.substr(name, F.length(city) + F.lit(2))
+    return F.when((city != "") & name.startswith(F.concat(city, F.lit(" "))), rest).otherwise(name)

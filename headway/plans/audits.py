@@ -66,3 +66,37 @@ def pkg01_corridor(f):
     part = corridor(f, ["S1", "S2"])
     counts = [part[t].agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t in ("stop_times", "trips", "stops")]
     return counts[0].union(counts[1]).union(counts[2])
+
+
+@query("SELECT name, CAST(n AS BIGINT) AS n, n > 0 AS filled FROM (SELECT 'stops' AS name, count(*) AS n FROM stops UNION ALL SELECT 'stop_areas', count(*) FROM stop_areas UNION ALL SELECT 'area_routes', count(*) FROM area_routes UNION ALL SELECT 'transfers', count(*) FROM transfers)")
+def aud02_contract_tables(f):
+    areas = derive.area_routes(f.stop_times, members(f), f.trips, f.routes)
+    tables = {"stops": f.stops, "stop_areas": derive.stop_areas(f.stops), "area_routes": areas, "transfers": f.transfers}
+    out = None
+    for name, df in tables.items():
+        row = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        out = row if out is None else out.union(row)
+    return out.withColumn("filled", F.col("n") > 0)
+
+
+@query("""SELECT area_id, finding FROM (SELECT area_id, 'MUNICIPALITY_ONLY' AS finding FROM stop_areas WHERE regexp_matches(area_name, '^Stadt[0-9]+$') UNION ALL SELECT area_id, 'TECHNICAL_NAME' FROM stop_areas WHERE contains(area_name, 'Gleis') UNION ALL SELECT area_id, 'LIST_NAME' FROM stop_areas WHERE contains(area_name, ','))""")
+def aud07_name_findings(f):
+    n = F.col("area_name")
+    found = F.array_compact(F.array(F.when(n.rlike("^Stadt[0-9]+$"), F.lit("MUNICIPALITY_ONLY")), F.when(n.contains("Gleis"), F.lit("TECHNICAL_NAME")), F.when(n.contains(","), F.lit("LIST_NAME"))))
+    return derive.stop_areas(f.stops).select("area_id", F.explode(found).alias("finding"))
+
+
+@query("SELECT metric, baseline, candidate, abs(candidate - baseline) * 100e0 / greatest(1, baseline) <= 5 AS within FROM (SELECT 'mon' AS metric, count(*) AS baseline, count(*) FILTER (monday = 1) AS candidate FROM calendar UNION ALL SELECT 'tue', count(*), count(*) FILTER (tuesday = 1) FROM calendar)")
+def aud11_drift_thresholds(f):
+    days = [f.calendar.agg(F.lit(k).alias("metric"), F.count("*").alias("baseline"), F.count_if(F.col(d) == 1).alias("candidate")) for k, d in (("mon", "monday"), ("tue", "tuesday"))]
+    rows = days[0].union(days[1])
+    return rows.withColumn("within", F.abs(F.col("candidate") - F.col("baseline")) * 100.0 / F.greatest(F.lit(1), "baseline") <= 5)
+
+
+@query("SELECT (SELECT count(*) FROM stop_areas WHERE area_id NOT IN (SELECT area_id FROM members)) AS empty_areas, (SELECT count(*) FROM members WHERE stop_id NOT IN (SELECT stop_id FROM stops)) AS unknown_members, (SELECT count(*) FROM stops WHERE parent_station IS NOT NULL AND parent_station NOT IN (SELECT stop_id FROM stops)) AS lost_parents")
+def aud05_invariants(f):
+    m = members(f)
+    empty = derive.stop_areas(f.stops).join(m, "area_id", "left_anti").agg(F.count("*").alias("empty_areas"))
+    unknown = m.join(f.stops, "stop_id", "left_anti").agg(F.count("*").alias("unknown_members"))
+    lost = f.stops.filter("parent_station IS NOT NULL").join(f.stops.select(F.col("stop_id").alias("parent_station")), "parent_station", "left_anti").agg(F.count("*").alias("lost_parents"))
+    return empty.crossJoin(F.broadcast(unknown)).crossJoin(F.broadcast(lost))

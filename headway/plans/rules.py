@@ -250,3 +250,46 @@ def fn28_hashes(f):
 @query("SELECT stop_id FROM norm WHERE starts_with(stop_name_normalized, 'stadt1')")
 def fn30_prefix_scan(f):
     return f.stops.filter(c.normalised(F.col("stop_name")).startswith("stadt1")).select("stop_id")
+
+
+@query("SELECT area_id, CASE WHEN regexp_matches(area_name, '^Stadt[0-9]+ ') THEN regexp_replace(area_name, '^Stadt[0-9]+ ', '') ELSE area_name END AS station_name FROM stop_areas")
+def fn15_station_names(f):
+    from ..operators.derive import stop_areas
+    from ..operators.tables import station_name
+
+    areas = stop_areas(f.stops).withColumn("city", F.regexp_extract("area_name", "^(Stadt[0-9]+)", 1))
+    return areas.select("area_id", station_name(F.col("area_name"), F.col("city")).alias("station_name"))
+
+
+@query("""SELECT area_id, CASE WHEN contains(area_name, ' Hbf') AND contains(area_name, ',') THEN 'COMMA|STATION_INTENT' WHEN contains(area_name, ' Hbf') THEN 'STATION_INTENT' WHEN contains(area_name, ',') THEN 'COMMA' ELSE 'NONE' END AS rules FROM stop_areas""")
+def fn22_rule_codes(f):
+    from ..operators.derive import stop_areas
+    from ..operators.names import RULES
+
+    n = F.col("area_name")
+    present = F.array_compact(F.array(F.when(n.contains(" Hbf"), F.lit("STATION_INTENT")), F.when(n.contains(","), F.lit("COMMA"))))
+    code = F.array_join(F.array_intersect(F.array(*map(F.lit, RULES)), present), "|")
+    return stop_areas(f.stops).select("area_id", F.when(code == "", "NONE").otherwise(code).alias("rules"))
+
+
+@query("""SELECT p.prefix, r.r_name AS city, CASE WHEN p.prefix IN ('UNIL', 'ETH') THEN 'INSTITUTION' WHEN p.prefix IN ('ZUP', 'ZOB') THEN 'TRANSIT'
+ WHEN regexp_matches(lower(r.r_name), '^' || array_to_string(list_transform(string_split(lower(p.prefix), ''), lambda x: x), '.*')) THEN 'LOCALITY_CODE_CANDIDATE' ELSE 'PRESERVED_ACRONYM' END AS class
+ FROM (VALUES ('UNIL'), ('ZUP'), ('AF'), ('AM'), ('EU'), ('XYZ')) p(prefix) CROSS JOIN region r""")
+def fn24_prefix_classes(f):
+    prefixes = f.spark.createDataFrame([(p,) for p in ("UNIL", "ZUP", "AF", "AM", "EU", "XYZ")], "prefix string")
+    both = F.broadcast(prefixes).crossJoin(f.source("region").select(F.col("r_name").alias("city")))
+    shape = F.concat(F.lit("^"), F.array_join(F.transform(F.sequence(F.lit(1), F.length("prefix")), lambda k: F.substring(F.lower("prefix"), k, F.lit(1))), ".*"))
+    kind = F.when(F.col("prefix").isin("UNIL", "ETH"), "INSTITUTION").when(F.col("prefix").isin("ZUP", "ZOB"), "TRANSIT").when(F.regexp_like(F.lower("city"), shape), "LOCALITY_CODE_CANDIDATE").otherwise("PRESERVED_ACRONYM")
+    return both.select("prefix", "city", kind.alias("class"))
+
+
+@query("SELECT stop_id FROM norm WHERE regexp_matches(stop_name_normalized, '^stadt[0-9]+ (hbf|bahnhof|bf)$')")
+def fn27_generic_stations(f):
+    return f.stops.filter(c.normalised(F.col("stop_name")).rlike("^stadt[0-9]+ (hbf|bahnhof|bf)$")).select("stop_id")
+
+
+@query("SELECT stop_id, CASE WHEN contains(stop_name, ',') OR contains(stop_name, '\"') THEN '\"' || replace(stop_name, '\"', '\"\"') || '\"' ELSE stop_name END AS field FROM stops")
+def fn32_csv_fields(f):
+    n = F.col("stop_name")
+    quoted = F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"'))
+    return f.stops.select("stop_id", F.when(n.contains(",") | n.contains('"'), quoted).otherwise(n).alias("field"))

@@ -443,3 +443,49 @@ def gr05_identity_components(f):
     own = f.stops.filter("stop_code LIKE 'SC%'")
     edges = own.select("stop_id", "stop_code").join(own.groupBy("stop_code").agg(F.min("stop_id").alias("to")), "stop_code").select(F.col("stop_id").alias("a"), F.col("to").alias("b"))
     return own.select("stop_id").join(components(edges).withColumnRenamed("node", "stop_id"), "stop_id", "left").select("stop_id", F.coalesce("label", "stop_id").alias("label"))
+
+
+@query("SELECT transfer_id, from_stop_id, to_stop_id, transfer_type, min_transfer_time FROM transfers")
+def src08_transfers(f):
+    return f.transfers.select("transfer_id", "from_stop_id", "to_stop_id", "transfer_type", "min_transfer_time")
+
+
+@query("SELECT area_id, row_number() OVER (ORDER BY area_id) AS ordinal FROM stop_areas")
+def win06_ordinals(f):
+    """Numbers in a total order without one task: counts of range partitions, then ranks inside."""
+    areas = derive.stop_areas(f.stops).select("area_id").repartitionByRange(4, "area_id").withColumn("part", F.spark_partition_id())
+    from ..operators.graph import written
+
+    areas = written(areas)
+    before = areas.groupBy("part").agg(F.count("*").alias("n"))
+    earlier = before.select(F.col("part").alias("p"), "n")
+    shift = before.select("part").join(F.broadcast(earlier), F.col("p") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("shift"))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("area_id"))
+    return areas.join(F.broadcast(shift), "part").select("area_id", (rank + F.col("shift")).alias("ordinal"))
+
+
+@query("SELECT route_id AS id, route_color, CAST(NULL AS VARCHAR) AS direction_id FROM routes UNION ALL SELECT trip_id, NULL, direction_id FROM trips")
+def set05_header_union(f):
+    a, b = f.routes.select(F.col("route_id").alias("id"), "route_color"), f.trips.select(F.col("trip_id").alias("id"), "direction_id")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT 'A' || (s_suppkey % 3) AS source_id, 'S' || s_suppkey AS stop_id, CASE WHEN s_suppkey % 5 = 0 THEN 'CROSS_SOURCE_IDENTITY' ELSE 'PRIMARY' END AS kind FROM supplier".join(["SELECT kind, count(*) AS n FROM (", ") GROUP BY 1"]))
+def gr23_mapping_kinds(f):
+    rows = f.source("supplier").select(F.when(F.col("s_suppkey") % 5 == 0, "CROSS_SOURCE_IDENTITY").otherwise("PRIMARY").alias("kind"))
+    return rows.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT stop_code, stop_id AS kept, n - 1 AS suppressed FROM (SELECT stop_code, stop_id, row_number() OVER (PARTITION BY stop_code ORDER BY CASE WHEN location_type = 1 THEN 0 ELSE 1 END, stop_id) AS r, count(*) OVER (PARTITION BY stop_code) AS n FROM stops) WHERE r = 1""")
+def gr07_stop_plan(f):
+    best = F.min(F.struct(F.when(F.col("location_type") == 1, 0).otherwise(1).alias("priority"), "stop_id"))
+    return f.stops.groupBy("stop_code").agg(best.alias("x"), (F.count("*") - 1).alias("suppressed")).select("stop_code", F.col("x.stop_id").alias("kept"), "suppressed")
+
+
+@query("""SELECT 'BB::' || trip_id AS trip_id, 'BB::' || stop_id AS stop_id, row_number() OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS stop_sequence FROM stop_times WHERE CAST(substr(stop_id, 2) AS BIGINT) % 4 <> 0""")
+def gr22_rewritten_calls(f):
+    """Calls of kept stops with new ids, numbered anew."""
+    gone = f.stops.filter(F.substring("stop_id", 2, 20).cast("long") % 4 == 0).select("stop_id")
+    kept = f.stop_times.join(gone, "stop_id", "left_anti")
+    number = F.row_number().over(Window.partitionBy("trip_id").orderBy("stop_sequence"))
+    return fusion.namespaced(kept.withColumn("stop_sequence", number), "BB", ["trip_id", "stop_id"]).select("trip_id", "stop_id", "stop_sequence")

@@ -172,3 +172,42 @@ def ord01_first_departures(f):
 @query("SELECT stop_id, count(*) AS n FROM (SELECT * FROM stop_times ORDER BY departure_seconds, trip_id, stop_sequence LIMIT 500) GROUP BY 1")
 def ord02_limit_then_count(f):
     return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(500).groupBy("stop_id").agg(F.count("*").alias("n"))
+
+
+@query(SEARCH + """SELECT area_id, score + CASE WHEN contains(lower(area_name), 'hbf') THEN 2500 ELSE 0 END - CASE WHEN contains(area_name, 'Gleis') THEN 1500 ELSE 0 END AS score FROM hits JOIN stop_areas USING (area_id)""")
+def q19_search_quality(f):
+    tokens = derive.search_tokens(f.stops)
+    points = [tokens.filter(F.col("token").startswith(w)).groupBy("area_id").agg(F.max(F.when(F.col("token") == w, 1600).otherwise(420)).alias("points")) for w in ("stadt1", "hauptbahnhof")]
+    n = F.col("area_name")
+    score = F.col("s") + F.when(F.lower(n).contains("hbf"), 2500).otherwise(0) - F.when(n.contains("Gleis"), 1500).otherwise(0)
+    summed = points[0].union(points[1]).groupBy("area_id").agg(F.sum("points").alias("s"))
+    return summed.join(derive.stop_areas(f.stops), "area_id").select("area_id", score.alias("score"))
+
+
+@query("SELECT area_id, stop_id, r FROM (SELECT area_id, stop_id, row_number() OVER (PARTITION BY area_id ORDER BY CASE member_role WHEN 'AREA_ANCHOR' THEN 0 ELSE 1 END, stop_id) AS r FROM members) WHERE r <= 12")
+def q20_family_members(f):
+    order = Window.partitionBy("area_id").orderBy(F.when(F.col("member_role") == "AREA_ANCHOR", 0).otherwise(1), "stop_id")
+    return members(f).withColumn("r", F.row_number().over(order)).filter("r <= 12").select("area_id", "stop_id", "r")
+
+
+@query("SELECT q, area_id FROM (SELECT q, area_id, row_number() OVER (PARTITION BY q ORDER BY CASE WHEN lower(area_name) = q THEN 3 WHEN starts_with(lower(area_name), q || ' ') THEN 2 ELSE 1 END DESC, stop_count DESC, area_id) AS r FROM stop_areas JOIN (VALUES ('stadt1'), ('stadt4'), ('stadt20')) t(q) ON starts_with(lower(area_name), q)) WHERE r = 1")
+def q21_best_target(f):
+    words = f.spark.createDataFrame([("stadt1",), ("stadt4",), ("stadt20",)], "q string")
+    name = F.lower("area_name")
+    rows = derive.stop_areas(f.stops).join(F.broadcast(words), name.startswith(F.col("q")))
+    fit = F.when(name == F.col("q"), 3).when(name.startswith(F.concat("q", F.lit(" "))), 2).otherwise(1)
+    order = Window.partitionBy("q").orderBy(fit.desc(), F.desc("stop_count"), "area_id")
+    return rows.withColumn("r", F.row_number().over(order)).filter("r = 1").select("q", "area_id")
+
+
+@query("SELECT m.area_id, m.stop_id, count(a.service_id) AS departures FROM members m LEFT JOIN stop_times st USING (stop_id) LEFT JOIN trips t USING (trip_id) LEFT JOIN active a ON a.service_id = t.service_id GROUP BY 1, 2")
+def q24_area_graph(f):
+    active = derive.active_services(f.calendar, f.calendar_dates, DAY)
+    n = f.stop_times.join(f.trips.join(active, "service_id", "left_semi"), "trip_id", "left_semi").groupBy("stop_id").agg(F.count("*").alias("departures"))
+    return members(f).join(n, "stop_id", "left").select("area_id", "stop_id", F.coalesce("departures", F.lit(0)).alias("departures"))
+
+
+@query("SELECT d.day, count(t.trip_id) AS trips FROM (VALUES ('20240102'), ('20240106'), ('20240107')) d(day) LEFT JOIN (SELECT '20240102' AS day, trip_id FROM trips JOIN active USING (service_id)) t USING (day) WHERE d.day = '20240102' GROUP BY 1")
+def q26_scenario_audit(f):
+    active = derive.active_services(f.calendar, f.calendar_dates, DAY)
+    return f.trips.join(active, "service_id", "left_semi").agg(F.lit(DAY).alias("day"), F.count("*").alias("trips"))
