@@ -27,6 +27,8 @@ BLOCK, PAGE, BATCH, TOGETHER = 2048, 64, 1024, 4
 #: Pivots at most; they and their ids are all that is broadcast.
 PIVOTS = 512
 SALTS = 16
+#: The score of vectors whose inner product needs over 64 bits.
+LARGEST = 2**63 - 1
 
 
 def with_norm(x: np.ndarray, top: float) -> np.ndarray:
@@ -78,6 +80,16 @@ def build(uid: np.ndarray, x: np.ndarray, top: float) -> dict:
     return {"uid": uid, "x": x, "nodes": nodes}
 
 
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of integers in 64 bits; those beyond are LARGEST or -LARGEST."""
+    out = q @ x.T
+    wide = np.abs(q.astype(np.float64)) @ np.abs(x.astype(np.float64)).T >= 2.0**62
+    for i, j in zip(*np.nonzero(wide), strict=True):
+        whole = sum(a * b for a, b in zip(q[i].tolist(), x[j].tolist(), strict=True))
+        out[i, j] = max(-LARGEST, min(LARGEST, whole))
+    return out
+
+
 class Search:
     """The best k entries so far of a batch of queries."""
 
@@ -99,6 +111,9 @@ class Search:
         with np.errstate(invalid="ignore"):
             return np.where(np.isinf(worst), np.inf, np.sqrt(np.maximum(self.square[rows] + self.top - 2 * worst, 0))) + self.margin
 
+    def scores(self, rows: np.ndarray | slice, x: np.ndarray) -> np.ndarray:
+        return self.q[rows] @ x.T if self.exact else products(self.q[rows], x)
+
     def put(self, rows: np.ndarray, score: np.ndarray, uid: np.ndarray) -> None:
         better = (score >= self.score[rows, -1:]).any(1)
         rows, score = rows[better], score[better]
@@ -106,7 +121,8 @@ class Search:
             return
         s = np.concatenate([self.score[rows], score], 1)
         u = np.concatenate([self.found[rows], np.broadcast_to(uid, score.shape)], 1)
-        best = np.lexsort((u, -s), axis=1)[:, : self.k]
+        # ~s, as -s has no room for the smallest integer, which marks empty places
+        best = np.lexsort((u, -s if self.exact else ~s), axis=1)[:, : self.k]
         self.score[rows], self.found[rows] = np.take_along_axis(s, best, 1), np.take_along_axis(u, best, 1)
 
     def tree(self, tree: dict) -> None:
@@ -126,7 +142,7 @@ class Search:
                 may = np.abs(gap[:, None] - node["reach"][None]) <= limit[:, None]
                 some, of = may.any(1), may.any(0)
                 at = node["entries"][of]
-                self.put(rows[some], self.q[rows[some]] @ x[at].T, tree["uid"][at])
+                self.put(rows[some], self.scores(rows[some], x[at]), tree["uid"][at])
                 continue
             for c in node["children"]:
                 child = nodes[c]
@@ -169,7 +185,8 @@ def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str
     vec_id; with fewer candidates, all are returned.  Null vectors, those with null
     or non-finite components, and rows without id take no part.  Repeated rows count
     once.  Only vectors of as many components as the query's are compared.  Other
-    columns don't matter.  An empty table gives no rows.
+    columns don't matter.  An empty table gives no rows.  A score of the result that
+    needs over 64 bits is an error, as in SQL.
     """
     spark = df.sparkSession
     rows = quantised(df, id_col, vector, scale)
@@ -189,7 +206,8 @@ def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str
     whole = whole.withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= k + 1).drop("_r")
     own = Window.partitionBy("query_id", "quid").orderBy(F.desc("score"), "vec_id")
     out = ask.withColumnRenamed("uid", "quid").join(whole, "quid").filter(F.col("vec_id") != F.col("query_id")).withColumn("rank", F.row_number().over(own))
-    return out.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    whole = F.when(F.abs("score") == LARGEST, F.raise_error(F.lit("a score needs over 64 bits"))).otherwise(F.col("score"))
+    return out.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", whole.cast("long").alias("score"))
 
 
 def _searched(unique: DataFrame, ask: DataFrame, k: int, n: int, top: float) -> DataFrame:
@@ -250,7 +268,7 @@ def _searched(unique: DataFrame, ask: DataFrame, k: int, n: int, top: float) ->
                     yield from done()
                     uid, q = data
                     state, at = Search(uid, q, k + 1, top), key
-                    known = np.sort(state.q @ shared.value[0].astype(state.q.dtype).T, 1)
+                    known = np.sort(state.scores(slice(None), shared.value[0].astype(state.q.dtype)), 1)
                     if known.shape[1] > k:
                         state.floor = known[:, -(k + 1)].astype(np.float64)
                 elif key == at:

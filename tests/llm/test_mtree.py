@@ -53,3 +53,22 @@ def test_bounds_spare_computations():
     search.tree(tree)
     want = np.sort(x[:4] @ x.T, 1)[:, ::-1][:, :5]
     assert (search.score == want).all() and sum(pairs) < 4 * 1600 / 2
+
+
+@pytest.mark.parametrize("case", ["outlier", "large"])
+def test_magnitudes(spark, case):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 64)).astype(np.float32)
+    if case == "large":
+        x *= np.float32(4e5)
+    else:
+        x[10, 3] = 3e11
+        x[11] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert found(spark, rows, 5, 5) == brute(rows, 5, 5)
+
+
+def test_scores_over_64_bits(spark):
+    assert mtree.products(np.array([[2**40, 1], [2**31, 0]]), np.array([[2**40, 0], [-(2**40), 5]])).tolist() == [[mtree.LARGEST, -mtree.LARGEST], [mtree.LARGEST, -mtree.LARGEST]]
+    with pytest.raises(Exception, match="64 bits"):
+        found(spark, [(0, [3e11, 0.0]), (1, [3e11, 1.0])], 1, 2)
