@@ -6,8 +6,8 @@ multiplicative weights: a length's price falls with its coverage, a knapsack
 dynamic program over the capacity finds, for each badly covered length, the most
 valuable pattern that holds it, and the pattern's amount grows.  The amounts are
 rounded down, what remains goes through the same pricing in whole copies, and the
-bounded rest is packed best-fit decreasing.  Spark then ranks the pieces of each
-length and gives each its place.
+rest, however large, is packed best-fit decreasing as counts of lengths.  Spark
+then ranks the pieces of each length and gives each its place.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from .common import pieces, save
 
 CAPACITY, END = 4096, 1
 ROUNDS, COLUMNS, ETA, STEP = 24, 160, 4.0, 0.34
-#: Passes of the program over what remains; the last REST pieces a length are packed best-fit; the share of a sequence that a pattern may waste.
+#: Passes of the program over what remains; with REST pieces a length or fewer they end; the share of a sequence that a pattern may waste.
 PASSES, REST, WASTE = 6, 8, 0.002
 #: Pieces of one length that one task ranks, about, if all pieces had that length.
 RANK_ROWS = 5_000
@@ -79,26 +79,33 @@ def multiplicative_weights(lengths: np.ndarray, need: np.ndarray, capacity: int)
     return {p: x / max(1.0, *(cover[i] for i, _ in p)) for p, x in amount.items()}
 
 
-def best_fit(items: list[int], capacity: int) -> list[dict[int, int]]:
-    """Best-fit decreasing; a bit of ``free`` says that a bin with so much room is open."""
-    room: dict[int, list[Counter]] = {}
+def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing over (length: count), as patterns and copies; a bit of ``free`` says that bins with so much room are open.
+
+    Equal bins are one entry, so work and memory grow with the number of lengths, not of pieces.
+    """
+    room: dict[int, list[tuple[dict[int, int], int]]] = {}
     free = 0
-    bins = []
-    for x in sorted(items, reverse=True):
-        fits = free >> x
-        if fits:
-            r = (fits & -fits).bit_length() - 1 + x
-            b = room[r].pop()
-            if not room[r]:
+    for x in sorted(histogram, reverse=True):
+        n = histogram[x]
+        while n:
+            fits = free >> x
+            if fits:
+                r = (fits & -fits).bit_length() - 1 + x
+                held, bins = room[r].pop()
+            else:
+                r, held, bins = capacity, {}, 0
+            # best-fit fills a bin with pieces of one length before it goes to the next
+            k = min(r // x, n)
+            taken = min(bins, n // k) if fits else n // k
+            if bins > taken:
+                room[r].append((held, bins - taken))
+            elif fits and not room[r]:
                 free &= ~(1 << r)
-        else:
-            r, b = capacity, Counter()
-            bins.append(b)
-        b[x] += 1
-        if r > x:
-            room.setdefault(r - x, []).append(b)
-            free |= 1 << (r - x)
-    return bins
+            room.setdefault(r - k * x, []).append((held | {x: k}, taken))
+            free |= 1 << (r - k * x)
+            n -= k * taken
+    return [entry for entries in room.values() for entry in entries]
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
@@ -128,10 +135,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
                 take({int(some[i]): k for i, k in p}, int(x))
         if before - left.sum() < before // 20:
             break
-    rest = [int(x) for x, n in zip(lengths, left, strict=True) for _ in range(int(n))]
-    packed = [({int(lengths[i]): k for i, k in p}, c) for p, c in out.items()]
-    packed += [(dict(p), c) for p, c in Counter(tuple(sorted(b.items())) for b in best_fit(rest, capacity)).items()]
-    return packed
+    rest = {int(x): int(n) for x, n in zip(lengths, left, strict=True) if n}
+    return [({int(lengths[i]): k for i, k in p}, c) for p, c in out.items()] + best_fit(rest, capacity)
 
 
 def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:

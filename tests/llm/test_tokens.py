@@ -1,7 +1,9 @@
 """BPE, packing and the separator scan against the tokenizers library and plain counting."""
 
+import tracemalloc
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -122,6 +124,43 @@ def test_plan_is_exact_and_tight(scale):
     assert sum(c for _, c in patterns) <= least * 1.01 + 1
 
 
+@pytest.mark.parametrize("histogram", [{3000: 5_000_000, 50: 10}, {2100 + k: 500_000 for k in range(0, 1900, 190)} | {7: 3, 400: 1000}, {4096: 10**9, 1: 10**9}, {3: 2, 5: 1}])
+def test_plan_without_fillers_is_bounded(histogram):
+    tracemalloc.start()
+    patterns = packing.plan(histogram)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = Counter()
+    for pattern, copies in patterns:
+        assert copies > 0 and sum(x * k for x, k in pattern.items()) <= 4096
+        held.update({x: k * copies for x, k in pattern.items()})
+    assert held == histogram and peak < 32 << 20 and len(patterns) < 10_000
+    assert sum(c for _, c in patterns) <= max(sum(n for x, n in histogram.items() if x > 2048), -(-sum(x * n for x, n in histogram.items()) // 4096)) * 1.01 + 1
+
+
+def single_best_fit(items, capacity):
+    """Best-fit decreasing piece by piece."""
+    bins = []
+    for x in sorted(items, reverse=True):
+        fit = min((b for b in bins if capacity - sum(b) >= x), key=lambda b: capacity - sum(b), default=None)
+        if fit is None:
+            bins.append(fit := [])
+        fit.append(x)
+    return len(bins)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), max_size=12))
+def test_best_fit_of_counts(histogram):
+    packed = packing.best_fit(histogram, 40)
+    held = Counter()
+    for pattern, copies in packed:
+        assert copies > 0 and sum(x * k for x, k in pattern.items()) <= 40
+        held.update({x: k * copies for x, k in pattern.items()})
+    assert held == histogram
+    assert abs(sum(c for _, c in packed) - single_best_fit([x for x, n in histogram.items() for _ in range(n)], 40)) <= 1
+
+
 def test_separator_scan(spark, library, monkeypatch):
     monkeypatch.setattr(tokenscan, "SPAN", 3)
     docs = spark.createDataFrame(EDGE, SCHEMA).repartition(2)
