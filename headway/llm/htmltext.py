@@ -6,8 +6,11 @@ deletes these subtrees, then elements that are no article by their tag, role or
 class (an advert may differ on each page), and writes the blocks of the largest
 article, or of ``main`` or the body where there is none.
 
-Text blocks and their parents inside an article are no template however often
-they recur: copies of an article, and passages that articles share, are content.
+Inside an article recurrence alone says nothing: copies of an article, and passages
+that articles share, are content.  There a block is a template if it recurs around
+different articles, told apart by their longest text outside the block, is the
+smaller part of each, and either is mostly links or is a container (no bare
+paragraph, heading or list item) that stands in one slot on nearly all its pages.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import re
 from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,8 @@ from .common import pieces
 
 #: A subtree is a template if at least so many different pages of its host hold it, and this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.1
+#: Inside an article: the share of a block's pages on which it stands in one slot, and the share of its text in links from which the slot doesn't matter.
+SAME_SLOT, LINKED = 0.8, 0.5
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe xmp template svg canvas object math".split())
@@ -34,6 +40,8 @@ BLOCK = set(
     "header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 TEXT_BLOCK = set("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+#: Elements with text blocks that may be templates inside an article by their slot.
+CONTAINER = set("address article center details div dl figure ol section table ul".split())
 NEVER = set("head nav footer aside form button select input textarea dialog menu search optgroup option datalist label legend fieldset".split()) | RAW
 ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status note".split())
 #: Words of a class or id that say that an element is no article.
@@ -54,10 +62,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "hash", "size", "content")
+    __slots__ = ("tag", "attributes", "children", "hash", "size", "linked", "content")
 
     def __init__(self, tag: str, attributes: str):
-        self.tag, self.attributes, self.children, self.hash, self.size = tag, attributes, [], 0, 0
+        self.tag, self.attributes, self.children, self.hash, self.size, self.linked = tag, attributes, [], 0, 0, 0
         self.content = tag in TEXT_BLOCK or tag in ("article", "main", "section")
 
 
@@ -141,11 +149,14 @@ def _finish(node: Node) -> None:
             if isinstance(c, Node):
                 digest.update(c.hash.to_bytes(8, "big"))
                 x.size += c.size
+                x.linked += c.linked
                 x.content = x.content or c.content
             else:
                 bare = " ".join(c.split())
                 digest.update(b"\1" + bare.encode("utf-8", "surrogatepass"))
                 x.size += len(bare)
+        if x.tag == "a":
+            x.linked = x.size
         x.hash = int.from_bytes(digest.digest(), "big")
 
 
@@ -187,8 +198,58 @@ def subtrees(page: Node, root: Node) -> set[int]:
     return out
 
 
+def _id(*parts) -> int:
+    return int.from_bytes(blake2b(repr(parts).encode(), digest_size=8).digest(), "big")
+
+
+def inner(root: Node) -> list[tuple[Node, int, tuple[int, ...]]]:
+    """Blocks with text blocks inside an article that may be templates, with an id and the ids of their slots; none of slots for mostly links."""
+    out: list = []
+    todo: list = [(root, 0)]
+    while todo:
+        x, path = todo.pop()
+        nodes = [c for c in x.children if isinstance(c, Node)]
+        for k, c in enumerate(nodes):
+            if c.tag in BLOCK and c.content and c.size and 2 * c.size <= root.size:
+                if c.linked >= LINKED * c.size:
+                    out.append((c, _id(c.hash, "links"), ()))
+                elif c.tag in CONTAINER:
+                    out.append((c, _id(c.hash, "any"), (_id(c.hash, path, "start", k), _id(c.hash, path, "end", len(nodes) - k))))
+        # a path is a checksum, so that deep trees stay cheap
+        todo += [(c, crc32(c.tag.encode("utf-8", "surrogatepass"), path)) for c in nodes]
+    return out
+
+
+def rests(root: Node, found: list) -> list[int]:
+    """For each block found, a hash of the longest text of the article outside it."""
+    wanted = {id(x) for x, _, _ in found}
+    texts, spans = [], {}
+    todo: list = [(root, False)]
+    while todo:
+        x, done = todo.pop()
+        if done:
+            spans[id(x)] = (spans[id(x)][0], len(texts))
+        elif isinstance(x, str):
+            if bare := " ".join(x.split()):
+                texts.append((len(bare), bare))
+        else:
+            if id(x) in wanted:
+                spans[id(x)] = (len(texts), 0)
+                todo.append((x, True))
+            todo += [(c, False) for c in reversed(x.children)]
+    # the longest text before and after each place
+    ahead, behind = [(0, "")], [(0, "")]
+    for t in texts:
+        ahead.append(max(ahead[-1], t))
+    for t in reversed(texts):
+        behind.append(max(behind[-1], t))
+    ends = [spans[id(x)] for x, _, _ in found]
+    return [_id(max(ahead[a], behind[len(texts) - b])) for a, b in ends]
+
+
 def blocks(page: Node, gone: frozenset) -> list[str]:
     root = article_of(page, gone)
+    away = {id(x) for x, own, slots in inner(root) if not gone.isdisjoint(slots or (own,))} if gone and root is not page else set()
     out, held = [], []
 
     def flush() -> None:
@@ -203,7 +264,7 @@ def blocks(page: Node, gone: frozenset) -> list[str]:
             flush()
         elif isinstance(x, str):
             held.append(x)
-        elif x is not root and ((x.hash in gone and x.tag in BLOCK and not (root is not page and x.content)) or unwanted(x, inside)):
+        elif x is not root and (id(x) in away or (x.hash in gone and x.tag in BLOCK and not (root is not page and x.content)) or unwanted(x, inside)):
             if x.tag in BLOCK:
                 flush()
         elif x.tag == "br":
@@ -232,10 +293,17 @@ def _signed(x: int) -> int:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host and hash of recurring subtrees, from rows (host, own, hashes); pages with equal articles count once."""
+    """host and hash of recurring subtrees, from rows (host, own, hashes, inner); pages with equal articles count once.
+
+    Blocks inside an article count once for each rest of the article; slots go on where they hold nearly all of that count.
+    """
     different = pages.select("host", "own").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     held = pages.select("host", "own", F.explode("hashes").alias("hash")).distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_PAGES)
-    return held.join(different, "host").filter(F.col("n") >= F.col("pages") * MIN_SHARE).select("host", "hash")
+    blocks_in = pages.select("host", F.explode("inner").alias("x")).select("host", F.col("x.block").alias("block"), F.col("x.hash").alias("hash"), F.col("x.rest").alias("rest")).distinct()
+    counted = blocks_in.groupBy("host", "block", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_PAGES)
+    whole = counted.filter(F.col("block") == F.col("hash")).select("host", "block", F.col("n").alias("of"))
+    fixed = counted.join(whole, ["host", "block"]).filter(F.col("n") >= F.col("of") * SAME_SLOT).select("host", "hash", "n")
+    return held.unionByName(fixed).join(different, "host").filter(F.col("n") >= F.col("pages") * MIN_SHARE).select("host", "hash").distinct()
 
 
 def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "text") -> DataFrame:
@@ -252,18 +320,22 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "te
 
     def look(batches):
         for b in pieces(batches, html):
-            own, hashes = [], []
+            own, hashes, within = [], [], []
             for page in b.column(html).to_pylist():
                 tree = parse(page or "")
                 _finish(tree)
                 root = article_of(tree)
                 own.append(_signed(root.hash))
                 hashes.append([_signed(h) for h in subtrees(tree, root)])
+                found = inner(root) if root is not tree else []
+                around = rests(root, found) if found else []
+                within.append([{"block": _signed(h), "hash": _signed(s), "rest": _signed(r)} for (_, h, slots), r in zip(found, around, strict=True) for s in (h, *slots)])
             names = [*keys, "host"]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(own, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], [*names, "own", "hashes"])
+            arrays = [pa.array(own, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(within, pa.list_(pa.struct([(k, pa.int64()) for k in ("block", "hash", "rest")])))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *arrays], [*names, "own", "hashes", "inner"])
 
-    seen = keyed.select(*keys, host.alias("host"), html).filter(F.col("host") != "").mapInArrow(look, "_k1 long, _k2 long, host string, own long, hashes array<long>")
-    found = seen.select(*keys, "host", F.explode("hashes").alias("hash")).join(templates(seen), ["host", "hash"])
+    seen = keyed.select(*keys, host.alias("host"), html).filter(F.col("host") != "").mapInArrow(look, "_k1 long, _k2 long, host string, own long, hashes array<long>, inner array<struct<block: long, hash: long, rest: long>>")
+    found = seen.select(*keys, "host", F.explode(F.concat("hashes", F.col("inner.hash"))).alias("hash")).join(templates(seen), ["host", "hash"])
     gone = found.groupBy(*keys).agg(F.collect_set("hash").alias("_gone"))
     both = keyed.join(gone, keys, "left").drop(*keys)
 

@@ -42,6 +42,24 @@ def test_templates_are_deleted_per_host(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_templates_inside_articles(spark):
+    """Only counts can tell these blocks from the article: no tag, role or class speaks."""
+    news, links, quote, boxed = "<div class='x7'><p>Get our letter.</p></div>", "<ul><li><a>One</a></li><li><a>Two</a></li></ul>", "<p>A shared passage.</p>", "<div><p>A boxed passage.</p></div>"
+    own = lambda k: f"<p>Text of page {k} " + f"word{k} " * 20 + "</p>"
+    plain = lambda k: f"Text of page {k} " + " ".join([f"word{k}"] * 20)
+    page = lambda k: f"<body><article><h1>T{k}</h1>{own(k)}{quote}{boxed if k < 2 else ''}{links}<section>{'<p>x</p>' * (k % 7)}{boxed}{'<p>y</p>' * (k % 5)}</section>{news}</article></body>"
+    copy = lambda k: f"<body><article><h1>T{k}</h1><div><p>The same body, on every page, with nothing of its own.</p></div><div><p>Short.</p></div></article></body>"
+    alone = f"<body><article>{news}</article></body>"
+    rows = [(k, f"http://a.example/{k}", page(k)) for k in range(20)] + [(100 + k, f"http://b.example/{k}", copy(k)) for k in range(20)]
+    rows += [(200 + k, f"http://c.example/{k}", page(k)) for k in range(4)] + [(300, "http://a.example/alone", alone)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        want = [f"T{k}", plain(k), "A shared passage.", *["A boxed passage."] * (k < 2), *["x"] * (k % 7), "A boxed passage.", *["y"] * (k % 5)]
+        assert got[k] == "\n\n".join(want)
+        assert got[100 + k] == f"T{k}\n\nThe same body, on every page, with nothing of its own.\n\nShort."
+    assert "Get our letter." in got[200] and "One" in got[200] and got[300] == "Get our letter."
+
+
 def test_pages_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = htmltext.extract(df).collect()
