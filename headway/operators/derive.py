@@ -205,19 +205,32 @@ def hub_profiles(stops: DataFrame, area_route: DataFrame, transfers: DataFrame)
     return out.withColumn("score", score.cast("long")).withColumn("hub_level", level)
 
 
-def service_signatures(calendar: DataFrame, dates: DataFrame, most_days: int = 2000) -> DataFrame:
-    """A hash of each service's active dates; UNSCOPED without any, TOO_LONG beyond ``most_days``."""
+def service_days(calendar: DataFrame, dates: DataFrame) -> DataFrame:
+    """service_id and its active days in order; none for a service without any."""
     day = lambda x: F.to_date(x, "yyyyMMdd")
-    spans = calendar.withColumn("days", F.datediff(day("end_date"), day("start_date")) + 1)
-    rows = spans.filter(F.col("days") <= most_days).withColumn("d", F.explode(F.sequence(day("start_date"), day("end_date"))))
+    rows = calendar.filter("start_date <= end_date").withColumn("d", F.explode(F.sequence(day("start_date"), day("end_date"))))
     names = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
     runs = F.get(F.array(*names), F.weekday("d")) == 1
     active = rows.filter(runs).select("service_id", F.date_format("d", "yyyyMMdd").alias("date"))
     removed = dates.filter("exception_type = 2").select("service_id", "date")
     all_days = active.union(dates.filter("exception_type = 1").select("service_id", "date")).distinct().join(removed, ["service_id", "date"], "left_anti")
-    hashed = all_days.groupBy("service_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("date")), ";"), 256).alias("signature"), F.count("*").alias("day_count"))
     ids = calendar.select("service_id").union(dates.select("service_id")).distinct()
-    return ids.join(hashed, "service_id", "left").select("service_id", F.coalesce("signature", F.lit("EMPTY")).alias("signature"), F.coalesce("day_count", F.lit(0)).alias("day_count"))
+    listed = all_days.groupBy("service_id").agg(F.array_sort(F.collect_list("date")).alias("days"))
+    return ids.join(listed, "service_id", "left").select("service_id", F.coalesce("days", F.array().cast("array<string>")).alias("days"))
+
+
+def service_signatures(calendar: DataFrame, dates: DataFrame, source: str, most_days: int = 2000) -> DataFrame:
+    """DATES: and a hash of each service's active days; a signature of its own, UNSCOPED: or EMPTY: and the
+    service, where first and last day (exceptions counted) are over ``most_days`` apart, or no day is active."""
+    day = lambda x: F.to_date(x, "yyyyMMdd")
+    ends = calendar.select("service_id", "start_date", "end_date").union(dates.select("service_id", F.col("date").alias("start_date"), F.col("date").alias("end_date")))
+    spans = ends.groupBy("service_id").agg(F.datediff(day(F.max("end_date")), day(F.min("start_date"))).alias("span"))
+    long = spans.filter(F.col("span") > most_days).select("service_id")
+    short = [x.join(long, "service_id", "left_anti") for x in (calendar, dates)]
+    own = F.concat(F.lit(f"{source}::"), "service_id")
+    iso = F.transform("days", lambda d: F.concat(F.regexp_replace(d, "^(....)(..)(..)$", "$1-$2-$3"), F.lit(";")))
+    known = service_days(*short).select("service_id", F.when(F.size("days") == 0, F.concat(F.lit("EMPTY:"), own)).otherwise(F.concat(F.lit("DATES:"), F.sha2(F.array_join(iso, ""), 256))).alias("signature"), F.size("days").cast("long").alias("day_count"))
+    return known.union(long.select("service_id", F.concat(F.lit("UNSCOPED:"), own), F.lit(None).cast("long")))
 
 
 def trip_patterns(stop_times: DataFrame, trips: DataFrame) -> DataFrame:

@@ -317,7 +317,9 @@ signatures AS (SELECT i.service_id, coalesce(any_value(h), 'EMPTY') AS signature
 
 @query(SIGNATURES + "SELECT * FROM signatures")
 def agg17_service_signatures(f):
-    return derive.service_signatures(f.calendar, f.calendar_dates)
+    days = F.col("days")
+    signature = F.when(F.size(days) == 0, F.lit("EMPTY")).otherwise(F.sha2(F.array_join(days, ";"), 256))
+    return derive.service_days(f.calendar, f.calendar_dates).select("service_id", signature.alias("signature"), F.size(days).cast("long").alias("day_count"))
 
 
 PATTERNS = ", patterns AS (SELECT trip_id, count(*) AS stop_count, sha256(string_agg(stop_id || ',' || arrival_seconds || ',' || departure_seconds, ';' ORDER BY stop_sequence)) AS exact_hash FROM stop_times GROUP BY 1 HAVING count(*) > 1)\n"

@@ -2,6 +2,9 @@
 
 import json
 import zipfile
+from datetime import date, timedelta
+from hashlib import sha256
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from headway.functions import columns as c
 from headway.operators import derive, families, fusion, graph, links, names, places
+from headway.plans import tables
 from headway.sources import gtfs
 
 FEED = {
@@ -145,3 +149,22 @@ def test_station_links(spark):
     own = [("1", "de:1", None, "x", None, None), ("2", None, "c2", "x", None, None), ("3", None, "dup", "x", None, None), ("4", None, None, "Lünen Bahnhof", 51.6001, 7.6001), ("5", None, None, "other", 51.80005, 7.80005)]
     stations = spark.createDataFrame(own, "station_id string, global_id string, code string, name string, lat double, lon double")
     assert rows(links.station_links(stations, stops), "station_id", "area_id", "method") == [("1", "de:1", "EXACT_GLOBAL_ID"), ("2", "s2", "EXACT_STOP_CODE"), ("4", "s2", "COORDINATE_NAME_CHECKED"), ("5", "s4", "COORDINATE_UNIQUE")]
+
+
+def test_service_signatures(spark):
+    week = "monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int"
+    calendar = spark.createDataFrame([(s, *[on] * 7, a, b) for s, on, a, b in (
+        ("L1", 1, "20200101", "20261231"), ("L2", 1, "20200101", "20261231"), ("E1", 0, "20240101", "20240131"), ("E2", 0, "20240101", "20240131"), ("E3", 1, "20240131", "20240101"),
+        ("W", 1, "20240101", "20240103"), ("N1", 1, "20240101", "20240103"), ("N2", 1, "20240101", "20240104"), ("M", 1, "20200101", "20250623"),
+    )], f"service_id string, {week}, start_date string, end_date string")
+    dates = spark.createDataFrame([("N2", "20240104", 2), ("W", "20300101", 2), ("R", "20240101", 2), ("L1", "20240101", 2)], "service_id string, date string, exception_type int")
+    signature = lambda days: "DATES:" + sha256("".join(f"{d};" for d in days).encode()).hexdigest()
+    span = lambda n, d: [d + timedelta(k) for k in range(n)]
+    want = {s: f"UNSCOPED:A::{s}" for s in ("L1", "L2", "W")} | {s: f"EMPTY:A::{s}" for s in ("E1", "E2", "E3", "R")}
+    want |= {s: signature(span(3, date(2024, 1, 1))) for s in ("N1", "N2")} | {"M": signature(span(2001, date(2020, 1, 1)))}
+    found = derive.service_signatures(calendar, dates, "A")
+    assert dict(rows(found, "service_id", "signature")) == want
+    trips = spark.createDataFrame([(f"t{s}", s, "h", 0) for s in want], "trip_id string, service_id string, exact_hash string, source_priority int")
+    assert rows(fusion.duplicate_trips(trips.join(found, "service_id")).filter("suppressed = 1"), "trip_id", "kept_trip_id") == [("tN2", "tN1")]
+    query = tables.agg17_service_signatures(SimpleNamespace(calendar=calendar, calendar_dates=dates))
+    assert [r for r in rows(query, "service_id", "day_count") if r[0] in ("L1", "L2", "E3")] == [("E3", 0), ("L1", 2556), ("L2", 2557)]
