@@ -91,8 +91,9 @@ def decide_bucket(trips: list[dict]) -> list[tuple[str, str, str]]:
                 out += [(a["trip_id"], "STITCHED", b["trip_id"]), (b["trip_id"], "STITCHED", a["trip_id"])]
     for k, a in enumerate(rest):
         for b in rest[k + 1 :]:
-            shared = sum(any(same_call(x, y) for y in b["calls"]) for x in a["calls"])
-            if a["source_id"] != b["source_id"] and shared >= 2 and not {a["trip_id"], b["trip_id"]} & used:
+            if a["source_id"] == b["source_id"] or {a["trip_id"], b["trip_id"]} & used:
+                continue
+            if sum(any(same_call(x, y) for y in b["calls"]) for x in a["calls"]) >= 2:
                 out.append((a["trip_id"], "AMBIGUOUS_KEPT", b["trip_id"]))
     return out
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as c
 from ..operators import derive, families, fusion, links, names, places
 from .registry import query
 from .tables import members
@@ -56,14 +57,24 @@ def gr17_source_static(f):
 
 
 def two_sources(f):
-    """The feed's trips as source A, and every third trip again as source B: shifted, and without its last call."""
+    """The feed's trips as source A, and two thirds of them again as source B: shifted, and without their last call, or, where A lacks the last call, without their first.
+
+    Both sources give a journey the same number, as trip_short_name does; a line is a route's label, whatever its route_id.
+    """
     calls = f.stop_times.groupBy("trip_id").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", F.col("stop_id").alias("stop_key"), F.col("arrival_seconds").alias("arrival"), F.col("departure_seconds").alias("departure")))).alias("calls"))
     plain = lambda shift: F.transform("calls", lambda x: F.struct(x["stop_key"].alias("stop_key"), (x["arrival"] + shift).alias("arrival"), (x["departure"] + shift).alias("departure")))
-    rows = calls.join(f.trips, "trip_id").filter(F.size("calls") > 2)
-    keys = [F.col("service_id").alias("signature"), F.lit("bus").alias("mode"), F.concat_ws("/", "route_id", "trip_id").alias("line_key"), F.lit("").alias("journey_key")]
-    a = rows.select(F.lit("A").alias("source_id"), F.concat(F.lit("A::"), "trip_id").alias("trip_id"), *keys, plain(0).alias("calls"))
-    b = rows.filter(F.crc32("trip_id") % 3 == 0).select(F.lit("B").alias("source_id"), F.concat(F.lit("B::"), "trip_id").alias("trip_id"), *keys, F.slice(plain(45), 1, F.size("calls") - 1).alias("calls"))
-    return a.union(b)
+    labels = derive.route_labels(f.routes).select("route_id", F.coalesce(F.col("route_type").cast("string"), F.lit("")).alias("mode"), c.normalised(F.col("line_label")).alias("line_key"))
+    rows = calls.join(f.trips, "trip_id").join(labels, "route_id").filter(F.size("calls") > 2)
+    part, split = F.crc32("trip_id") % 3, (F.crc32("trip_id") % 3 == 1) & (F.size("calls") > 3)
+
+    def source(name, which, held):
+        signed = which.join(derive.service_signatures(f.calendar, f.calendar_dates, name), "service_id", "left")
+        signature = F.coalesce("signature", F.concat(F.lit(f"UNSCOPED:{name}::"), "service_id")).alias("signature")
+        return signed.select(F.lit(name).alias("source_id"), F.concat(F.lit(f"{name}::"), "trip_id").alias("trip_id"), signature, "mode", "line_key", F.regexp_extract("trip_id", "[0-9]+$", 0).alias("journey_key"), held.alias("calls"))
+
+    n = F.size("calls")
+    a = source("A", rows, F.slice(plain(0), 1, F.when(split, n - 1).otherwise(n)))
+    return a.union(source("B", rows.filter((part == 0) | split), F.slice(plain(45), F.when(split, 2).otherwise(1), n - 1)))
 
 
 @query(None)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from headway.functions import columns as c
 from headway.operators import derive, families, fusion, graph, links, names, places
-from headway.plans import tables
+from headway.plans import entities, tables
 from headway.sources import gtfs
 
 FEED = {
@@ -168,3 +168,36 @@ def test_service_signatures(spark):
     assert rows(fusion.duplicate_trips(trips.join(found, "service_id")).filter("suppressed = 1"), "trip_id", "kept_trip_id") == [("tN2", "tN1")]
     query = tables.agg17_service_signatures(SimpleNamespace(calendar=calendar, calendar_dates=dates))
     assert [r for r in rows(query, "service_id", "day_count") if r[0] in ("L1", "L2", "E3")] == [("E3", 0), ("L1", 2556), ("L2", 2557)]
+
+
+def test_fused_trips_of_a_feed(spark):
+    """Trips of one line over two routes, against every pair compared."""
+    paths = {f"T{k}": ("R1" if k % 2 else "R2" if k < 20 else "R3", "PQRS" + "VWXYZ"[k % 5], 20 * (k // 2)) for k in range(30)}
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    feed = SimpleNamespace(
+        routes=table([("R1", 3, "S 1", None), ("R2", 3, None, "S 1"), ("R3", 3, "S 2", None)], "route_id string, route_type int, route_short_name string, route_long_name string"),
+        trips=table([(t, r, "W") for t, (r, _, _) in paths.items()], "trip_id string, route_id string, service_id string"),
+        stop_times=table([(t, k + 1, x, start + 600 * k, start + 600 * k) for t, (_, text, start) in paths.items() for k, x in enumerate(text)], "trip_id string, stop_sequence int, stop_id string, arrival_seconds int, departure_seconds int"),
+        calendar=table([("W", *[1] * 7, "20240101", "20240107")], "service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int, start_date string, end_date string"),
+        calendar_dates=table([], "service_id string, date string, exception_type int"),
+    )
+    trips = {r.trip_id: r for r in entities.two_sources(feed).collect()}
+    like = lambda x, y: x[0] == y[0] and abs(x[1] - y[1]) <= 90 and abs(x[2] - y[2]) <= 90
+    order = sorted(trips, key=lambda t: (-len(trips[t].calls), trips[t].source_id, t))
+    pairs = [(a, b) for k, a in enumerate(order) for b in order[k + 1 :] if trips[a].source_id != trips[b].source_id and trips[a].line_key == trips[b].line_key]
+    gone, used, want = {}, set(), []
+    for a, b in pairs:
+        long, short = trips[a].calls, trips[b].calls
+        if a not in gone and b not in gone and any(all(map(like, short, long[k:])) for k in range(len(long) - len(short) + 1)):
+            gone[b] = a
+            want.append((b, "SUBSET_SUPPRESSED", a))
+    rest = [(a, b) for a, b in pairs if a not in gone and b not in gone]
+    for a, b in rest:
+        x, y = (trips[t].calls for t in sorted((a, b)))
+        if a[3:] == b[3:] and any(all(map(like, x[-n:], y[:n])) for n in range(2, min(len(x), len(y)))):
+            used |= {a, b}
+            want += [(a, "STITCHED", b), (b, "STITCHED", a)]
+    want += [(a, "AMBIGUOUS_KEPT", b) for a, b in rest if not {a, b} & used and sum(any(like(x, y) for y in trips[b].calls) for x in trips[a].calls) >= 2]
+    got = rows(entities.gr19_fused_trips(feed), "trip_id", "decision", "other_trip_id")
+    assert got == sorted(want) and {d for _, d, _ in got} >= {"SUBSET_SUPPRESSED", "STITCHED"}
+    assert any(a[3:] != b[3:] for a, _, b in got)
