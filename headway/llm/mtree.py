@@ -3,11 +3,16 @@
 The inner product becomes a metric by one more coordinate: with M the largest
 squared norm, v' = (v, sqrt(M - |v|^2)) and q' = (q, 0) have |q' - v'|^2 =
 |q|^2 + M - 2 <q, v>.  Equal vectors are one entry that carries its smallest ids.
-Entries are dealt to blocks by their nearest pivot; each block is an M-tree of
-paged nodes with covering radii and distances to the parent.  Batches of queries
-meet the blocks; a tree's nodes are visited best-first, and what the stored
-distances exclude by the triangle inequality is neither visited nor computed.
-Scores are exact integers; bounds carry a margin for rounding.
+Entries are dealt to regions by their nearest pivot and, within a region, to blocks
+by their distance to it; each block is an M-tree of paged nodes with covering radii
+and distances to the parent.
+
+A query first searches the block in which it lies itself as a vector.  What it found
+there bounds what others may add: by the triangle inequality with the pivots and
+the blocks' ranges of distances, it is sent only to blocks that may hold better
+ones.  There a tree's nodes are visited best-first, and what the stored distances
+exclude is neither visited nor computed.  Scores are exact integers; bounds carry a
+margin for rounding.
 """
 
 from __future__ import annotations
@@ -22,10 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-#: Entries of a block, entries of a tree's node, queries of a batch, blocks that one task searches for a batch.
-BLOCK, PAGE, BATCH, TOGETHER = 2048, 64, 1024, 4
-#: Pivots at most; they and their ids are all that is broadcast.
+#: Entries of a block, about, entries of a tree's node, queries of a batch, batches that share one copy of a tree.
+BLOCK, PAGE, BATCH, TOGETHER = 2048, 64, 512, 64
+#: Pivots at most of each length of vectors; they and their regions' radii are all that is broadcast.
 PIVOTS = 512
+#: Parts that the copies of a vector are dealt to before their ids are gathered.
 SALTS = 16
 #: The score of vectors whose inner product needs over 64 bits.
 LARGEST = 2**63 - 1
@@ -111,6 +117,16 @@ class Search:
         with np.errstate(invalid="ignore"):
             return np.where(np.isinf(worst), np.inf, np.sqrt(np.maximum(self.square[rows] + self.top - 2 * worst, 0))) + self.margin
 
+    def floors(self) -> np.ndarray:
+        """A score that k entries reach, for each query; none where fewer were found."""
+        return np.where(self.score[:, -1] == self.none, -np.inf, self.score[:, -1].astype(np.float64))
+
+    def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, entry and score of what was found; nothing below the floor it began with."""
+        hit = (self.found < np.iinfo(np.int64).max) & (self.score.astype(np.float64) >= self.floor[:, None])
+        owner = np.broadcast_to(self.uid[:, None], hit.shape)[hit]
+        return owner, self.found[hit], self.score[hit].astype(np.int64)
+
     def scores(self, rows: np.ndarray | slice, x: np.ndarray) -> np.ndarray:
         return self.q[rows] @ x.T if self.exact else products(self.q[rows], x)
 
@@ -178,6 +194,26 @@ def quantised(df: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
     return df.filter(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(vector, lambda v: F.floor(v.cast("double") * F.lit(float(scale))).cast("long")).alias("x"))
 
 
+def home_and_trees(blocks: DataFrame, k: int, tops: dict[int, float]) -> DataFrame:
+    """For each block a row of its tree and range of distances, and rows of what its own queries found in it."""
+
+    def plant(table: pa.Table) -> pa.Table:
+        uid, x, away = table.column("uid").to_numpy(), matrix(table.column("x").combine_chunks()), table.column("away").to_numpy()
+        top = tops[x.shape[1]]
+        tree = build(uid, x, top)
+        pivot, share = (table.column(c)[0].as_py() for c in ("pivot", "share"))
+        found = [(pivot, share, float(away.min()), float(away.max()), pickle.dumps(tree), None)]
+        own = np.flatnonzero(table.column("asks").to_numpy())
+        for at in range(0, len(own), BATCH):
+            search = Search(uid[own[at : at + BATCH]], x[own[at : at + BATCH]], k + 1, top)
+            search.tree(tree)
+            found.append((pivot, share, None, None, None, pickle.dumps((search.uid, x[own[at : at + BATCH]], search.floors(), search.hits()))))
+        types = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("pivot", "share", "low", "high", "tree", "asked"), zip(*found, strict=True), types, strict=True)})
+
+    return blocks.groupBy("pivot", "share").applyInArrow(plant, "pivot int, share int, low double, high double, tree binary, asked binary")
+
+
 def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
     """The k highest scores of each query, a row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
@@ -192,13 +228,8 @@ def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str
     rows = quantised(df, id_col, vector, scale)
     unique = save(entries(rows, "id", "x", k), "entries")
     shapes = {r["dim"]: (r["n"], float(r["top"])) for r in unique.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("top")).collect()}
-    if len(shapes) > 64:
-        raise ValueError("vectors have over 64 different lengths")
     ask = rows.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "x").join(unique.select("uid", "x"), "x").select("query_id", "uid").distinct()
-    parts = [_searched(unique.filter(F.col("dim") == d), ask, k, n, top) for d, (n, top) in sorted(shapes.items())]
-    hits = parts[0] if parts else spark.createDataFrame([], "quid long, uid long, score long")
-    for p in parts[1:]:
-        hits = hits.union(p)
+    hits = _searched(unique, ask.select("uid").distinct(), k, shapes) if shapes else spark.createDataFrame([], "quid long, uid long, score long")
     best = Window.partitionBy("quid").orderBy(F.desc("score"), "uid")
     hits = hits.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k + 1).drop("_r")
     whole = hits.join(unique.select("uid", "ids"), "uid").select("quid", "score", F.explode("ids").alias("vec_id"))
@@ -210,69 +241,109 @@ def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str
     return out.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", whole.cast("long").alias("score"))
 
 
-def _searched(unique: DataFrame, ask: DataFrame, k: int, n: int, top: float) -> DataFrame:
+def _searched(unique: DataFrame, asked: DataFrame, k: int, shapes: dict[int, tuple[int, float]]) -> DataFrame:
+    """quid, uid and score of the k + 1 best entries of each query, and of others; ``shapes``: number and largest squared norm by length of vectors."""
     spark = unique.sparkSession
-    count = max(1, min(PIVOTS, -(-n // BLOCK)))
-    seeds = unique.select("uid", "x").orderBy(F.xxhash64("uid"), "uid").limit(max(count, min(PIVOTS, 8 * k))).collect()
-    seed = np.array([r["x"] for r in seeds], np.int64).reshape(len(seeds), -1)
-    shared = spark.sparkContext.broadcast((seed, with_norm(seed[:count], top)))
+    tops = {d: t for d, (_, t) in shapes.items()}
+    counts = {d: max(1, min(PIVOTS, -(-n // BLOCK))) for d, (n, _) in sorted(shapes.items())}
+    # pivots are numbered over all lengths
+    first = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist(), strict=False))
+    many = [d for d, c in counts.items() if c > 1]
+    seeds: dict[int, list] = {}
+    if many:
+        order = Window.partitionBy("dim").orderBy(F.xxhash64("uid"), "uid")
+        few = unique.filter(F.col("dim").isin(many)).select("dim", "uid", "x").withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= PIVOTS)
+        for r in few.orderBy("dim", "_r").collect():
+            seeds.setdefault(r["dim"], []).append(r["x"])
+    pivots = spark.sparkContext.broadcast({d: with_norm(np.array(x[: counts[d]], np.int64), tops[d]) for d, x in seeds.items()})
 
     def deal(batches):
-        pivots = shared.value[1]
         for b in batches:
-            if b.num_rows:
-                near = distances(with_norm(matrix(b.column("x")), top), pivots).argmin(1)
-                yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("x"), pa.array(near.astype(np.int32))], ["uid", "x", "pivot"])
-
-    dealt = unique.select("uid", "x").mapInArrow(deal, "uid long, x array<long>, pivot int")
-    sizes = {r["pivot"]: r["n"] for r in dealt.groupBy("pivot").agg(F.count("*").alias("n")).collect()}
-    shares = F.create_map(*[F.lit(v) for p, c in sizes.items() for v in (p, -(-c // BLOCK))])
-    blocks = dealt.withColumn("share", F.pmod(F.xxhash64("uid"), shares[F.col("pivot")]).cast("int"))
-
-    def plant(table: pa.Table) -> pa.Table:
-        x = matrix(table.column("x").combine_chunks())
-        tree = build(table.column("uid").to_numpy(), x, top)
-        return pa.table({"block": pa.array([hash((table.column("pivot")[0].as_py(), table.column("share")[0].as_py()))], pa.int64()), "data": pa.array([pickle.dumps(tree)], pa.binary())})
-
-    trees = save(blocks.groupBy("pivot", "share").applyInArrow(plant, "block long, data binary"), "trees")
-    n_blocks = sum(-(-c // BLOCK) for c in sizes.values())
-    queries = save(ask.select("uid").distinct().join(unique.select("uid", "x"), "uid"), "queries")
-    batches = max(1, -(-queries.count() // BATCH))
-    groups = max(1, -(-n_blocks // TOGETHER))
-
-    def bundle(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("uid").to_numpy())
-        data = pickle.dumps((table.column("uid").to_numpy()[order], matrix(table.column("x").combine_chunks())[order]))
-        return pa.table({"batch": table.column("batch")[:1], "data": pa.array([data], pa.binary())})
-
-    asked = queries.withColumn("batch", F.pmod(F.xxhash64("uid"), F.lit(batches)).cast("int")).groupBy("batch").applyInArrow(bundle, "batch int, data binary")
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    left = asked.select("batch", each(groups).alias("group"), F.lit(0).alias("kind"), "data")
-    right = trees.select(each(batches).alias("batch"), F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), F.lit(1).alias("kind"), "data")
-    work = left.union(right).repartition(min(batches * groups, 4096), "batch", "group").sortWithinPartitions("batch", "group", "kind")
-
-    def search(batches_):
-        at, state = None, None
-
-        def done():
-            if state is not None:
-                hit = state.found < np.iinfo(np.int64).max
-                owner = np.broadcast_to(state.uid[:, None], hit.shape)[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(state.found[hit]), pa.array(np.asarray(state.score[hit]).astype(np.int64))], ["quid", "uid", "score"])
-
-        for b in batches_:
+            dims, rows = b.column("dim").to_numpy(), b.column("x")
+            pivot, away = np.zeros(len(dims), np.int32), np.zeros(len(dims))
+            for d in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == d)
+                if d in pivots.value:
+                    gap = distances(with_norm(matrix(rows.take(pa.array(at))), tops[d]), pivots.value[d])
+                    pivot[at], away[at] = gap.argmin(1), gap.min(1)
+                pivot[at] += first[d]
+            yield pa.RecordBatch.from_arrays([b.column("uid"), rows, b.column("asks"), pa.array(pivot), pa.array(away)], ["uid", "x", "asks", "pivot", "away"])
+
+    marked = unique.select("uid", "x", "dim").join(asked.withColumn("asks", F.lit(True)), "uid", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    dealt = save(marked.select("uid", "x", "dim", "asks").mapInArrow(deal, "uid long, x array<long>, asks boolean, pivot int, away double"), "dealt")
+    # a region's blocks are rings about its pivot: neighbouring steps of distance share a block, a crowded step has several
+    regions = dealt.groupBy("pivot").agg(F.count("*").alias("n"), F.min("away").alias("near"), F.max("away").alias("far"))
+    reach = spark.sparkContext.broadcast({r["pivot"]: (r["near"], r["far"]) for r in regions.collect()})
+    regions = regions.withColumn("steps", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("width", (F.col("far") - F.col("near")) / F.col("steps")).drop("n", "far")
+    step = F.when(F.col("width") > 0, F.least(F.floor((F.col("away") - F.col("near")) / F.col("width")), F.col("steps") - 1)).otherwise(0).cast("int")
+    stepped = dealt.join(F.broadcast(regions), "pivot").withColumn("step", step).select("uid", "x", "asks", "pivot", "away", "step")
+    sizes = stepped.groupBy("pivot", "step").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("pivot").orderBy("step")) - F.col("n")
+    rings = sizes.select("pivot", "step", F.floor(before / BLOCK).alias("ring"), F.ceil(F.col("n") / BLOCK).cast("int").alias("many"))
+    share = F.when(F.col("many") > 1, F.hash("step", F.pmod(F.xxhash64("uid"), F.col("many")))).otherwise(F.hash(F.lit("ring"), "ring"))
+    planted = save(home_and_trees(stepped.join(rings, ["pivot", "step"]).select("uid", "x", "asks", "pivot", "away", share.alias("share")), k, tops), "planted")
+    batches_of, trees_of = (planted.filter(F.col(c).isNotNull()) for c in ("asked", "tree"))
+
+    def routes(batches):
+        """For each batch of queries, the regions that its bounds don't exclude, with the distances to the pivot in question."""
+        names, types = ["pivot", "home", "home_share", "from", "to", "data"], [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary()]
+        for b in batches:
+            for home, home_share, asked_ in zip(*(b.column(c) for c in ("pivot", "share", "asked")), strict=True):
+                uid, q, floor, _ = pickle.loads(asked_.as_buffer())
+                d = q.shape[1]
+                if d not in pivots.value:
+                    continue
+                limit = limits(q, floor, tops[d])
+                gap = distances(np.concatenate([q.astype(np.float64), np.zeros((len(q), 1))], 1), pivots.value[d])
+                for p in range(gap.shape[1]):
+                    low, high = reach.value.get(first[d] + p, (np.inf, -np.inf))
+                    live = (gap[:, p] - limit <= high) & (gap[:, p] + limit >= low)
+                    if live.any():
+                        g, m = gap[live, p], limit[live]
+                        row = (first[d] + p, home.as_py(), home_share.as_py(), float((g - m).min()), float((g + m).max()), pickle.dumps((uid[live], q[live], floor[live], g, m)))
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
+
+    # slices of the batches, so that a region isn't one task
+    slice_ = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("slice")
+    routed = batches_of.select("pivot", "share", "asked").mapInArrow(routes, "pivot int, home int, home_share int, from double, to double, data binary").withColumn("slice", F.pmod(F.xxhash64("home", "home_share"), F.lit(SALTS)).cast("int"))
+    met = routed.join(trees_of.select("pivot", "share", "low", "high", slice_), ["pivot", "slice"]).filter((F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")) & ((F.col("pivot") != F.col("home")) | (F.col("share") != F.col("home_share"))))
+    met = save(met.select("pivot", "share", "low", "high", F.xxhash64("home", "home_share", "data").alias("batch"), "data"), "routed")
+    copies = met.groupBy("pivot", "share").agg(F.ceil(F.count("*") / TOGETHER).cast("int").alias("parts"))
+    asks = met.join(copies, ["pivot", "share"]).select("pivot", "share", F.pmod("batch", "parts").cast("int").alias("part"), F.lit(1).alias("kind"), "low", "high", "data")
+    trees = trees_of.join(copies, ["pivot", "share"]).select("pivot", "share", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "low", "high", F.col("tree").alias("data"))
+    work = trees.union(asks).repartition("pivot", "share", "part").sortWithinPartitions("pivot", "share", "part", "kind")
+
+    def search(batches):
+        at, tree = None, None
+        for b in batches:
             for i in range(b.num_rows):
-                key = b.column("batch")[i].as_py(), b.column("group")[i].as_py()
+                pivot, share, part, kind, low, high = (b.column(c)[i].as_py() for c in ("pivot", "share", "part", "kind", "low", "high"))
                 data = pickle.loads(b.column("data")[i].as_buffer())
-                if b.column("kind")[i].as_py() == 0:
-                    yield from done()
-                    uid, q = data
-                    state, at = Search(uid, q, k + 1, top), key
-                    known = np.sort(state.scores(slice(None), shared.value[0].astype(state.q.dtype)), 1)
-                    if known.shape[1] > k:
-                        state.floor = known[:, -(k + 1)].astype(np.float64)
-                elif key == at:
-                    state.tree(data)
-        yield from done()
-
-    return work.mapInArrow(search, "quid long, uid long, score long")
+                if kind == 0:
+                    at, tree = (pivot, share, part), data
+                elif at == (pivot, share, part):
+                    uid, q, floor, gap, limit = data
+                    live = (gap - limit <= high) & (gap + limit >= low)
+                    state = Search(uid[live], q[live], k + 1, tops[q.shape[1]], floor[live])
+                    state.tree(tree)
+                    yield hit_rows(*state.hits())
+
+    def at_home(batches):
+        for b in batches:
+            for data in b.column("asked"):
+                yield hit_rows(*pickle.loads(data.as_buffer())[3])
+
+    schema = "quid long, uid long, score long"
+    return batches_of.select("asked").mapInArrow(at_home, schema).union(work.mapInArrow(search, schema))
+
+
+def hit_rows(quid: np.ndarray, uid: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(quid, pa.int64()), pa.array(uid, pa.int64()), pa.array(score, pa.int64())], ["quid", "uid", "score"])
+
+
+def limits(q: np.ndarray, floor: np.ndarray, top: float) -> np.ndarray:
+    """The distance within which each query's best entries lie, given a score that enough entries reach."""
+    square = (q.astype(np.float64) ** 2).sum(1)
+    known = np.isfinite(floor)
+    reached = np.sqrt(np.maximum(square + top - 2 * np.where(known, floor, 0), 0))
+    return np.where(known, reached, np.inf) + 1e-6 * (1 + np.sqrt(square + top))
