@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import pieces
-from .quality import words_of
+from .quality import let, words_of
 
-#: The sample learned from: documents of each language, words of each document, languages.
-SAMPLE_DOCS, SAMPLE_WORDS, LANGUAGES = 160, 240, 64
+#: The labelled rows learned from: documents of all languages together, of each language at most and at least; words of each document, in stretches over its whole length.
+SAMPLE_ALL, SAMPLE_DOCS, SAMPLE_LEAST, SAMPLE_WORDS, STRETCHES = 10_240, 160, 8, 240, 10
 NGRAMS, BUCKETS, LEXICON = (1, 2, 3, 4), 1 << 16, 1 << 14
 CHAIN, STEPS, RATE, DECAY = 32, 60, 0.3, 1e-5
 BLOCK, CACHE = 64, 300_000
 UNKNOWN = "und"
+#: Marks of a word's ends, beyond all code points.
+BEGIN, END = 0x110000, 0x110001
 
 
 def bare(run: str) -> str:
@@ -44,10 +46,15 @@ def bare(run: str) -> str:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """n-gram buckets of words, where each word's begin, and a hash of each word (none may be empty)."""
-    text = "".join(f"\x02{w}\x03" for w in words)
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    begin = np.flatnonzero(codes == 2)
-    owner = np.cumsum(codes == 2) - 1
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    begin = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(words)), lengths)
+    # marks of both ends that are no characters
+    codes = np.full(int(lengths.sum()), BEGIN, np.uint64)
+    codes[begin + lengths - 1] = END
+    inner = np.ones(len(codes), bool)
+    inner[begin] = inner[begin + lengths - 1] = False
+    codes[inner] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
     parts, owners = [], []
     rolling = np.zeros(len(codes), np.uint64)
     for n in range(1, max(NGRAMS) + 1):
@@ -253,13 +260,28 @@ class Labeller:
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
-    """A model of at most SAMPLE_DOCS documents of each of the LANGUAGES most frequent languages, by the order of a hash of ``key``, and SAMPLE_WORDS words of each."""
+    """A model of all languages, from a bounded sample of labelled rows.
+
+    Of each language the first documents by a hash of ``key`` are taken: SAMPLE_DOCS,
+    or fewer where more languages share SAMPLE_ALL, but SAMPLE_LEAST at least.  Of each
+    document SAMPLE_WORDS words are taken, in STRETCHES stretches over its whole length.
+    """
     labelled = df.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    top = [r[lang] for r in labelled.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()]
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    few = labelled.filter(F.col(lang).isin(top)).select(key, lang).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= SAMPLE_DOCS).select(key, lang)
-    ids = [r[key] for r in few.collect()]
-    rows = labelled.filter(F.col(key).isin(ids)).select(key, lang, F.slice(words_of(F.col(text)), 1, SAMPLE_WORDS).alias("words")).dropDuplicates([key, lang]).orderBy(key, lang).collect()
+    order = Window.partitionBy(lang).orderBy("_h", key)
+    ranked = labelled.select(key, lang, F.xxhash64(F.col(key).cast("string")).alias("_h")).withColumn("_r", F.row_number().over(order))
+    few = ranked.filter(F.col("_r") <= SAMPLE_DOCS).select(key, lang, "_r").collect()
+    share = min(SAMPLE_DOCS, max(SAMPLE_LEAST, SAMPLE_ALL // max(1, len({r[lang] for r in few}))))
+    chosen = [(r[key], r[lang]) for r in few if r["_r"] <= share]
+    if not chosen:
+        return Model([], np.zeros(0, np.uint64))
+    spark = df.sparkSession
+    chosen = spark.createDataFrame(chosen, T.StructType([T.StructField(c, labelled.schema[c].dataType) for c in (key, lang)])).distinct()
+    words = words_of(F.col(text))
+    width = SAMPLE_WORDS // STRETCHES
+    at = lambda w, k: F.floor(k * (F.size(w) - width) / (STRETCHES - 1)).cast("int") + 1
+    spread = lambda w: F.when(F.size(w) <= SAMPLE_WORDS, w).otherwise(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda k: F.slice(w, at(w, k), width))))
+    found = labelled.join(F.broadcast(chosen), [key, lang], "left_semi").select(key, lang, let(words, spread).alias("words"), F.xxhash64(text).alias("_h"))
+    rows = found.groupBy(key, lang).agg(F.min_by("words", "_h").alias("words")).orderBy(key, lang).collect()
     samples = [(r[lang], ws) for r in rows if (ws := [w for x in r["words"] if (w := bare(x))])]
     return learn(samples) if samples else Model([], np.zeros(0, np.uint64))
 

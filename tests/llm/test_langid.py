@@ -43,6 +43,47 @@ def test_pair_counts_against_enumeration():
     assert np.allclose(langid.pair_counts(e, moves, start), want)
 
 
+def plain_features(word):
+    """n-grams of one word with its ends, hashed as they are defined."""
+    codes, wide = [langid.BEGIN, *map(ord, word), langid.END], (1 << 64) - 1
+    out = []
+    for n in langid.NGRAMS:
+        for k in range(len(codes) - n + 1):
+            x = 0
+            for c in codes[k : k + n]:
+                x = (x + c) * 0x9E3779B97F4A7C15 & wide
+                x ^= x >> 29
+            out.append((x >> 7) % langid.BUCKETS)
+    return sorted(out)
+
+
+def test_features_of_any_characters():
+    words = ["the", "a", "a\x02b", "\x03", "\x02\x03", "x" * 40, "é", "日本", "\U0010ffff", *map(chr, range(32)), "a"]
+    buckets, begin, whole = langid.features(words)
+    parts = np.split(buckets, begin[1:])
+    assert [sorted(p.tolist()) for p in parts] == [plain_features(w) for w in words]
+    assert len(set(whole.tolist())) == len(set(words)) and whole[1] == whole[-1]
+
+
+def test_control_characters_in_texts(spark):
+    rows = [(k, f"a{chr(k)}b the cat sat {chr(k)}on{chr(k)} the mat", "en") for k in range(1, 32)] + [(100 + k, f"der Hund und die Katze {k}", "de") for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.with_held_out(docs).collect()
+    assert len(out) == len(rows) and {r.lang_pred for r in out} <= {"en", "de"}
+
+
+def test_every_language_and_whole_texts_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 100)
+    letter = lambda k: chr(0x4E00 + k)
+    rows = [(k, " ".join([letter(k) * 3] * 30), f"l{k:03d}") for k in range(80)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == sorted({r[2] for r in rows})
+    # the second half of a long text counts as much as the first
+    halves = [(1, "aaa " * 3000 + "bbb " * 3000, "x"), (2, "ccc " * 6000, "y")]
+    model = langid.fit(spark.createDataFrame(halves, "doc_id long, text string, lang string"))
+    assert [p[0] for p in langid.Labeller(model).label(["bbb bbb bbb", "ccc ccc"])] == ["x", "y"]
+
+
 def test_held_out_accuracy_and_switches(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.with_held_out(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
