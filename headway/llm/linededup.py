@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import free_names, save
 from .quality import let, strip
 
 BATCHES, FANOUT, MIN_KEY = 4, 2, 10
@@ -91,13 +91,14 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -
         runs.compact()
         runs.add(lines.filter(F.col("batch") == b))
     dropped = lines.hint("merge").join(runs.all(), [*KEY, "doc_id"], "left_anti")
-    dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_dropped")).withColumnRenamed("row", "_row")
+    row, gone = free_names([*docs.columns, *new], "_row", "_dropped")
+    dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("pos").alias(gone)).withColumnRenamed("row", row)
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumn("_row", F.xxhash64("text"))
-    left = lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_dropped")), lambda i: F.get(ls, i)), "\n")
-    return own.join(dropped.hint("shuffle_hash"), ["doc_id", "_row"], "left").select(
+    own = docs.withColumn(row, F.xxhash64("text"))
+    left = lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col(gone)), lambda i: F.get(ls, i)), "\n")
+    return own.join(dropped.hint("shuffle_hash"), ["doc_id", row], "left").select(
         *[own[c] for c in docs.columns],
         F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
-        F.when(F.col("_dropped").isNull(), 0).otherwise(F.size("_dropped")).cast("long").alias("n_dropped"),
-        F.when(F.col("_dropped").isNull(), text).otherwise(let(F.split(text, "\n"), left)).alias("kept_text"),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"),
+        F.when(F.col(gone).isNull(), text).otherwise(let(F.split(text, "\n"), left)).alias("kept_text"),
     )

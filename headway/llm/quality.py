@@ -20,16 +20,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 MIN_WORDS, WINDOW, MAX_REPEAT = 20, 8, 30
 KEEP_SHARE, SYMBOL_SHARE, BOILERPLATE_CHARS = 0.5, 0.05, 200
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]+"
 SENTENCE_MARK = r"[.!?…。！？।؟]"
 SEPARATORS = r"\s[|›»·•>]\s"
+#: Phrases of licences, cookie notices, newsletters and buttons in English, German, French and Spanish; ends are ASCII letters, where \b is the same everywhere.
 BOILERPLATE = (
-    r"(?i)\b(?:licen[sc]ed under|released under|(?:apache|general public|mit|bsd|creative commons) licen[sc]e|all rights reserved"
+    r"(?i)\b(?:politique de confidentialit|(?:licen[sc]ed under|released under|(?:apache|general public|mit|bsd|creative commons) licen[sc]e|all rights reserved"
     r"|terms of (?:use|service)|privacy policy|cookie policy|(?:uses?|accept(?: all)?) cookies|enable javascript|sign up for|subscribe to our"
-    r"|click here|read more|powered by|lorem ipsum)\b"
+    r"|click here|read more|powered by|lorem ipsum"
+    r"|alle rechte vorbehalten|lizenziert unter|nutzungsbedingungen|datenschutzerkl[aäÄ]rung|verwendet cookies|cookies (?:zu|akzeptieren|ablehnen|verwenden)|javascript aktivieren|newsletter (?:abonnieren|anmelden)|hier klicken|mehr lesen|weiterlesen"
+    r"|tous droits r[eéÉ]serv[eéÉ]s|sous licence|conditions d.utilisation|utilise des cookies|accepter les cookies|activer javascript|abonnez.vous|cliquez ici|lire la suite"
+    r"|todos los derechos reservados|bajo (?:la )?licencia|t[eéÉ]rminos de uso|condiciones de uso|pol[iíÍ]tica de (?:privacidad|cookies)|(?:utiliza|aceptar) cookies|activar javascript|haga clic|leer m[aáÁ]s)\b)"
 )
 
 
@@ -103,22 +109,23 @@ def clean_lines(df: DataFrame, text: str = "text") -> DataFrame:
     """
     new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_failed", "base_failed", "kept", "cleaned")
     rest = df.select(*[c for c in df.columns if c not in new])
+    of_w, of_l, judged, failed, lost = free_names([*df.columns, *new], "_w", "_l", "_judged", "_failed", "_lost")
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.split(t, "\n")
-    worded = F.filter(lines, lambda x: strip(x) != "")
-    failed = F.filter(worded, lambda x: ~line_passes(x))
+    # each line once with its verdict
+    judge = lambda x: F.struct(x.alias("line"), ((strip(x) != "") & ~line_passes(x)).alias("failed"))
     of_words = lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words")
     )
     of_lines = lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-    lost = F.when(F.size("_failed") == 0, F.lit(0)).otherwise(F.aggregate("_failed", F.lit(0), lambda a, x: a + n_words_of(x)))
+    lines = lambda x: F.transform(x, lambda y: y["line"])
     out = (
-        rest.withColumns({"_w": let(words_of(t), of_words), "_l": let(worded, of_lines), "_failed": failed})
-        .withColumns({"n_words": F.col("_w.n_words"), "word_chars": F.col("_w.word_chars"), "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("long")})
-        .withColumns({"n_dup_lines": F.col("_l.n_dup_lines"), "n_repeat_words": F.col("_w.n_repeat_words"), "n_lines_failed": F.size("_failed").cast("long"), "_lost": lost})
+        rest.withColumns({of_w: let(words_of(t), of_words), of_l: let(F.filter(F.split(t, "\n"), lambda x: strip(x) != ""), of_lines), judged: F.transform(F.split(t, "\n"), judge)})
+        .withColumn(failed, F.filter(judged, lambda x: x["failed"]))
+        .withColumns({"n_words": F.col(of_w)["n_words"], "word_chars": F.col(of_w)["word_chars"], "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("long")})
+        .withColumns({"n_dup_lines": F.col(of_l)["n_dup_lines"], "n_repeat_words": F.col(of_w)["n_repeat_words"], "n_lines_failed": F.size(failed).cast("long")})
+        .withColumn(lost, F.aggregate(failed, F.lit(0), lambda a, x: a + n_words_of(x["line"])))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("_lost") >= F.col("n_words") * F.lit(KEEP_SHARE)))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col(lost) >= F.col("n_words") * F.lit(KEEP_SHARE)))
     )
-    rid = let(F.array_distinct("_failed"), lambda bad: F.array_join(F.filter(lines, lambda x: ~F.array_contains(bad, x)), "\n"))
-    cleaned = F.when(F.size("_failed") == 0, t).otherwise(rid)
+    cleaned = F.when(F.size(failed) == 0, t).otherwise(F.array_join(lines(F.filter(judged, lambda x: ~x["failed"])), "\n"))
     return out.withColumn("cleaned", cleaned).select(*rest.columns, *new)

@@ -75,6 +75,58 @@ def test_line_rules(spark):
     assert quality.clean_lines(frame(spark, [(1, clean)])).first().kept
 
 
+PHRASES = [
+    "licensed under", "licenced under", "released under", "apache license", "general public license", "mit license", "bsd licence", "creative commons license", "all rights reserved", "terms of use", "terms of service",
+    "privacy policy", "cookie policy", "uses cookies", "use cookies", "accept cookies", "accept all cookies", "enable javascript", "sign up for", "subscribe to our", "click here", "read more", "powered by", "lorem ipsum",
+    "alle rechte vorbehalten", "lizenziert unter", "nutzungsbedingungen", "datenschutzerklärung", "verwendet cookies", "cookies zu", "cookies akzeptieren", "javascript aktivieren", "newsletter abonnieren", "hier klicken", "weiterlesen",
+    "tous droits réservés", "sous licence", "conditions d'utilisation", "politique de confidentialité", "utilise des cookies", "accepter les cookies", "abonnez-vous", "cliquez ici", "lire la suite",
+    "todos los derechos reservados", "bajo licencia", "términos de uso", "condiciones de uso", "política de privacidad", "utiliza cookies", "aceptar cookies", "haga clic", "leer más",
+]
+
+
+def plain_line_passes(line):
+    """The rules of a line, without the operator's patterns."""
+    words = [w for w in re.split("[ \t\n\x0b\f\r]+", line) if w]
+    symbols = sum(c in "#*$%&|<>" for c in line)
+    bars, k = 0, 0
+    while k + 2 < len(line):
+        if line[k] in SPACE and line[k + 1] in "|›»·•>" and line[k + 2] in SPACE:
+            bars, k = bars + 1, k + 3
+        else:
+            k += 1
+    word = lambda c: c.isascii() and (c.isalnum() or c == "_")
+    low = line.lower()
+    said = any(not (at and word(low[at - 1])) and not word((low[at + len(p) :] + " ")[0]) for p in PHRASES for at in [m.start() for m in re.finditer(re.escape(p), low)])
+    return not (
+        not any(c in ".!?…。！？।؟" for c in line)
+        or (symbols >= 3 and symbols > 0.05 * len(line))
+        or (len(line) >= 20 and line.upper() == line and line.lower() != line)
+        or (bars >= 3 and bars * 5 >= len(words))
+        or (len(line) <= 200 and said)
+    )
+
+
+def test_lines_against_a_plain_version(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += [f"{PROSE}\nVor {p} danach.\n{p.upper()} Hier.\n" + f"{PROSE}\n" * 3 for p in PHRASES]
+    rows = quality.clean_lines(frame(spark, list(enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        lines = (r.text or "").split("\n")
+        bad = [bool(x.strip(SPACE)) and not plain_line_passes(x) for x in lines]
+        lost = sum(len([w for w in re.split("[ \t\n\x0b\f\r]+", x) if w]) for x, b in zip(lines, bad, strict=True) if b)
+        assert r.n_lines_failed == sum(bad), r.text
+        assert r.cleaned == "\n".join(x for x, b in zip(lines, bad, strict=True) if not b)
+        assert r.kept == (not r.base_failed and r.n_words - lost >= 0.5 * r.n_words)
+
+
+def test_columns_with_the_names_of_inner_ones_stay(spark):
+    names = ["_failed", "_w", "_l", "_lost", "_judged", "_row", "_dropped", "_span", "_k1", "_gone"]
+    df = spark.createDataFrame([(1, PROSE + "\nno mark", *names), (2, PROSE, *names)], ["doc_id", "text", *names])
+    for out in (quality.clean_lines(df), linededup.dedup_lines(df)):
+        assert all([r[n] for n in names] == names for r in out.collect())
+
+
 @pytest.mark.parametrize("batches, fanout", [(4, 2), (1, 2), (7, 3)])
 def test_line_dedup_edges(spark, batches, fanout):
     out = linededup.dedup_lines(frame(spark, EDGE), batches, fanout).collect()
