@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import save, table
-from headway.llm.jaccard import near_duplicates
+from headway.llm.jaccard import representatives
 from headway.llm.linededup import dedup_lines
 from headway.llm.packing import pack
 from headway.llm.pii import pseudonymise
 from headway.llm.quality import clean_lines
-from headway.llm.queries import vocabulary
+from headway.llm.queries import pseudonym_key, vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -41,18 +41,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component; documents without shingles stay.
+    """One row of each component, that with the smallest doc_id; rows without shingles stay.
 
-    Rows without doc_id stay; of rows that repeat a doc_id one stays.
+    Rows are judged each for itself: another text with the same doc_id stays if nothing
+    resembles it, and of equal rows one stays.  Rows without doc_id stay if all of their
+    component lack it, one of them.
     """
-    docs = docs.select(*COLUMNS)
-    gone = near_duplicates(docs).filter((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return representatives(docs.select(*COLUMNS))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms in place of personal data and secrets."""
-    return _with_text(pseudonymise(docs.select(*COLUMNS)), "text")
+    return _with_text(pseudonymise(docs.select(*COLUMNS), pseudonym_key(spark)), "text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

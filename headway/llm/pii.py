@@ -6,6 +6,14 @@ permuted within their own format, so the pseudonym is valid again, keeps its
 separators, and equal values get equal pseudonyms in all documents.  E-mail
 addresses and secrets keep their shape: letters and digits are permuted as numbers
 of mixed radix.  The permutation depends on the key and the kind only.
+
+What decides on a value's validity (a phone number's plan, a check digit) is a class
+that its pseudonym shares, so unlike values get unlike pseudonyms.  Dates are read
+with English, German, French and Spanish names of months; a date with slashes is
+month first where it can be, and is written so.  Two writings of one date, or of one
+number with other separators, are one value.
+
+The key is the caller's; there is none in the source.
 """
 
 from __future__ import annotations
@@ -22,26 +30,33 @@ from pyspark.sql import types as T
 
 from .common import pieces
 
-#: For demonstration; production passes a secret one.
-KEY = b"headway pseudonym key"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
-MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+#: Months in four languages, as they are written; what is before and after them in a date is kept.
+MONTHS = {
+    "en": "January February March April May June July August September October November December".split(),
+    "en short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split(),
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split(),
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split(),
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(),
+}
+_NAMES = sorted({n for ns in MONTHS.values() for n in ns}, key=lambda n: (-len(n), n))
+_MONTH = "(?:" + "|".join(_NAMES) + ")"
 
-_MONTH = "|".join(MONTHS)
 #: Kinds in order of precedence at one place.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "key": r"AKIA[A-Z0-9]{16}\b",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
-    "date": rf"(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}[./]\d{{1,2}}[./]\d{{4}}|\d{{1,2}}\.? (?:{_MONTH}) \d{{4}}|(?:{_MONTH}) \d{{1,2}}, \d{{4}})(?!\w)",
+    "date": rf"(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}[./]\d{{1,2}}[./]\d{{4}}|\d{{1,2}}(?:\.|er|st|nd|rd|th)? (?:de )?{_MONTH}\.?,? (?:de |del )?\d{{4}}|{_MONTH}\.? \d{{1,2}}(?:st|nd|rd|th)?, \d{{4}})(?!\w)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\w\-])",
     "card": r"(?:\d{13,19}|\d{4}(?P<gap>[ \-])(?:\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{6}(?P=gap)\d{5}))(?![\w\-])",
     "phone": r"(?:(?:1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|(?:\(\d{2,4}\)|\d{2,4})(?:[ .\-]?\d{2,4}){2,4})(?![\w\-])",
 }
 _PLUS = r"(?<![\w+])\+(?:1[ .\-]?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\d{1,3}[ .\-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .\-]?\d{2,4}){2,4})(?![\w\-])"
-_SECRET = r"(?P<secret>(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[\"']?)(?P<value>[A-Za-z0-9_\-]{8,})"
+#: A value without a digit is a secret behind an equals sign or a quote only; behind a colon it may be a word of a sentence.
+_SECRET = r"(?P<secret>(?i:password|passwd|pwd|secret|token|api_?key)\s*(?:=\s*[\"']?|:\s*[\"']|(?P<colon>:\s*)))(?P<value>[A-Za-z0-9_\-]{8,})"
 _FIND = re.compile("(?<![\\w@.+\\-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()) + f")|(?P<plus>{_PLUS})|{_SECRET}")
 _KINDS = [*PATTERNS, "plus", "value"]
 _HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]")
@@ -50,7 +65,9 @@ _HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:
 class Feistel:
     """A keyed permutation of range(n), of its own for each kind."""
 
-    def __init__(self, key: bytes = KEY):
+    def __init__(self, key: bytes):
+        if not key:
+            raise ValueError("pseudonyms need a key")
         self.key = blake2b(key, digest_size=32).digest()
 
     def permute(self, kind: str, n: int, x: int, back: bool = False, accept: Callable[[int], bool] = lambda _: True) -> int:
@@ -96,7 +113,7 @@ def lay(shape: str, digits: str) -> str:
 class Pseudonyms:
     """Pseudonyms of single values; None where a value isn't valid."""
 
-    def __init__(self, key: bytes = KEY, back: bool = False):
+    def __init__(self, key: bytes, back: bool = False):
         self.feistel, self.back = Feistel(key), back
         self.of = lru_cache(maxsize=50_000)(self._of)
 
@@ -104,23 +121,22 @@ class Pseudonyms:
         n = len(digits)
         return str(self.feistel.permute(kind, 10**n, int(digits), self.back, lambda x: accept(f"{x:0{n}d}"))).zfill(n)
 
-    def mixed(self, kind: str, text: str) -> str:
+    def mixed(self, kind: str, text: str, accept: Callable[[str], bool] = lambda _: True) -> str:
         """Digits stay digits and letters stay letters of the same case."""
         places = [(c, 10, "0") if c.isdigit() else (c, 26, "a" if c.islower() else "A") for c in text if c.isascii() and c.isalnum()]
         n = x = 1
         x = 0
         for c, base, zero in places:
             n, x = n * base, x * base + ord(c) - ord(zero)
-        x = self.feistel.permute(f"{kind}:" + "".join(z for *_, z in places), n, x, self.back) if n > 1 else 0
-        out = []
-        for _, base, zero in reversed(places):
-            x, d = divmod(x, base)
-            out.append(chr(ord(zero) + d))
-        return "".join(out.pop() if c.isascii() and c.isalnum() else c for c in text)
 
-    def hexadecimal(self, text: str) -> str:
-        x = self.feistel.permute("hex", 16 ** len(text), int(text, 16), self.back)
-        return f"{x:0{len(text)}x}"
+        def write(x: int) -> str:
+            out = []
+            for _, base, zero in reversed(places):
+                x, d = divmod(x, base)
+                out.append(chr(ord(zero) + d))
+            return "".join(out.pop() if c.isascii() and c.isalnum() else c for c in text)
+
+        return write(self.feistel.permute(f"{kind}:" + "".join(z for *_, z in places), n, x, self.back, lambda y: accept(write(y))) if n > 1 else 0)
 
     def _of(self, kind: str, value: str) -> str | None:
         return getattr(self, f"_{kind}")(value)
@@ -135,9 +151,12 @@ class Pseudonyms:
         return value[:4] + self.mixed("key", value[4:])
 
     def _value(self, value: str) -> str | None:
-        if re.fullmatch("[0-9a-f]+", value):
-            return self.hexadecimal(value)
-        return self.mixed("secret", value) if any(c.isdigit() for c in value) else None
+        """Hexadecimal values with digit and letter are permuted among such; others by their places of digits and letters."""
+        hexed = lambda v: bool(re.fullmatch("[0-9a-f]+", v) and re.search("[a-f]", v) and re.search("[0-9]", v))
+        if hexed(value):
+            n = len(value)
+            return f"{self.feistel.permute('hex', 16**n, int(value, 16), self.back, lambda x: hexed(f'{x:0{n}x}')):0{n}x}"
+        return self.mixed("secret", value, lambda v: not hexed(v))
 
     def _iban(self, value: str) -> str | None:
         bare = value.replace(" ", "")
@@ -160,9 +179,18 @@ class Pseudonyms:
         if "-" in value:
             write, (y, m, d) = (lambda t: f"{t.year:04d}-{t.month:02d}-{t.day:02d}"), map(int, numbers)
         elif name := re.search(_MONTH, value):
-            d, y, m = int(numbers[0]), int(numbers[1]), MONTHS.index(name[0]) + 1
-            dot = "." if "." in value else ""
-            write = (lambda t: f"{MONTHS[t.month - 1]} {t.day}, {t.year}") if value[0].isalpha() else (lambda t: f"{t.day}{dot} {MONTHS[t.month - 1]} {t.year}")
+            # names alike in several languages: German behind a day with a dot, else the first; the date is the same in any case
+            of = next(ns for k, ns in sorted(MONTHS.items(), key=lambda item: item[0] != "de" or not re.match(r"\d+\. ", value)) if name[0] in ns)
+            d, y, m = int(numbers[0]), int(numbers[1]), of.index(name[0]) + 1
+
+            def write(t: date) -> str:
+                new = iter([str(t.day), str(t.year)])
+                named = re.sub(_MONTH, "\0", value, count=1)
+                text = re.sub(r"\d+", lambda _: next(new), named).replace("\0", of[t.month - 1])
+                # ordinal endings go with the day
+                ending = {1: "st", 2: "nd", 3: "rd"}.get(t.day if t.day < 20 else t.day % 10, "th")
+                text = re.sub(r"(?<=\d)(?:st|nd|rd|th)\b", ending, text)
+                return re.sub(r"^(\d+)(?:er)? ", lambda k: f"{k[1]}er " if k[1] == "1" else f"{k[1]} ", text) if of is MONTHS["fr"] else text
         else:
             a, b, y = map(int, numbers)
             sep, wide = value[len(numbers[0])], len(numbers[0]) == 2 and len(numbers[1]) == 2
@@ -194,17 +222,17 @@ class Pseudonyms:
     def _phone(self, value: str) -> str | None:
         digits = "".join(c for c in value if c.isdigit())
         code = re.match(r"\+(\d{1,3})(?=[ .\-(])", value)
-        own = digits[len(code[1]) if code else 0 :]
-        if not 7 <= len(digits) <= 15 or len(own) < 6 or (value.isdigit() and len(digits) not in (10, 11)):
+        lead, own = (code[1], digits[len(code[1]) :]) if code else ("", digits)
+        if not 7 <= len(digits) <= 15 or len(own) < 6:
             return None
-        if len(own) == 10 and (code is None or code[1] == "1"):
-            valid = lambda s: s[0] in "23456789" and s[3] in "23456789"
-            if valid(own):
-                return lay(value, (code[1] if code else "") + self.number("phone", own, valid))
-        elif code is None and not re.search(r"[ ().\-]", value):
+        # North American numbers are a class of their own, as are those with a leading zero; what passes as a card is none
+        north = len(own) == 10 and lead in ("", "1")
+        carded = lead == "" and 13 <= len(own) and not value.isdigit() and re.fullmatch(PATTERNS["card"], value)
+        kind = lambda s: "north" if north and s[0] in "23456789" and s[3] in "23456789" else "card" if carded and luhn(s[:-1]) == int(s[-1]) else "zero" if s[0] == "0" else "other"
+        mine = kind(own)
+        if mine == "card" or (mine != "north" and not code and not re.search(r"[ ().\-]", value)):
             return None
-        lead = lambda s: (s[0] == "0") == (own[0] == "0")
-        return lay(value, (code[1] if code else "") + self.number("phone", own, lead))
+        return lay(value, lead + self.number("north" if north and mine == "north" else "phone", own, lambda s: kind(s) == mine))
 
     _plus = _phone
 
@@ -212,12 +240,15 @@ class Pseudonyms:
         """The text with pseudonyms, and the spans of the text as it was."""
         if not _HINT.search(text):
             return text, []
-        out, spans, done, at = [], [], 0, 0
+        out, spans, done, at, bar = [], [], 0, 0, 0
         while m := _FIND.search(text, at):
             kind = next(k for k in _KINDS if m[k] is not None)
             start, stop = m.span(kind)
-            new = self.of(kind, m[kind])
-            if new is None:
+            new = self.of(kind, m[kind]) if m["colon"] is None or any(c.isdigit() for c in m["value"]) else None
+            if kind == "card" and new is None:
+                # its groups are no phone number either, but a card may begin with one of them
+                bar = m.end()
+            if new is None or (kind == "phone" and start < bar):
                 # try again behind the first character, for another kind may begin there
                 run = re.compile(r"[\w.+\-@]*").match(text, m.start() + 1)
                 at = max(m.start() + 1, run.end() if kind != "card" and kind != "phone" else m.start() + 1)
@@ -233,10 +264,11 @@ def pseudonyms(key: bytes) -> Pseudonyms:
     return Pseudonyms(key)
 
 
-def pseudonymise(df: DataFrame, key: bytes = KEY, text: str = "text", spans: str = "spans") -> DataFrame:
+def pseudonymise(df: DataFrame, key: bytes, text: str = "text", spans: str = "spans") -> DataFrame:
     """``df`` with pseudonyms in ``text``, and ``spans`` (kind, start, stop in code points of the text as it was).
 
-    One pass, no shuffle.  A null text stays null and has no spans; an empty one is
+    One pass, no shuffle.  ``key`` is secret and not empty; equal keys give equal
+    pseudonyms in all runs.  A null text stays null and has no spans; an empty one is
     kept.  Repeated rows come out alike.  A column of ``df`` named ``spans`` is
     replaced.  An empty table stays empty.
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,15 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The secret key of pseudonyms, from the session's ``spark.headway.pseudonymKey``.
+
+    Where it is unset a fresh random key is drawn, whose pseudonyms link values within one run only.
+    """
+    set_ = spark.conf.get("spark.headway.pseudonymKey", None)
+    return set_.encode() if set_ else secrets.token_bytes(32)
+
+
 def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .htmltext import extract
 
@@ -60,7 +70,7 @@ def op9_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pseudonymise
 
-    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
     return out.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct("spans.kind")), ",").alias("kinds"))
 
 

@@ -5,6 +5,7 @@ from headway.llm import pii
 
 
 def test_stages(spark, tmp_path):
+    spark.conf.set("spark.headway.pseudonymKey", "a key of the tests")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     names = docs.columns
     for name, stage in corpus_pipeline.STAGES:
@@ -34,7 +35,7 @@ def test_stages(spark, tmp_path):
                             todo.append(x)
                 assert (d in kept) == (d == min(group) or not sets[d])
         if name == "PII":
-            own = pii.Pseudonyms()
+            own = pii.Pseudonyms(b"a key of the tests")
             assert len(rows) == len(old) and all(r.text == own.rewrite(old[r.doc_id].text)[0] for r in rows)
         if name == "best-fit packing":
             used = {}
@@ -44,6 +45,17 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == len(rows)
 
 
+def test_near_duplicates_are_judged_by_row(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(3, a, "en"), (5, a, "en"), (5, b, "en"), (7, b + " c", "en"), (7, b + " c", "en"), (8, "x y", "en"), (8, "x y", "en"), (9, None, None), (9, None, None), (10, "", "en"), (None, "p q", "en"), (None, "p q", "en"), (None, a, "en"), (11, "u v", "en"), (11, "u v", "de")]
+    df = spark.createDataFrame([(d, t, x, "s", None) for d, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_duplicate_join(spark, df, "").collect()]
+    want = [(3, a, "en"), (5, b, "en"), (8, "x y", "en"), (9, None, None), (9, None, None), (10, "", "en"), (None, "p q", "en")]
+    assert sorted((r for r in out if r[0] != 11), key=str) == sorted(want, key=str)
+    assert len([r for r in out if r[0] == 11]) == 1
+    assert corpus_pipeline.near_duplicate_join(spark, df.limit(0), "").count() == 0
+
+
 def pieces(text):
     words = "".join(c.lower() if c.isascii() else c for c in text).split()
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
