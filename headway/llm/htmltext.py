@@ -2,9 +2,16 @@
 
 A first pass hashes each page's element subtrees; Spark counts, per host, the
 different pages that hold a subtree and keeps those that recur.  A second pass
-deletes these subtrees, then elements that are no article by their tag, role or
-class (an advert may differ on each page), and writes the blocks of the largest
-article, or of ``main`` or the body where there is none.
+deletes these subtrees.  Only then, for what a count can't tell as it differs on each
+page (adverts, comments) or as its host has too few pages, elements go that are no
+article by their tag, role or class; the blocks of the largest article are written,
+or of ``main`` or the body where there is none.
+
+Where no article is marked, a block is a template if MIN_PAGES different pages and
+MIN_SHARE of its host's hold it; on small hosts FEW_PAGES that are FEW_SHARE of them
+are enough for a block that is no bare paragraph, heading or list item.  It must be
+the smaller part of the page.  Of several articles on a page, one that recurs beside
+different other ones is a template.
 
 Inside an article recurrence alone says nothing: copies of an article, and passages
 that articles share, are content.  There a block is a template if it recurs around
@@ -26,10 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces
+from .common import free_names, pieces, save
 
 #: A subtree is a template if at least so many different pages of its host hold it, and this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.1
+FEW_PAGES, FEW_SHARE = 3, 0.5
+#: Parts that the pages of a host are dealt to when they meet its templates.
+PARTS = 8
 #: Inside an article: the share of a block's pages on which it stands in one slot, and the share of its text in links from which the slot doesn't matter.
 SAME_SLOT, LINKED = 0.8, 0.5
 
@@ -157,7 +167,8 @@ def _finish(node: Node) -> None:
                 x.size += len(bare)
         if x.tag == "a":
             x.linked = x.size
-        x.hash = int.from_bytes(digest.digest(), "big")
+        # the last bit tells bare text blocks
+        x.hash = int.from_bytes(digest.digest(), "big") & ~1 | (x.tag in TEXT_BLOCK)
 
 
 def unwanted(node: Node, in_article: bool) -> bool:
@@ -169,9 +180,9 @@ def unwanted(node: Node, in_article: bool) -> bool:
     return False
 
 
-def article_of(page: Node, gone: frozenset = frozenset()) -> Node:
-    """The largest article that isn't deleted, else the largest main, else the page."""
-    best: dict[str, Node] = {}
+def articles(page: Node, gone: frozenset = frozenset()) -> dict[str, list[Node]]:
+    """Articles and mains that aren't deleted and stand in no other article."""
+    found: dict[str, list[Node]] = {"article": [], "main": []}
     todo = [(page, False)]
     while todo:
         x, inside = todo.pop()
@@ -179,11 +190,18 @@ def article_of(page: Node, gone: frozenset = frozenset()) -> Node:
             continue
         role = marks(x.attributes)[1] if x.attributes else ""
         kind = "article" if x.tag == "article" or role == "article" else "main" if x.tag == "main" or role == "main" else ""
-        if kind and (kind not in best or x.size > best[kind].size):
-            best[kind] = x
+        if kind and not (kind == "article" and gone and _id(x.hash, "article") in gone):
+            found[kind].append(x)
         # an article in an article is part of it
-        todo += [(c, inside or kind == "article") for c in x.children if isinstance(c, Node)] if kind != "article" else []
-    return best.get("article") or best.get("main") or page
+        todo += [(c, inside) for c in x.children if isinstance(c, Node)] if kind != "article" else []
+    return found
+
+
+def article_of(page: Node, gone: frozenset = frozenset()) -> Node:
+    """The largest article that isn't deleted, else the largest main, else the page."""
+    found = articles(page, gone)
+    # the later of equals is the first on the page
+    return max(reversed(found["article"] or found["main"] or [page]), key=lambda x: x.size)
 
 
 def subtrees(page: Node, root: Node) -> set[int]:
@@ -192,7 +210,7 @@ def subtrees(page: Node, root: Node) -> set[int]:
     while todo:
         x, inside = todo.pop()
         inside = inside or (x is root and root is not page)
-        if x.tag in BLOCK and x.tag not in ("html", "body") and x.size and not (inside and x.content):
+        if x.tag in BLOCK and x.tag not in ("html", "body") and x.size and not (inside and x.content) and (root is not page or 2 * x.size <= page.size):
             out.add(x.hash)
         todo += [(c, inside) for c in x.children if isinstance(c, Node)]
     return out
@@ -292,18 +310,26 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def rivals(page: Node) -> list[tuple[int, int]]:
+    """For each of several articles of a page, its id and the hash of the largest other one."""
+    found = sorted(articles(page)["article"], key=lambda x: -x.size)
+    return [(_id(x.hash, "article"), found[k == 0].hash) for k, x in enumerate(found)] if len(found) > 1 else []
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """host and hash of recurring subtrees, from rows (host, own, hashes, inner); pages with equal articles count once.
 
     Blocks inside an article count once for each rest of the article; slots go on where they hold nearly all of that count.
     """
     different = pages.select("host", "own").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    held = pages.select("host", "own", F.explode("hashes").alias("hash")).distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_PAGES)
+    held = pages.select("host", "own", F.explode("hashes").alias("hash")).distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= FEW_PAGES)
     blocks_in = pages.select("host", F.explode("inner").alias("x")).select("host", F.col("x.block").alias("block"), F.col("x.hash").alias("hash"), F.col("x.rest").alias("rest")).distinct()
     counted = blocks_in.groupBy("host", "block", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_PAGES)
     whole = counted.filter(F.col("block") == F.col("hash")).select("host", "block", F.col("n").alias("of"))
-    fixed = counted.join(whole, ["host", "block"]).filter(F.col("n") >= F.col("of") * SAME_SLOT).select("host", "hash", "n")
-    return held.unionByName(fixed).join(different, "host").filter(F.col("n") >= F.col("pages") * MIN_SHARE).select("host", "hash").distinct()
+    fixed = counted.join(whole, ["host", "block"]).filter(F.col("n") >= F.col("of") * SAME_SLOT).select("host", "hash", "n", F.lit(False).alias("loose"))
+    many = (F.col("n") >= MIN_PAGES) & (F.col("n") >= F.col("pages") * MIN_SHARE)
+    half = F.col("loose") & (F.col("n") >= F.col("pages") * FEW_SHARE)
+    return held.withColumn("loose", F.col("hash") % 2 == 0).unionByName(fixed).join(different, "host").filter(many | half).select("host", "hash").distinct()
 
 
 def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "text") -> DataFrame:
@@ -314,9 +340,11 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "te
     ``df`` named ``text`` is replaced.  An empty table stays empty.
     """
     rest = df.select(*[c for c in df.columns if c != text])
-    kept, keys = rest.columns, ["_k1", "_k2"]
-    keyed = rest.withColumns({"_k1": F.xxhash64(url, html), "_k2": F.xxhash64(F.lit(1), html, url)})
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    kept = rest.columns
+    k1, k2, host, away = free_names(kept, "_k1", "_k2", "_host", "_gone")
+    keys = [k1, k2]
+    keyed = rest.withColumns({k1: F.xxhash64(url, html), k2: F.xxhash64(F.lit(1), html, url)})
+    name = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
     def look(batches):
         for b in pieces(batches, html):
@@ -329,19 +357,24 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", text: str = "te
                 hashes.append([_signed(h) for h in subtrees(tree, root)])
                 found = inner(root) if root is not tree else []
                 around = rests(root, found) if found else []
-                within.append([{"block": _signed(h), "hash": _signed(s), "rest": _signed(r)} for (_, h, slots), r in zip(found, around, strict=True) for s in (h, *slots)])
-            names = [*keys, "host"]
+                rival = [{"block": _signed(h), "hash": _signed(h), "rest": _signed(r)} for h, r in rivals(tree)]
+                within.append(rival + [{"block": _signed(h), "hash": _signed(s), "rest": _signed(r)} for (_, h, slots), r in zip(found, around, strict=True) for s in (h, *slots)])
+            names = ["k1", "k2", "host"]
             arrays = [pa.array(own, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(within, pa.list_(pa.struct([(k, pa.int64()) for k in ("block", "hash", "rest")])))]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *arrays], [*names, "own", "hashes", "inner"])
 
-    seen = keyed.select(*keys, host.alias("host"), html).filter(F.col("host") != "").mapInArrow(look, "_k1 long, _k2 long, host string, own long, hashes array<long>, inner array<struct<block: long, hash: long, rest: long>>")
-    found = seen.select(*keys, "host", F.explode(F.concat("hashes", F.col("inner.hash"))).alias("hash")).join(templates(seen), ["host", "hash"])
-    gone = found.groupBy(*keys).agg(F.collect_set("hash").alias("_gone"))
+    looked = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.xxhash64(name).alias("host"), html).filter(name != "")
+    seen = save(looked.mapInArrow(look, "k1 long, k2 long, host long, own long, hashes array<long>, inner array<struct<block: long, hash: long, rest: long>>"), "subtrees")
+    # a large host's templates meet its pages in parts
+    part = F.pmod(F.xxhash64("k1"), F.lit(PARTS)).cast("int")
+    held = seen.select("k1", "k2", "host", part.alias("part"), F.explode(F.concat("hashes", F.col("inner.hash"))).alias("hash"))
+    found = held.join(templates(seen).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), ["host", "hash", "part"])
+    gone = found.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_set("hash").alias(away))
     both = keyed.join(gone, keys, "left").drop(*keys)
 
     def write(batches):
         for b in pieces(batches, html):
-            sets = [frozenset(x % (1 << 64) for x in g or ()) for g in b.column("_gone").to_pylist()]
+            sets = [frozenset(x % (1 << 64) for x in g or ()) for g in b.column(away).to_pylist()]
             texts = [main_text(p, g) for p, g in zip(b.column(html).to_pylist(), sets, strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, text])
 

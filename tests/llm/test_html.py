@@ -60,6 +60,42 @@ def test_templates_inside_articles(spark):
     assert "Get our letter." in got[200] and "One" in got[200] and got[300] == "Get our letter."
 
 
+WORDS = "eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf".split()
+
+
+def layouts(k):
+    """Pages without marked articles, with class names of no known language; only counts tell their templates."""
+    own = [f"Absatz {k} {n} " + " ".join(f"{w}{k}" for w in WORDS) + "." for n in range(3)]
+    text = "".join(f"<p>{x}</p>" for x in own)
+    yield f"<body><div class='kopf'><a>Start</a> <a>Themen</a></div><div class='inhalt'>{text}</div><div class='fuss'><p>Impressum und mehr.</p></div></body>", "\n\n".join(own)
+    yield f"<table><tr><td><ul><li><a>Eins</a><li><a>Zwei</a></ul></td><td>{text}</td></tr></table><table><tr><td>Unten</td></tr></table>", "\n\n".join(own)
+    promo = "<div class='q'><article><p>" + "Große Werbung. " * 60 + "</p></article></div>"
+    yield f"<body>{promo}<article>{text}</article></body>", "\n\n".join(own)
+
+
+def test_only_counts_can_tell(spark, monkeypatch):
+    rows, want = [], {}
+    for layout in range(3):
+        # small hosts too, where no block has MIN_PAGES pages, but for recurring articles
+        for size in (4, 12) if layout < 2 else (12,):
+            for k in range(size):
+                page_id = 1000 * layout + 100 * size + k
+                page, text = list(layouts(k))[layout]
+                rows.append((page_id, f"http://l{layout}s{size}.example/{k}", page))
+                want[page_id] = text
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in htmltext.extract(df).collect()} == want
+    # without the counts no page comes out right
+    assert all(htmltext.main_text(page) != want[page_id] for page_id, _, page in rows)
+
+
+def test_columns_with_the_names_of_inner_ones_stay(spark):
+    names = ["_k1", "_k2", "_host", "_gone", "host", "own", "hashes", "inner", "k1"]
+    df = spark.createDataFrame([(1, "http://a.example/1", "<p>x</p>", *names)], ["page_id", "url", "html", *names])
+    (r,) = htmltext.extract(df).collect()
+    assert r.text == "x" and all(r[n] == n for n in names)
+
+
 def test_pages_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = htmltext.extract(df).collect()
