@@ -27,7 +27,7 @@ CAPACITY, END = 4096, 1
 ROUNDS, COLUMNS, ETA, STEP = 24, 160, 4.0, 0.34
 #: Passes of the program over what remains; with REST pieces a length or fewer they end; the share of a sequence that a pattern may waste.
 PASSES, REST, WASTE = 6, 8, 0.002
-#: Pieces of one length that one task ranks, about, if all pieces had that length.
+#: Pieces of one length that are ranked together, about.
 RANK_ROWS = 5_000
 
 
@@ -182,9 +182,10 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     rows = save(token_pieces(docs, vocabulary, capacity), "pieces")
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = rows.sparkSession.sparkContext.broadcast(slots(plan(histogram, capacity)))
-    shares = max(1, -(-sum(histogram.values()) // RANK_ROWS))
     key = ["length", "share"]
-    dealt = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shares)).cast("int"))
+    # as many shares of each length as its pieces need; the list has one row a length, ``capacity`` at most
+    shares = F.broadcast(rows.sparkSession.createDataFrame([(x, -(-n // RANK_ROWS)) for x, n in histogram.items()], "length long, shares long"))
+    dealt = rows.join(shares, "length").withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "shares")).drop("shares")
     before = dealt.groupBy(*key).agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("share")) - F.col("n")).drop("n")
     inner = F.row_number().over(Window.partitionBy(*key).orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = dealt.withColumn("inner", inner).join(before, key).withColumn("rank", F.col("inner") + F.col("before"))
