@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import pieces
+from .common import pieces, save
 
 BLOCK, SPAN, END_OF_DOCUMENT = 1 << 17, 1024, 49407
 
@@ -27,6 +27,7 @@ def write_flat(docs: DataFrame, vocabulary: str, end: int = END_OF_DOCUMENT, blo
 
     The last two columns are the list of what went into a file in its order; the scan doesn't read them.
     Strings of special tokens in a text are ordinary text, so that only ends of documents are ends.
+    A vocabulary with ids that ``width`` has no room for is an error.
     """
 
     def run(batches):
@@ -40,7 +41,10 @@ def write_flat(docs: DataFrame, vocabulary: str, end: int = END_OF_DOCUMENT, blo
 
         for b in pieces(batches, "text"):
             for doc, ids in zip(b.column("doc_id").to_pylist(), own.encode(b.column("text").to_pylist(), special=False), strict=True):
-                stream = np.concatenate([np.frombuffer(ids, "<u4").astype(width), mark])
+                ids = np.frombuffer(ids, "<u4")
+                if len(ids) and int(ids.max()) > np.iinfo(width).max:
+                    raise ValueError(f"an id needs more than {width}")
+                stream = np.concatenate([ids.astype(width), mark])
                 while n + len(stream) > block:
                     cut = block - n
                     yield row(np.concatenate([*held, stream[:cut]]), ended)
@@ -85,7 +89,8 @@ def document_lengths(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: str =
     Ids behind a file's last separator are a document that is not complete.  An
     empty document has 0 tokens.  A file without ids, or an empty table, gives no rows.
     """
-    found = separators(blocks, end, width)
+    # places of separators are few; all that follows reads them, not the ids
+    found = save(separators(blocks, end, width), "separators")
     sums = prefix_scan(found, start=(F.sum, F.col("n")), ordinal=(F.sum, F.size("ends").cast("long"))).fillna(0, ["start", "ordinal"])
     # a file's last block also ends a document if ids remain; behind it stands a separator that isn't there
     total = found.groupBy("file_id").agg(F.sum("n").alias("total"), F.max("block").alias("last"))

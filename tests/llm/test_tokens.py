@@ -176,6 +176,11 @@ def test_separator_scan(spark, library, monkeypatch):
     assert tokenscan.count_documents(tokenscan.write_flat(spark.createDataFrame([], SCHEMA), PATH)).count() == 0
 
 
+def test_ids_that_do_not_fit_are_an_error(spark):
+    with pytest.raises(Exception, match="more than"):
+        tokenscan.write_flat(spark.createDataFrame([(1, "Hello", "")], SCHEMA), PATH, end=1, width="u1").collect()
+
+
 def test_scan_of_raw_blocks(spark):
     stream = np.array([5, 0, 0, 7, 8, 9, 1, 0, 2, 2], "<u2")
     for block in (1, 3, 4, 10):
