@@ -42,6 +42,33 @@ def test_edges(spark):
     assert found(spark, [(0, [1.0])], 3, 1) == []
 
 
+def test_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "BLOCK", 8)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=1 + i % 70).round(2).tolist()) for i in range(140)] + [(200 + i, rng.normal(size=3).round(2).tolist()) for i in range(60)]
+    assert found(spark, rows, 4, 3) == brute(rows, 4, 3)
+
+
+def test_queries_are_sent_only_where_better_ones_may_lie(spark, monkeypatch):
+    for name, value in (("BLOCK", 64), ("PAGE", 8)):
+        monkeypatch.setattr(mtree, name, value)
+    sent, save = {}, mtree.save
+
+    def count(df, name):
+        out = save(df, name)
+        if name in ("planted", "routed"):
+            sent[name] = out.count() if name == "routed" else out.filter("tree IS NOT NULL").count() * out.filter("asked IS NOT NULL").count()
+        return out
+
+    monkeypatch.setattr(mtree, "save", count)
+    rng = np.random.default_rng(9)
+    points = np.repeat(np.eye(8) * 20, 100, 0) + rng.normal(size=(800, 8)) * 0.1
+    rows = [(i, p.tolist()) for i, p in enumerate(points.astype(np.float32))]
+    assert found(spark, rows, 3, 10) == brute(rows, 3, 10)
+    # a batch of queries needs the blocks of its own cluster
+    assert 0 < sent["routed"] < sent["planted"] / 2
+
+
 def test_bounds_spare_computations():
     rng = np.random.default_rng(1)
     x = (np.repeat(np.eye(8) * 1000, 200, 0) + rng.integers(0, 9, (1600, 8))).astype(np.int64)
