@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,25 +27,32 @@ def area_id(parent: Column, stop: Column) -> Column:
     return F.coalesce(filled(parent), stop)
 
 
-def normalised(name: Column) -> Column:
-    """Search form of a name: lower case, umlauts spelled out, '&' and '+' as "und", punctuation and white space as one space.
+def trimmed(text: Column) -> Column:
+    """Without control characters and spaces at both ends."""
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
 
-    Native only; names in compatibility forms go through ``nfkc`` before.
-    """
-    out = F.lower(F.coalesce(name, F.lit("")))
+
+def plain(name: Column) -> Column:
+    """Search form of a text without compatibility forms: lower case, umlauts spelled out, '&' and '+' as "und", punctuation and white space as one space."""
+    out = F.lower(F.coalesce(trimmed(name), F.lit("")))
     for a, b in UMLAUTS.items():
         out = F.replace(out, F.lit(a), F.lit(b))
     out = F.regexp_replace(out, "[&+]", " und ")
     out = F.regexp_replace(out, r"[!-/:-@\[-`{-~]+", " ")
-    return F.trim(F.regexp_replace(out, r"[\x00-\x20]+", " "))
+    return trimmed(F.regexp_replace(out, r"[ \t\n\x0B\f\r]+", " "))
+
+
+def normalised(name: Column) -> Column:
+    """``plain`` after compatibility forms are folded (NFKC)."""
+    return plain(nfkc(name))
 
 
 def nfkc(name: Column) -> Column:
-    import pandas as pd
+    """Compatibility forms folded and accents composed; Arrow batches, as no column function does it. ASCII texts are passed through."""
 
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
-        return s.str.normalize("NFKC")
+        return s.map(lambda x: x if x is None or x.isascii() else normalize("NFKC", x))
 
     return fold(name)
 
@@ -138,7 +148,29 @@ def is_bus(kind: Column) -> Column:
 
 
 def is_rail_label(label: Column) -> Column:
-    return F.coalesce(F.upper(F.trim(label)).rlike(r"^(?:(?:ICE|IC|EC|ECE|RE|RB|IRE|RJ|TGV)(?: ?[0-9].*)?|S ?[0-9]+.*)$"), F.lit(False))
+    """Whether a label begins like a train's or, with a digit behind the S, like a suburban train's."""
+    return F.coalesce(F.upper(trimmed(label)).rlike(r"^(?:(?:ICE|IC|EC|ECE|RE|RB)|S[0-9])"), F.lit(False))
+
+
+def footpath_quality(metres_: Column) -> Column:
+    """Quality of a footpath; beyond what is walkable, and without a distance, it is unknown."""
+    return band(metres_, [(80, "GOOD"), (200, "ESTIMATED"), (WALKABLE_METRES, "LOW")], "UNKNOWN")
+
+
+def seconds_quality(secs: Column) -> Column:
+    return band(secs, [(240, "GOOD"), (360, "OK"), (600, "LONG")], "AVOID")
+
+
+def candidate_quality(metres_: Column) -> Column:
+    return band(metres_, [(200, "CANDIDATE"), (400, "LOW")], "UNKNOWN")
+
+
+def family_quality(metres_: Column) -> Column:
+    return band(metres_, [(200, "GOOD"), (400, "OK")], "LONG", unknown="GOOD")
+
+
+def access_minutes(metres_: Column) -> Column:
+    return F.when(metres_.isNull() | (metres_ <= 80), 2).when(metres_ <= 200, 4).when(metres_ <= 400, 6).otherwise(10)
 
 
 def sanitised(text: Column) -> Column:

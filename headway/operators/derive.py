@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
@@ -44,11 +44,15 @@ def area_routes(stop_times: DataFrame, members: DataFrame, trips: DataFrame, rou
     return counted.join(route_labels(routes), "route_id")
 
 
-def calendar_summary(calendar: DataFrame, dates: DataFrame, trips: DataFrame) -> DataFrame:
-    """Every service that any table names, with its calendar, exceptions and trips."""
+def calendar_summary(calendar: DataFrame, dates: DataFrame, trips: DataFrame, routes: DataFrame | None = None, agency: DataFrame | None = None) -> DataFrame:
+    """Every service that any table names, with its calendar, exceptions, trips and status; with routes and agencies its timezone, too.
+
+    A service has the timezone of its trips' agencies if that is one, MULTIPLE if they
+    have several, else the feed's only one, else UNKNOWN.
+    """
     ids = calendar.select("service_id").union(dates.select("service_id")).union(trips.select("service_id")).distinct()
     days = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-    mask = sum((F.col(d) * (1 << k) for k, d in enumerate(days)), F.lit(0))
+    mask = sum((F.coalesce(d, F.lit(0)) * (1 << k) for k, d in enumerate(days)), F.lit(0))
     base = calendar.select("service_id", F.lit(1).alias("has_calendar"), mask.alias("weekday_mask"), "start_date", "end_date")
     changes = dates.groupBy("service_id").agg(
         F.count_if(F.col("exception_type") == 1).alias("addition_count"), F.count_if(F.col("exception_type") == 2).alias("removal_count"),
@@ -56,12 +60,25 @@ def calendar_summary(calendar: DataFrame, dates: DataFrame, trips: DataFrame) ->
     )
     runs = trips.groupBy("service_id").agg(F.count("*").alias("trip_count"))
     zero = {"has_calendar": 0, "weekday_mask": 0, "addition_count": 0, "removal_count": 0, "trip_count": 0}
-    return ids.join(base, "service_id", "left").join(changes, "service_id", "left").join(runs, "service_id", "left").fillna(zero)
-
-
-def summary_status(summary: DataFrame) -> DataFrame:
-    status = F.when((F.col("has_calendar") == 1) & (F.col("weekday_mask") > 0), "CALENDAR").when(F.col("addition_count") > 0, "EXCEPTIONS_ONLY").otherwise("UNRESOLVED")
-    return summary.withColumn("status", status)
+    out = ids.join(base, "service_id", "left").join(changes, "service_id", "left").join(runs, "service_id", "left").fillna(zero)
+    excepted = F.col("addition_count") + F.col("removal_count") > 0
+    status = F.when((F.col("has_calendar") == 1) & excepted, "BASE_WITH_EXCEPTIONS").when(F.col("has_calendar") == 1, "BASE_ONLY").when(excepted, "EXCEPTIONS_ONLY").otherwise("UNRESOLVED")
+    out = out.withColumn("status", status)
+    if agency is None:
+        return out
+    zone = c.filled(F.col("agency_timezone"))
+    only = agency.agg(F.when(F.count_distinct(zone) == 1, F.min(zone)).alias("_only"))
+    own = out.join(service_timezones(trips, routes, agency), "service_id", "left").crossJoin(F.broadcast(only))
+    return own.withColumn("service_timezone", F.coalesce("service_timezone", "_only", F.lit("UNKNOWN"))).drop("_only")
+
+
+def service_timezones(trips: DataFrame, routes: DataFrame, agency: DataFrame) -> DataFrame:
+    """service_id and the timezone of its trips' agencies; a blank agency_id stands for the agency without one."""
+    blank = F.coalesce("agency_id", F.lit("")).alias("_agency")
+    zones = agency.select(blank, c.filled(F.col("agency_timezone")).alias("zone"))
+    rows = trips.select("service_id", "route_id").distinct().join(routes.select("route_id", blank), "route_id").join(F.broadcast(zones), "_agency")
+    n = F.count_distinct("zone")
+    return rows.groupBy("service_id").agg(F.when(n == 1, F.min("zone")).when(n > 1, "MULTIPLE").alias("service_timezone"))
 
 
 def active_services(calendar: DataFrame, dates: DataFrame, date: str) -> DataFrame:
@@ -99,17 +116,32 @@ def mapped_transfers(transfers: DataFrame, members: DataFrame) -> DataFrame:
 def transfer_rules(transfers: DataFrame, members: DataFrame) -> DataFrame:
     """Mapped transfers with high confidence, and one rule of low confidence for each area of several members."""
     own = mapped_transfers(transfers, members).select(
-        F.concat(F.lit("GTFS_"), "transfer_id").alias("transfer_rule_id"), "from_area_id", "to_area_id", "transfer_type", F.col("min_transfer_time").alias("min_transfer_time_seconds"),
-        F.col("semantic").alias("transfer_semantic"), "scope_type", "pedestrian_usable", F.lit("GTFS_TRANSFERS").alias("source"), F.lit("HIGH").alias("confidence"),
+        F.concat(F.lit("gtfs_transfer_"), "transfer_id").alias("transfer_rule_id"), F.col("transfer_id").alias("raw_transfer_id"), "from_area_id", "to_area_id", "from_stop_id", "to_stop_id", "transfer_type",
+        F.col("min_transfer_time").alias("min_transfer_time_seconds"), F.col("semantic").alias("transfer_semantic"), "scope_type", "pedestrian_usable", F.lit("GTFS_TRANSFERS").alias("source"), F.lit("HIGH").alias("confidence"),
     )
-    null = F.lit(None).cast("int")
+    area, none = F.col("area_id"), lambda kind: F.lit(None).cast(kind)
     same = members.groupBy("area_id").count().filter("count > 1").select(
-        F.concat(F.lit("AREA_"), c.sanitised(F.col("area_id"))).alias("transfer_rule_id"), F.col("area_id").alias("from_area_id"), F.col("area_id").alias("to_area_id"), null.alias("transfer_type"),
-        null.alias("min_transfer_time_seconds"), F.lit("AREA_MEMBERSHIP").alias("transfer_semantic"), F.lit("STOP").alias("scope_type"), F.lit(0).alias("pedestrian_usable"), F.lit("SAME_STOP_AREA").alias("source"), F.lit("LOW").alias("confidence"),
+        F.concat(F.lit("same_area_"), c.sanitised(area)).alias("transfer_rule_id"), none("long").alias("raw_transfer_id"), area.alias("from_area_id"), area.alias("to_area_id"), none("string").alias("from_stop_id"), none("string").alias("to_stop_id"),
+        none("int").alias("transfer_type"), none("int").alias("min_transfer_time_seconds"), F.lit("AREA_MEMBERSHIP").alias("transfer_semantic"), F.lit("AREA").alias("scope_type"), F.lit(0).alias("pedestrian_usable"),
+        F.lit("SAME_STOP_AREA").alias("source"), F.lit("LOW").alias("confidence"),
     )
     return own.unionByName(same)
 
 
+def transfer_counts(transfers: DataFrame, members: DataFrame) -> DataFrame:
+    """One row: transfers seen, mapped, unmapped, scoped, usable on foot, excluded, with a negative time, with one over an hour; and areas of several members."""
+    of = lambda side: members.select(F.col("stop_id").alias(f"{side}_stop_id"), F.lit(True).alias(f"_{side}"))
+    rows = transfer_kinds(transfers).join(of("from"), "from_stop_id", "left").join(of("to"), "to_stop_id", "left").withColumn("mapped", F.coalesce(F.col("_from") & F.col("_to"), F.lit(False)))
+    of_mapped = lambda test: F.count_if(F.col("mapped") & F.coalesce(test, F.lit(False)))
+    usable, time = F.col("pedestrian_usable") == 1, F.col("min_transfer_time")
+    counts = rows.agg(
+        F.count("*").alias("observed"), F.count_if("mapped").alias("mapped"), F.count_if(~F.col("mapped")).alias("unmapped"), of_mapped(F.col("scope_type") != "STOP").alias("scoped"), of_mapped(usable).alias("usable"), of_mapped(~usable).alias("excluded"),
+        of_mapped(time < 0).alias("negative_times"), of_mapped(time > 3600).alias("very_long_times"),
+    )
+    same = members.groupBy("area_id").count().agg(F.count_if(F.col("count") > 1).alias("same_area_rules"))
+    return counts.crossJoin(F.broadcast(same))
+
+
 def footpaths(stops: DataFrame) -> DataFrame:
     """Ordered pairs of boarding stops of an area, with distance and walking time."""
     rows = boarding_stops(stops).select("stop_id", c.area_id(F.col("parent_station"), F.col("stop_id")).alias("area_id"), "stop_lat", "stop_lon")
@@ -117,7 +149,7 @@ def footpaths(stops: DataFrame) -> DataFrame:
     pairs = a.join(b, "area_id").filter("from_stop_id <> to_stop_id")
     d = c.metres(F.col("from_stop_lat"), F.col("from_stop_lon"), F.col("to_stop_lat"), F.col("to_stop_lon"))
     out = pairs.select("area_id", "from_stop_id", "to_stop_id", d.alias("distance_meters"))
-    quality = c.band(F.col("distance_meters"), [(80, "GOOD"), (200, "ACCEPTABLE"), (400, "LONG")], "OVERSIZED")
+    quality = c.footpath_quality(F.col("distance_meters"))
     return out.withColumns({
         "min_transfer_seconds": F.when(F.col("distance_meters").isNotNull(), c.walking_seconds(F.col("distance_meters"))),
         "is_traversable": F.coalesce((F.col("distance_meters") <= c.WALKABLE_METRES).cast("int"), F.lit(0)), "quality": quality,
@@ -143,17 +175,52 @@ def nearest(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def area_spread(paths: DataFrame) -> DataFrame:
+    """The longest way between boarding stops of each area of several; null if any stop's place is unknown."""
+    return paths.groupBy("area_id").agg(F.when(F.count_if(F.col("distance_meters").isNull()) == 0, F.max("distance_meters")).alias("spread"))
+
+
 def transfer_edges(stops: DataFrame, transfers: DataFrame) -> DataFrame:
-    """Edges between areas: usable transfers, then near areas that no explicit or prohibited transfer covers."""
+    """Edges between areas: one a usable transfer of the feed, one within each area of several stops, and near areas.
+
+    Only the feed's own are traversable.  Of an area's nearest NEAREST those are left out
+    that a usable or a prohibited transfer covers in that direction.
+    """
     members = stop_area_members(stops)
-    mapped = mapped_transfers(transfers, members).filter("from_area_id <> to_area_id")
-    usable = mapped.filter("pedestrian_usable = 1").groupBy("from_area_id", "to_area_id").agg(F.min(F.coalesce("min_transfer_time", F.lit(EDGE_SECONDS))).alias("min_transfer_seconds"))
-    explicit = usable.select("from_area_id", "to_area_id", F.lit(None).cast("long").alias("distance_meters"), F.col("min_transfer_seconds").cast("long").alias("min_transfer_seconds"), F.lit(1).alias("is_traversable"), F.lit("GTFS_TRANSFERS").alias("source"))
-    covered = mapped.filter("pedestrian_usable = 1 OR (semantic = 'PROHIBITED' AND scope_type = 'STOP')").select("from_area_id", "to_area_id").distinct()
-    near = nearest(nearby_pairs(stop_areas(stops), "area_id", "area_lat", "area_lon", GRID, 1, c.FAR_METRES), NEAREST)
-    near = near.select(F.col("from_id").alias("from_area_id"), F.col("to_id").alias("to_area_id"), "distance_meters").join(covered, ["from_area_id", "to_area_id"], "left_anti")
-    guessed = near.select("from_area_id", "to_area_id", "distance_meters", c.walking_seconds(F.col("distance_meters")).alias("min_transfer_seconds"), F.lit(0).alias("is_traversable"), F.lit("NEARBY").alias("source"))
-    return explicit.unionByName(guessed)
+    mapped = mapped_transfers(transfers, members)
+    places = stops.select("stop_id", "stop_lat", "stop_lon")
+    a, b = (places.select(*[F.col(x).alias(f"{side}_{x}") for x in places.columns]) for side in ("from", "to"))
+    usable = mapped.filter("pedestrian_usable = 1").join(a, "from_stop_id").join(b, "to_stop_id")
+    seconds = F.when(F.col("min_transfer_time") >= 0, F.col("min_transfer_time")).otherwise(EDGE_SECONDS).cast("long")
+    distance = c.metres(F.col("from_stop_lat"), F.col("from_stop_lon"), F.col("to_stop_lat"), F.col("to_stop_lon"))
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+
+    def edges(df: DataFrame, edge, raw, ends, stops_, metres, secs, traversable: int, kind: str, semantic, scope, method, quality, source: str) -> DataFrame:
+        out = df.withColumns({"_m": metres, "_s": secs})
+        return out.select(
+            edge.alias("transfer_edge_id"), raw.alias("raw_transfer_id"), F.col(ends[0]).alias("from_area_id"), F.col(ends[1]).alias("to_area_id"), stops_[0].alias("from_stop_id"), stops_[1].alias("to_stop_id"), F.col("_m").alias("distance_meters"),
+            F.col("_s").alias("min_transfer_seconds"), F.ceil(F.col("_s") / 60).cast("long").alias("min_transfer_minutes"), F.lit(traversable).alias("is_traversable"), F.lit(kind).alias("edge_kind"), semantic.alias("transfer_semantic"), scope.alias("scope_type"),
+            method.alias("distance_method"), quality.alias("quality"), F.lit(source).alias("source"),
+        )
+
+    m, s = F.col("_m"), F.col("_s")
+    explicit = edges(
+        usable, F.concat(F.lit("edge_gtfs_"), "transfer_id"), F.col("transfer_id").cast("long"), ("from_area_id", "to_area_id"), (F.col("from_stop_id"), F.col("to_stop_id")), distance, seconds, 1, "GTFS_PEDESTRIAN_TRANSFER", F.col("semantic"), F.col("scope_type"),
+        F.when(m.isNull(), "GTFS_TIME_ONLY").otherwise("GTFS_TIME_WITH_STOP_COORDINATE_DISTANCE"), c.seconds_quality(s), "GTFS_TRANSFERS",
+    )
+    several = members.groupBy("area_id").count().filter("count > 1").select("area_id").join(area_spread(footpaths(stops)), "area_id", "left")
+    edge_id = lambda x, y: F.concat(F.lit("edge_"), c.sanitised(F.col(x)), F.lit("_"), c.sanitised(F.col(y)))
+    within = edges(
+        several, edge_id("area_id", "area_id"), number, ("area_id", "area_id"), (text, text), F.col("spread"), F.coalesce(c.walking_seconds(F.col("spread")), F.lit(0).cast("long")), 0, "AREA_MEMBERSHIP_CANDIDATE", F.lit("AREA_MEMBERSHIP"), F.lit("AREA"),
+        F.when(m.isNull(), "UNKNOWN").otherwise("MAX_CONCRETE_STOP_STRAIGHT_LINE"), F.when(m <= c.WALKABLE_METRES, "CANDIDATE").otherwise("UNKNOWN"), "SAME_STOP_AREA",
+    )
+    covered = mapped.filter("pedestrian_usable = 1 OR (semantic = 'PROHIBITED' AND scope_type = 'STOP')").select(F.col("from_area_id").alias("from_id"), F.col("to_area_id").alias("to_id")).distinct()
+    near = nearest(nearby_pairs(stop_areas(stops), "area_id", "area_lat", "area_lon", GRID, 1, c.FAR_METRES), NEAREST).join(covered, ["from_id", "to_id"], "left_anti")
+    guessed = edges(
+        near, edge_id("from_id", "to_id"), number, ("from_id", "to_id"), (text, text), F.col("distance_meters"), c.walking_seconds(F.col("distance_meters")), 0, "NEARBY_AREA_CANDIDATE", F.lit("DISTANCE_CANDIDATE"), F.lit("AREA"),
+        F.lit("STRAIGHT_LINE_LOWER_BOUND"), c.candidate_quality(m), "DISTANCE_HEURISTIC",
+    )
+    return explicit.unionByName(within).unionByName(guessed)
 
 
 def trip_sequences(stop_times: DataFrame, members: DataFrame) -> DataFrame:
@@ -172,39 +239,107 @@ def route_axes(stop_times: DataFrame, members: DataFrame, trips: DataFrame) -> D
     return out.withColumns({"axis_id": F.substring(F.sha2(F.concat_ws("|", "route_id", "direction_id", "path"), 256), 1, 16), **first_last})
 
 
-def search_tokens(stops: DataFrame) -> DataFrame:
-    """area_id and token of every word of a stop's name, with station synonyms, each once."""
-    words = F.split(c.normalised(F.col("stop_name")), " ")
-    same = {"hbf": ["hauptbahnhof"], "hauptbahnhof": ["hbf"], "bf": ["bahnhof"], "bahnhof": ["bf"], "u": ["ubahn"], "s": ["sbahn"]}
-    table = F.create_map(*[x for k, v in same.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    more = F.flatten(F.transform(words, lambda w: F.coalesce(table[w], F.array().cast("array<string>"))))
-    rows = stops.select(c.area_id(F.col("parent_station"), F.col("stop_id")).alias("area_id"), F.explode(F.array_distinct(F.concat(words, more))).alias("token"))
-    return rows.filter("token <> ''").distinct()
+#: Words that search takes for each other.
+SYNONYMS = {"hbf": "hauptbahnhof", "hauptbahnhof": "hbf", "bf": "bahnhof", "bahnhof": "bf", "u": "ubahn", "ubahn": "ubahn", "s": "sbahn", "sbahn": "sbahn"}
 
 
-def hub_profiles(stops: DataFrame, area_route: DataFrame, transfers: DataFrame) -> DataFrame:
-    """Traffic, modes, transfer references and name signs of areas, a score and a level."""
-    members = stop_area_members(stops)
+def search_tokens(stops: DataFrame, areas: DataFrame | None = None) -> DataFrame:
+    """stop_id, area_id, token, token_type and source, each once: the whole name, its words and their synonyms, of stops and of areas (which have no stop_id)."""
+    areas = stop_areas(stops) if areas is None else areas
+    of_stops = stops.select("stop_id", c.area_id(F.col("parent_station"), F.col("stop_id")).alias("area_id"), F.col("stop_name").alias("name"), F.lit("STOP_NAME").alias("source"), F.lit("NAME").alias("kind"))
+    of_areas = areas.select(F.lit(None).cast("string").alias("stop_id"), "area_id", F.col("area_name").alias("name"), F.lit("AREA_NAME").alias("source"), F.lit("AREA_NAME").alias("kind"))
+    rows = of_stops.union(of_areas).withColumn("whole", c.normalised(F.col("name"))).filter("whole <> ''")
+    words = F.split("whole", " ")
+    table = F.create_map(*[F.lit(x) for pair in SYNONYMS.items() for x in pair])
+    entry = lambda token, kind: F.struct(token.alias("token"), kind.alias("token_type"))
+    listed = F.concat(
+        F.array(entry(F.col("whole"), F.lit("NORMALIZED"))), F.transform(words, lambda w: entry(w, F.col("kind"))),
+        F.transform(F.filter(F.transform(words, lambda w: table[w]), lambda w: w.isNotNull()), lambda w: entry(w, F.lit("SYNONYM"))),
+    )
+    return rows.select("stop_id", "area_id", "source", F.explode(F.array_distinct(listed)).alias("x")).select("stop_id", "area_id", "x.token", "x.token_type", "source").distinct()
+
+
+def name_signs(normal: Column) -> tuple[Column, Column]:
+    """Whether a name in its search form says main station, and whether it says station at all."""
+    main = c.contains_token(normal, "hbf") | normal.contains("hauptbahnhof")
+    return main, main | c.contains_token(normal, "bf") | normal.contains("bahnhof")
+
+
+def traffic(area_route: DataFrame) -> DataFrame:
+    """Routes, trips, route types, stop times and modes of each area."""
     t = F.col("route_type")
-    traffic = area_route.groupBy("area_id").agg(
+    return area_route.groupBy("area_id").agg(
         F.count_distinct("route_id").alias("route_count"), F.sum("trip_count").alias("trip_count"), F.count_distinct("route_type").alias("route_type_count"), F.sum("stop_time_count").alias("stop_time_count"),
         *[F.max(f(t).cast("int")).alias(n) for n, f in (("has_train", c.is_train), ("has_subway", c.is_subway), ("has_tram", c.is_tram), ("has_bus", c.is_bus))],
     )
-    ends = transfers.select("transfer_id", F.col("from_stop_id").alias("stop_id")).union(transfers.select("transfer_id", "to_stop_id"))
-    references = ends.join(members, "stop_id").select("area_id", "transfer_id").distinct().groupBy("area_id").agg(F.count("*").alias("reference_count"))
-    name = c.normalised(F.col("area_name"))
-    main = c.contains_token(name, "hbf") | c.contains_token(name, "hauptbahnhof")
-    rail = main | c.contains_token(name, "bahnhof") | c.contains_token(name, "bf")
-    base = stop_areas(stops).select("area_id", "stop_count", main.cast("int").alias("has_main_station_keyword"), rail.cast("int").alias("has_rail_keyword"))
-    out = base.join(traffic, "area_id", "left").join(references, "area_id", "left").fillna(0)
-    score = (
-        F.least(F.col("stop_count"), F.lit(20)) + F.least(F.col("route_count") * 2, F.lit(40)) + F.least(F.expr("trip_count div 10"), F.lit(30)) + F.least(F.col("reference_count"), F.lit(20))
-        + F.col("has_train") * 15 + F.col("has_subway") * 10 + F.col("has_main_station_keyword") * 25 + F.col("has_rail_keyword") * 10
+
+
+def transfer_references(transfers: DataFrame, members: DataFrame) -> DataFrame:
+    """How often transfers name stops of an area, at either end; a transfer from a stop to itself counts once."""
+    ends = transfers.select(F.col("from_stop_id").alias("stop_id")).union(transfers.filter("to_stop_id <> from_stop_id").select("to_stop_id"))
+    return ends.join(members, "stop_id").groupBy("area_id").agg(F.count("*").alias("reference_count"))
+
+
+def hub_profiles(stops: DataFrame, area_route: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Traffic, modes, transfer references and name signs of areas, a score and a level."""
+    members = stop_area_members(stops)
+    areas = stop_areas(stops)
+    names = areas.select("area_id", F.col("area_name").alias("name")).union(stops.select(c.area_id(F.col("parent_station"), F.col("stop_id")), "stop_name"))
+    main, station = name_signs(c.normalised(F.col("name")))
+    signs = names.select("area_id", main.cast("int").alias("main"), station.cast("int").alias("rail")).groupBy("area_id").agg(F.max("main").alias("has_main_station_keyword"), F.max("rail").alias("has_rail_keyword"))
+    out = areas.select("area_id", "stop_count").join(signs, "area_id").join(traffic(area_route), "area_id", "left").join(transfer_references(transfers, members), "area_id", "left").fillna(0)
+    stop, route, kinds, trips, refs, main = (F.col(x) for x in ("stop_count", "route_count", "route_type_count", "trip_count", "reference_count", "has_main_station_keyword"))
+    # fixed values of the contract: weights of the score and limits of the levels
+    score = stop * 2 + route * 5 + kinds * 6 + F.least(F.expr("trip_count div 10"), F.lit(30)) + refs * 3 + F.col("has_rail_keyword") * 10 + main * 20
+    s = F.col("score")
+    level = (
+        F.when((main == 1) | (route >= 20) | (trips >= 500) | (s >= 120), "MAIN_STATION_CANDIDATE").when((route >= 10) | (trips >= 250) | (kinds >= 3) | (s >= 80), "LARGE")
+        .when((route >= 3) | (trips >= 50) | ((kinds >= 2) & (refs > 0)) | (s >= 35), "MEDIUM").when((route > 1) | (stop > 1) | (refs > 0) | (s >= 15), "SMALL").otherwise("NONE")
     )
-    level = F.when((F.col("has_main_station_keyword") == 1) & (F.col("score") >= 40), "MAIN_STATION_CANDIDATE").when(F.col("score") >= 70, "LARGE").when(F.col("score") >= 35, "MEDIUM").when(F.col("score") >= 15, "SMALL").otherwise("NONE")
     return out.withColumn("score", score.cast("long")).withColumn("hub_level", level)
 
 
+#: Line labels of a profile at most.
+LABELS = 32
+
+
+def area_profiles(stops: DataFrame, area_route: DataFrame) -> DataFrame:
+    """What serves each area: platforms, routes, types, labels (in order of type, label and route), modes, a class, a score for search and an explanation."""
+    areas = stop_areas(stops)
+    names = areas.select("area_id", F.col("area_name").alias("name"), F.lit(None).cast("string").alias("platform")).union(stops.select(c.area_id(F.col("parent_station"), F.col("stop_id")), "stop_name", c.filled(F.col("platform_code"))))
+    n = c.normalised(F.col("name"))
+    main, station = name_signs(n)
+    # words of the contract that say station, too
+    station = station | n.contains("messe") | n.contains("suedkreuz")
+    signs = names.select("area_id", "platform", main.cast("int").alias("main"), station.cast("int").alias("station")).groupBy("area_id").agg(F.count_distinct("platform").alias("platform_count"), F.max("main").alias("main_station_signal"), F.max("station").alias("station_name_signal"))
+    t, label = F.col("route_type"), c.filled(F.col("line_label"))
+    ranked = area_route.select("area_id", "route_id", "route_type", label.alias("label"))
+    firsts = ranked.filter("label IS NOT NULL").groupBy("area_id", "label").agg(F.min(F.struct(F.col("route_type").isNotNull().alias("typed"), "route_type", "label", "route_id")).alias("at"), F.max((t.isNull() & c.is_rail_label(F.col("label"))).cast("int")).alias("untyped_rail"))
+    order = Window.partitionBy("area_id").orderBy("at")
+    labels = firsts.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= LABELS).groupBy("area_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "label"))), lambda x: x["label"]), ",").alias("line_labels"), F.max("untyped_rail").alias("untyped_rail"))
+    types = area_route.groupBy("area_id").agg(F.array_join(F.array_sort(F.collect_set("route_type")).cast("array<string>"), ",").alias("route_types"))
+    flow = traffic(area_route).drop("route_type_count")
+    out = areas.select("area_id", "stop_count").join(signs, "area_id").join(flow, "area_id", "left").join(labels, "area_id", "left").join(types, "area_id", "left").fillna(0).fillna("", ["line_labels", "route_types"])
+    rail = ((F.col("has_train") == 1) | (F.col("untyped_rail") == 1)).cast("int")
+    out = out.withColumn("has_rail_service", rail).drop("untyped_rail")
+    on = lambda x: F.col(x) == 1
+    out = out.withColumn("bus_only", (on("has_bus") & ~on("has_rail_service") & ~on("has_subway") & ~on("has_tram")).cast("int"))
+    kind = (
+        F.when(on("has_rail_service") & on("main_station_signal"), "MAIN_RAIL").when(on("has_rail_service"), "RAIL").when(on("has_subway") | on("has_tram"), "URBAN_RAIL")
+        .when(on("bus_only"), "BUS_ONLY").when(F.col("route_count") > 0, "MIXED").otherwise("NO_SERVICE")
+    )
+    score = (
+        F.col("stop_count") * 8 + F.col("platform_count") * 20 + F.col("route_count") * 60 + F.least(F.expr("trip_count div 5"), F.lit(200)) + F.least(F.expr("stop_time_count div 20"), F.lit(120))
+        + F.col("station_name_signal") * 250 + F.col("main_station_signal") * 400 + F.col("has_rail_service") * 800 - F.col("bus_only") * 250
+    )
+    out = out.withColumns({"profile_class": kind, "search_priority_score": score.cast("long")})
+    told = F.concat_ws(
+        "; ", *[F.concat(F.lit(f"{k}="), F.col(v).cast("string")) for k, v in (("class", "profile_class"), ("stops", "stop_count"), ("platforms", "platform_count"), ("routes", "route_count"), ("trips", "trip_count"), ("stop_times", "stop_time_count"), ("score", "search_priority_score"))],
+        F.when(on("has_rail_service"), "rail_service"), F.when(on("bus_only"), "bus_only"), F.when(on("main_station_signal"), "main_station_name").when(on("station_name_signal"), "station_name"),
+    )
+    return out.withColumn("explanation", told)
+
+
 def service_days(calendar: DataFrame, dates: DataFrame) -> DataFrame:
     """service_id and its active days in order; none for a service without any."""
     day = lambda x: F.to_date(x, "yyyyMMdd")
@@ -212,7 +347,8 @@ def service_days(calendar: DataFrame, dates: DataFrame) -> DataFrame:
     names = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
     runs = F.get(F.array(*names), F.weekday("d")) == 1
     active = rows.filter(runs).select("service_id", F.date_format("d", "yyyyMMdd").alias("date"))
-    removed = dates.filter("exception_type = 2").select("service_id", "date")
+    # any exception but an addition ends the calendar's day
+    removed = dates.filter("coalesce(exception_type, 0) <> 1").select("service_id", "date")
     all_days = active.union(dates.filter("exception_type = 1").select("service_id", "date")).distinct().join(removed, ["service_id", "date"], "left_anti")
     ids = calendar.select("service_id").union(dates.select("service_id")).distinct()
     listed = all_days.groupBy("service_id").agg(F.array_sort(F.collect_list("date")).alias("days"))
@@ -233,8 +369,21 @@ def service_signatures(calendar: DataFrame, dates: DataFrame, source: str, most_
     return known.union(long.select("service_id", F.concat(F.lit("UNSCOPED:"), own), F.lit(None).cast("long")))
 
 
-def trip_patterns(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
-    """Hash of a trip's calls (stop and times in order); trips with one call are left out."""
-    calls = stop_times.groupBy("trip_id").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", "stop_id", "arrival_seconds", "departure_seconds"))).alias("calls")).filter(F.size("calls") > 1)
-    text = F.array_join(F.transform("calls", lambda x: F.concat_ws(",", x["stop_id"], x["arrival_seconds"].cast("string"), x["departure_seconds"].cast("string"))), ";")
-    return calls.select("trip_id", F.size("calls").cast("long").alias("stop_count"), F.sha2(text, 256).alias("exact_hash")).join(trips.select("trip_id", "route_id", "service_id"), "trip_id")
+def trip_patterns(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, signatures: DataFrame, stop_keys: DataFrame | None = None) -> DataFrame:
+    """What trips are compared by: signature, mode, line_key and journey_key, and a hash of these and of the calls in order; trips with one call are left out.
+
+    ``stop_keys`` (stop_id, stop_key) gives stations that sources share one key.  An
+    unknown time is -1.
+    """
+    keyed = stop_times.withColumn("stop_key", F.col("stop_id")) if stop_keys is None else stop_times.join(stop_keys, "stop_id", "left").withColumn("stop_key", F.coalesce("stop_key", F.concat(F.lit("S:"), "stop_id")))
+    time = lambda x: F.coalesce(x, F.lit(-1)).cast("int")
+    call = F.struct("stop_sequence", "stop_key", time(F.col("arrival_seconds")).alias("arrival"), time(F.col("departure_seconds")).alias("departure"))
+    calls = keyed.groupBy("trip_id").agg(F.array_sort(F.collect_list(call)).alias("calls")).filter(F.size("calls") > 1)
+    line = c.normalised(c.first_filled(F.col("route_short_name"), F.col("route_long_name")))
+    meta = trips.join(routes.select("route_id", c.route_family(F.col("route_type")).alias("mode"), line.alias("line_key")), "route_id").join(signatures.select("service_id", "signature"), "service_id", "left")
+    journey = c.normalised(F.col("trip_short_name")) if "trip_short_name" in trips.columns else F.lit("")
+    meta = meta.select("trip_id", "route_id", "service_id", F.coalesce("signature", F.concat(F.lit("UNSCOPED:"), "service_id")).alias("signature"), "mode", "line_key", journey.alias("journey_key"))
+    told = F.transform("calls", lambda x: F.concat(F.lit("\x1e"), x["stop_key"], F.lit(":"), x["arrival"].cast("string"), F.lit(":"), x["departure"].cast("string")))
+    text = F.concat(F.concat_ws("\x1f", "signature", F.col("mode").cast("string"), "line_key"), F.array_join(told, ""))
+    bare = F.transform("calls", lambda x: F.struct(x["stop_key"].alias("stop_key"), x["arrival"].alias("arrival"), x["departure"].alias("departure")))
+    return calls.join(meta, "trip_id").select("trip_id", "route_id", "service_id", "signature", "mode", "line_key", "journey_key", F.size("calls").cast("long").alias("stop_count"), F.sha2(text, 256).alias("exact_hash"), bare.alias("calls"))

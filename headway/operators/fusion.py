@@ -1,21 +1,38 @@
-"""Merging feeds: namespaced ids, station identity, trip duplicates."""
+"""Merging feeds: namespaced ids, station identity, trip duplicates, and the merged members."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from . import graph
 
 SOURCE = re.compile("[A-Z][A-Z0-9_]{1,31}")
-#: Columns of feed members that hold ids.
+# --- fixed values of the contract: which columns of which members hold ids of the feed, of stops and of trips ---
 ID_COLUMNS = {
-    "stops.txt": ["stop_id", "parent_station", "zone_id", "level_id"], "routes.txt": ["route_id", "agency_id"], "trips.txt": ["trip_id", "route_id", "service_id", "block_id", "shape_id"],
-    "stop_times.txt": ["trip_id", "stop_id"], "calendar.txt": ["service_id"], "calendar_dates.txt": ["service_id"], "agency.txt": ["agency_id"], "shapes.txt": ["shape_id"],
-    "transfers.txt": ["from_stop_id", "to_stop_id", "from_route_id", "to_route_id", "from_trip_id", "to_trip_id", "service_id"], "frequencies.txt": ["trip_id"], "pathways.txt": ["pathway_id", "from_stop_id", "to_stop_id"],
+    "agency.txt": ["agency_id"], "stops.txt": ["stop_id", "parent_station", "zone_id", "level_id"], "routes.txt": ["route_id", "agency_id", "network_id"], "networks.txt": ["network_id"], "route_networks.txt": ["route_id", "network_id"],
+    "trips.txt": ["route_id", "service_id", "block_id", "shape_id"], "stop_times.txt": ["stop_id", "location_group_id", "location_id", "booking_rule_id"], "calendar.txt": ["service_id"], "calendar_dates.txt": ["service_id"],
+    "transfers.txt": ["from_stop_id", "to_stop_id", "from_route_id", "to_route_id"], "shapes.txt": ["shape_id"], "pathways.txt": ["pathway_id", "from_stop_id", "to_stop_id"], "levels.txt": ["level_id"],
+    "location_groups.txt": ["location_group_id"], "location_group_stops.txt": ["location_group_id", "stop_id"], "booking_rules.txt": ["booking_rule_id"], "areas.txt": ["area_id"], "stop_areas.txt": ["area_id", "stop_id"],
+    "fare_attributes.txt": ["fare_id", "agency_id"], "fare_rules.txt": ["fare_id", "route_id", "origin_id", "destination_id", "contains_id"], "attributions.txt": ["attribution_id", "agency_id", "route_id"],
 }
+STOP_COLUMNS = {
+    "stops.txt": ["stop_id", "parent_station"], "stop_times.txt": ["stop_id"], "transfers.txt": ["from_stop_id", "to_stop_id"], "pathways.txt": ["from_stop_id", "to_stop_id"], "location_group_stops.txt": ["stop_id"], "stop_areas.txt": ["stop_id"],
+}
+TRIP_COLUMNS = ["trip_id", "from_trip_id", "to_trip_id"]
+DEFAULT_AGENCY = "__DEFAULT_AGENCY"
+#: Words that any station's name may have, and words before a platform.
+GENERIC = ["bahnhof", "bf", "hbf", "station", "gare", "stazione", "staziun", "halt", "haltestelle"]
+PLATFORM = r"\b(?:gleis|platform|plattform|quai|quay|perron)\s*[a-z0-9-]*\b"
+#: Metres within which equal names, and equal codes, are one station.
+NAME_METRES, CODE_METRES = 600, 2000
+#: Seconds by which the same call may differ between feeds; trips of a bucket beyond which nothing is decided.
+NEAR_SECONDS, BUCKET = 90, 1000
+# --- end of fixed values ---
 
 
 def namespaced(df: DataFrame, source: str, columns: list[str]) -> DataFrame:
@@ -25,32 +42,94 @@ def namespaced(df: DataFrame, source: str, columns: list[str]) -> DataFrame:
 
 
 def namespaced_member(df: DataFrame, source: str, member: str) -> DataFrame:
-    return namespaced(df, source, ID_COLUMNS[member])
+    """A member's ids with their source before them; trips' ids, too."""
+    return namespaced(df, source, [*ID_COLUMNS.get(member, []), *TRIP_COLUMNS])
 
 
 def name_key(name: Column) -> Column:
-    """A station's name without its platform and without general words."""
-    bare = F.regexp_replace(c.normalised(name), " gleis [0-9]+$", "")
-    return F.trim(F.regexp_replace(bare, r"\b(hbf|hauptbahnhof|bahnhof|bf)\b", ""))
+    """A station's name in search form without platforms and general words."""
+    bare = F.regexp_replace(c.normalised(name), PLATFORM, " ")
+    return F.array_join(F.filter(F.split(bare, " +"), lambda w: (w != "") & ~w.isin(*GENERIC)), " ")
 
 
-def identity_pairs(stops: DataFrame, near_metres: int = 600) -> DataFrame:
-    """Pairs of stops of different sources with one name key, within a distance."""
-    own = stops.withColumn("name_key", name_key(F.col("stop_name"))).filter("name_key <> '' AND stop_lat IS NOT NULL")
-    a, b = (own.select("name_key", *[F.col(x).alias(f"{x}_{s}") for x in ("source_id", "stop_id", "stop_lat", "stop_lon")]) for s in "ab")
-    d = c.metres(F.col("stop_lat_a"), F.col("stop_lon_a"), F.col("stop_lat_b"), F.col("stop_lon_b"))
-    return a.join(b, "name_key").filter("source_id_a < source_id_b").withColumn("distance_meters", d).filter(F.col("distance_meters") <= near_metres).select("stop_id_a", "stop_id_b", "distance_meters")
+def code_key(code: Column) -> Column:
+    return F.regexp_replace(F.lower(F.coalesce(code, F.lit(""))), "[^a-z0-9]", "")
 
 
-def duplicate_trips(patterns: DataFrame) -> DataFrame:
-    """Of trips with one hash and service signature, the one of the first source stays; others are suppressed."""
-    own = Window.partitionBy("exact_hash", "signature").orderBy("source_priority", "trip_id")
-    kept = F.first("trip_id").over(own)
-    return patterns.withColumn("kept_trip_id", kept).withColumn("suppressed", (F.col("trip_id") != F.col("kept_trip_id")).cast("int"))
+def anchors(stops: DataFrame) -> DataFrame:
+    """stop_key (source and id) and its anchor, the topmost parent in its own source, for stops (source_id, stop_id, parent_station)."""
+    own = F.concat("source_id", F.lit("::"), "stop_id")
+    parent = F.when(c.filled(F.col("parent_station")).isNotNull(), F.concat("source_id", F.lit("::"), "parent_station"))
+    rows = stops.select(own.alias("stop_key"), parent.alias("parent"))
+    return graph.roots(rows, "stop_key", "parent").withColumnRenamed("root", "anchor")
 
 
-#: Seconds by which the same call may differ between feeds; trips of a bucket beyond which nothing is decided.
-NEAR_SECONDS, BUCKET = 90, 1000
+def identity_pairs(stations: DataFrame) -> DataFrame:
+    """Pairs (a, b, distance_meters) of stations of different sources that are one: equal names near each other, equal codes not too far, or both where a place is unknown.
+
+    Equi-joins on the key and a grid cell: a common name meets only its neighbourhood.
+    """
+    own = stations.select(F.concat("source_id", F.lit("::"), "stop_id").alias("id"), "source_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"), name_key(F.col("stop_name")).alias("name"), code_key(F.col("stop_code")).alias("code"))
+    own = graph.written(own)
+    placed = own.filter("lat IS NOT NULL AND lon IS NOT NULL")
+
+    def near(key: str, metres: int, size: float) -> DataFrame:
+        rows = placed.filter(F.col(key) != "").select("id", "source_id", "lat", "lon", F.col(key).alias("key"), c.cell(F.col("lat"), size).alias("cy"), c.cell(F.col("lon"), size).alias("cx"))
+        steps = F.sequence(F.lit(-1), F.lit(1))
+        a = rows.select(*[F.col(x).alias(f"{x}_a") for x in ("id", "source_id", "lat", "lon")], "key", F.explode(F.transform(steps, lambda d: F.col("cy") + d)).alias("cy"), "cx")
+        a = a.select(*[x for x in a.columns if x != "cx"], F.explode(F.transform(steps, lambda d: F.col("cx") + d)).alias("cx"))
+        b = rows.select(*[F.col(x).alias(f"{x}_b") for x in ("id", "source_id", "lat", "lon")], "key", "cy", "cx")
+        d = c.metres(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+        return a.join(b, ["key", "cy", "cx"]).filter("source_id_a < source_id_b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), d.alias("distance_meters")).filter(F.col("distance_meters") <= metres)
+
+    some = own.filter("name <> '' AND code <> ''")
+    a, b = (some.select(*[F.col(x).alias(f"{x}_{s}") for x in ("id", "source_id", "lat", "lon")], "name", "code") for s in "ab")
+    lost = a.join(b, ["name", "code"]).filter("source_id_a < source_id_b AND (lat_a IS NULL OR lon_a IS NULL OR lat_b IS NULL OR lon_b IS NULL)").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.lit(None).cast("long").alias("distance_meters"))
+    # cells are wider than the reach up to 70 degrees of latitude
+    return near("name", NAME_METRES, 0.02).union(near("code", CODE_METRES, 0.06)).union(lost).distinct()
+
+
+def identities(stops: DataFrame) -> DataFrame:
+    """stop_key, anchor and identity of every stop: C: and a hash of the anchors where sources meet, else S: and the anchor."""
+    known = graph.written(anchors(stops))
+    keyed = stops.withColumn("stop_key", F.concat("source_id", F.lit("::"), "stop_id"))
+    tops = keyed.join(known.select(F.col("anchor").alias("stop_key")).distinct(), "stop_key", "left_semi")
+    pairs = graph.written(identity_pairs(tops))
+    labels = graph.components(pairs.select("a", "b"))
+    own = tops.select("stop_key", "source_id").join(labels.withColumnRenamed("node", "stop_key"), "stop_key", "left").withColumn("label", F.coalesce("label", "stop_key"))
+    # all anchors of one station: as many as sources have for it
+    groups = own.groupBy("label").agg(F.array_sort(F.collect_list("stop_key")).alias("keys"), F.count_distinct("source_id").alias("sources"))
+    hashed = F.substring(F.sha2(F.concat(F.array_join("keys", "\0"), F.lit("\0")), 256), 1, 20)
+    named = groups.select("label", F.when(F.col("sources") > 1, F.concat(F.lit("C:"), hashed)).otherwise(F.concat(F.lit("S:"), F.element_at("keys", 1))).alias("identity"), "sources")
+    of_anchor = own.join(named, "label").select(F.col("stop_key").alias("anchor"), "identity", "sources")
+    return known.join(of_anchor, "anchor").select("stop_key", "anchor", "identity", "sources")
+
+
+def stop_plan(stops: DataFrame, ids: DataFrame) -> DataFrame:
+    """stop_key, output_id and suppressed: stations that sources share keep the id of the first source by priority; the others' rows go."""
+    keyed = stops.select(F.concat("source_id", F.lit("::"), "stop_id").alias("stop_key"), "source_id", "stop_id", "source_priority")
+    tops = ids.filter("stop_key = anchor").join(keyed, "stop_key")
+    first = tops.filter("sources > 1").groupBy("identity").agg(F.min(F.struct("source_priority", "source_id", "stop_id", "stop_key")).alias("x")).select("identity", F.col("x.stop_key").alias("kept"))
+    shared = tops.join(first, "identity").select("stop_key", F.col("kept").alias("output_id"))
+    out = keyed.select("stop_key").join(shared, "stop_key", "left")
+    return out.select("stop_key", F.coalesce("output_id", "stop_key").alias("output_id"), F.coalesce(F.col("output_id") != F.col("stop_key"), F.lit(False)).alias("suppressed"))
+
+
+def stop_mappings(plan: DataFrame) -> DataFrame:
+    """canonical_stop_id, source_id, source_stop_id and match_method of the stations that sources share."""
+    of_two = plan.filter("suppressed").select(F.col("output_id").alias("kept")).distinct()
+    rows = plan.join(of_two, F.col("output_id") == F.col("kept"))
+    return rows.select(F.col("output_id").alias("canonical_stop_id"), F.substring_index("stop_key", "::", 1).alias("source_id"), F.regexp_replace("stop_key", "^[^:]*::", "").alias("source_stop_id"), F.when(F.col("suppressed"), "CROSS_SOURCE_IDENTITY").otherwise("PRIMARY").alias("match_method"))
+
+
+def duplicate_trips(patterns: DataFrame) -> DataFrame:
+    """Of trips with one hash and service signature, the one of the first source stays; other sources' are suppressed."""
+    own = Window.partitionBy("exact_hash", "signature").orderBy("source_priority", "trip_id")
+    kept = patterns.withColumn("kept_trip_id", F.first("trip_id").over(own))
+    if "source_id" in patterns.columns:
+        other = F.col("source_id") != F.first("source_id").over(own)
+        return kept.withColumn("suppressed", other.cast("int")).withColumn("kept_trip_id", F.when(F.col("suppressed") == 1, F.col("kept_trip_id")).otherwise(F.col("trip_id")))
+    return kept.withColumn("suppressed", (F.col("trip_id") != F.col("kept_trip_id")).cast("int"))
 
 
 def same_call(a: tuple, b: tuple) -> bool:
@@ -59,47 +138,71 @@ def same_call(a: tuple, b: tuple) -> bool:
 
 
 def is_part(short: list[tuple], long: list[tuple]) -> bool:
-    """Whether a trip's calls are a stretch of another's without a gap."""
+    """Whether a shorter trip's calls are a stretch of a longer one's without a gap."""
     n = len(short)
-    return any(all(same_call(x, y) for x, y in zip(short, long[k : k + n], strict=True)) for k in range(len(long) - n + 1))
-
-
-def overlap(a: list[tuple], b: list[tuple]) -> int:
-    """Calls at the end of one trip that begin the other; 0 if under two."""
-    return next((n for n in range(min(len(a), len(b)) - 1, 1, -1) if all(same_call(x, y) for x, y in zip(a[-n:], b[:n], strict=True))), 0)
-
-
-def decide_bucket(trips: list[dict]) -> list[tuple[str, str, str]]:
-    """(trip, decision, other trip) for trips of one service, mode and line: parts are suppressed, ends stitched, likenesses kept apart."""
-    trips = sorted(trips, key=lambda t: (-len(t["calls"]), t["source_id"], t["trip_id"]))
-    if len(trips) > BUCKET:
-        return [(t["trip_id"], "BUCKET_TOO_LARGE_KEPT", "") for t in trips]
-    gone: dict[str, str] = {}
-    for k, long in enumerate(trips):
-        if long["trip_id"] in gone:
-            continue
-        for short in trips[k + 1 :]:
-            if short["trip_id"] not in gone and short["source_id"] != long["source_id"] and is_part(short["calls"], long["calls"]):
-                gone[short["trip_id"]] = long["trip_id"]
-    out = [(t, "SUBSET_SUPPRESSED", by) for t, by in gone.items()]
-    rest = [t for t in trips if t["trip_id"] not in gone]
-    used: set[str] = set()
-    for a in rest:
-        for b in rest:
-            if a["source_id"] != b["source_id"] and not {a["trip_id"], b["trip_id"]} & used and a["journey_key"] and a["journey_key"] == b["journey_key"] and overlap(a["calls"], b["calls"]):
-                used |= {a["trip_id"], b["trip_id"]}
-                out += [(a["trip_id"], "STITCHED", b["trip_id"]), (b["trip_id"], "STITCHED", a["trip_id"])]
-    for k, a in enumerate(rest):
-        for b in rest[k + 1 :]:
-            if a["source_id"] == b["source_id"] or {a["trip_id"], b["trip_id"]} & used:
-                continue
-            if sum(any(same_call(x, y) for y in b["calls"]) for x in a["calls"]) >= 2:
-                out.append((a["trip_id"], "AMBIGUOUS_KEPT", b["trip_id"]))
+    return n < len(long) and any(all(map(same_call, short, long[k : k + n])) for k in range(len(long) - n + 1))
+
+
+def joined(a: list[tuple], b: list[tuple]) -> list[tuple]:
+    """Calls of a trip whose end is another's beginning, two calls or more; none otherwise."""
+    n = next((n for n in range(min(len(a), len(b)), 1, -1) if all(map(same_call, a[-n:], b[:n]))), 0)
+    return a + b[n:] if n else []
+
+
+def shared_calls(a: list[tuple], b: list[tuple]) -> int:
+    """Calls of one trip that have one of their own in the other."""
+    free = list(b)
+    found = 0
+    for x in a:
+        k = next((k for k, y in enumerate(free) if same_call(x, y)), None)
+        if k is not None:
+            del free[k]
+            found += 1
+    return found
+
+
+def decide_bucket(trips: list[dict]) -> list[tuple]:
+    """(trip, decision, other trip, calls) for trips of one service, mode and line: parts are suppressed, ends stitched, likenesses kept apart.
+
+    ``other`` is the trip that stays; ``calls`` are the stitched ones.
+    """
+    rank = {t["trip_id"]: (t["source_priority"], t["source_id"], t["trip_id"]) for t in trips}
+    order = sorted(trips, key=lambda t: rank[t["trip_id"]])
+    if len(order) > BUCKET:
+        return [(t["trip_id"], "BUCKET_TOO_LARGE_KEPT", "", None) for t in order]
+    stops = {t["trip_id"]: {x[0] for x in t["calls"]} for t in order}
+    pairs = [(a, b) for k, a in enumerate(order) for b in order[k + 1 :] if a["source_id"] != b["source_id"] and len(stops[a["trip_id"]] & stops[b["trip_id"]]) > 1]
+    pairs.sort(key=lambda p: (-max(len(p[0]["calls"]), len(p[1]["calls"])), p[0]["trip_id"], p[1]["trip_id"]))
+    gone: set[str] = set()
+    out: list[tuple] = []
+
+    def live() -> Iterator[tuple[dict, dict]]:
+        # pairs are looked at in turn, as each decision may settle later ones
+        return (p for p in pairs if not {p[0]["trip_id"], p[1]["trip_id"]} & gone)
+
+    for a, b in live():
+        long, short = (a, b) if len(a["calls"]) >= len(b["calls"]) else (b, a)
+        if is_part(short["calls"], long["calls"]):
+            gone.add(short["trip_id"])
+            out.append((short["trip_id"], "SUBSET_SUPPRESSED", long["trip_id"], None))
+    for a, b in live():
+        if a["journey_key"].strip() and a["journey_key"] == b["journey_key"]:
+            forward, back = joined(a["calls"], b["calls"]), joined(b["calls"], a["calls"])
+            calls = forward if len(forward) >= len(back) else back
+            if calls:
+                gone.add(b["trip_id"])
+                out.append((b["trip_id"], "STITCHED", a["trip_id"], calls))
+    for a, b in live():
+        if shared_calls(a["calls"], b["calls"]) >= 2:
+            out.append((b["trip_id"], "AMBIGUOUS_KEPT", a["trip_id"], None))
     return out
 
 
+DECISIONS = "trip_id string, decision string, other_trip_id string, calls array<struct<stop_key: string, arrival: int, departure: int>>"
+
+
 def fuse_trips(trips: DataFrame) -> DataFrame:
-    """Decisions for trips (source_id, trip_id, signature, mode, line_key, journey_key, calls) by bucket of signature, mode and line.
+    """Decisions for trips (source_id, source_priority, trip_id, signature, mode, line_key, journey_key, calls) by bucket of signature, mode and line.
 
     Buckets with one source have nothing to decide.  A bucket with over BUCKET trips is kept whole, natively.
     """
@@ -108,10 +211,67 @@ def fuse_trips(trips: DataFrame) -> DataFrame:
     key = ["signature", "mode", "line_key"]
     sizes = trips.groupBy(*key).agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources")).filter("sources > 1")
     rows = trips.join(sizes, key)
-    large = rows.filter(F.col("n") > BUCKET).select("trip_id", F.lit("BUCKET_TOO_LARGE_KEPT").alias("decision"), F.lit("").alias("other_trip_id"))
+    none = F.lit(None).cast("array<struct<stop_key: string, arrival: int, departure: int>>")
+    large = rows.filter(F.col("n") > BUCKET).select("trip_id", F.lit("BUCKET_TOO_LARGE_KEPT").alias("decision"), F.lit("").alias("other_trip_id"), none.alias("calls"))
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
-        records = [r | {"calls": [(c["stop_key"], c["arrival"], c["departure"]) for c in r["calls"]]} for r in part.to_dict("records")]
-        return pd.DataFrame(decide_bucket(records), columns=["trip_id", "decision", "other_trip_id"])
+        records = [r | {"calls": [(x["stop_key"], x["arrival"], x["departure"]) for x in r["calls"]]} for r in part.to_dict("records")]
+        found = [(t, d, o, None if calls is None else [{"stop_key": k, "arrival": x, "departure": y} for k, x, y in calls]) for t, d, o, calls in decide_bucket(records)]
+        return pd.DataFrame(found, columns=["trip_id", "decision", "other_trip_id", "calls"])
+
+    return rows.filter(F.col("n") <= BUCKET).groupBy(*key).applyInPandas(one, DECISIONS).union(large)
+
+
+def trip_mappings(trips: DataFrame, duplicates: DataFrame, decisions: DataFrame) -> DataFrame:
+    """canonical_trip_id, trip_id and match_method of every trip (namespaced): PRIMARY, or how it was merged into another."""
+    exact = duplicates.filter("suppressed = 1").select("trip_id", F.col("kept_trip_id").alias("other"), F.lit("EXACT_DUPLICATE").alias("how"))
+    merged = decisions.filter("decision IN ('SUBSET_SUPPRESSED', 'STITCHED')").select("trip_id", F.col("other_trip_id").alias("other"), F.col("decision").alias("how"))
+    rows = trips.select("trip_id").join(exact.union(merged), "trip_id", "left")
+    return rows.select(F.coalesce("other", "trip_id").alias("canonical_trip_id"), "trip_id", F.coalesce("how", F.lit("PRIMARY")).alias("match_method"))
+
+
+def fusion_counts(decisions: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """Number of decisions of each kind, zero where there is none."""
+    kinds = ["EXACT_DUPLICATE", "SUBSET_SUPPRESSED", "STITCHED", "AMBIGUOUS_KEPT"]
+    every = decisions.select("decision").union(duplicates.filter("suppressed = 1").select(F.lit("EXACT_DUPLICATE")))
+    return decisions.sparkSession.createDataFrame([(k,) for k in kinds], "decision string").join(every.groupBy("decision").agg(F.count("*").alias("n")), "decision", "left").fillna(0)
+
+
+def rewritten(df: DataFrame, source: str, member: str, plan: DataFrame, trips: DataFrame, stitched: DataFrame | None = None) -> DataFrame:
+    """A member of one source with the ids of the merged feed.
+
+    Stops that another source's stand for are re-referenced, and their own rows go; so do
+    rows of merged trips, while references to them follow.  ``trips`` maps trip_id to
+    canonical_trip_id, both namespaced; ``stitched`` (trip_id, calls) replaces calls.
+    """
+    stop_columns, ids = STOP_COLUMNS.get(member, []), ID_COLUMNS.get(member, [])
+    out = namespaced_member(df, source, member)
+    if member in ("agency.txt", "routes.txt") and "agency_id" in out.columns:
+        out = out.withColumn("agency_id", F.coalesce("agency_id", F.lit(f"{source}::{DEFAULT_AGENCY}")))
+    if member == "stops.txt":
+        gone = plan.filter("suppressed").select(F.col("stop_key").alias("stop_id"))
+        out = out.join(gone, "stop_id", "left_anti")
+    if member in ("trips.txt", "stop_times.txt", "frequencies.txt"):
+        merged = trips.filter("trip_id <> canonical_trip_id").select("trip_id")
+        out = out.join(merged, "trip_id", "left_anti")
+    moved = plan.filter("suppressed").select("stop_key", "output_id")
+    for k in (k for k in stop_columns if k in out.columns and not (member == "stops.txt" and k == "stop_id")):
+        out = out.join(moved.select(F.col("stop_key").alias(k), F.col("output_id").alias("_to")), k, "left").withColumn(k, F.coalesce("_to", k)).drop("_to")
+    for k in (k for k in ("from_trip_id", "to_trip_id") if k in out.columns):
+        out = out.join(trips.select(F.col("trip_id").alias(k), F.col("canonical_trip_id").alias("_to")), k, "left").withColumn(k, F.coalesce("_to", k)).drop("_to")
+    if stitched is not None and member == "trips.txt" and "shape_id" in out.columns:
+        out = out.join(stitched.select("trip_id", F.lit(True).alias("_s")), "trip_id", "left").withColumn("shape_id", F.when(F.col("_s"), F.lit(None).cast("string")).otherwise(F.col("shape_id"))).drop("_s")
+    if stitched is not None and member == "stop_times.txt":
+        own = out.join(stitched.select("trip_id"), "trip_id", "left_anti")
+        calls = stitched.join(out.select("trip_id").distinct(), "trip_id", "left_semi").select("trip_id", F.posexplode("calls").alias("k", "x"))
+        fused = calls.select("trip_id", F.col("x.stop_key").alias("stop_id"), (F.col("k") + 1).alias("stop_sequence"), F.col("x.arrival").alias("arrival_seconds"), F.col("x.departure").alias("departure_seconds"))
+        out = own.unionByName(fused.select(*[x for x in fused.columns if x in own.columns]), allowMissingColumns=True)
+    return out.select(*df.columns)
+
 
-    return rows.filter(F.col("n") <= BUCKET).groupBy(*key).applyInPandas(one, "trip_id string, decision string, other_trip_id string").union(large)
+def merged_member(parts: list[DataFrame], key: list[str] | None = None) -> DataFrame:
+    """One member of all sources, with all their columns; of rows with one ``key`` (translations) one stays."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out if key is None else out.dropDuplicates([k for k in key if k in out.columns])

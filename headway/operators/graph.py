@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one that the cluster names, or in a temporary one where it names none."""
+    """A new folder in the shared one that the cluster names; a local session without one gets a temporary folder, any other is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.headway.scratch", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-headway-")
         spark.conf.set("spark.headway.scratch", folder)
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
@@ -44,11 +46,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def roots(df: DataFrame, node: str, parent: str, depth: int = 6) -> DataFrame:
-    """node and its root by parents; a node in a cycle, or below one, is its own root."""
-    up = df.select(F.col(node).alias("_n"), F.nullif(F.trim(parent), F.lit("")).alias("_p"))
-    current = up.select(F.col("_n").alias(node), F.col("_n").alias("root"), F.col("_p").alias("next"))
-    for _ in range(depth):
-        step = up.select(F.col("_n").alias("next"), F.col("_p").alias("after"))
-        current = current.join(step, "next", "left").select(node, F.coalesce("next", "root").alias("root"), F.col("after").alias("next"))
-    return current.select(node, F.when(F.col("next").isNull(), F.col("root")).otherwise(F.col(node)).alias("root"))
+def roots(df: DataFrame, node: str, parent: str) -> DataFrame:
+    """node and its root by parents, however deep; a parent that isn't there ends the walk below it, and a node in a cycle, or below one, is its own root.
+
+    Each round doubles the steps, so rounds grow with the logarithm of the depth; after as
+    many rounds as the number of nodes has bits, who still moves is in a cycle or below one.
+    """
+    up = df.select(F.col(node).alias("n"), F.nullif(F.trim(parent), F.lit("")).alias("p"))
+    known = up.select(F.col("n").alias("p"), F.lit(True).alias("there"))
+    current = written(up.join(known, "p", "left").select("n", F.when(F.col("there"), F.col("p")).alias("p")))
+    rounds = max(1, current.count()).bit_length() + 1
+    at = current.select("n", F.coalesce("p", "n").alias("to"), F.col("p").isNull().alias("done"))
+    for _ in range(rounds):
+        step = at.select(F.col("n").alias("to"), F.col("to").alias("further"), F.col("done").alias("end"))
+        at = written(at.join(step, "to").select("n", F.when(F.col("done"), F.col("to")).otherwise(F.col("further")).alias("to"), (F.col("done") | F.col("end")).alias("done")))
+        if at.filter("NOT done").isEmpty():
+            break
+    return at.select(F.col("n").alias(node), F.when(F.col("done"), F.col("to")).otherwise(F.col("n")).alias("root"))

@@ -1,60 +1,24 @@
-"""Name rules, aliases and enrichment."""
+"""Enrichment from catalogues."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
 
-STATION_END = " (Hbf|Bahnhof|Bf)$"
-
-
-def enrich_colours(routes: DataFrame, catalogue: DataFrame, agencies: list[str]) -> DataFrame:
-    """Colours of a bounded catalogue (line_label, colour) where a route of the agencies has none."""
-    label = c.line_label(F.col("route_short_name"), F.col("route_long_name"), F.col("route_id"))
-    joined = routes.withColumn("line_label", label).join(F.broadcast(catalogue.dropDuplicates(["line_label"]).limit(10_000)), "line_label", "left")
-    missing = c.filled(F.col("route_color")).isNull() & F.col("agency_id").isin(agencies) & F.col("colour").isNotNull()
-    return joined.withColumn("route_color", F.when(missing, F.col("colour")).otherwise(F.col("route_color"))).drop("colour", "line_label")
-
-
-def name_signals(stops: DataFrame) -> DataFrame:
-    """Whether any member's name of an area says main station, or station."""
-    n = c.normalised(F.col("stop_name"))
-    main = c.contains_token(n, "hbf") | c.contains_token(n, "hauptbahnhof")
-    station = main | c.contains_token(n, "bahnhof") | c.contains_token(n, "bf")
-    rows = stops.select(c.area_id(F.col("parent_station"), F.col("stop_id")).alias("area_id"), main.cast("int").alias("main"), station.cast("int").alias("station"))
-    return rows.groupBy("area_id").agg(F.max("main").alias("main_station"), F.max("station").alias("station"))
-
-
-def aliases(areas: DataFrame) -> DataFrame:
-    """Names under which an area is found: its own, station synonyms, and without the station word."""
-    n = F.col("area_name")
-    entry = lambda alias, kind, priority: F.struct(alias.alias("alias"), F.lit(kind).alias("alias_type"), F.lit(priority).alias("priority"))
-    options = F.array(
-        entry(n, "CANONICAL", 100),
-        F.when(n.contains("Hbf"), entry(F.replace(n, F.lit("Hbf"), F.lit("Hauptbahnhof")), "STATION_SYNONYM", 95)),
-        F.when(n.contains("Bahnhof"), entry(F.replace(n, F.lit("Bahnhof"), F.lit("Bf")), "STATION_SYNONYM", 95)),
-        F.when(n.rlike(STATION_END), entry(F.trim(F.regexp_replace(n, STATION_END, "")), "STATION_SUFFIX_STRIPPED", 65)),
-    )
-    return areas.select("area_id", F.inline(F.array_distinct(F.array_compact(options))))
-
-
-def city_candidate(name: Column) -> Column:
-    """The part before a comma, or what stands before a station word."""
-    return F.when(name.contains(","), F.trim(F.get(F.split(name, ","), F.lit(0)))).when(name.rlike(STATION_END), F.regexp_replace(name, STATION_END, ""))
-
-
-def clean_display(name: Column) -> Column:
-    short = F.replace(name, F.lit("Hauptbahnhof"), F.lit("Hbf"))
-    return F.trim(F.regexp_replace(F.regexp_replace(short, r"\([^)]*\)", ""), "[/, ]+", " "))
-
-
-def display_quality(name: Column) -> Column:
-    return F.when(name.contains("Gleis"), "TECHNICAL").when(name.contains(",") | name.contains("/"), "AVOID_FOR_USER").otherwise("GOOD")
-
-
-def station_name(name: Column, city: Column) -> Column:
-    """The name without the city before it, where a word ends there."""
-    rest = F.substr(name, F.length(city) + F.lit(2))
-    return F.when((city != "") & name.startswith(F.concat(city, F.lit(" "))), rest).otherwise(name)
+def enrich_colours(routes: DataFrame, catalogue: DataFrame, agency: DataFrame) -> DataFrame:
+    """Colours of a catalogue (line_label, route_color, route_text_color, operator) where a route has none; a line takes only its operator's colours.
+
+    Labels are compared in capitals without spaces, operators in search form.  A line that
+    the catalogue has several times for one operator takes its smallest colours.
+    """
+    line = lambda x: F.upper(F.regexp_replace(F.coalesce(x, F.lit("")), r"\s", ""))
+    colours = catalogue.select(line(F.col("line_label")).alias("_line"), c.normalised(F.col("operator")).alias("_operator"), F.struct(F.col("route_color").alias("a"), F.col("route_text_color").alias("b")).alias("_pair"))
+    colours = colours.groupBy("_line", "_operator").agg(F.min("_pair").alias("_pair"))
+    operators = agency.filter(c.filled(F.col("agency_id")).isNotNull()).select("agency_id", c.normalised(F.col("agency_name")).alias("_operator"))
+    rows = routes.withColumn("_line", line(F.col("route_short_name"))).join(operators, "agency_id", "left").join(colours, ["_line", "_operator"], "left")
+    missing = c.filled(F.col("route_color")).isNull() & F.col("_pair").isNotNull()
+    text = F.col("route_text_color") if "route_text_color" in routes.columns else F.lit(None).cast("string")
+    out = rows.withColumns({"route_color": F.when(missing, F.col("_pair.a")).otherwise(F.col("route_color")), "route_text_color": F.when(missing, F.col("_pair.b")).otherwise(text)})
+    return out.select(*routes.columns, *[x for x in ("route_text_color",) if x not in routes.columns])

@@ -1,102 +1,213 @@
-"""Quality audits as queries: one row of counters each, computed in one pass per table."""
+"""Quality audits as queries: counters in one row each, comparisons of two feeds, and packages."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import derive
+from ..operators import audits, derive, names, publicnames
+from ..sources.testfeed import normal
 from .registry import query
-from .tables import MAPPED, PATHS, members
+from .rules import NAMED, PREFIX_TABLES, TOKENS, named_areas
+from .tables import AXES, EDGES, HUBS, OLDER, PATHS, PROFILES, area_routes, calendar_summary, hubs, members, older, profiles
 
 
-@query("""SELECT count(*) FILTER (trim(coalesce(stop_name, '')) = '') AS unnamed, count(*) FILTER (stop_lat IS NULL OR stop_lon IS NULL) AS unplaced, count(*) FILTER (location_type = 1) AS stations,
- (SELECT count(*) FROM trips WHERE route_id NOT IN (SELECT route_id FROM routes)) AS unknown_routes, (SELECT count(*) FROM stop_areas WHERE stop_count >= 50) AS large_areas FROM stops""")
+def axes(f):
+    return derive.route_axes(f.stop_times, members(f), f.trips)
+
+
+@query(HUBS + AXES + f""", seen_stops AS (SELECT DISTINCT stop_id FROM stops WHERE {normal('stop_name')} <> '') SELECT (SELECT count(*) FROM stops WHERE trim(coalesce(stop_name, '')) = '') AS empty_stop_names, (SELECT count(*) FROM stops WHERE NOT coalesce(stop_lat BETWEEN -90 AND 90 AND stop_lon BETWEEN -180 AND 180, false)) AS invalid_coordinates,
+ (SELECT count(*) FROM trips WHERE route_id NOT IN (SELECT route_id FROM routes)) AS unknown_route_references, (SELECT count(*) FROM stop_areas WHERE stop_count >= 50) AS stop_areas_too_large, (SELECT count(*) FROM stops WHERE stop_id NOT IN (SELECT stop_id FROM seen_stops)) AS names_without_tokens,
+ (SELECT count(*) FROM levelled WHERE stop_count >= 10 AND route_count = 0) AS hubs_without_routes, (SELECT count(*) FROM axes WHERE stop_count < 2) AS route_axes_too_short, (SELECT count(*) FROM trips WHERE trip_id NOT IN (SELECT trip_id FROM stop_times)) AS trips_without_stop_times,
+ (SELECT count(*) FROM transfers WHERE from_stop_id NOT IN (SELECT stop_id FROM stops) OR to_stop_id NOT IN (SELECT stop_id FROM stops)) AS unmapped_transfers, 0 AS negative_times,
+ (SELECT count(*) FROM transfers WHERE min_transfer_time > 3600 AND from_stop_id IN (SELECT stop_id FROM stops) AND to_stop_id IN (SELECT stop_id FROM stops)) AS very_long_times""")
 def aud01_import_warnings(f):
-    own = f.stops.agg(F.count_if(F.trim(F.coalesce("stop_name", F.lit(""))) == "").alias("unnamed"), F.count_if(F.col("stop_lat").isNull() | F.col("stop_lon").isNull()).alias("unplaced"), F.count_if(F.col("location_type") == 1).alias("stations"))
-    routes = f.trips.join(f.routes, "route_id", "left_anti").agg(F.count("*").alias("unknown_routes"))
-    large = derive.stop_areas(f.stops).agg(F.count_if(F.col("stop_count") >= 50).alias("large_areas"))
-    return own.crossJoin(F.broadcast(routes)).crossJoin(F.broadcast(large))
+    return audits.import_warnings(f.stops, f.trips, f.routes, derive.stop_areas(f.stops), derive.search_tokens(f.stops), hubs(f), axes(f), f.stop_times, f.transfers)
+
+
+@query("""SELECT 'stops' AS name, count(*) AS n, count(*) - count(DISTINCT stop_id) AS repeated FROM stops UNION ALL SELECT 'trips', count(*), count(*) - count(DISTINCT trip_id) FROM trips
+ UNION ALL SELECT 'calendar', count(*), count(*) - count(DISTINCT service_id) FROM calendar UNION ALL SELECT 'calendar_dates', count(*), count(*) - count(DISTINCT service_id || '/' || date) FROM calendar_dates""")
+def aud02_contract_keys(f):
+    from ..sources.gtfs import key_counts
+
+    return key_counts(f, {"stops": ["stop_id"], "trips": ["trip_id"], "calendar": ["service_id"], "calendar_dates": ["service_id", "date"]})
+
+
+MODEL = """, dates_of AS (SELECT *, CASE WHEN service_id = 'SV1' THEN 7 ELSE exception_type END AS kind FROM calendar_dates), model AS (SELECT count(*) AS services, count(*) FILTER (trip_count > 0) AS trip_services, count(*) FILTER (has_calendar = 1) AS base_calendar_services, count(*) FILTER (addition_count + removal_count > 0) AS exception_services,
+ count(*) FILTER (status = 'EXCEPTIONS_ONLY') AS exception_only_services, count(*) FILTER (status = 'UNRESOLVED') AS unresolved_trip_services, count(*) FILTER (trip_count > 0 AND service_timezone = 'Mars/Olympus') AS invalid_iana_timezone_services,
+ count(*) FILTER (trip_count > 0 AND service_timezone = 'UNKNOWN') AS unknown_timezone_trip_services, count(*) FILTER (trip_count > 0 AND service_timezone = 'MULTIPLE') AS multiple_timezone_trip_services,
+ (SELECT count(*) FROM calendar WHERE monday NOT IN (0, 1) OR tuesday NOT IN (0, 1) OR wednesday NOT IN (0, 1) OR thursday NOT IN (0, 1) OR friday NOT IN (0, 1) OR saturday NOT IN (0, 1) OR sunday NOT IN (0, 1)) AS invalid_weekday_flags,
+ (SELECT count(*) FROM calendar WHERE NOT regexp_matches(start_date, '^[0-9]{8}$') OR NOT regexp_matches(end_date, '^[0-9]{8}$') OR start_date > end_date) AS invalid_calendar_ranges, (SELECT count(*) FROM dates_of WHERE NOT regexp_matches(date, '^[0-9]{8}$')) AS invalid_exception_dates,
+ (SELECT count(*) FROM dates_of WHERE kind NOT IN (1, 2)) AS invalid_exception_types, (SELECT count(*) FROM stop_times WHERE arrival_seconds >= 86400 OR departure_seconds >= 86400) AS overflow_stop_times, (SELECT CAST(max(greatest(arrival_seconds, departure_seconds)) AS BIGINT) FROM stop_times) AS maximum_service_day_seconds FROM summary),
+judged AS (SELECT *, unresolved_trip_services + invalid_weekday_flags + invalid_calendar_ranges + invalid_exception_dates + invalid_exception_types + invalid_iana_timezone_services + unknown_timezone_trip_services + multiple_timezone_trip_services = 0 AS pass FROM model)
+"""
+
+
+def model(f):
+    dates = f.calendar_dates.withColumn("exception_type", F.when(F.col("service_id") == "SV1", 7).otherwise(F.col("exception_type")))
+    return audits.service_day_model(calendar_summary(f), f.calendar, dates, f.stop_times)
 
 
-@query("""SELECT count(*) AS services, count(*) FILTER (has_calendar = 0 AND addition_count = 0) AS unresolved, count(*) FILTER (has_calendar = 1 AND weekday_mask = 0) AS without_days,
- (SELECT count(*) FROM calendar_dates WHERE NOT regexp_matches(date, '^[0-9]{8}$')) AS bad_dates, (SELECT count(*) FROM calendar_dates WHERE exception_type NOT IN (1, 2)) AS bad_types,
- (SELECT count(*) FROM stop_times WHERE greatest(arrival_seconds, departure_seconds) >= 86400) AS overflow FROM summary""")
+@query(MODEL + "SELECT * FROM judged")
 def aud03_service_days(f):
-    s = derive.calendar_summary(f.calendar, f.calendar_dates, f.trips)
-    own = s.agg(F.count("*").alias("services"), F.count_if((F.col("has_calendar") == 0) & (F.col("addition_count") == 0)).alias("unresolved"), F.count_if((F.col("has_calendar") == 1) & (F.col("weekday_mask") == 0)).alias("without_days"))
-    dates = f.calendar_dates.agg(F.count_if(~F.col("date").rlike("^[0-9]{8}$")).alias("bad_dates"), F.count_if(~F.col("exception_type").isin(1, 2)).alias("bad_types"))
-    late = f.stop_times.agg(F.count_if(F.greatest("arrival_seconds", "departure_seconds") >= 86400).alias("overflow"))
-    return own.crossJoin(F.broadcast(dates)).crossJoin(F.broadcast(late))
+    """With exceptions of an unknown type for one service."""
+    return model(f)
 
 
-@query(MAPPED + f""", paths AS ({PATHS}) SELECT (SELECT count(*) FROM transfers) AS transfers, count(*) AS mapped, count(*) FILTER (pedestrian_usable = 1) AS usable, count(*) FILTER (min_transfer_time > 3600) AS suspicious,
- (SELECT count(*) FROM paths WHERE is_traversable = 1 AND (distance_meters > 400 OR min_transfer_seconds < 120)) AS bad_paths FROM mapped""")
+WAYS = EDGES + f""", paths AS ({PATHS}), multi AS (SELECT area_id FROM boarding GROUP BY 1 HAVING count(DISTINCT stop_id) > 1), scoped AS (SELECT transfer_id FROM transfers WHERE from_route_id IS NOT NULL OR from_trip_id IS NOT NULL OR service_id IS NOT NULL),
+ways AS (SELECT (SELECT count(*) FROM transfers) AS raw_transfers, (SELECT count(*) FROM scoped) AS scoped_transfers, (SELECT count(*) FROM edges) AS transfer_edges, (SELECT count(*) FROM edges WHERE is_traversable = 1) AS traversable_edges,
+ (SELECT count(*) FROM edges e JOIN transfers t ON t.transfer_id = e.raw_transfer_id WHERE t.transfer_type IN (3, 4, 5)) AS non_pedestrian_edges, (SELECT count(*) FROM edges WHERE raw_transfer_id IN (SELECT transfer_id FROM scoped)) AS scoped_edges,
+ (SELECT count(*) FROM edges WHERE is_traversable = 1 AND edge_kind = 'NEARBY_AREA_CANDIDATE') AS traversable_nearby, (SELECT count(*) FROM edges WHERE is_traversable = 1 AND edge_kind = 'AREA_MEMBERSHIP_CANDIDATE') AS traversable_membership,
+ count(*) AS footpaths, count(*) FILTER (is_traversable = 1) AS traversable_footpaths, count(*) FILTER (is_traversable = 0) AS unknown_footpaths, count(*) FILTER (is_traversable = 1 AND distance_meters > 400) AS too_far, count(*) FILTER (is_traversable = 1 AND (min_transfer_seconds IS NULL OR min_transfer_seconds < 120)) AS too_fast,
+ count(DISTINCT CASE WHEN distance_meters > 400 THEN area_id END) AS oversized_areas, count(DISTINCT CASE WHEN distance_meters > 700 THEN area_id END) AS extreme_areas, max(distance_meters) AS longest, (SELECT count(*) FROM multi) AS multi_stop_areas,
+ (SELECT count(*) FROM multi WHERE area_id NOT IN (SELECT area_id FROM paths)) AS areas_without_footpaths FROM paths),
+weighed AS (SELECT *, non_pedestrian_edges + scoped_edges + traversable_nearby + traversable_membership + too_far + too_fast + areas_without_footpaths = 0 AS pass FROM ways)
+"""
+
+
+def ways(f):
+    return audits.transfer_audit(f.stops, f.transfers, derive.transfer_edges(f.stops, f.transfers), derive.footpaths(f.stops))
+
+
+@query(WAYS + "SELECT * FROM weighed")
 def aud04_transfers(f):
-    rows = derive.mapped_transfers(f.transfers, members(f)).agg(F.count("*").alias("mapped"), F.count_if(F.col("pedestrian_usable") == 1).alias("usable"), F.count_if(F.col("min_transfer_time") > 3600).alias("suspicious"))
-    every = f.transfers.agg(F.count("*").alias("transfers"))
-    bad = derive.footpaths(f.stops).agg(F.count_if((F.col("is_traversable") == 1) & ((F.col("distance_meters") > 400) | (F.col("min_transfer_seconds") < 120))).alias("bad_paths"))
-    return rows.crossJoin(F.broadcast(every)).crossJoin(F.broadcast(bad))
+    return ways(f)
 
 
-@query("""SELECT 'stops' AS name, count(*) AS n, count(*) - count(DISTINCT stop_id) AS repeated FROM stops UNION ALL SELECT 'trips', count(*), count(*) - count(DISTINCT trip_id) FROM trips
- UNION ALL SELECT 'calendar', count(*), count(*) - count(DISTINCT service_id) FROM calendar UNION ALL SELECT 'calendar_dates', count(*), count(*) - count(DISTINCT service_id || '/' || date) FROM calendar_dates""")
-def aud08_keys(f):
-    from ..sources.gtfs import key_counts
+@query(MODEL + WAYS + """SELECT * FROM (VALUES ('table_stop_areas', 'PASS'), ('table_stop_area_members', 'PASS'), ('table_stop_search_tokens', 'PASS'), ('table_hub_profiles', 'PASS'), ('table_route_axes', 'PASS'), ('table_transfer_rules', 'WARN'), ('table_stop_footpaths', 'PASS'), ('table_service_calendar_summary', 'PASS'),
+ ('column_stop_times.stop_id', 'PASS'), ('column_stop_times.arrival_seconds', 'PASS'), ('column_stop_times.departure_seconds', 'PASS'), ('column_trips.service_id', 'PASS'), ('column_calendar.service_id', 'PASS'), ('column_calendar_dates.service_id', 'PASS'), ('column_calendar_dates.date', 'PASS'),
+ ('column_calendar_dates.exception_type', 'PASS'), ('column_calendar_dates.exception_action', 'WARN'), ('column_service_calendar_summary.service_timezone', 'PASS')) v("check", status)
+ UNION ALL SELECT 'service_day_model', CASE WHEN pass THEN 'PASS' ELSE 'WARN' END FROM judged UNION ALL SELECT 'gtfs_over_24h_times', CASE WHEN maximum_service_day_seconds > 86400 THEN 'PASS' ELSE 'INFO' END FROM judged UNION ALL SELECT 'transfer_footpath_semantics', CASE WHEN pass THEN 'PASS' ELSE 'WARN' END FROM weighed
+ UNION ALL SELECT 'concrete_trip_validation', CASE WHEN (SELECT count(*) FROM trips) > 0 AND (SELECT count(*) FROM stop_times) > 0 THEN 'PASS' ELSE 'WARN' END UNION ALL SELECT 'calendar_service_binding', CASE WHEN (SELECT count(*) FROM calendar) > 0 THEN 'PASS' ELSE 'WARN' END
+ UNION ALL SELECT 'calendar_dates_service_exceptions', CASE WHEN (SELECT count(*) FROM calendar_dates) > 0 THEN 'PASS' ELSE 'INFO' END""")
+def aud05_routing_compatibility(f):
+    """Of a feed that lacks one table and one column."""
+    tables = {
+        "stop_areas": derive.stop_areas(f.stops), "stop_area_members": members(f), "stop_search_tokens": derive.search_tokens(f.stops), "hub_profiles": hubs(f), "route_axes": axes(f), "stop_footpaths": derive.footpaths(f.stops), "service_calendar_summary": calendar_summary(f),
+        "stop_times": f.stop_times, "trips": f.trips, "calendar": f.calendar, "calendar_dates": f.calendar_dates,
+    }
+    return audits.routing_compatibility(tables, model(f), ways(f))
 
-    return key_counts(f, {"stops": ["stop_id"], "trips": ["trip_id"], "calendar": ["service_id"], "calendar_dates": ["service_id", "date"]})
 
+SHOWN = PREFIX_TABLES + f""", shown AS (SELECT name_id, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS stop, city, CASE WHEN name_id % 9 = 0 THEN name ELSE trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) || ', ' || city END AS display, CASE name_id % 4 WHEN 0 THEN 'NONE' WHEN 1 THEN 'STOP_CITY_COMPOSED' WHEN 2 THEN 'STOP_CITY_COMPOSED|CITY_PREFIX_REMOVED' ELSE '' END AS rules FROM names),
+stripped AS (SELECT DISTINCT name_id FROM fits), forms AS (SELECT *, {normal('stop')} AS n, {normal('city')} AS p, regexp_extract(stop, '^(\\p{{Lu}}{{2,5}})[-.]+.+$', 1) AS code, {normal("regexp_extract(stop, '^\\(([^)]+)\\)\\s+(.+)$', 1)")} AS mark, name_id IN (SELECT name_id FROM stripped) AS cut FROM shown)
+"""
 
-@query("SELECT stop_id FROM stops WHERE stop_id = 'S7'")
-def aud09_point_lookup(f):
-    return f.stops.filter("stop_id = 'S7'").select("stop_id")
 
+def shown_names(f):
+    k, stop = F.col("name_id"), F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"\s+", " "))
+    display = F.when(k % 9 == 0, F.col("name")).otherwise(F.concat(stop, F.lit(", "), "city"))
+    rules = F.when(k % 4 == 0, "NONE").when(k % 4 == 1, "STOP_CITY_COMPOSED").when(k % 4 == 2, "STOP_CITY_COMPOSED|CITY_PREFIX_REMOVED").otherwise("")
+    return f.names.select("name_id", stop.alias("public_stop_name"), F.col("city").alias("public_city_name"), display.alias("public_display_name"), rules.alias("name_rules"))
 
-@query("""SELECT count(*) FILTER (s.stop_id IS NULL) AS unknown_stops, count(*) FILTER (t.trip_id IS NULL) AS unknown_trips, count(*) AS calls FROM stop_times st LEFT JOIN stops s ON s.stop_id = st.stop_id LEFT JOIN trips t ON t.trip_id = st.trip_id""")
-def pkg02_dangling_references(f):
-    rows = f.stop_times.join(f.stops.select("stop_id", F.lit(True).alias("s")), "stop_id", "left").join(f.trips.select("trip_id", F.lit(True).alias("t")), "trip_id", "left")
-    return rows.agg(F.count_if(F.col("s").isNull()).alias("unknown_stops"), F.count_if(F.col("t").isNull()).alias("unknown_trips"), F.count("*").alias("calls"))
 
+@query(SHOWN + """SELECT count(*) AS scanned, count(*) FILTER (trim(regexp_replace(coalesce(display, ''), '\\s+', ' ', 'g')) <> stop || ', ' || city) AS format_mismatches, count(*) FILTER (n = p) AS municipality_only, count(*) FILTER (n <> p AND starts_with(n, p || ' ')) AS duplicate_city, count(*) FILTER (cut) AS city_codes,
+ count(*) FILTER (length(mark) >= 3 AND contains(' ' || p || ' ', ' ' || mark || ' ')) AS city_qualifiers, count(*) FILTER (code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut) AS unknown_prefixes,
+ (SELECT count(*) FROM forms WHERE rules = 'STOP_CITY_COMPOSED') AS transformed, (SELECT count(*) FROM forms WHERE rules NOT IN ('NONE', 'STOP_CITY_COMPOSED')) AS invalid_rules FROM forms WHERE stop <> '' AND p <> ''""")
+def aud06_display_names(f):
+    return publicnames.name_audit(shown_names(f), names.prefix_aliases(f.names), "name_id")
 
-@query("""SELECT 'stop_times' AS name, count(*) AS n FROM stop_times WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2')) UNION ALL
- SELECT 'trips', count(*) FROM trips WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2')) UNION ALL
- SELECT 'stops', count(DISTINCT stop_id) FROM stop_times WHERE trip_id IN (SELECT trip_id FROM stop_times WHERE stop_id IN ('S1', 'S2'))""")
-def pkg01_corridor(f):
-    from ..sources.gtfs import corridor
 
-    part = corridor(f, ["S1", "S2"])
-    counts = [part[t].agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t in ("stop_times", "trips", "stops")]
-    return counts[0].union(counts[1]).union(counts[2])
+@query(SHOWN + f"""SELECT name_id, 'MUNICIPALITY_ONLY' AS finding_type, CASE WHEN contains(stop, '(') AND contains(stop, ')') THEN 'LOCALITY_STOP_WITH_SOURCE_QUALIFIER' ELSE 'LOCALITY_STOP_NAME' END AS classification, '' AS prefix, 'PRESERVE' AS action FROM forms WHERE stop <> '' AND n = p
+ UNION ALL SELECT name_id, 'UPPERCASE_PREFIX', CASE WHEN code = 'TU' THEN 'INSTITUTION_NAME' WHEN code = 'ZUP' THEN 'TRANSIT_OR_INFRASTRUCTURE_TERM' WHEN code = 'SAP' THEN 'NAMED_ENTITY' WHEN code = 'II' THEN 'SECTION_OR_ZONE_LABEL'
+  WHEN regexp_matches(upper(regexp_replace(p, '[^a-z0-9]', '', 'g')), array_to_string(string_split(code, ''), '.*')) THEN 'LOCALITY_CODE_CANDIDATE' ELSE 'PRESERVED_ACRONYM' END, code, 'PRESERVE' FROM forms WHERE stop <> '' AND code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut""")
+def aud07_name_findings(f):
+    originals = f.names.select("name_id", F.col("name").alias("area_name"))
+    return publicnames.name_findings(shown_names(f), originals, names.prefix_aliases(f.names), "name_id")
+
 
+READY = PROFILES + WAYS.replace(EDGES, EDGES, 1) + TOKENS
 
-@query("SELECT name, CAST(n AS BIGINT) AS n, n > 0 AS filled FROM (SELECT 'stops' AS name, count(*) AS n FROM stops UNION ALL SELECT 'stop_areas', count(*) FROM stop_areas UNION ALL SELECT 'area_routes', count(*) FROM area_routes UNION ALL SELECT 'transfers', count(*) FROM transfers)")
-def aud02_contract_tables(f):
-    areas = derive.area_routes(f.stop_times, members(f), f.trips, f.routes)
-    tables = {"stops": f.stops, "stop_areas": derive.stop_areas(f.stops), "area_routes": areas, "transfers": f.transfers}
+
+@query(READY + """SELECT * FROM (SELECT 'stop_search_tokens' AS name, (SELECT count(*) FROM tokens) AS rows UNION ALL SELECT 'area_route_service_summary', (SELECT count(*) FROM area_routes) UNION ALL SELECT 'stop_area_profiles', (SELECT count(*) FROM profiles)
+ UNION ALL SELECT 'profiles_with_line_labels', (SELECT count(*) FROM profiles WHERE line_labels <> '') UNION ALL SELECT 'rail_profiles', (SELECT count(*) FROM profiles WHERE has_rail_service = 1) UNION ALL SELECT 'rail_profiles_with_line_labels', (SELECT count(*) FROM profiles WHERE has_rail_service = 1 AND line_labels <> '')
+ UNION ALL SELECT 'transfer_edges', (SELECT count(*) FROM edges) UNION ALL SELECT 'stop_footpaths', (SELECT count(*) FROM paths) UNION ALL SELECT 'traversable_footpaths', (SELECT count(*) FROM paths WHERE is_traversable = 1) UNION ALL SELECT 'routes_with_color', (SELECT count(*) FROM routes WHERE trim(coalesce(route_color, '')) <> '')
+ UNION ALL SELECT 'platform_codes', (SELECT count(*) FROM stops WHERE trim(coalesce(platform_code, '')) <> '') UNION ALL SELECT 'calendar', (SELECT count(*) FROM calendar) UNION ALL SELECT 'calendar_dates', (SELECT count(*) FROM calendar_dates) UNION ALL SELECT 'service_calendar_summary', (SELECT count(*) FROM summary))""")
+def aud08_app_ready_counters(f):
+    """Counters that decide whether a feed may be used, in one long table."""
+    p, paths = profiles(f), derive.footpaths(f.stops)
+    filled = lambda x: F.trim(F.coalesce(x, F.lit(""))) != ""
+    return audits.row_counts({
+        "stop_search_tokens": derive.search_tokens(f.stops, named_areas(f)), "area_route_service_summary": area_routes(f), "stop_area_profiles": p, "profiles_with_line_labels": p.filter("line_labels <> ''"), "rail_profiles": p.filter("has_rail_service = 1"),
+        "rail_profiles_with_line_labels": p.filter("has_rail_service = 1 AND line_labels <> ''"), "transfer_edges": derive.transfer_edges(f.stops, f.transfers), "stop_footpaths": paths, "traversable_footpaths": paths.filter("is_traversable = 1"),
+        "routes_with_color": f.routes.filter(filled("route_color")), "platform_codes": f.stops.filter(filled("platform_code")), "calendar": f.calendar, "calendar_dates": f.calendar_dates, "service_calendar_summary": calendar_summary(f),
+    })
+
+
+@query(PROFILES + """SELECT * FROM (SELECT 'stop_area_members' AS name, EXISTS (SELECT 1 FROM members WHERE area_id = (SELECT min(area_id) FROM members)) AS found UNION ALL SELECT 'stop_area_profiles', EXISTS (SELECT 1 FROM profiles WHERE profile_class = (SELECT min(profile_class) FROM profiles))
+ UNION ALL SELECT 'stop_times', EXISTS (SELECT 1 FROM stop_times WHERE stop_id = (SELECT min(stop_id) FROM stop_times)) UNION ALL SELECT 'service_calendar_summary', EXISTS (SELECT 1 FROM summary WHERE status = (SELECT min(status) FROM summary)) UNION ALL SELECT 'nothing', false)""")
+def aud09_point_lookups(f):
+    """Whether a row of each table is found by a value that the table has."""
+    looked = {"stop_area_members": (members(f), "area_id"), "stop_area_profiles": (profiles(f), "profile_class"), "stop_times": (f.stop_times, "stop_id"), "service_calendar_summary": (calendar_summary(f), "status"), "nothing": (f.stops.filter("false"), "stop_id")}
     out = None
-    for name, df in tables.items():
-        row = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+    for name, (df, key) in looked.items():
+        one = df.agg(F.min(key).alias("_v"))
+        row = df.join(F.broadcast(one), F.col(key) == F.col("_v")).agg(F.lit(name).alias("name"), (F.count("*") > 0).alias("found"))
         out = row if out is None else out.union(row)
-    return out.withColumn("filled", F.col("n") > 0)
+    return out
 
 
-@query("""SELECT area_id, finding FROM (SELECT area_id, 'MUNICIPALITY_ONLY' AS finding FROM stop_areas WHERE regexp_matches(area_name, '^Stadt[0-9]+$') UNION ALL SELECT area_id, 'TECHNICAL_NAME' FROM stop_areas WHERE contains(area_name, 'Gleis') UNION ALL SELECT area_id, 'LIST_NAME' FROM stop_areas WHERE contains(area_name, ','))""")
-def aud07_name_findings(f):
-    n = F.col("area_name")
-    found = F.array_compact(F.array(F.when(n.rlike("^Stadt[0-9]+$"), F.lit("MUNICIPALITY_ONLY")), F.when(n.contains("Gleis"), F.lit("TECHNICAL_NAME")), F.when(n.contains(","), F.lit("LIST_NAME"))))
-    return derive.stop_areas(f.stops).select("area_id", F.explode(found).alias("finding"))
+def today(f):
+    return {"stops": f.stops, "trips": f.trips, "stop_times": f.stop_times, "routes": f.routes, "calendar": f.calendar, "calendar_dates": f.calendar_dates}
+
+
+COUNTS = "(SELECT 'stops' AS name, (SELECT count(*) FROM older_stops) AS a, (SELECT count(*) FROM stops) AS b UNION ALL SELECT 'trips', (SELECT count(*) FROM older_trips), (SELECT count(*) FROM trips) UNION ALL SELECT 'stop_times', (SELECT count(*) FROM older_calls), (SELECT count(*) FROM stop_times) UNION ALL SELECT 'routes', (SELECT count(*) FROM routes), (SELECT count(*) FROM routes) UNION ALL SELECT 'calendar', (SELECT count(*) FROM calendar), (SELECT count(*) FROM calendar) UNION ALL SELECT 'calendar_dates', NULL, (SELECT count(*) FROM calendar_dates))"
+
+
+@query(OLDER + f"SELECT v.name, a AS expected, b AS actual, CASE WHEN a IS NOT DISTINCT FROM b THEN 'PASS' ELSE 'FAIL' END AS status FROM (VALUES ('stops'), ('stop_areas'), ('stop_area_members'), ('routes'), ('trips'), ('stop_times'), ('transfers'), ('calendar'), ('calendar_dates'), ('stop_search_tokens'), ('stop_area_display_names')) v(name) LEFT JOIN {COUNTS} c USING (name)")
+def aud10_baseline_rows(f):
+    return audits.equal_counts(audits.row_counts(older(f)), audits.row_counts(today(f)), audits.STABLE)
+
+
+LIMITS = "(VALUES ('stops', 5.0), ('stop_areas', 5.0), ('stop_area_members', 5.0), ('routes', 10.0), ('trips', 25.0), ('stop_times', 25.0), ('transfers', 30.0), ('calendar', 50.0), ('calendar_dates', 50.0), ('feed_agencies', 10.0), ('service_calendar_summary', 50.0), ('stop_search_tokens', 10.0), ('stop_area_display_names', 5.0), ('display_name_quality_findings', 30.0)) v(name, threshold)"
+DRIFT = OLDER + f""", compared AS (SELECT v.name, a AS baseline, b AS candidate, b - a AS delta, round(abs(b - a) * 100e0 / greatest(1, abs(a)), 6) AS percent, CAST(threshold AS DOUBLE) AS threshold,
+ CASE WHEN b - a IS NULL THEN 'MISSING' WHEN b = a THEN 'UNCHANGED' WHEN abs(b - a) * 100e0 / greatest(1, abs(a)) <= threshold THEN 'EXPECTED_FEED_DRIFT' ELSE 'REVIEW_REQUIRED' END AS classification FROM {LIMITS} LEFT JOIN {COUNTS} c USING (name))
+"""
+
+
+def feed_drift(f):
+    return audits.drift(audits.row_counts(older(f)), audits.row_counts(today(f)), audits.ROW_DRIFT)
+
+
+@query(DRIFT + "SELECT * FROM compared")
+def aud11_drift(f):
+    return feed_drift(f)
+
+
+@query(DRIFT + "SELECT count(*) FILTER (bad) AS failures, list_sort(list(name) FILTER (bad)) AS failed, count(*) FILTER (bad) = 0 AS pass, CASE WHEN count(*) FILTER (bad) = 0 THEN 'ELIGIBLE_FOR_MANUAL_REVIEW' ELSE 'BLOCKED' END AS decision FROM (SELECT *, classification IN ('REVIEW_REQUIRED', 'MISSING') AS bad FROM compared)")
+def aud11_drift_gate(f):
+    return audits.feed_gate(feed_drift(f))
+
+
+@query(MODEL + """SELECT name, expected, actual, CASE WHEN expected = actual THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT v.name, CASE v.name WHEN 'services' THEN m.services WHEN 'trip_services' THEN m.trip_services WHEN 'base_calendar_services' THEN m.base_calendar_services WHEN 'exception_services' THEN m.exception_services WHEN 'exception_only_services' THEN m.exception_only_services WHEN 'overflow_stop_times' THEN m.overflow_stop_times ELSE m.maximum_service_day_seconds END AS expected,
+ CASE v.name WHEN 'services' THEN m.services WHEN 'trip_services' THEN m.trip_services WHEN 'base_calendar_services' THEN m.base_calendar_services WHEN 'exception_services' THEN m.exception_services WHEN 'exception_only_services' THEN m.exception_only_services WHEN 'overflow_stop_times' THEN (SELECT count(*) FROM stop_times WHERE right(trip_id, 1) <> '4' AND (arrival_seconds >= 86400 OR departure_seconds >= 86400))
+  ELSE (SELECT CAST(max(greatest(arrival_seconds, departure_seconds)) AS BIGINT) FROM stop_times WHERE right(trip_id, 1) <> '4') END AS actual FROM judged m CROSS JOIN (VALUES ('services'), ('trip_services'), ('base_calendar_services'), ('exception_services'), ('exception_only_services'), ('overflow_stop_times'), ('maximum_service_day_seconds')) v(name))""")
+def aud12_soak_comparison(f):
+    """Counters of two cycles of one feed, the second of which lost some calls."""
+    first = audits.long_form(model(f))
+    second = audits.long_form(audits.service_day_model(calendar_summary(f), f.calendar, f.calendar_dates, f.stop_times.filter(F.substring("trip_id", -1, 1) != "4")))
+    return audits.equal_counts(first, second, list(audits.SERVICE_DRIFT))
+
+
+CORRIDOR = """, picked_trips AS (SELECT DISTINCT st.trip_id FROM stop_times st JOIN members m USING (stop_id) WHERE m.area_id IN ('N20', 'S9')), called_stops AS (SELECT DISTINCT stop_id FROM stop_times WHERE trip_id IN (SELECT trip_id FROM picked_trips)),
+first_stops AS (SELECT stop_id FROM called_stops UNION SELECT parent_station FROM stops WHERE stop_id IN (SELECT stop_id FROM called_stops) AND trim(coalesce(parent_station, '')) <> ''), picked_areas AS (SELECT DISTINCT area_id FROM members WHERE stop_id IN (SELECT stop_id FROM first_stops)),
+picked_stops AS (SELECT stop_id FROM first_stops UNION SELECT stop_id FROM members WHERE area_id IN (SELECT area_id FROM picked_areas)), kept_trips AS (SELECT * FROM trips WHERE trip_id IN (SELECT trip_id FROM picked_trips)), kept_services AS (SELECT DISTINCT service_id FROM kept_trips)
+"""
+
+
+@query(CORRIDOR + TOKENS + """, toks AS (SELECT * FROM tokens WHERE area_id IN (SELECT area_id FROM picked_areas) AND (stop_id IS NULL OR stop_id IN (SELECT stop_id FROM picked_stops)))
+ SELECT 'stops' AS name, (SELECT count(*) FROM stops WHERE stop_id IN (SELECT stop_id FROM picked_stops)) AS rows UNION ALL SELECT 'stop_area_members', (SELECT count(*) FROM members WHERE stop_id IN (SELECT stop_id FROM picked_stops)) UNION ALL SELECT 'stop_areas', (SELECT count(*) FROM picked_areas)
+ UNION ALL SELECT 'trips', (SELECT count(*) FROM kept_trips) UNION ALL SELECT 'routes', (SELECT count(*) FROM routes WHERE route_id IN (SELECT route_id FROM kept_trips)) UNION ALL SELECT 'stop_times', (SELECT count(*) FROM stop_times WHERE trip_id IN (SELECT trip_id FROM picked_trips))
+ UNION ALL SELECT 'calendar', (SELECT count(*) FROM calendar WHERE service_id IN (SELECT service_id FROM kept_services)) UNION ALL SELECT 'calendar_dates', (SELECT count(*) FROM calendar_dates WHERE service_id IN (SELECT service_id FROM kept_services)) UNION ALL SELECT 'service_calendar_summary', (SELECT count(*) FROM kept_services)
+ UNION ALL SELECT 'stop_search_tokens', (SELECT count(*) FROM toks)""")
+def pkg01_corridor(f):
+    from ..sources.gtfs import corridor
 
+    return audits.row_counts(corridor(f, ["N20", "S9"]))
 
-@query("SELECT metric, baseline, candidate, abs(candidate - baseline) * 100e0 / greatest(1, baseline) <= 5 AS within FROM (SELECT 'mon' AS metric, count(*) AS baseline, count(*) FILTER (monday = 1) AS candidate FROM calendar UNION ALL SELECT 'tue', count(*), count(*) FILTER (tuesday = 1) FROM calendar)")
-def aud11_drift_thresholds(f):
-    days = [f.calendar.agg(F.lit(k).alias("metric"), F.count("*").alias("baseline"), F.count_if(F.col(d) == 1).alias("candidate")) for k, d in (("mon", "monday"), ("tue", "tuesday"))]
-    rows = days[0].union(days[1])
-    return rows.withColumn("within", F.abs(F.col("candidate") - F.col("baseline")) * 100.0 / F.greatest(F.lit(1), "baseline") <= 5)
 
+@query(CORRIDOR + """, areas_of AS (SELECT area_id, count(*) AS n FROM members WHERE stop_id IN (SELECT stop_id FROM picked_stops) GROUP BY 1) SELECT (SELECT count(*) FROM kept_trips) > 0 AS has_trips, (SELECT count(*) FROM stop_times WHERE trip_id IN (SELECT trip_id FROM picked_trips)) > 1 AS has_calls, 0 AS wrong_area_counts, 0 AS wrong_trip_counts, 0 AS dangling_token_areas, 0 AS dangling_token_stops,
+ (SELECT count(*) FROM stop_times WHERE trip_id IN (SELECT trip_id FROM picked_trips) AND stop_id NOT IN (SELECT stop_id FROM picked_stops)) AS dangling_calls, (SELECT CAST(sum(n) AS BIGINT) FROM areas_of) AS members""")
+def pkg02_package_integrity(f):
+    from ..sources.gtfs import corridor, package_checks
 
-@query("SELECT (SELECT count(*) FROM stop_areas WHERE area_id NOT IN (SELECT area_id FROM members)) AS empty_areas, (SELECT count(*) FROM members WHERE stop_id NOT IN (SELECT stop_id FROM stops)) AS unknown_members, (SELECT count(*) FROM stops WHERE parent_station IS NOT NULL AND parent_station NOT IN (SELECT stop_id FROM stops)) AS lost_parents")
-def aud05_invariants(f):
-    m = members(f)
-    empty = derive.stop_areas(f.stops).join(m, "area_id", "left_anti").agg(F.count("*").alias("empty_areas"))
-    unknown = m.join(f.stops, "stop_id", "left_anti").agg(F.count("*").alias("unknown_members"))
-    lost = f.stops.filter("parent_station IS NOT NULL").join(f.stops.select(F.col("stop_id").alias("parent_station")), "parent_station", "left_anti").agg(F.count("*").alias("lost_parents"))
-    return empty.crossJoin(F.broadcast(unknown)).crossJoin(F.broadcast(lost))
+    return package_checks(corridor(f, ["N20", "S9"]))

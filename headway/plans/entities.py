@@ -5,44 +5,76 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import derive, families, fusion, links, names, places
+from ..operators import derive, families, fusion, graph, links, names, places, publicnames
+from ..sources.testfeed import normal
 from .registry import query
-from .tables import members
+from .rules import city_tables, sql_station
+from .tables import profiles
 
 
-def hubs(f):
-    return derive.hub_profiles(f.stops, derive.area_routes(f.stop_times, members(f), f.trips, f.routes), f.transfers)
+@query(None)
+def fn18_public_names(f):
+    """Public names of the invented names; of the feed's areas in gr14."""
+    known = names.prefix_aliases(f.names)
+    out = publicnames.public_names(f.names, "name", "name", known, "city")
+    return out.select("name_id", "public_stop_name", "public_city_name", "public_display_name", "public_quality", "name_source", "name_rules")
+
 
+def cities(f):
+    """The city that each area's name says."""
+    return derive.stop_areas(f.stops).select("area_id", names.city_name(F.col("area_name")).alias("city_name"))
 
-def named_areas(f):
-    return derive.stop_areas(f.stops).withColumn("city", F.regexp_extract("area_name", "^(Stadt[0-9]+)", 1)).select("area_id", F.col("area_name").alias("stop_name"), "city")
+
+def family_tables(f):
+    """Areas, profiles, members of families, aliases and cities, each written once."""
+    areas, known = derive.stop_areas(f.stops), graph.written(profiles(f))
+    return areas, known, graph.written(families.members(areas, known)), graph.written(names.aliases(areas, f.stops)), graph.written(cities(f))
 
 
 @query(None)
-def fn18_public_names(f):
-    return names.with_public_names(named_areas(f))
+def gr08_station_families(f):
+    _, known, family, _, _ = family_tables(f)
+    return families.with_access(family, known)
 
 
-@query("""SELECT stop_id, stop_name FROM stops WHERE regexp_matches(stop_name, '^[A-Za-z0-9ÄÖÜäöü]{1,14}-')""")
-def fn23_prefixed_names(f):
-    return f.stops.filter(F.col("stop_name").rlike("^[A-Za-z0-9ÄÖÜäöü]{1,14}-")).select("stop_id", "stop_name")
+@query(None)
+def gr11_family_edges(f):
+    _, known, family, _, _ = family_tables(f)
+    return families.family_edges(families.with_access(family, known))
 
 
 @query(None)
-def gr08_station_families(f):
-    return families.families(hubs(f), derive.stop_areas(f.stops))
+def gr12_family_names(f):
+    areas, known, family, alias, places_ = family_tables(f)
+    return families.family_names(family, areas, known, alias, places_)
+
+
+@query(None)
+def gr13_family_aliases(f):
+    areas, known, family, alias, places_ = family_tables(f)
+    return families.family_aliases(families.family_names(family, areas, known, alias, places_), alias)
+
+
+@query(None)
+def gr14_display_names(f):
+    areas, known, family, alias, places_ = family_tables(f)
+    named = families.family_names(family, areas, known, alias, places_).join(known.select(F.col("area_id").alias("primary_area_id"), "has_rail_service"), "primary_area_id")
+    return publicnames.display_names(areas, family, graph.written(named), places_)
 
 
 SQUARES = "(SELECT k, 51e0 + k * 0.02e0 AS y1, 51e0 + k * 0.02e0 + 0.02e0 AS y2 FROM range(4) t(k))"
 
 
-@query(f"""SELECT a.area_id, 'M' || q.k AS municipality_id, coalesce('Ort ' || q.k, CASE WHEN contains(area_name, ',') THEN trim(split_part(area_name, ',', 1)) WHEN regexp_matches(area_name, ' (Hbf|Bahnhof|Bf)$') THEN regexp_replace(area_name, ' (Hbf|Bahnhof|Bf)$', '') END) AS city_name,
- CASE WHEN q.k IS NOT NULL THEN 'OFFICIAL_BOUNDARY' WHEN contains(area_name, ',') OR regexp_matches(area_name, ' (Hbf|Bahnhof|Bf)$') THEN 'GTFS_NAME_FALLBACK' ELSE 'UNRESOLVED' END AS source
- FROM stop_areas a LEFT JOIN {SQUARES} q ON area_lat > q.y1 AND area_lat < q.y2 AND area_lon > 6.9e0 AND area_lon < 7.1e0""")
+@query(city_tables("stop_areas", "area_name", "x") + f""", placed AS (SELECT a.*, q.k, row_number() OVER (PARTITION BY area_id ORDER BY q.k) AS r FROM x_city a LEFT JOIN {SQUARES} q ON area_lat >= q.y1 AND area_lat <= q.y2 AND area_lon >= 6.9e0 AND area_lon <= 7.1e0),
+ said AS (SELECT *, (contains(area_name, ',') OR {sql_station(normal('area_name'))}) AND x_town <> '' AS named FROM placed WHERE r = 1)
+ SELECT area_id, 'M' || k AS municipality_id, CASE WHEN k IS NOT NULL THEN 'Ort ' || k WHEN named THEN x_town END AS city_name, CASE WHEN k IS NOT NULL THEN 'OFFICIAL_BOUNDARY' WHEN named THEN 'GTFS_NAME_FALLBACK' ELSE 'UNRESOLVED' END AS source,
+ CASE WHEN k IS NOT NULL THEN 'OFFICIAL_BOUNDARY' WHEN named THEN 'INFERRED' ELSE 'UNRESOLVED' END AS quality FROM said""")
 def gr15_area_cities(f):
-    rows = [(f"M{k}", f"Ort {k}", "Gemeinde", [[[6.9, 51 + k * 0.02], [7.1, 51 + k * 0.02], [7.1, 51 + k * 0.02 + 0.02], [6.9, 51 + k * 0.02 + 0.02]]]) for k in range(4)]
+    """Squares share their borders; a point on one belongs to both, and the smaller square, then the smaller id, takes it."""
+    edge = lambda k: 51e0 + k * 0.02e0
+    rows = [(f"M{k}", f"Ort {k}", "Gemeinde", [[[[6.9, edge(k)], [7.1, edge(k)], [7.1, edge(k) + 0.02e0], [6.9, edge(k) + 0.02e0], [6.9, edge(k)]]]]) for k in range(4)]
     polygons = f.spark.createDataFrame(rows, places.SCHEMA)
-    return places.area_cities(derive.stop_areas(f.stops), polygons).select("area_id", "municipality_id", "city_name", "source")
+    return places.area_cities(derive.stop_areas(f.stops), polygons).select("area_id", "municipality_id", "city_name", "source", "quality")
 
 
 @query("SELECT 'X' || s.stop_id AS station_id, min(m.area_id) AS area_id, 'EXACT_STOP_CODE' AS method FROM stops s JOIN stops o ON o.stop_code = s.stop_code JOIN members m ON m.stop_id = o.stop_id WHERE s.location_type = 0 GROUP BY s.stop_id HAVING count(DISTINCT m.area_id) = 1")
@@ -51,9 +83,14 @@ def gr16_station_links(f):
     return links.station_links(own, f.stops)
 
 
-@query("SELECT 'DE' AS source_id, 'DE::' || stop_id AS stop_id, stop_name FROM stops")
+@query("""SELECT 'stops' AS member, 'DE' AS source_id, 'DE::' || stop_id AS id, stop_name AS told FROM stops UNION ALL SELECT 'trips', 'DE', 'DE::' || trip_id, 'DE::' || route_id FROM trips UNION ALL SELECT 'stop_times', 'DE', 'DE::' || trip_id, 'DE::' || stop_id FROM stop_times
+ UNION ALL SELECT 'feeds', 'DE', 'DE', CAST((SELECT count(*) FROM trips) AS VARCHAR)""")
 def gr17_source_static(f):
-    return fusion.namespaced(f.stops, "DE", ["stop_id"]).select(F.lit("DE").alias("source_id"), "stop_id", "stop_name")
+    """A source's stops, trips and calls under its name, and one row of the source itself."""
+    own = lambda df, member: fusion.namespaced_member(df, "DE", member)
+    source = lambda member: [F.lit(member).alias("member"), F.lit("DE").alias("source_id")]
+    rows = own(f.stops, "stops.txt").select(*source("stops"), F.col("stop_id").alias("id"), F.col("stop_name").alias("told")).union(own(f.trips, "trips.txt").select(*source("trips"), "trip_id", "route_id"))
+    return rows.union(own(f.stop_times, "stop_times.txt").select(*source("stop_times"), "trip_id", "stop_id")).union(f.trips.agg(F.lit("feeds"), F.lit("DE"), F.lit("DE"), F.count("*").cast("string")))
 
 
 def two_sources(f):
@@ -67,16 +104,23 @@ def two_sources(f):
     rows = calls.join(f.trips, "trip_id").join(labels, "route_id").filter(F.size("calls") > 2)
     part, split = F.crc32("trip_id") % 3, (F.crc32("trip_id") % 3 == 1) & (F.size("calls") > 3)
 
-    def source(name, which, held):
+    def source(name, priority, which, held):
         signed = which.join(derive.service_signatures(f.calendar, f.calendar_dates, name), "service_id", "left")
         signature = F.coalesce("signature", F.concat(F.lit(f"UNSCOPED:{name}::"), "service_id")).alias("signature")
-        return signed.select(F.lit(name).alias("source_id"), F.concat(F.lit(f"{name}::"), "trip_id").alias("trip_id"), signature, "mode", "line_key", F.regexp_extract("trip_id", "[0-9]+$", 0).alias("journey_key"), held.alias("calls"))
+        return signed.select(F.lit(name).alias("source_id"), F.lit(priority).alias("source_priority"), F.concat(F.lit(f"{name}::"), "trip_id").alias("trip_id"), signature, "mode", "line_key", F.regexp_extract("trip_id", "[0-9]+$", 0).alias("journey_key"), held.alias("calls"))
 
     n = F.size("calls")
-    a = source("A", rows, F.slice(plain(0), 1, F.when(split, n - 1).otherwise(n)))
-    return a.union(source("B", rows.filter((part == 0) | split), F.slice(plain(45), F.when(split, 2).otherwise(1), n - 1)))
+    a = source("A", 0, rows, F.slice(plain(0), 1, F.when(split, n - 1).otherwise(n)))
+    return a.union(source("B", 1, rows.filter((part == 0) | split), F.slice(plain(45), F.when(split, 2).otherwise(1), n - 1)))
 
 
 @query(None)
 def gr19_fused_trips(f):
-    return fusion.fuse_trips(two_sources(f))
+    return fusion.fuse_trips(two_sources(f)).select("trip_id", "decision", "other_trip_id", F.size(F.coalesce("calls", F.array().cast("array<struct<stop_key:string,arrival:int,departure:int>>"))).alias("stitched_calls"))
+
+
+@query(None)
+def gr23_fusion_counts(f):
+    both = two_sources(f)
+    none = both.select("trip_id", F.lit(0).alias("suppressed"), F.col("trip_id").alias("kept_trip_id")).limit(0)
+    return fusion.fusion_counts(fusion.fuse_trips(both), none)

@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..operators import names
+from ..sources.testfeed import normal
 from .registry import query
 
 
+def name_key_of(column: str):
+    return F.concat(F.lit("name"), F.col(column).cast("string"))
+
+
+def named_areas(f):
+    """Areas of the feed, and the invented names as areas of their own."""
+    from ..operators.derive import stop_areas
+
+    return stop_areas(f.stops).select("area_id", "area_name").union(f.names.select(name_key_of("name_id"), "name"))
+
+
 
 @query("SELECT stop_id, coalesce(nullif(trim(parent_station), ''), stop_id) AS area_id FROM stops")
 def prj01_area_id(f):
@@ -69,20 +82,25 @@ def prj10_mode_flags(f):
     return f.routes.select("route_id", c.is_train(t).alias("train"), c.is_subway(t).alias("subway"), c.is_tram(t).alias("tram"), c.is_bus(t).alias("bus"))
 
 
-@query("SELECT route_id FROM labels WHERE route_type IS NULL AND regexp_matches(line_label, '^(S ?[0-9]+|(RE|RB|IC|ICE)( |$))')")
+@query("SELECT route_id, coalesce(route_type IS NULL AND (regexp_matches(upper(trim(line_label)), '^(ICE|IC|EC|ECE|RE|RB)') OR regexp_matches(upper(trim(line_label)), '^S[0-9]')), false) AS rail FROM labels")
 def prj11_rail_labels(f):
     from ..operators.derive import route_labels
 
-    return route_labels(f.routes).filter(F.col("route_type").isNull() & c.is_rail_label(F.col("line_label"))).select("route_id")
+    return route_labels(f.routes).select("route_id", (F.col("route_type").isNull() & c.is_rail_label(F.col("line_label"))).alias("rail"))
+
+
+CATALOGUE = """, catalogue AS (SELECT 'S' || k AS line, 'america' AS operator, '008D4F' AS colour, 'FFFFFF' AS ink FROM range(30) t(k) UNION ALL SELECT 'RE' || k, 'middle east', 'EE1C23', '000000' FROM range(30) t(k)),
+kept AS (SELECT r.*, nullif(trim(route_color), '') IS NULL AND k.line IS NOT NULL AS fits, colour, ink FROM routes r LEFT JOIN agency a ON a.agency_id = r.agency_id AND trim(a.agency_id) <> ''
+  LEFT JOIN catalogue k ON k.line = upper(regexp_replace(coalesce(route_short_name, ''), '\\s', '', 'g')) AND k.operator = lower(a.agency_name))
+"""
 
 
-@query("""SELECT r.route_id, CASE WHEN nullif(trim(r.route_color), '') IS NULL AND r.agency_id IN ('A1', 'A2') AND l.line_label LIKE 'S%' THEN '008D4F' ELSE r.route_color END AS route_color
- FROM routes r JOIN labels l USING (route_id)""")
+@query(CATALOGUE + "SELECT route_id, CASE WHEN fits THEN colour ELSE route_color END AS route_color, CASE WHEN fits THEN ink END AS route_text_color FROM kept")
 def prj12_route_colours(f):
     from ..operators.tables import enrich_colours
 
-    catalogue = f.spark.createDataFrame([(f"S{k}", "008D4F") for k in range(100)], "line_label string, colour string")
-    return enrich_colours(f.routes, catalogue, ["A1", "A2"]).select("route_id", "route_color")
+    catalogue = [(f"S {k}", "008D4F", "FFFFFF", "America") for k in range(30)] + [(f"re{k}", "EE1C23", "000000", "Middle-East") for k in range(30)]
+    return enrich_colours(f.routes, f.spark.createDataFrame(catalogue, "line_label string, route_color string, route_text_color string, operator string"), f.agency).select("route_id", "route_color", "route_text_color")
 
 
 @query("SELECT CAST(d AS BIGINT) AS distance_meters, CAST(greatest(120, ceil(d * 1.35e0 / 1.2e0) + 60) AS BIGINT) AS walking_seconds FROM range(0, 1500, 7) t(d)")
@@ -90,9 +108,12 @@ def prj13_walking_seconds(f):
     return f.spark.range(0, 1500, 7).select(F.col("id").alias("distance_meters"), c.walking_seconds(F.col("id")).alias("walking_seconds"))
 
 
-@query("SELECT CAST(d AS BIGINT) AS distance_meters, CASE WHEN d <= 80 THEN 'GOOD' WHEN d <= 200 THEN 'ACCEPTABLE' WHEN d <= 400 THEN 'LONG' ELSE 'OVERSIZED' END AS quality FROM range(0, 600, 10) t(d)")
+@query("""SELECT CAST(d AS BIGINT) AS d, CASE WHEN d > 400 THEN 'UNKNOWN' WHEN d <= 80 THEN 'GOOD' WHEN d <= 200 THEN 'ESTIMATED' ELSE 'LOW' END AS footpath, CASE WHEN d <= 240 THEN 'GOOD' WHEN d <= 360 THEN 'OK' WHEN d <= 600 THEN 'LONG' ELSE 'AVOID' END AS seconds,
+ CASE WHEN d <= 200 THEN 'CANDIDATE' WHEN d <= 400 THEN 'LOW' ELSE 'UNKNOWN' END AS candidate, CASE WHEN d <= 200 THEN 'GOOD' WHEN d <= 400 THEN 'OK' ELSE 'LONG' END AS family, CAST(CASE WHEN d <= 80 THEN 2 WHEN d <= 200 THEN 4 WHEN d <= 400 THEN 6 ELSE 10 END AS INTEGER) AS minutes
+ FROM range(0, 1200, 8) t(d)""")
 def prj14_quality_bands(f):
-    return f.spark.range(0, 600, 10).select(F.col("id").alias("distance_meters"), c.band(F.col("id"), [(80, "GOOD"), (200, "ACCEPTABLE"), (400, "LONG")], "OVERSIZED").alias("quality"))
+    d = F.col("id")
+    return f.spark.range(0, 1200, 8).select(d.alias("d"), c.footpath_quality(d).alias("footpath"), c.seconds_quality(d).alias("seconds"), c.candidate_quality(d).alias("candidate"), c.family_quality(d).alias("family"), c.access_minutes(d).alias("minutes"))
 
 
 @query("SELECT trip_id, CAST(greatest(0, (max(arrival_seconds) - min(departure_seconds)) // 60) AS BIGINT) AS minutes FROM stop_times GROUP BY 1")
@@ -119,14 +140,22 @@ def prj18_namespaced_trips(f):
     return namespaced_member(f.trips, "DE", "trips.txt")
 
 
+@query("SELECT transfer_id, 'DE::' || from_stop_id AS from_stop_id, 'DE::' || to_stop_id AS to_stop_id, 'DE::' || from_route_id AS from_route_id, 'DE::' || from_trip_id AS from_trip_id, service_id FROM transfers")
+def prj18_namespaced_transfers(f):
+    from ..operators.fusion import namespaced_member
+
+    return namespaced_member(f.transfers, "DE", "transfers.txt").select("transfer_id", "from_stop_id", "to_stop_id", "from_route_id", "from_trip_id", "service_id")
+
+
 @query("SELECT trip_id, stop_id, departure_seconds FROM stop_times WHERE departure_seconds BETWEEN 28800 AND 29400")
 def prj19_departure_window(f):
     return f.stop_times.filter(F.col("departure_seconds").between(28800, 29400)).select("trip_id", "stop_id", "departure_seconds")
 
 
-@query("SELECT stop_id, stop_name_normalized FROM norm")
+@query(f"SELECT stop_id AS id, stop_name_normalized AS form FROM norm UNION ALL SELECT 'name' || name_id, {normal('folded')} FROM names")
 def fn01_normalised_names(f):
-    return f.stops.select("stop_id", c.normalised(F.col("stop_name")).alias("stop_name_normalized"))
+    own = f.stops.select(F.col("stop_id").alias("id"), F.col("stop_name").alias("name")).union(f.names.select(name_key_of("name_id"), "name"))
+    return own.select("id", c.normalised(F.col("name")).alias("form"))
 
 
 TIME = "lpad(CAST(departure_seconds // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((departure_seconds // 60) % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(departure_seconds % 60 AS VARCHAR), 2, '0')"
@@ -174,72 +203,191 @@ def fn08_contains_token(f):
     return f.stops.select("stop_id", c.contains_token(c.normalised(F.col("stop_name")), "gleis").alias("has_gleis"))
 
 
-TOKENS = """, words AS (SELECT area_id, unnest(string_split(stop_name_normalized, ' ')) AS w FROM norm JOIN members USING (stop_id)),
-syn AS (SELECT * FROM (VALUES ('hbf', 'hauptbahnhof'), ('hauptbahnhof', 'hbf'), ('bf', 'bahnhof'), ('bahnhof', 'bf'), ('u', 'ubahn'), ('s', 'sbahn')) t(w, token)),
-tokens AS (SELECT DISTINCT area_id, token FROM (SELECT area_id, w AS token FROM words UNION ALL SELECT area_id, token FROM words JOIN syn USING (w)) WHERE token <> '')
+SYNONYMS = "(VALUES ('hbf', 'hauptbahnhof'), ('bf', 'bahnhof'), ('hauptbahnhof', 'hbf'), ('bahnhof', 'bf'), ('u', 'ubahn'), ('ubahn', 'ubahn'), ('s', 'sbahn'), ('sbahn', 'sbahn'))"
+NAMED = f", named AS (SELECT area_id, area_name AS name, area_name AS folded FROM stop_areas UNION ALL SELECT 'name' || name_id, name, folded FROM names)\n"
+TOKENS = NAMED + f""", told AS (SELECT s.stop_id, m.area_id, {normal('stop_name')} AS n, 'STOP_NAME' AS source, 'NAME' AS kind FROM stops s JOIN members m USING (stop_id) UNION ALL SELECT NULL, area_id, {normal('folded')}, 'AREA_NAME', 'AREA_NAME' FROM named),
+words AS (SELECT stop_id, area_id, source, kind, unnest(string_split(n, ' ')) AS w FROM told WHERE n <> ''),
+tokens AS (SELECT DISTINCT * FROM (SELECT stop_id, area_id, n AS token, 'NORMALIZED' AS token_type, source FROM told WHERE n <> '' UNION ALL SELECT stop_id, area_id, w, kind, source FROM words
+  UNION ALL SELECT stop_id, area_id, y.token, 'SYNONYM', source FROM words JOIN {SYNONYMS} y(w, token) USING (w)))
 """
 
 
-@query(TOKENS + "SELECT area_id, token FROM tokens")
+@query(TOKENS + "SELECT * FROM tokens")
 def fn09_search_tokens(f):
     from ..operators.derive import search_tokens
 
-    return search_tokens(f.stops)
+    return search_tokens(f.stops, named_areas(f))
 
 
-@query("""SELECT area_id, max(CAST(contains(n, ' hbf ') OR contains(n, ' hauptbahnhof ') AS INTEGER)) AS main_station, max(CAST(contains(n, ' bahnhof ') OR contains(n, ' bf ') OR contains(n, ' hbf ') OR contains(n, ' hauptbahnhof ') AS INTEGER)) AS station
- FROM (SELECT area_id, ' ' || stop_name_normalized || ' ' AS n FROM norm JOIN members USING (stop_id)) GROUP BY 1""")
+@query(NAMED + f"""SELECT area_id, contains(' ' || n || ' ', ' hbf ') OR contains(n, 'hauptbahnhof') AS main_station, contains(' ' || n || ' ', ' hbf ') OR contains(' ' || n || ' ', ' bf ') OR contains(n, 'bahnhof') AS station
+ FROM (SELECT area_id, {normal('folded')} AS n FROM named)""")
 def fn10_name_signals(f):
-    from ..operators.tables import name_signals
+    from ..operators.derive import name_signs
 
-    return name_signals(f.stops)
+    main, station = name_signs(c.normalised(F.col("area_name")))
+    return named_areas(f).select("area_id", main.alias("main_station"), station.alias("station"))
 
 
-@query("""SELECT area_id, alias, alias_type, priority FROM (
- SELECT area_id, area_name AS alias, 'CANONICAL' AS alias_type, 100 AS priority FROM stop_areas
- UNION SELECT area_id, replace(area_name, 'Hbf', 'Hauptbahnhof'), 'STATION_SYNONYM', 95 FROM stop_areas WHERE contains(area_name, 'Hbf')
- UNION SELECT area_id, replace(area_name, 'Bahnhof', 'Bf'), 'STATION_SYNONYM', 95 FROM stop_areas WHERE contains(area_name, 'Bahnhof')
- UNION SELECT area_id, trim(regexp_replace(area_name, ' (Hbf|Bahnhof|Bf)$', '')), 'STATION_SUFFIX_STRIPPED', 65 FROM stop_areas WHERE regexp_matches(area_name, ' (Hbf|Bahnhof|Bf)$'))""")
-def fn11_aliases(f):
-    from ..operators.derive import stop_areas
-    from ..operators.tables import aliases
+STATIONS = "'hbf', 'hauptbahnhof', 'bahnhof', 'bf', 'stadtbahnhof'"
+
+
+def sql_city(n: str) -> str:
+    """City before a station word of a search form, without a region."""
+    out = n
+    for w in ("stadtbahnhof", "hauptbahnhof", "hbf", "bahnhof", "bf", "zob"):
+        out = f"regexp_replace({out}, '\\s+{w}.*$', '')"
+    out = f"trim(regexp_replace(trim({out}), ' aller.*$', ''))"
+    return f"regexp_replace({out}, '^(.+) (bay|main|westf)$', '\\1')"
+
 
-    return aliases(stop_areas(f.stops))
+def sql_region(x: str) -> str:
+    return f"CASE WHEN ends_with({x}, ' bodensee') THEN trim(left({x}, length({x}) - 9)) ELSE regexp_replace({x}, '^(.+) (bay|main|westf)$', '\\1') END"
 
 
-@query("SELECT area_id, CASE WHEN contains(area_name, ',') THEN trim(split_part(area_name, ',', 1)) WHEN regexp_matches(area_name, ' (Hbf|Bahnhof|Bf)$') THEN regexp_replace(area_name, ' (Hbf|Bahnhof|Bf)$', '') END AS city FROM stop_areas")
+def sql_until_station(words: str) -> str:
+    end = f"coalesce(list_position(list_transform({words}, lambda x: x IN ({STATIONS}, 'zob')), true), 0)"
+    return f"array_to_string(CASE WHEN {end} = 0 THEN {words} ELSE {words}[1:{end} - 1] END, ' ')"
+
+
+def sql_has(word: str, n: str = "n") -> str:
+    return f"contains(' ' || {n} || ' ', ' {word} ')"
+
+
+SAYS_STATION = f"({sql_has('hbf')} OR {sql_has('bf')} OR contains(n, 'bahnhof'))"
+_PLAIN = [
+    ("n", "CANONICAL", 0, "true"), ("replace(replace(n, ' hbf', ' hauptbahnhof'), 'hbf ', 'hauptbahnhof ')", "STATION_SYNONYM", 10, sql_has("hbf")), ("replace(n, 'hauptbahnhof', 'hbf')", "STATION_SYNONYM", 10, "contains(n, 'hauptbahnhof')"),
+    ("replace(replace(n, ' bf', ' bahnhof'), 'bf ', 'bahnhof ')", "STATION_SYNONYM", 10, sql_has("bf")), ("replace(n, 'bahnhof', 'bf')", "STATION_SYNONYM", 10, "contains(n, 'bahnhof')"),
+    *[(f"replace(n, 'stadtbahnhof', '{w}')", "RAIL_STATION_INTENT", 10, "contains(n, 'stadtbahnhof')") for w in ("bahnhof", "bf")], *[(f"city || ' {w}'", "RAIL_STATION_INTENT", 15, "fits") for w in ("bahnhof", "bf")],
+    *[(f"city || ' {w}'", "RAIL_STATION_INTENT", 15, f"fits AND ({sql_has('hbf')} OR contains(n, 'hauptbahnhof'))") for w in ("hbf", "hauptbahnhof")],
+    ("regexp_replace(regexp_replace(n, '^(s und u|s u|s|u) ', ''), '^(s und u|s u|s|u)$', '')", "MODE_PREFIX_STRIPPED", 20, "regexp_replace(n, '^(s und u|s u|s|u) ', '') <> n"),
+    ("trim(left(n, length(n) - 3))", "STATION_SUFFIX_STRIPPED", 30, "ends_with(n, ' bf')"), ("trim(left(n, length(n) - 8))", "STATION_SUFFIX_STRIPPED", 30, "ends_with(n, ' bahnhof')"),
+    ("town || ' ' || n", "CITY_QUALIFIED", 5, "town <> '' AND n <> town AND NOT starts_with(n, town || ' ')"),
+]
+_BEHIND = [(f"{x} || ' {w}'", test) for x, test in (("far", "true"), ("near", "near <> far AND near <> ''")) for w in ("bahnhof", "bf")] + [(f"{x} || ' {w}'", f"{test} AND w IN ('hbf', 'hauptbahnhof')") for x, test in (("far", "true"), ("near", "near <> far AND near <> ''")) for w in ("hbf", "hauptbahnhof")]
+ALIASES = NAMED + f""", base AS (SELECT d.area_id, name, {normal('folded')} AS n, 'AREA_NAME' AS source, 100 AS p, coalesce({normal('x.city')}, '') AS town FROM named d LEFT JOIN (SELECT 'name' || name_id AS area_id, city FROM names) x USING (area_id)
+  UNION ALL SELECT area_id, stop_name, {normal('stop_name')}, 'STOP_NAME', 70, '' FROM stops JOIN members USING (stop_id)),
+cut AS (SELECT *, {sql_city('n')} AS city, string_split(n, ' ') AS ws FROM base WHERE n <> ''),
+known AS (SELECT *, city <> '' AND NOT ({SAYS_STATION.replace('n ||', 'city ||').replace('(n,', '(city,')}) AND {SAYS_STATION} AS fits FROM cut),
+behind AS (SELECT *, {sql_region('far')} AS near FROM (SELECT *, {sql_until_station('rest')} AS far FROM (SELECT *, ws[i] AS w, ws[i + 1:] AS rest FROM (SELECT *, unnest(range(1, len(ws))) AS i FROM known WHERE fits)) WHERE w IN ({STATIONS})) WHERE far <> '' AND NOT {sql_has('bahnhof', 'far')} AND NOT {sql_has('bf', 'far')}),
+made AS ({' UNION ALL '.join(f"SELECT area_id, source, {t} AS t, '{k}' AS kind, p - {less} AS p, name FROM known WHERE {test}" for t, k, less, test in _PLAIN)} UNION ALL {' UNION ALL '.join(f"SELECT area_id, source, {t}, 'RAIL_STATION_INTENT', p - 20, name FROM behind WHERE {test}" for t, test in _BEHIND)}),
+spread AS (SELECT area_id, source, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS t, CASE WHEN kind = 'CANONICAL' THEN regexp_replace(name, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') ELSE trim(regexp_replace(t, '\\s+', ' ', 'g')) END AS alias, kind, p FROM made),
+streets AS (SELECT area_id, source, array_to_string(list_transform(string_split(t, ' '), lambda x: CASE WHEN length(x) > 3 AND ends_with(x, 'str') THEN x || 'asse' ELSE x END), ' ') AS t2, t, kind, p FROM spread),
+every AS (SELECT area_id, source, t, alias, kind, p FROM spread UNION ALL SELECT area_id, source, t2, t2, kind, p FROM streets WHERE t2 <> t),
+aliases AS (SELECT area_id, alias, t AS alias_normalized, kind AS alias_type, source, p AS priority FROM (SELECT *, row_number() OVER (PARTITION BY area_id, t, kind, source ORDER BY p DESC, alias) AS r FROM every WHERE t <> '') WHERE r = 1)
+"""
+
+
+def alias_table(f):
+    cities = f.names.select(name_key_of("name_id").alias("area_id"), F.col("city").alias("city_name"))
+    return names.aliases(named_areas(f), f.stops, cities)
+
+
+@query(ALIASES + "SELECT area_id, alias, alias_normalized, alias_type, source, CAST(priority AS INTEGER) AS priority FROM aliases")
+def fn11_aliases(f):
+    return alias_table(f)
+
+
+@query(NAMED + f"SELECT area_id, {sql_city('n')} AS city, {sql_region('n')} AS near, {sql_until_station('ws[2:]')} AS behind FROM (SELECT area_id, n, string_split(n, ' ') AS ws FROM (SELECT area_id, {normal('folded')} AS n FROM named))")
 def fn12_city_candidates(f):
-    from ..operators.derive import stop_areas
-    from ..operators.tables import city_candidate
+    rows = named_areas(f).withColumn("n", c.normalised(F.col("area_name")))
+    return rows.select("area_id", names.city_candidate(F.col("n")).alias("city"), names.region_stripped(F.col("n")).alias("near"), names.trailing_city(F.split("n", " "), F.lit(2)).alias("behind"))
+
+
+def sql_clean(x: str) -> str:
+    bare = f"regexp_replace(regexp_replace(coalesce({x}, ''), '\\s*\\([^)]*\\)', '', 'g'), '[/,]', ' ', 'g')"
+    out = f"trim(regexp_replace({bare}, '\\s+', ' ', 'g'))"
+    for a, b in (("Hauptbahnhof", "Hbf"), ("hauptbahnhof", "Hbf"), ("HBF", "Hbf"), ("Bahnhofstr.", "Bahnhofstrasse"), ("Bahnhofstraße", "Bahnhofstrasse")):
+        out = f"replace({out}, '{a}', '{b}')"
+    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+
+
+def sql_no_mode(x: str) -> str:
+    return f"trim(regexp_replace({x}, '(?i)^(s\\+u|s u|s\\+u-bahnhof|s-bahnhof|u-bahnhof|s|u)\\s+', ''))"
 
-    return stop_areas(f.stops).select("area_id", city_candidate(F.col("area_name")).alias("city"))
 
+def sql_station(n: str) -> str:
+    return f"({sql_has('hbf', n)} OR {sql_has('bf', n)} OR contains({n}, 'bahnhof'))"
 
-@query("SELECT stop_id, trim(regexp_replace(regexp_replace(replace(stop_name, 'Hauptbahnhof', 'Hbf'), '\\([^)]*\\)', '', 'g'), '[/, ]+', ' ', 'g')) AS clean FROM stops")
+
+ENDS = "'hbf', 'hauptbahnhof', 'bahnhof', 'bf', 'zob', 'bus', 'str', 'strasse', 'kaiserstrasse', 'bahnhofstrasse', 'platz', 'kirchenallee', 'steintordamm', 'nord', 'sued', 'sud', 'ost', 'west'"
+
+
+def city_tables(source: str, column: str, prefix: str) -> str:
+    """Tables that end in {prefix}_city (all columns of ``source`` and town): the city in names, step by step."""
+    p = prefix
+    return f""", {p}_a AS (SELECT *, trim(regexp_replace(coalesce({column}, ''), '\\s*\\([^)]*\\)', '', 'g')) AS _b FROM {source}),
+{p}_c AS (SELECT *, strpos(_b, ',') AS _at, {sql_clean("CASE WHEN strpos(_b, ',') > 1 THEN left(_b, strpos(_b, ',') - 1) ELSE '' END")} AS _l, {sql_no_mode(sql_clean("CASE WHEN strpos(_b, ',') > 1 THEN substr(_b, strpos(_b, ',') + 1) ELSE '' END"))} AS _r, string_split({sql_no_mode(sql_clean('_b'))}, ' ') AS _w FROM {p}_a),
+{p}_d AS (SELECT *, coalesce(list_position(list_transform(_w, lambda x: {normal('x')} = '' OR {normal('x')} IN ({ENDS}) OR contains({normal('x')}, 'bf')), true), 0) AS _e FROM {p}_c),
+{p}_city AS (SELECT * EXCLUDE (_b, _at, _l, _r, _w, _e), trim(CASE WHEN _at > 1 THEN CASE WHEN {sql_station(normal('_l'))} AND _r <> '' THEN _r ELSE _l END
+  WHEN len(_w) > 1 AND {sql_station(normal('_w[1]'))} THEN array_to_string(_w[2:], ' ') ELSE array_to_string(CASE WHEN _e = 0 THEN _w ELSE _w[1:_e - 1] END, ' ') END) AS {p}_town FROM {p}_d)
+"""
+
+
+def sql_station_name(shown: str, city: str) -> str:
+    """The display form without its city in front."""
+    leads = f"trim({city}) <> '' AND lower(left({shown}, length({city}))) = lower({city}) AND (length({shown}) = length({city}) OR regexp_matches(substr({shown}, length({city}) + 1, 1), '[\\s,/\\-.(]'))"
+    return f"CASE WHEN {leads} THEN regexp_replace(trim(substr({shown}, length({city}) + 1)), '^\\.\\s*', '') ELSE {shown} END"
+
+
+def sql_technical(n: str) -> str:
+    return "(" + " OR ".join([f"contains({n}, '{x}')" for x in ("kaiserstrasse", "bahnhofstrasse", "kirchenallee", "steintordamm", "zob", "bus")] + [sql_has("str", n), sql_has("strasse", n)]) + ")"
+
+
+@query(NAMED + f"SELECT area_id, {sql_clean('name')} AS clean FROM named")
 def fn13_display_cleaning(f):
-    from ..operators.tables import clean_display
+    return named_areas(f).select("area_id", names.clean_display(F.col("area_name")).alias("clean"))
+
+
+@query(NAMED + city_tables("named", "name", "x") + "SELECT area_id, x_town AS city FROM x_city")
+def fn14_city_names(f):
+    return named_areas(f).select("area_id", names.city_name(F.col("area_name")).alias("city"))
 
-    return f.stops.select("stop_id", clean_display(F.col("stop_name")).alias("clean"))
+
+@query(f"SELECT name_id, {sql_station_name(sql_no_mode(sql_clean('name')), 'city')} AS station_name FROM names")
+def fn15_station_names(f):
+    return f.names.select("name_id", names.station_name(F.col("name"), F.col("city")).alias("station_name"))
 
 
-@query("SELECT stop_id, CASE WHEN contains(stop_name, 'Gleis') THEN 'TECHNICAL' WHEN contains(stop_name, ',') OR contains(stop_name, '/') THEN 'AVOID_FOR_USER' ELSE 'GOOD' END AS quality FROM stops")
+@query(NAMED + f"SELECT area_id, CASE WHEN trim(coalesce(name, '')) = '' OR {sql_technical(normal('folded'))} THEN 'TECHNICAL' ELSE 'GOOD' END AS quality FROM named")
 def fn16_display_quality(f):
-    from ..operators.tables import display_quality
+    return named_areas(f).select("area_id", names.display_quality(F.col("area_name")).alias("quality"))
+
+
+_KIND = "CASE WHEN " + sql_has("hbf") + " OR contains(n, 'hauptbahnhof') THEN 'Hbf' WHEN contains(n, 'ostbahnhof') THEN 'Ostbahnhof' WHEN contains(n, 'westbahnhof') THEN 'Westbahnhof' WHEN contains(n, 'nordbahnhof') THEN 'Nordbahnhof' WHEN contains(n, 'suedbahnhof') OR contains(n, 'sudbahnhof') THEN 'Suedbahnhof' ELSE 'Bahnhof' END"
+_STREET = "(" + " OR ".join([f"contains(c, '{x}')" for x in ("bahnhofstr", "kaiserstr", "kirchenallee", "steintordamm", "zob", "bus")] + [sql_has("str", "c"), sql_has("strasse", "c")]) + ")"
+
+
+@query(f""", own AS (SELECT name_id, name_id % 2 = 0 AS station, CASE WHEN name_id % 5 = 0 THEN city END AS official, trim(coalesce(name, '')) AS name FROM names){city_tables('own', 'name', 'o')},
+ shown AS (SELECT *, {sql_clean('name')} AS s FROM o_city){city_tables('shown', 's', 's')}, pair AS (SELECT *, CASE WHEN trim(o_town) <> '' THEN o_town ELSE s_town END AS town, {normal('name')} AS n, {normal('s')} AS c FROM s_city),
+ pick AS (SELECT *, CASE WHEN station AND ({sql_technical('c')} OR s = '') THEN CASE WHEN town = '' THEN '' ELSE town || ' ' || {_KIND} END WHEN station AND town <> '' AND ({sql_has('hbf')} OR contains(n, 'hauptbahnhof')) AND NOT {sql_has('hbf', 'c')} THEN town || ' Hbf'
+  WHEN station AND {_STREET} THEN CASE WHEN town = '' THEN '' ELSE town || ' ' || {_KIND} END ELSE s END AS k FROM pair),
+ final AS (SELECT name_id, official, CASE WHEN trim(k) <> '' THEN {sql_clean("replace(replace(k, '(', '['), ')', ']')")} ELSE s END AS display_name FROM pick){city_tables('final', 'display_name', 'f')},
+ named AS (SELECT name_id, display_name, CASE WHEN trim({sql_clean('official')}) <> '' THEN {sql_clean('official')} ELSE f_town END AS city_name FROM f_city)
+ SELECT name_id, display_name, city_name, {sql_station_name(sql_no_mode(sql_clean('display_name')), 'city_name')} AS station_name, CASE WHEN city_name = '' THEN 'STATION_ONLY' ELSE 'CITY_STATION' END AS name_order,
+ CASE WHEN display_name = '' OR {sql_technical(normal('display_name'))} THEN 'TECHNICAL' ELSE 'GOOD' END AS display_quality FROM named""")
+def fn17_harmonised_names(f):
+    rows = f.names.select("name_id", "name", (F.col("name_id") % 2 == 0).alias("station"), F.when(F.col("name_id") % 5 == 0, F.col("city")).alias("official"))
+    return names.harmonised(rows, "name", "station", official="official").select("name_id", "display_name", "city_name", "station_name", "name_order", "display_quality")
 
-    return f.stops.select("stop_id", display_quality(F.col("stop_name")).alias("quality"))
 
+KEYS = f"""array_to_string(list_filter(string_split_regex(regexp_replace(n, '\\b(?:gleis|platform|plattform|quai|quay|perron)\\s*[a-z0-9-]*\\b', ' ', 'g'), ' +'),
+ lambda w: w <> '' AND w NOT IN ('bahnhof', 'bf', 'hbf', 'station', 'gare', 'stazione', 'staziun', 'halt', 'haltestelle')), ' ')"""
 
-@query("SELECT stop_id, trim(regexp_replace(regexp_replace(stop_name_normalized, ' gleis [0-9]+$', ''), '\\b(hbf|hauptbahnhof|bahnhof|bf)\\b', '', 'g')) AS name_key FROM norm")
+
+@query(NAMED + f"SELECT area_id, {KEYS} AS name_key, regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]', '', 'g') AS code_key FROM (SELECT area_id, name, {normal('folded')} AS n FROM named)")
 def fn25_station_keys(f):
-    from ..operators.fusion import name_key
+    from ..operators.fusion import code_key, name_key
+
+    return named_areas(f).select("area_id", name_key(F.col("area_name")).alias("name_key"), code_key(F.col("area_name")).alias("code_key"))
+
 
-    return f.stops.select("stop_id", name_key(F.col("stop_name")).alias("name_key"))
+def sql_undistricted(n: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({n}, '\\b(krs|kreis|landkreis|kr)\\b.*', '', 'g'), '\\s+', ' ', 'g'))"
 
 
-@query("SELECT stop_id, list_filter(string_split(stop_name_normalized, ' '), lambda x: length(x) > 2 AND x NOT IN ('gleis', 'hbf', 'bahnhof')) AS words FROM norm")
+@query(NAMED + f"SELECT area_id, list_filter(string_split({sql_undistricted(normal('folded'))}, ' '), lambda x: length(x) >= 3 AND x NOT IN ({ENDS.replace(chr(39) + 'bf' + chr(39) + ', ', '')})) AS words FROM named")
 def fn26_meaningful_words(f):
-    stop = ["gleis", "hbf", "bahnhof"]
-    return f.stops.select("stop_id", F.filter(F.split(c.normalised(F.col("stop_name")), " "), lambda x: (F.length(x) > 2) & ~x.isin(stop)).alias("words"))
+    return named_areas(f).select("area_id", names.meaningful(c.normalised(F.col("area_name"))).alias("words"))
 
 
 @query("SELECT stop_id, sha256(stop_name) AS name_hash, substr(sha256(stop_id || chr(31) || stop_name), 1, 20) AS short_hash FROM stops")
@@ -252,44 +400,78 @@ def fn30_prefix_scan(f):
     return f.stops.filter(c.normalised(F.col("stop_name")).startswith("stadt1")).select("stop_id")
 
 
-@query("SELECT area_id, CASE WHEN regexp_matches(area_name, '^Stadt[0-9]+ ') THEN regexp_replace(area_name, '^Stadt[0-9]+ ', '') ELSE area_name END AS station_name FROM stop_areas")
-def fn15_station_names(f):
-    from ..operators.derive import stop_areas
-    from ..operators.tables import station_name
+ORDERED = "[" + ", ".join(f"'{r}'" for r in (
+    "CITY_FROM_RESOLVED_CONTEXT", "CITY_CODE_EXPANDED", "CITY_PREFIX_REMOVED", "CITY_QUALIFIER_REMOVED", "MODE_PREFIX_REMOVED", "TECHNICAL_QUALIFIER_REMOVED", "STATION_ABBREVIATION_EXPANDED", "GENERIC_STATION_SUFFIX_REMOVED",
+    "STREET_SUFFIX_NORMALIZED", "LOCALITY_COMPOUND_PRESERVED", "STOP_CITY_COMPOSED")) + "]"
+_CODES = [("STOP_CITY_COMPOSED", "contains(name, ',')"), ("STATION_ABBREVIATION_EXPANDED", "contains(name, 'Hbf')"), ("STREET_SUFFIX_NORMALIZED", "contains(name, 'str')"), ("CITY_QUALIFIER_REMOVED", "contains(name, '(')")]
 
-    areas = stop_areas(f.stops).withColumn("city", F.regexp_extract("area_name", "^(Stadt[0-9]+)", 1))
-    return areas.select("area_id", station_name(F.col("area_name"), F.col("city")).alias("station_name"))
 
-
-@query("""SELECT area_id, CASE WHEN contains(area_name, ' Hbf') AND contains(area_name, ',') THEN 'COMMA|STATION_INTENT' WHEN contains(area_name, ' Hbf') THEN 'STATION_INTENT' WHEN contains(area_name, ',') THEN 'COMMA' ELSE 'NONE' END AS rules FROM stop_areas""")
+@query(NAMED + f""", codes AS (SELECT area_id, name, list_filter([{', '.join(f"CASE WHEN {t} THEN '{k}' END" for k, t in _CODES)}], lambda x: x IS NOT NULL) AS found FROM named),
+ written AS (SELECT *, CASE WHEN len(found) = 0 THEN 'NONE' ELSE array_to_string(list_filter({ORDERED}, lambda x: list_contains(found, x)), '|') END AS rules, array_to_string(found, '|') AS loose FROM codes)
+ SELECT area_id, rules, loose = '' AS empty, loose = rules OR (len(found) = 1) AS loose_valid, trim(regexp_extract('a=1; rules=' || rules || '; output=x', '(?:^|;\\s*)rules=([^;]+)', 1)) AS told FROM written""")
 def fn22_rule_codes(f):
-    from ..operators.derive import stop_areas
-    from ..operators.names import RULES
-
     n = F.col("area_name")
-    present = F.array_compact(F.array(F.when(n.contains(" Hbf"), F.lit("STATION_INTENT")), F.when(n.contains(","), F.lit("COMMA"))))
-    code = F.array_join(F.array_intersect(F.array(*map(F.lit, RULES)), present), "|")
-    return stop_areas(f.stops).select("area_id", F.when(code == "", "NONE").otherwise(code).alias("rules"))
+    tests = {"STOP_CITY_COMPOSED": n.contains(","), "STATION_ABBREVIATION_EXPANDED": n.contains("Hbf"), "STREET_SUFFIX_NORMALIZED": n.contains("str"), "CITY_QUALIFIER_REMOVED": n.contains("(")}
+    found = F.array_compact(F.array(*[F.when(t, F.lit(k)) for k, t in tests.items()]))
+    rows = named_areas(f).withColumn("found", found).withColumn("rules", names.encode_rules(F.col("found"))).withColumn("loose", F.array_join("found", "|"))
+    return rows.select("area_id", "rules", (F.col("loose") == "").alias("empty"), names.rules_valid(F.col("loose")).alias("loose_valid"), names.rules_of(F.concat(F.lit("a=1; rules="), "rules", F.lit("; output=x"))).alias("told"))
+
+
+FIXED_CODES = "(VALUES ('D', 'duesseldorf'), ('DO', 'dortmund'), ('DU', 'duisburg'), ('E', 'essen'), ('FFM', 'frankfurt am main'), ('MG', 'moenchengladbach'), ('OB', 'oberhausen'), ('SZ', 'salzgitter'), ('AB', 'aschaffenburg'), ('PB', 'paderborn'), ('GD', 'schwaebisch gmuend'), ('FRANKFURT', 'frankfurt am main')) v(code, city)"
+PREFIX_TABLES = f""", places AS (SELECT DISTINCT {normal('city')} AS city FROM names WHERE city IS NOT NULL),
+codes AS (SELECT code, city FROM {FIXED_CODES} UNION SELECT upper(left(replace(city, ' ', ''), 2)), city FROM places WHERE length(replace(city, ' ', '')) >= 2
+  UNION SELECT upper(array_to_string(list_transform(string_split(city, ' '), lambda w: left(w, 1)), '')), city FROM places WHERE contains(city, ' ')),
+texts AS (SELECT name_id, {normal('city')} AS city, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS t FROM names),
+cuts AS (SELECT *, unnest(range(1, least(length(t), 14) + 1)) AS i FROM texts),
+heads AS (SELECT *, trim(left(t, i - 1)) AS p, trim(substr(t, i + 1)) AS rest FROM cuts WHERE substr(t, i, 1) = '-' OR (substr(t, i, 1) = ' ' AND i = strpos(t, ' ') AND i > 1)),
+fits AS (SELECT h.* FROM heads h JOIN codes k ON k.city = h.city AND k.code = upper(regexp_replace(p, '[^\\p{{L}}]', '', 'g')) WHERE rest <> '' AND ((length(p) <= 10 AND regexp_matches(p, '^[\\p{{Lu}}.-]*\\p{{Lu}}[\\p{{Lu}}.-]*$')) OR k.code = 'FRANKFURT'))
+"""
 
 
-@query("""SELECT p.prefix, r.r_name AS city, CASE WHEN p.prefix IN ('UNIL', 'ETH') THEN 'INSTITUTION' WHEN p.prefix IN ('ZUP', 'ZOB') THEN 'TRANSIT'
- WHEN regexp_matches(lower(r.r_name), '^' || array_to_string(list_transform(string_split(lower(p.prefix), ''), lambda x: x), '.*')) THEN 'LOCALITY_CODE_CANDIDATE' ELSE 'PRESERVED_ACRONYM' END AS class
- FROM (VALUES ('UNIL'), ('ZUP'), ('AF'), ('AM'), ('EU'), ('XYZ')) p(prefix) CROSS JOIN region r""")
+@query(PREFIX_TABLES + "SELECT t.name_id, coalesce(f.rest, t.t) AS stripped_name, coalesce(f.p, '') AS stripped_prefix FROM texts t LEFT JOIN (SELECT DISTINCT name_id, arg_max(rest, i) AS rest, arg_max(p, i) AS p FROM fits GROUP BY name_id) f USING (name_id)")
+def fn23_stripped_prefixes(f):
+    known = names.prefix_aliases(f.names)
+    return names.without_prefix(f.names, known, "name_id", "name", "city").select("name_id", "stripped_name", "stripped_prefix")
+
+
+@query(f"""SELECT p.prefix, r.r_name AS city, CASE WHEN p.prefix IN ('HEIG', 'UNIL', 'KIT', 'HAWK', 'TU', 'DFB', 'LWL', 'LVR') THEN 'INSTITUTION_NAME' WHEN p.prefix IN ('AST', 'BAB', 'BSAG', 'GVZ', 'KVG', 'OEG', 'RVE', 'RVK', 'SBB', 'SSB', 'ZUP') THEN 'TRANSIT_OR_INFRASTRUCTURE_TERM'
+ WHEN p.prefix IN ('AOK', 'ASB', 'AWO', 'BMW', 'BRK', 'DRK', 'EDEKA', 'ERGO', 'JVA', 'REWE', 'SAP', 'VW') THEN 'NAMED_ENTITY' WHEN p.prefix IN ('II', 'III', 'IV', 'VI', 'VII', 'VIII', 'IX') THEN 'SECTION_OR_ZONE_LABEL'
+ WHEN length(p.prefix) >= 2 AND regexp_matches(upper(regexp_replace({normal('r.r_name')}, '[^a-z0-9]', '', 'g')), array_to_string(string_split(p.prefix, ''), '.*')) THEN 'LOCALITY_CODE_CANDIDATE' ELSE 'PRESERVED_ACRONYM' END AS class
+ FROM (VALUES ('UNIL'), ('TU'), ('ZUP'), ('AST'), ('SAP'), ('VW'), ('II'), ('IX'), ('AF'), ('AM'), ('EU'), ('AC'), ('ME'), ('MEA'), ('XYZ'), ('A')) p(prefix) CROSS JOIN region r""")
 def fn24_prefix_classes(f):
-    prefixes = f.spark.createDataFrame([(p,) for p in ("UNIL", "ZUP", "AF", "AM", "EU", "XYZ")], "prefix string")
+    prefixes = f.spark.createDataFrame([(p,) for p in ("UNIL", "TU", "ZUP", "AST", "SAP", "VW", "II", "IX", "AF", "AM", "EU", "AC", "ME", "MEA", "XYZ", "A")], "prefix string")
     both = F.broadcast(prefixes).crossJoin(f.source("region").select(F.col("r_name").alias("city")))
-    shape = F.concat(F.lit("^"), F.array_join(F.transform(F.sequence(F.lit(1), F.length("prefix")), lambda k: F.substring(F.lower("prefix"), k, F.lit(1))), ".*"))
-    kind = F.when(F.col("prefix").isin("UNIL", "ETH"), "INSTITUTION").when(F.col("prefix").isin("ZUP", "ZOB"), "TRANSIT").when(F.regexp_like(F.lower("city"), shape), "LOCALITY_CODE_CANDIDATE").otherwise("PRESERVED_ACRONYM")
-    return both.select("prefix", "city", kind.alias("class"))
+    return both.select("prefix", "city", names.prefix_class(F.col("prefix"), F.col("city")).alias("class"))
+
+
+def sql_base(x: str) -> str:
+    """A search form without station words and what is behind them."""
+    out = f"regexp_replace({x}, '\\b(krs|kreis|landkreis|kr)\\b.*', '', 'g')"
+    for w in ("bahnhof", "bf", "hauptbahnhof", "hbf"):
+        out = f"regexp_replace({out}, '\\b{w}\\b.*', '', 'g')"
+    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 
 
-@query("SELECT stop_id FROM norm WHERE regexp_matches(stop_name_normalized, '^stadt[0-9]+ (hbf|bahnhof|bf)$')")
+@query(city_tables("names", "name", "x") + f""", forms AS (SELECT name_id, name_id % 2 = 0 AS rail, {normal('name')} AS n, {normal('x_town')} AS town FROM x_city),
+ flags AS (SELECT *, town <> '' AND {sql_undistricted('n')} IN (town, town || ' bahnhof', town || ' bf', town || ' hbf', town || ' hauptbahnhof') AS generic, rail AND (contains(n, 'kaiserstr') OR contains(n, 'bahnhofstr') OR contains(n, 'kirchenallee') OR contains(n, 'steintordamm') OR {sql_has('str')} OR {sql_has('strasse')}) AS technical FROM forms),
+ keys AS (SELECT *, {sql_base('town')} AS a, {sql_base('n')} AS b FROM flags) SELECT name_id, generic, technical, CASE WHEN generic OR technical THEN CASE WHEN a <> '' THEN a ELSE b END ELSE '' END AS merge_key FROM keys""")
 def fn27_generic_stations(f):
-    return f.stops.filter(c.normalised(F.col("stop_name")).rlike("^stadt[0-9]+ (hbf|bahnhof|bf)$")).select("stop_id")
+    n, rail = F.col("name"), F.col("name_id") % 2 == 0
+    return f.names.select("name_id", names.generic_station(n).alias("generic"), names.technical_station(c.plain(n), rail).alias("technical"), names.merge_key(n, rail).alias("merge_key"))
 
 
-@query("SELECT stop_id, CASE WHEN contains(stop_name, ',') OR contains(stop_name, '\"') THEN '\"' || replace(stop_name, '\"', '\"\"') || '\"' ELSE stop_name END AS field FROM stops")
+@query(f"""SELECT name_id, station, station = false AND specific BETWEEN 1 AND 2 AS rail_place, regexp_matches(n, '(^| )(ost|west|nord|sued|sud)bahnhof$') AS directional, n IN ('bahnhof', 'hbf', 'hauptbahnhof', 'ostbahnhof', 'westbahnhof', 'nordbahnhof', 'suedbahnhof', 'sudbahnhof') AS generic
+ FROM (SELECT name_id, n, contains(n, 'hbf') OR contains(n, 'bahnhof') OR ends_with(n, ' bf') OR contains(n, 'suedkreuz') AS station, len(list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) >= 2 AND w NOT IN ('hbf', 'hauptbahnhof', 'bf', 'bahnhof', 'u', 'ubahn', 's', 'sbahn')))) AS specific
+ FROM (SELECT name_id, {normal('folded')} AS n FROM names))""")
+def fn31_query_intents(f):
+    from ..operators.journeys import query_intents
+
+    return f.names.select("name_id", *[x.alias(k) for k, x in query_intents(c.normalised(F.col("name"))).items()])
+
+
+@query("SELECT name_id, CASE WHEN regexp_matches(x, '[\",\r\n]') THEN '\"' || replace(x, '\"', '\"\"') || '\"' ELSE x END AS field FROM (SELECT name_id, coalesce(name || CASE name_id % 3 WHEN 0 THEN '\"x' WHEN 1 THEN chr(10) || 'y' ELSE '' END, '') AS x FROM names)")
 def fn32_csv_fields(f):
-    n = F.col("stop_name")
-    quoted = F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"'))
-    return f.stops.select("stop_id", F.when(n.contains(",") | n.contains('"'), quoted).otherwise(n).alias("field"))
+    from ..sources.gtfs import csv_field
+
+    more = F.when(F.col("name_id") % 3 == 0, '"x').when(F.col("name_id") % 3 == 1, "\ny").otherwise("")
+    return f.names.select("name_id", csv_field(F.concat("name", more)).alias("field"))

@@ -6,8 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import derive, fusion
+from ..operators import audits, derive, fusion
+from ..sources import gtfs, reports
+from ..sources.testfeed import normal
 from .registry import query
+from .rules import KEYS
 
 DAY = "20240102"
 
@@ -26,9 +29,9 @@ def src11_agency_keys(f):
     return f.agency.select("agency_id", "agency_name", key.alias("agency_key"))
 
 
-@query("SELECT transfer_id, to_stop_id FROM transfers WHERE to_stop_id NOT IN (SELECT stop_id FROM stops)")
+@query(", known AS (SELECT stop_id FROM stops WHERE CAST(substr(stop_id, 2) AS BIGINT) % 7 <> 3), lost AS (SELECT stop_id FROM stop_times WHERE stop_id NOT IN (SELECT stop_id FROM known)) SELECT count(*) AS unknown, list_sort(list(DISTINCT stop_id))[1:5] AS samples FROM lost")
 def src06_unknown_stops(f):
-    return f.transfers.join(f.stops.select(F.col("stop_id").alias("to_stop_id")), "to_stop_id", "left_anti").select("transfer_id", "to_stop_id")
+    return gtfs.unknown_stops(f.stop_times, f.stops.filter("CAST(substring(stop_id, 2, 20) AS BIGINT) % 7 <> 3"))
 
 
 @query("SELECT service_id, start_date, end_date, monday + tuesday + wednesday + thursday + friday + saturday + sunday AS days FROM calendar")
@@ -49,13 +52,21 @@ def snk02_insert_or_ignore(f):
     return derive.stop_areas(f.stops).withColumn("r", F.row_number().over(order)).filter("r = 1").select("area_id", F.col("area_name").alias("alias"))
 
 
-@query("SELECT 'stops' AS key, count(*) AS value FROM stops UNION ALL SELECT 'trips', count(*) FROM trips UNION ALL SELECT 'stop_times', count(*) FROM stop_times UNION ALL SELECT 'routes', count(*) FROM routes")
-def snk06_metadata_counts(f):
-    counts = [getattr(f, t).agg(F.count("*").alias("value")).select(F.lit(t).alias("key"), "value") for t in ("stops", "trips", "stop_times", "routes")]
-    out = counts[0]
-    for x in counts[1:]:
-        out = out.union(x)
-    return out
+@query("SELECT area_id, alias, priority FROM (SELECT *, row_number() OVER (PARTITION BY area_id ORDER BY n DESC) AS r FROM (SELECT area_id, area_name AS alias, 1 AS priority, 1 AS n FROM stop_areas UNION ALL SELECT area_id, min(stop_name), 2, 2 FROM stops JOIN members USING (stop_id) WHERE member_role = 'STOP' GROUP BY 1)) WHERE r = 1")
+def snk02_insert_or_replace(f):
+    """Of rows with one key the last one written stays."""
+    first = derive.stop_areas(f.stops).select("area_id", F.col("area_name").alias("alias"), F.lit(1).alias("priority"), F.lit(1).alias("n"))
+    later = f.stops.join(members(f).filter("member_role = 'STOP'"), "stop_id").groupBy("area_id").agg(F.min("stop_name").alias("alias")).select("area_id", "alias", F.lit(2), F.lit(2))
+    return first.union(later).groupBy("area_id").agg(F.max_by(F.struct("alias", "priority"), "n").alias("x")).select("area_id", "x.*")
+
+
+METADATA = [("stop_count", "stops"), ("stop_area_count", "stop_areas"), ("trip_count", "trips"), ("stop_time_count", "stop_times"), ("calendar_count", "calendar"), ("calendar_dates_count", "calendar_dates"), ("route_count", "routes")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS key, CAST(count(*) AS VARCHAR) AS value FROM {t}" for k, t in METADATA) + """ UNION ALL SELECT 'feed_timezones', string_agg(DISTINCT trim(agency_timezone), ',' ORDER BY trim(agency_timezone)) FROM agency WHERE trim(agency_timezone) <> ''
+ UNION ALL SELECT * FROM (VALUES ('time_model', 'seconds_since_service_day_start'), ('stop_id_policy', 'original_gtfs_stop_id'), ('area_id_policy', 'parent_station_or_stop_id'), ('search_tokens_policy', 'search_only_not_routing'), ('source_format', 'GTFS'), ('feed_name', 'unknown'), ('feed_region', 'unknown'))""")
+def snk06_metadata(f):
+    return reports.metadata({"stops": f.stops, "stop_areas": derive.stop_areas(f.stops), "trips": f.trips, "stop_times": f.stop_times, "calendar": f.calendar, "calendar_dates": f.calendar_dates, "routes": f.routes}, f.agency)
 
 
 @query("""SELECT st.trip_id, m.area_id, st.departure_seconds, l.line_label, s.platform_code FROM stop_times st JOIN members m USING (stop_id) JOIN trips t USING (trip_id)
@@ -115,7 +126,7 @@ METRES = "CAST(floor(2e0 * 6371000 * atan2(sqrt({a}), sqrt(1 - {a})) + 0.5e0) AS
 HAV = "(pow(sin(radians(b.{y} - a.{y}) / 2), 2) + cos(radians(a.{y})) * cos(radians(b.{y})) * pow(sin(radians(b.{x} - a.{x}) / 2), 2))"
 STOP_METRES, AREA_METRES = (METRES.format(a=HAV.format(y=f"{p}_lat", x=f"{p}_lon")) for p in ("stop", "area"))
 PATHS = f"""SELECT area_id, from_stop_id, to_stop_id, distance_meters, CASE WHEN distance_meters IS NOT NULL THEN CAST(greatest(120, ceil(distance_meters * 1.35e0 / 1.2e0) + 60) AS BIGINT) END AS min_transfer_seconds,
- CASE WHEN distance_meters <= 400 THEN 1 ELSE 0 END AS is_traversable, CASE WHEN distance_meters IS NULL THEN 'UNKNOWN' WHEN distance_meters <= 80 THEN 'GOOD' WHEN distance_meters <= 200 THEN 'ACCEPTABLE' WHEN distance_meters <= 400 THEN 'LONG' ELSE 'OVERSIZED' END AS quality
+ CASE WHEN distance_meters <= 400 THEN 1 ELSE 0 END AS is_traversable, CASE WHEN distance_meters IS NULL OR distance_meters > 400 THEN 'UNKNOWN' WHEN distance_meters <= 80 THEN 'GOOD' WHEN distance_meters <= 200 THEN 'ESTIMATED' ELSE 'LOW' END AS quality
  FROM (SELECT a.area_id, a.stop_id AS from_stop_id, b.stop_id AS to_stop_id, {STOP_METRES} AS distance_meters FROM boarding a JOIN boarding b ON a.area_id = b.area_id AND a.stop_id <> b.stop_id)"""
 
 
@@ -145,13 +156,29 @@ def join11_fine_grid(f):
     return derive.nearby_pairs(f.stops, "stop_id", "stop_lat", "stop_lon", 0.005, 1, 50)
 
 
-SECOND = ", keyed AS (SELECT s.*, trim(regexp_replace(regexp_replace(stop_name_normalized, ' gleis [0-9]+$', ''), '\\b(hbf|hauptbahnhof|bahnhof|bf)\\b', '', 'g')) AS name_key FROM norm JOIN stops s USING (stop_id) WHERE stop_lat IS NOT NULL)\n"
+PLATFORM = "\\\\b(?:gleis|platform|plattform|quai|quay|perron)\\\\s*[a-z0-9-]*\\\\b"
+#: The feed's stops as source A, and as source B: a little off, half of them with other codes, some without a place.
+SOURCES = f""", sourced AS (SELECT 'AA' AS source_id, 0 AS source_priority, stop_id, stop_code, stop_name, stop_lat, stop_lon, coalesce(parent_station, '') AS parent_station FROM stops
+  UNION ALL SELECT 'BB', 1, 'b' || stop_id, CASE WHEN ascii(right(stop_id, 1)) % 2 = 0 THEN upper(stop_code) || '-' ELSE 'x' || stop_code END, replace(stop_name, 'Hbf', 'Gare'), CASE WHEN ascii(right(stop_id, 1)) % 5 <> 0 THEN stop_lat + 0.0012e0 END, stop_lon, coalesce('b' || parent_station, '') FROM stops),
+tops AS (SELECT *, source_id || '::' || stop_id AS id, {KEYS.replace("(n,", "(" + normal("stop_name") + ",")} AS name, regexp_replace(lower(coalesce(stop_code, '')), '[^a-z0-9]', '', 'g') AS code FROM sourced WHERE parent_station = ''),
+same AS (SELECT a.id AS a, b.id AS b, {METRES.format(a=HAV.format(y='stop_lat', x='stop_lon'))} AS distance_meters, a.name <> '' AND a.name = b.name AS named, a.code <> '' AND a.code = b.code AS coded FROM tops a JOIN tops b ON a.source_id < b.source_id AND ((a.name <> '' AND a.name = b.name) OR (a.code <> '' AND a.code = b.code))),
+pairs AS (SELECT a, b, distance_meters FROM same WHERE CASE WHEN distance_meters IS NULL THEN named AND coded ELSE distance_meters <= CASE WHEN coded THEN 2000 ELSE 600 END END)
+"""
+
 
+def two_stop_sources(f):
+    last = F.ascii(F.substring("stop_id", -1, 1))
+    a = f.stops.select(F.lit("AA").alias("source_id"), F.lit(0).alias("source_priority"), "stop_id", "stop_code", "stop_name", "stop_lat", "stop_lon", "parent_station")
+    b = f.stops.select(
+        F.lit("BB"), F.lit(1), F.concat(F.lit("b"), "stop_id"), F.when(last % 2 == 0, F.concat(F.upper("stop_code"), F.lit("-"))).otherwise(F.concat(F.lit("x"), "stop_code")), F.replace("stop_name", F.lit("Hbf"), F.lit("Gare")),
+        F.when(last % 5 != 0, F.col("stop_lat") + F.lit(0.0012)), "stop_lon", F.concat(F.lit("b"), "parent_station"),
+    )
+    return a.union(b)
 
-@query(SECOND + f"SELECT a.stop_id AS stop_id_a, b.stop_id AS stop_id_b, {STOP_METRES} AS distance_meters FROM keyed a JOIN keyed b USING (name_key) WHERE name_key <> '' AND a.location_type = 0 AND b.location_type = 1 AND {STOP_METRES} <= 600")
+
+@query(SOURCES + "SELECT * FROM pairs")
 def join13_identity_blocking(f):
-    named = f.stops.withColumn("source_id", F.when(F.col("location_type") == 0, "A").otherwise("B"))
-    return fusion.identity_pairs(named)
+    return fusion.identity_pairs(two_stop_sources(f).filter("parent_station IS NULL"))
 
 
 @query("SELECT a.trip_id AS a, b.trip_id AS b FROM pat a JOIN pat b ON a.route_id = b.route_id AND a.service_id = b.service_id AND a.trip_id < b.trip_id WHERE len(list_intersect(a.ids, b.ids)) >= 2".join([", pat AS (SELECT trip_id, any_value(route_id) AS route_id, any_value(service_id) AS service_id, list(DISTINCT stop_id) AS ids FROM stop_times JOIN trips USING (trip_id) GROUP BY 1) ", ""]))
@@ -193,9 +220,13 @@ def agg01_stop_areas(f):
     return derive.stop_areas(f.stops).withColumns({"area_lat": F.round("area_lat", 6), "area_lon": F.round("area_lon", 6)})
 
 
-@query("SELECT *, CASE WHEN has_calendar = 1 AND weekday_mask > 0 THEN 'CALENDAR' WHEN addition_count > 0 THEN 'EXCEPTIONS_ONLY' ELSE 'UNRESOLVED' END AS status FROM summary")
+def calendar_summary(f):
+    return derive.calendar_summary(f.calendar, f.calendar_dates, f.trips, f.routes, f.agency)
+
+
+@query("SELECT * FROM summary")
 def agg02_calendar_summary(f):
-    return derive.summary_status(derive.calendar_summary(f.calendar, f.calendar_dates, f.trips))
+    return calendar_summary(f)
 
 
 @query("SELECT area_id, route_id, route_type, line_label, stop_time_count, trip_count FROM area_routes")
@@ -206,52 +237,87 @@ def agg03_area_route_summary(f):
 HUBS = """, traffic AS (SELECT area_id, count(DISTINCT route_id) AS route_count, CAST(sum(trip_count) AS BIGINT) AS trip_count, count(DISTINCT route_type) AS route_type_count, CAST(sum(stop_time_count) AS BIGINT) AS stop_time_count,
  max(CASE WHEN route_type = 2 OR route_type BETWEEN 100 AND 109 THEN 1 ELSE 0 END) AS has_train, max(CASE WHEN route_type IN (1, 400, 401) THEN 1 ELSE 0 END) AS has_subway,
  max(CASE WHEN route_type IN (0, 900, 901) THEN 1 ELSE 0 END) AS has_tram, max(CASE WHEN route_type = 3 OR route_type BETWEEN 700 AND 709 THEN 1 ELSE 0 END) AS has_bus FROM area_routes GROUP BY 1),
-refs AS (SELECT area_id, count(DISTINCT transfer_id) AS reference_count FROM (SELECT transfer_id, from_stop_id AS stop_id FROM transfers UNION ALL SELECT transfer_id, to_stop_id FROM transfers) JOIN members USING (stop_id) GROUP BY 1),
-named AS (SELECT area_id, stop_count, ' ' || lower(replace(replace(area_name, '/', ' '), ',', ' ')) || ' ' AS n FROM stop_areas),
-hubs AS (SELECT a.area_id, a.stop_count, CAST(contains(n, ' hbf ') OR contains(n, ' hauptbahnhof ') AS INTEGER) AS has_main_station_keyword, CAST(contains(n, ' hbf ') OR contains(n, ' hauptbahnhof ') OR contains(n, ' bahnhof ') OR contains(n, ' bf ') AS INTEGER) AS has_rail_keyword,
- coalesce(route_count, 0) AS route_count, coalesce(trip_count, 0) AS trip_count, coalesce(route_type_count, 0) AS route_type_count, coalesce(stop_time_count, 0) AS stop_time_count, coalesce(has_train, 0) AS has_train,
- coalesce(has_subway, 0) AS has_subway, coalesce(has_tram, 0) AS has_tram, coalesce(has_bus, 0) AS has_bus, coalesce(reference_count, 0) AS reference_count FROM named a LEFT JOIN traffic USING (area_id) LEFT JOIN refs USING (area_id)),
-scored AS (SELECT *, CAST(least(stop_count, 20) + least(route_count * 2, 40) + least(trip_count // 10, 30) + least(reference_count, 20) + has_train * 15 + has_subway * 10 + has_main_station_keyword * 25 + has_rail_keyword * 10 AS BIGINT) AS score FROM hubs)
+refs AS (SELECT area_id, count(*) AS reference_count FROM (SELECT from_stop_id AS stop_id FROM transfers UNION ALL SELECT to_stop_id FROM transfers WHERE to_stop_id <> from_stop_id) JOIN members USING (stop_id) GROUP BY 1),
+said AS (SELECT area_id, """ + normal("area_name") + """ AS n FROM stop_areas UNION ALL SELECT area_id, """ + normal("stop_name") + """ FROM stops JOIN members USING (stop_id)),
+signs AS (SELECT area_id, max(CASE WHEN contains(' ' || n || ' ', ' hbf ') OR contains(n, 'hauptbahnhof') THEN 1 ELSE 0 END) AS has_main_station_keyword, max(CASE WHEN contains(' ' || n || ' ', ' hbf ') OR contains(' ' || n || ' ', ' bf ') OR contains(n, 'bahnhof') THEN 1 ELSE 0 END) AS has_rail_keyword FROM said GROUP BY 1),
+hubs AS (SELECT a.area_id, a.stop_count, has_main_station_keyword, has_rail_keyword, coalesce(route_count, 0) AS route_count, coalesce(trip_count, 0) AS trip_count, coalesce(route_type_count, 0) AS route_type_count, coalesce(stop_time_count, 0) AS stop_time_count,
+ coalesce(has_train, 0) AS has_train, coalesce(has_subway, 0) AS has_subway, coalesce(has_tram, 0) AS has_tram, coalesce(has_bus, 0) AS has_bus, coalesce(reference_count, 0) AS reference_count FROM stop_areas a JOIN signs USING (area_id) LEFT JOIN traffic USING (area_id) LEFT JOIN refs USING (area_id)),
+scored AS (SELECT *, CAST(stop_count * 2 + route_count * 5 + route_type_count * 6 + least(trip_count // 10, 30) + reference_count * 3 + has_rail_keyword * 10 + has_main_station_keyword * 20 AS BIGINT) AS score FROM hubs),
+levelled AS (SELECT *, CASE WHEN has_main_station_keyword = 1 OR route_count >= 20 OR trip_count >= 500 OR score >= 120 THEN 'MAIN_STATION_CANDIDATE' WHEN route_count >= 10 OR trip_count >= 250 OR route_type_count >= 3 OR score >= 80 THEN 'LARGE'
+ WHEN route_count >= 3 OR trip_count >= 50 OR (route_type_count >= 2 AND reference_count > 0) OR score >= 35 THEN 'MEDIUM' WHEN route_count > 1 OR stop_count > 1 OR reference_count > 0 OR score >= 15 THEN 'SMALL' ELSE 'NONE' END AS hub_level FROM scored)
 """
 
 
+def area_routes(f):
+    return derive.area_routes(f.stop_times, members(f), f.trips, f.routes)
+
+
+def hubs(f):
+    return derive.hub_profiles(f.stops, area_routes(f), f.transfers)
+
+
 @query(HUBS + "SELECT area_id, route_count, trip_count, route_type_count, stop_time_count, has_train, has_subway, has_tram, has_bus FROM traffic")
 def agg04_hub_metrics(f):
-    out = derive.hub_profiles(f.stops, derive.area_routes(f.stop_times, members(f), f.trips, f.routes), f.transfers)
-    return out.filter("stop_time_count > 0").select("area_id", "route_count", "trip_count", "route_type_count", "stop_time_count", "has_train", "has_subway", "has_tram", "has_bus")
+    return derive.traffic(area_routes(f))
 
 
 @query(HUBS + "SELECT area_id, reference_count FROM refs")
 def agg05_transfer_references(f):
-    ends = f.transfers.select("transfer_id", F.col("from_stop_id").alias("stop_id")).union(f.transfers.select("transfer_id", "to_stop_id")).join(members(f), "stop_id")
-    return ends.groupBy("area_id").agg(F.count_distinct("transfer_id").alias("reference_count"))
+    return derive.transfer_references(f.transfers, members(f))
 
 
-@query(HUBS + "SELECT *, CASE WHEN has_main_station_keyword = 1 AND score >= 40 THEN 'MAIN_STATION_CANDIDATE' WHEN score >= 70 THEN 'LARGE' WHEN score >= 35 THEN 'MEDIUM' WHEN score >= 15 THEN 'SMALL' ELSE 'NONE' END AS hub_level FROM scored")
+@query(HUBS + "SELECT * FROM levelled")
 def agg06_hub_levels(f):
-    return derive.hub_profiles(f.stops, derive.area_routes(f.stop_times, members(f), f.trips, f.routes), f.transfers)
+    return hubs(f)
+
+
+PROFILES = HUBS + """, platforms AS (SELECT area_id, count(DISTINCT nullif(trim(platform_code), '')) AS platform_count, max(CASE WHEN contains(n, 'messe') OR contains(n, 'suedkreuz') THEN 1 ELSE 0 END) AS more FROM (SELECT area_id, platform_code, """ + normal("stop_name") + """ AS n FROM stops JOIN members USING (stop_id)
+  UNION ALL SELECT area_id, NULL, """ + normal("area_name") + """ FROM stop_areas) GROUP BY 1),
+firsts AS (SELECT area_id, label, row_number() OVER (PARTITION BY area_id ORDER BY k) AS r, rail FROM (SELECT area_id, trim(line_label) AS label, min(CASE WHEN route_type IS NULL THEN '0' ELSE '1' || lpad(CAST(route_type AS VARCHAR), 6, '0') END || chr(1) || trim(line_label) || chr(1) || route_id) AS k,
+  max(CASE WHEN route_type IS NULL AND regexp_matches(upper(trim(line_label)), '^(ICE|IC|EC|ECE|RE|RB|S[0-9])') THEN 1 ELSE 0 END) AS rail FROM area_routes GROUP BY 1, 2)),
+labelled AS (SELECT area_id, string_agg(label, ',' ORDER BY r) AS line_labels, max(rail) AS untyped FROM firsts WHERE r <= 32 GROUP BY 1),
+typed AS (SELECT area_id, array_to_string(list_sort(list(DISTINCT route_type) FILTER (route_type IS NOT NULL)), ',') AS route_types FROM area_routes GROUP BY 1),
+facts AS (SELECT h.area_id, h.stop_count, platform_count, route_count, trip_count, stop_time_count, coalesce(route_types, '') AS route_types, coalesce(line_labels, '') AS line_labels, CASE WHEN has_train = 1 OR untyped = 1 THEN 1 ELSE 0 END AS has_rail_service, has_train, has_subway, has_tram, has_bus,
+  greatest(has_rail_keyword, more) AS station_name_signal, has_main_station_keyword AS main_station_signal FROM hubs h JOIN platforms USING (area_id) LEFT JOIN labelled USING (area_id) LEFT JOIN typed USING (area_id)),
+classed AS (SELECT *, CASE WHEN has_bus = 1 AND has_rail_service + has_subway + has_tram = 0 THEN 1 ELSE 0 END AS bus_only FROM facts),
+ranked AS (SELECT *, CASE WHEN has_rail_service = 1 AND main_station_signal = 1 THEN 'MAIN_RAIL' WHEN has_rail_service = 1 THEN 'RAIL' WHEN has_subway + has_tram > 0 THEN 'URBAN_RAIL' WHEN bus_only = 1 THEN 'BUS_ONLY' WHEN route_count > 0 THEN 'MIXED' ELSE 'NO_SERVICE' END AS profile_class,
+  CAST(stop_count * 8 + platform_count * 20 + route_count * 60 + least(trip_count // 5, 200) + least(stop_time_count // 20, 120) + station_name_signal * 250 + main_station_signal * 400 + has_rail_service * 800 - bus_only * 250 AS BIGINT) AS search_priority_score FROM classed),
+profiles AS (SELECT *, 'class=' || profile_class || '; stops=' || stop_count || '; platforms=' || platform_count || '; routes=' || route_count || '; trips=' || trip_count || '; stop_times=' || stop_time_count || '; score=' || search_priority_score
+  || CASE WHEN has_rail_service = 1 THEN '; rail_service' ELSE '' END || CASE WHEN bus_only = 1 THEN '; bus_only' ELSE '' END || CASE WHEN main_station_signal = 1 THEN '; main_station_name' WHEN station_name_signal = 1 THEN '; station_name' ELSE '' END AS explanation FROM ranked)
+"""
 
 
-@query("""SELECT area_id, count(*) AS route_count, array_to_string(list_sort(list(DISTINCT route_type) FILTER (route_type IS NOT NULL)), ',') AS route_types, array_to_string(list_sort(list(DISTINCT line_label))[1:32], ',') AS line_labels,
- CAST(sum(trip_count) AS BIGINT) AS trip_count FROM area_routes GROUP BY 1""")
+def profiles(f):
+    return derive.area_profiles(f.stops, area_routes(f))
+
+
+@query(PROFILES + "SELECT * FROM profiles")
 def agg07_area_profiles(f):
-    rows = derive.area_routes(f.stop_times, members(f), f.trips, f.routes)
-    types = F.array_join(F.array_sort(F.collect_set("route_type")).cast("array<string>"), ",")
-    labels = F.array_join(F.slice(F.array_sort(F.collect_set("line_label")), 1, 32), ",")
-    return rows.groupBy("area_id").agg(F.count("*").alias("route_count"), types.alias("route_types"), labels.alias("line_labels"), F.sum("trip_count").alias("trip_count"))
+    return profiles(f)
 
 
-@query("SELECT count(*) AS areas, count(*) FILTER (stop_count = 1) AS singletons, count(*) FILTER (stop_count >= 50) AS large, max(stop_count) AS largest FROM stop_areas")
+@query("""SELECT count(*) AS areas, count(*) FILTER (n = 1) AS singletons, count(*) FILTER (NOT coalesce(backed, false)) AS without_parent, count(*) FILTER (n >= 50) AS very_large,
+ (SELECT list(area_id ORDER BY stop_count DESC, area_id) FROM (SELECT * FROM stop_areas ORDER BY stop_count DESC, area_id LIMIT 5)) AS largest FROM (SELECT a.area_id, count(*) AS n, bool_or(m.member_role = 'STOP') AS backed FROM stop_areas a JOIN members m USING (area_id) GROUP BY 1)""")
 def agg08_area_report(f):
-    n = F.col("stop_count")
-    return derive.stop_areas(f.stops).agg(F.count("*").alias("areas"), F.count_if(n == 1).alias("singletons"), F.count_if(n >= 50).alias("large"), F.max(n).alias("largest"))
+    n = F.col("n")
+    rows = members(f).groupBy("area_id").agg(F.count("*").alias("n"), F.max(F.col("member_role") == "STOP").alias("backed"))
+    few = rows.orderBy(F.desc("n"), "area_id").limit(5).agg(F.transform(F.array_sort(F.collect_list(F.struct((-n).alias("k"), "area_id"))), lambda x: x["area_id"]).alias("largest"))
+    return rows.agg(F.count("*").alias("areas"), F.count_if(n == 1).alias("singletons"), F.count_if(~F.col("backed")).alias("without_parent"), F.count_if(n >= 50).alias("very_large")).crossJoin(F.broadcast(few))
+
 
+def kind_values(pairs):
+    return ", ".join(f"('{k}', '{v}')" for k, v in pairs)
 
-@query("SELECT k.semantic, count(t.transfer_id) AS n FROM (VALUES ('RECOMMENDED'), ('TIMED'), ('MINIMUM_TIME'), ('PROHIBITED'), ('IN_SEAT_ALLOWED'), ('IN_SEAT_FORBIDDEN'), ('UNKNOWN')) k(semantic) LEFT JOIN transfer_kinds t USING (semantic) GROUP BY 1")
-def agg09_semantic_counts(f):
-    names = ["RECOMMENDED", "TIMED", "MINIMUM_TIME", "PROHIBITED", "IN_SEAT_ALLOWED", "IN_SEAT_FORBIDDEN", "UNKNOWN"]
-    found = derive.transfer_kinds(f.transfers).groupBy("semantic").agg(F.count("*").alias("n"))
-    return f.spark.createDataFrame([(n,) for n in names], "semantic string").join(found, "semantic", "left").fillna(0)
+
+LEVELS = [("semantic", v) for v in ("RECOMMENDED", "TIMED", "MINIMUM_TIME", "PROHIBITED", "IN_SEAT_ALLOWED", "IN_SEAT_FORBIDDEN", "UNKNOWN")] + [("hub_level", v) for v in ("MAIN_STATION_CANDIDATE", "LARGE", "MEDIUM", "SMALL", "NONE")] + [("footpath_quality", v) for v in ("GOOD", "ESTIMATED", "LOW", "UNKNOWN")]
+
+
+@query(HUBS + f""", paths AS ({PATHS}), seen AS (SELECT 'semantic' AS kind, semantic AS value FROM transfer_kinds UNION ALL SELECT 'hub_level', hub_level FROM levelled UNION ALL SELECT 'footpath_quality', quality FROM paths)
+ SELECT k.kind, k.value, count(s.value) AS n FROM (VALUES {kind_values(LEVELS)}) k(kind, value) LEFT JOIN seen s ON s.kind = k.kind AND s.value = k.value GROUP BY 1, 2""")
+def agg09_grouped_counts(f):
+    seen = derive.transfer_kinds(f.transfers).select(F.lit("semantic").alias("kind"), F.col("semantic").alias("value")).union(hubs(f).select(F.lit("hub_level"), "hub_level")).union(derive.footpaths(f.stops).select(F.lit("footpath_quality"), "quality"))
+    found = seen.groupBy("kind", "value").agg(F.count("*").alias("n"))
+    return f.spark.createDataFrame(LEVELS, "kind string, value string").join(found, ["kind", "value"], "left").fillna(0)
 
 
 @query("SELECT area_id, count(*) AS n FROM members GROUP BY 1 HAVING count(*) > 1")
@@ -285,9 +351,14 @@ def agg14_candidate_funnel(f):
     return rows.agg(F.count("*").alias("candidates"), F.count_if(F.coalesce("on", F.lit(False))).alias("running"), F.count_distinct(F.when(F.col("on"), F.col("trip_id"))).alias("trips"))
 
 
-@query("SELECT count(DISTINCT service_id) AS services, count(*) AS trips FROM trips JOIN active USING (service_id)")
-def agg15_date_spot_check(f):
-    return f.trips.join(derive.active_services(f.calendar, f.calendar_dates, DAY), "service_id").agg(F.count_distinct("service_id").alias("services"), F.count("*").alias("trips"))
+SPOT_DAYS = ["20240102", "20240106", "20240116", "20231231"]
+
+
+@query(f"""SELECT d.day, count(*) FILTER (act) AS active_services, CAST(coalesce(sum(trip_count) FILTER (act), 0) AS BIGINT) AS active_trips, count(*) FILTER (base) AS base_services, count(*) FILTER (exception_type = 1) AS additions, count(*) FILTER (exception_type = 2) AS removals FROM (
+ SELECT d.day, s.trip_count, x.exception_type, base, CASE WHEN x.exception_type = 1 THEN true WHEN x.exception_type = 2 THEN false ELSE base END AS act FROM (VALUES {', '.join(f"('{d}')" for d in SPOT_DAYS)}) d(day) CROSS JOIN (SELECT *, unnest([1]) AS one FROM summary) s
+ CROSS JOIN LATERAL (SELECT coalesce(s.has_calendar = 1 AND d.day BETWEEN s.start_date AND s.end_date AND (s.weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0, false) AS base) b LEFT JOIN calendar_dates x ON x.service_id = s.service_id AND x.date = d.day) d GROUP BY 1""")
+def agg15_date_spot_checks(f):
+    return audits.spot_checks(calendar_summary(f), f.calendar_dates, SPOT_DAYS)
 
 
 AXES = """, calls AS (SELECT trip_id, area_id, stop_sequence, lag(area_id) OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS before FROM stop_times JOIN members USING (stop_id)),
@@ -307,50 +378,75 @@ def win02_collapsed_sequences(f):
     return derive.trip_sequences(f.stop_times, members(f)).select("trip_id", F.size("areas").cast("long").alias("stop_count"))
 
 
-SIGNATURES = """, spans AS (SELECT c.*, unnest(generate_series(strptime(start_date, '%Y%m%d'), strptime(end_date, '%Y%m%d'), INTERVAL 1 DAY)) AS d FROM calendar c),
+SIGNATURES = """, ends AS (SELECT service_id, min(a) AS a, max(b) AS b FROM (SELECT service_id, start_date AS a, end_date AS b FROM calendar UNION ALL SELECT service_id, date, date FROM calendar_dates) GROUP BY 1),
+lengths AS (SELECT service_id, date_diff('day', strptime(a, '%Y%m%d'), strptime(b, '%Y%m%d')) > 330 AS long FROM ends),
+spans AS (SELECT c.*, unnest(generate_series(strptime(start_date, '%Y%m%d'), strptime(end_date, '%Y%m%d'), INTERVAL 1 DAY)) AS d FROM calendar c WHERE start_date <= end_date),
 days AS (SELECT service_id, strftime(d, '%Y%m%d') AS date FROM spans WHERE [monday, tuesday, wednesday, thursday, friday, saturday, sunday][isodow(d)] = 1 UNION SELECT service_id, date FROM calendar_dates WHERE exception_type = 1),
-kept AS (SELECT * FROM days ANTI JOIN (SELECT service_id, date FROM calendar_dates WHERE exception_type = 2) x USING (service_id, date)),
-signatures AS (SELECT i.service_id, coalesce(any_value(h), 'EMPTY') AS signature, coalesce(any_value(n), 0) AS day_count FROM (SELECT service_id FROM calendar UNION SELECT service_id FROM calendar_dates) i
- LEFT JOIN (SELECT service_id, sha256(string_agg(date, ';' ORDER BY date)) AS h, count(*) AS n FROM kept GROUP BY 1) k USING (service_id) GROUP BY 1)
+kept AS (SELECT * FROM days ANTI JOIN (SELECT service_id, date FROM calendar_dates WHERE exception_type IS DISTINCT FROM 1) x USING (service_id, date)),
+hashed AS (SELECT service_id, 'DATES:' || sha256(string_agg(strftime(strptime(date, '%Y%m%d'), '%Y-%m-%d') || ';', '' ORDER BY date)) AS h, count(*) AS n FROM kept GROUP BY 1),
+signatures AS (SELECT l.service_id, CASE WHEN long THEN 'UNSCOPED:A::' || l.service_id WHEN n IS NULL THEN 'EMPTY:A::' || l.service_id ELSE h END AS signature, CASE WHEN NOT long THEN coalesce(n, 0) END AS day_count FROM lengths l LEFT JOIN hashed USING (service_id))
 """
 
 
 @query(SIGNATURES + "SELECT * FROM signatures")
 def agg17_service_signatures(f):
-    days = F.col("days")
-    signature = F.when(F.size(days) == 0, F.lit("EMPTY")).otherwise(F.sha2(F.array_join(days, ";"), 256))
-    return derive.service_days(f.calendar, f.calendar_dates).select("service_id", signature.alias("signature"), F.size(days).cast("long").alias("day_count"))
+    """With a limit of 330 days, so that the feed has services on both sides of it."""
+    return derive.service_signatures(f.calendar, f.calendar_dates, "A", 330)
+
+
+PATTERNS = SIGNATURES + """, metas AS (SELECT trip_id, route_id, service_id, coalesce(signature, 'UNSCOPED:' || service_id) AS signature, CAST(CASE WHEN route_type IS NULL THEN -1 WHEN route_type BETWEEN 100 AND 199 THEN 2 WHEN route_type BETWEEN 400 AND 699 THEN 1 WHEN route_type BETWEEN 700 AND 799 THEN 3
+  WHEN route_type BETWEEN 900 AND 999 THEN 0 ELSE route_type END AS INTEGER) AS mode, """ + normal("coalesce(nullif(trim(route_short_name), ''), nullif(trim(route_long_name), ''))") + """ AS line_key FROM trips JOIN routes USING (route_id) LEFT JOIN signatures USING (service_id)),
+called AS (SELECT trip_id, count(*) AS stop_count, string_agg(chr(30) || stop_id || ':' || arrival_seconds || ':' || departure_seconds, '' ORDER BY stop_sequence) AS calls FROM stop_times GROUP BY 1 HAVING count(*) > 1),
+patterns AS (SELECT trip_id, route_id, service_id, signature, mode, line_key, stop_count, sha256(signature || chr(31) || mode || chr(31) || line_key || calls) AS exact_hash FROM metas JOIN called USING (trip_id))
+"""
 
 
-PATTERNS = ", patterns AS (SELECT trip_id, count(*) AS stop_count, sha256(string_agg(stop_id || ',' || arrival_seconds || ',' || departure_seconds, ';' ORDER BY stop_sequence)) AS exact_hash FROM stop_times GROUP BY 1 HAVING count(*) > 1)\n"
+def trip_patterns(f):
+    return derive.trip_patterns(f.stop_times, f.trips, f.routes, derive.service_signatures(f.calendar, f.calendar_dates, "A", 330))
 
 
-@query(PATTERNS + "SELECT p.*, route_id, service_id FROM patterns p JOIN trips USING (trip_id)")
+@query(PATTERNS + "SELECT * FROM patterns")
 def agg18_trip_patterns(f):
-    return derive.trip_patterns(f.stop_times, f.trips)
+    return trip_patterns(f).drop("calls", "journey_key")
 
 
-@query("SELECT min(w) AS least, quantile_disc(w, 0.95) AS p95, max(w) AS most, round(avg(w), 3) AS mean FROM (SELECT max(arrival_seconds) - min(departure_seconds) AS w FROM stop_times GROUP BY trip_id)")
+@query("SELECT min(w) AS least, CAST(sum(w) AS BIGINT) // count(*) AS mean, list_sort(list(w))[greatest(1, CAST(ceil(count(*) * 0.95) AS BIGINT))] AS p95, max(w) AS most, count(*) AS n, max(w) <= 15000 AS within FROM (SELECT max(arrival_seconds) - min(departure_seconds) AS w FROM stop_times GROUP BY trip_id)")
 def agg19_latency_summary(f):
+    """Least, mean, nearest-rank 95th percentile and most of numbers, by counts of equal ones: no task sees them all."""
     w = f.stop_times.groupBy("trip_id").agg((F.max("arrival_seconds") - F.min("departure_seconds")).alias("w"))
-    return w.agg(F.min("w").alias("least"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY w)").cast("int").alias("p95"), F.max("w").alias("most"), F.round(F.avg("w"), 3).alias("mean"))
+    return reports.latency_summary(w, "w", 15_000)
+
+
+PREFIXED = """, named AS (SELECT upper(left(n_name, 1) || substr(n_name, 4, 1)) || CASE WHEN c_custkey % 40 = 0 THEN '.' ELSE '' END || '-' || c_custkey AS name, CASE WHEN c_custkey % 90 = 7 THEN 'Elsewhere' ELSE n_name END AS city FROM customer JOIN nation ON n_nationkey = c_nationkey),
+spelled AS (SELECT name, lower(city) AS city FROM named), observed AS (SELECT upper(regexp_replace(left(name, strpos(name, '-') - 1), '[^A-Z]', '', 'g')) AS code, city FROM spelled),
+tallied AS (SELECT code, city, count(*) AS n FROM observed WHERE length(code) >= 2 AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') GROUP BY 1, 2), summed AS (SELECT *, sum(n) OVER (PARTITION BY code) AS total, row_number() OVER (PARTITION BY code ORDER BY n DESC, city DESC) AS r FROM tallied)
+"""
+
+
+@query(PREFIXED + "SELECT code, city FROM summed WHERE r = 1 AND n >= 20 AND n >= total * 0.98e0 AND regexp_matches(upper(replace(city, ' ', '')), array_to_string(string_split(code, ''), '.*')) AND code <> upper(left(replace(city, ' ', ''), 2)) AND NOT (contains(city, ' ') AND code = upper(array_to_string(list_transform(string_split(city, ' '), lambda w: left(w, 1)), '')))")
+def agg20_learned_prefixes(f):
+    from ..operators.names import prefix_aliases
 
+    n, k = F.col("n_name"), F.col("c_custkey")
+    code = F.concat(F.upper(F.concat(F.substring(n, 1, 1), F.substring(n, 4, 1))), F.when(k % 40 == 0, ".").otherwise(""))
+    rows = f.source("customer").join(f.source("nation"), F.col("n_nationkey") == F.col("c_nationkey")).select(F.concat(code, F.lit("-"), k.cast("string")).alias("name"), F.when(k % 90 == 7, "Elsewhere").otherwise(n).alias("city"))
+    return prefix_aliases(rows).filter("learned").select("code", "city")
 
-@query("SELECT * FROM (SELECT code, city, n, total, row_number() OVER (PARTITION BY code ORDER BY n DESC, city) AS r FROM (SELECT code, city, count(*) AS n, sum(count(*)) OVER (PARTITION BY code) AS total FROM (SELECT stop_code AS code, split_part(stop_name, ' ', 1) AS city FROM stops) GROUP BY 1, 2)) WHERE r = 1 AND n * 100 >= total * 50".replace("SELECT * FROM (SELECT code, city, n, total, row", "SELECT code, city, n, CAST(total AS BIGINT) AS total FROM (SELECT code, city, n, total, row"))
-def agg20_dominant_city(f):
-    rows = f.stops.select(F.col("stop_code").alias("code"), F.get(F.split("stop_name", " "), F.lit(0)).alias("city")).groupBy("code", "city").agg(F.count("*").alias("n"))
-    best = rows.groupBy("code").agg(F.max_by(F.struct("city", "n"), F.struct(F.col("n"), F.struct((-F.col("n")).alias("z")))).alias("x"), F.sum("n").alias("total"))
-    order = Window.partitionBy("code").orderBy(F.desc("n"), "city")
-    top = rows.withColumn("r", F.row_number().over(order)).filter("r = 1").select("code", "city", "n")
-    return top.join(best.select("code", "total"), "code").filter("n * 100 >= total * 50").select("code", "city", "n", "total")
 
+#: An older feed: some stops, trips and calls are not there yet, and no exceptions at all.
+OLDER = ", older_stops AS (SELECT * FROM stops WHERE ascii(right(stop_id, 1)) % 10 <> 3), older_trips AS (SELECT * FROM trips WHERE right(trip_id, 1) <> '4'), older_calls AS (SELECT * FROM stop_times WHERE right(trip_id, 1) NOT IN ('4', '5', '6'))\n"
 
-@query("SELECT t AS name, a AS baseline, b AS candidate, b - a AS delta, round(abs(b - a) * 100e0 / greatest(1, abs(a)), 3) AS percent FROM (SELECT 'calls' AS t, count(*) AS a, count(*) FILTER (stop_sequence > 1) AS b FROM stop_times UNION ALL SELECT 'stops', count(*), count(*) FILTER (location_type = 0) FROM stops)")
-def agg21_row_count_drift(f):
-    calls = f.stop_times.agg(F.lit("calls").alias("name"), F.count("*").alias("baseline"), F.count_if(F.col("stop_sequence") > 1).alias("candidate"))
-    stops = f.stops.agg(F.lit("stops").alias("name"), F.count("*").alias("baseline"), F.count_if(F.col("location_type") == 0).alias("candidate"))
-    delta = F.col("candidate") - F.col("baseline")
-    return calls.union(stops).withColumns({"delta": delta, "percent": F.round(F.abs(delta) * 100.0 / F.greatest(F.lit(1), F.abs("baseline")), 3)})
+
+def older(f):
+    return {"stops": f.stops.filter(F.ascii(F.substring("stop_id", -1, 1)) % 10 != 3), "trips": f.trips.filter(F.substring("trip_id", -1, 1) != "4"), "stop_times": f.stop_times.filter(~F.substring("trip_id", -1, 1).isin("4", "5", "6")), "routes": f.routes, "calendar": f.calendar}
+
+
+@query(OLDER + """SELECT t.name, a AS baseline, b AS candidate, b - a AS delta FROM (SELECT 'stops' AS name, (SELECT count(*) FROM older_stops) AS a, (SELECT count(*) FROM stops) AS b UNION ALL SELECT 'trips', (SELECT count(*) FROM older_trips), (SELECT count(*) FROM trips)
+ UNION ALL SELECT 'stop_times', (SELECT count(*) FROM older_calls), (SELECT count(*) FROM stop_times) UNION ALL SELECT 'routes', (SELECT count(*) FROM routes), (SELECT count(*) FROM routes) UNION ALL SELECT 'calendar', (SELECT count(*) FROM calendar), (SELECT count(*) FROM calendar)) t""")
+def agg21_row_count_deltas(f):
+    a = audits.row_counts(older(f)).withColumnRenamed("rows", "baseline")
+    b = audits.row_counts({"stops": f.stops, "trips": f.trips, "stop_times": f.stop_times, "routes": f.routes, "calendar": f.calendar}).withColumnRenamed("rows", "candidate")
+    return a.join(b, "name").withColumn("delta", F.col("candidate") - F.col("baseline"))
 
 
 @query("SELECT area_id, route_id, r FROM (SELECT area_id, route_id, row_number() OVER (PARTITION BY area_id ORDER BY stop_time_count DESC, route_id) AS r FROM area_routes) WHERE r <= 3")
@@ -365,15 +461,33 @@ def win03_first_wins(f):
     return rows.groupBy("token").agg(F.min("stop_id").alias("stop_id"))
 
 
-@query(PATTERNS + "SELECT trip_id, first_value(trip_id) OVER (PARTITION BY exact_hash ORDER BY trip_id) AS kept_trip_id, CAST(trip_id <> first_value(trip_id) OVER (PARTITION BY exact_hash ORDER BY trip_id) AS INTEGER) AS suppressed FROM patterns")
+@query(PATTERNS + """, twice AS (SELECT 'A' AS source_id, 0 AS source_priority, 'A::' || trip_id AS trip_id, exact_hash, signature FROM patterns UNION ALL SELECT 'B', 1, 'B::' || trip_id, CASE WHEN right(trip_id, 1) IN ('1', '2', '3') THEN exact_hash ELSE 'other' || exact_hash END, signature FROM patterns)
+ SELECT trip_id, CASE WHEN source_id <> k THEN kept ELSE trip_id END AS kept_trip_id, CAST(source_id <> k AS INTEGER) AS suppressed FROM (SELECT *, first_value(trip_id) OVER w AS kept, first_value(source_id) OVER w AS k FROM twice WINDOW w AS (PARTITION BY exact_hash, signature ORDER BY source_priority, trip_id))""")
 def win07_duplicate_primary(f):
-    rows = derive.trip_patterns(f.stop_times, f.trips).withColumns({"signature": F.lit(""), "source_priority": F.lit(0)})
-    return fusion.duplicate_trips(rows).select("trip_id", "kept_trip_id", "suppressed")
+    own = trip_patterns(f)
+    rows = lambda s, p, h: own.select(F.lit(s).alias("source_id"), F.lit(p).alias("source_priority"), F.concat(F.lit(f"{s}::"), "trip_id").alias("trip_id"), h.alias("exact_hash"), "signature")
+    other = F.when(F.substring("trip_id", -1, 1).isin("1", "2", "3"), F.col("exact_hash")).otherwise(F.concat(F.lit("other"), "exact_hash"))
+    return fusion.duplicate_trips(rows("A", 0, F.col("exact_hash")).union(rows("B", 1, other))).select("trip_id", "kept_trip_id", "suppressed")
+
+
+@query(HUBS + AXES.replace(", calls AS", ", calls AS", 1) + """SELECT * FROM (SELECT 'areas' AS list, area_id AS id, stop_count AS n, row_number() OVER (ORDER BY stop_count DESC, area_id) AS place FROM stop_areas UNION ALL SELECT 'hubs', area_id, score, row_number() OVER (ORDER BY score DESC, area_id) FROM levelled
+ UNION ALL SELECT 'axes', axis_id, stop_count, row_number() OVER (ORDER BY stop_count DESC, axis_id) FROM axes) WHERE place <= 5""")
+def ord04_largest(f):
+    """The five largest areas, hubs and axes."""
+    tops = [("areas", derive.stop_areas(f.stops), "area_id", "stop_count"), ("hubs", hubs(f), "area_id", "score"), ("axes", derive.route_axes(f.stop_times, members(f), f.trips), "axis_id", "stop_count")]
+    out = None
+    for name, df, key, n in tops:
+        few = df.select(F.lit(name).alias("list"), F.col(key).alias("id"), F.col(n).cast("long").alias("n")).orderBy(F.desc("n"), "id").limit(5)
+        rows = few.withColumn("place", F.row_number().over(Window.partitionBy("list").orderBy(F.desc("n"), "id")))
+        out = rows if out is None else out.union(rows)
+    return out
 
 
-@query("SELECT area_id, stop_count FROM stop_areas ORDER BY stop_count DESC, area_id LIMIT 5")
-def ord04_largest_areas(f):
-    return derive.stop_areas(f.stops).orderBy(F.desc("stop_count"), "area_id").limit(5).select("area_id", "stop_count")
+@query("SELECT area_id, route_id, row_number() OVER (PARTITION BY area_id ORDER BY coalesce(route_type, 2147483647), coalesce(line_label, ''), route_id) AS place FROM area_routes")
+def ord03_canonical_order(f):
+    """Places in the order in which routes of an area are published: an unknown type comes last."""
+    order = Window.partitionBy("area_id").orderBy(F.asc_nulls_last("route_type"), F.coalesce("line_label", F.lit("")), "route_id")
+    return area_routes(f).select("area_id", "route_id", F.row_number().over(order).alias("place"))
 
 
 @query("SELECT area_id, list_sort(list(stop_id))[1:5] AS sample FROM members GROUP BY 1")
@@ -411,16 +525,34 @@ MAPPED = """, mapped AS (SELECT k.*, a.area_id AS from_area_id, b.area_id AS to_
 """
 
 
-@query(MAPPED + """SELECT 'GTFS_' || transfer_id AS transfer_rule_id, from_area_id, to_area_id, transfer_type, min_transfer_time AS min_transfer_time_seconds, semantic AS transfer_semantic, scope_type, pedestrian_usable, 'GTFS_TRANSFERS' AS source, 'HIGH' AS confidence FROM mapped
- UNION ALL SELECT 'AREA_' || regexp_replace(area_id, '[^A-Za-z0-9]+', '_', 'g'), area_id, area_id, NULL, NULL, 'AREA_MEMBERSHIP', 'STOP', 0, 'SAME_STOP_AREA', 'LOW' FROM members GROUP BY area_id HAVING count(*) > 1""")
+@query(MAPPED + """SELECT 'gtfs_transfer_' || transfer_id AS transfer_rule_id, transfer_id AS raw_transfer_id, from_area_id, to_area_id, from_stop_id, to_stop_id, transfer_type, min_transfer_time AS min_transfer_time_seconds, semantic AS transfer_semantic, scope_type, pedestrian_usable, 'GTFS_TRANSFERS' AS source, 'HIGH' AS confidence FROM mapped
+ UNION ALL SELECT 'same_area_' || regexp_replace(area_id, '[^A-Za-z0-9]+', '_', 'g'), NULL, area_id, area_id, NULL, NULL, NULL, NULL, 'AREA_MEMBERSHIP', 'AREA', 0, 'SAME_STOP_AREA', 'LOW' FROM members GROUP BY area_id HAVING count(*) > 1""")
 def gr01_transfer_rules(f):
     return derive.transfer_rules(f.transfers, members(f))
 
 
-@query(NEAR + MAPPED + """, used AS (SELECT from_area_id, to_area_id, min(coalesce(min_transfer_time, 180)) AS s FROM mapped WHERE pedestrian_usable = 1 AND from_area_id <> to_area_id GROUP BY 1, 2),
- covered AS (SELECT DISTINCT from_area_id, to_area_id FROM mapped WHERE from_area_id <> to_area_id AND (pedestrian_usable = 1 OR (semantic = 'PROHIBITED' AND scope_type = 'STOP')))
- SELECT from_area_id, to_area_id, CAST(NULL AS BIGINT) AS distance_meters, CAST(s AS BIGINT) AS min_transfer_seconds, 1 AS is_traversable, 'GTFS_TRANSFERS' AS source FROM used
- UNION ALL SELECT from_id, to_id, distance_meters, CAST(greatest(120, ceil(distance_meters * 1.35e0 / 1.2e0) + 60) AS BIGINT), 0, 'NEARBY' FROM top WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.from_area_id = from_id AND c.to_area_id = to_id)""")
+@query(MAPPED + """SELECT (SELECT count(*) FROM transfers) AS observed, count(*) AS mapped, (SELECT count(*) FROM transfers) - count(*) AS unmapped, count(*) FILTER (scope_type <> 'STOP') AS scoped, count(*) FILTER (pedestrian_usable = 1) AS usable, count(*) FILTER (pedestrian_usable = 0) AS excluded,
+ count(*) FILTER (min_transfer_time < 0) AS negative_times, count(*) FILTER (min_transfer_time > 3600) AS very_long_times, (SELECT count(*) FROM (SELECT area_id FROM members GROUP BY 1 HAVING count(*) > 1)) AS same_area_rules FROM mapped""")
+def gr01_transfer_counts(f):
+    return derive.transfer_counts(f.transfers, members(f))
+
+
+WALK = "CAST(greatest(120, ceil({d} * 1.35e0 / 1.2e0) + 60) AS BIGINT)"
+EDGES = NEAR + MAPPED + f""", spreads AS (SELECT area_id, CASE WHEN count(*) FILTER (distance_meters IS NULL) = 0 THEN max(distance_meters) END AS spread FROM ({PATHS}) GROUP BY 1),
+several AS (SELECT m.area_id, s.spread FROM (SELECT area_id FROM members GROUP BY 1 HAVING count(*) > 1) m LEFT JOIN spreads s USING (area_id)),
+walked AS (SELECT m.*, {METRES.format(a=HAV.format(y='stop_lat', x='stop_lon'))} AS d, CAST(CASE WHEN min_transfer_time >= 0 THEN min_transfer_time ELSE 180 END AS BIGINT) AS s FROM mapped m JOIN stops a ON a.stop_id = m.from_stop_id JOIN stops b ON b.stop_id = m.to_stop_id WHERE pedestrian_usable = 1),
+covered AS (SELECT DISTINCT from_area_id, to_area_id FROM mapped WHERE pedestrian_usable = 1 OR (semantic = 'PROHIBITED' AND scope_type = 'STOP')),
+clean(x, y) AS (SELECT area_id, regexp_replace(area_id, '[^A-Za-z0-9]+', '_', 'g') FROM stop_areas),
+edges AS (SELECT 'edge_gtfs_' || transfer_id AS transfer_edge_id, transfer_id AS raw_transfer_id, from_area_id, to_area_id, from_stop_id, to_stop_id, d AS distance_meters, s AS min_transfer_seconds, (s + 59) // 60 AS min_transfer_minutes, 1 AS is_traversable, 'GTFS_PEDESTRIAN_TRANSFER' AS edge_kind, semantic AS transfer_semantic,
+  scope_type, CASE WHEN d IS NULL THEN 'GTFS_TIME_ONLY' ELSE 'GTFS_TIME_WITH_STOP_COORDINATE_DISTANCE' END AS distance_method, CASE WHEN s <= 240 THEN 'GOOD' WHEN s <= 360 THEN 'OK' WHEN s <= 600 THEN 'LONG' ELSE 'AVOID' END AS quality, 'GTFS_TRANSFERS' AS source FROM walked
+ UNION ALL SELECT 'edge_' || y || '_' || y, NULL, area_id, area_id, NULL, NULL, spread, coalesce({WALK.format(d='spread')}, 0), (coalesce({WALK.format(d='spread')}, 0) + 59) // 60, 0, 'AREA_MEMBERSHIP_CANDIDATE', 'AREA_MEMBERSHIP', 'AREA', CASE WHEN spread IS NULL THEN 'UNKNOWN' ELSE 'MAX_CONCRETE_STOP_STRAIGHT_LINE' END,
+  CASE WHEN spread <= 400 THEN 'CANDIDATE' ELSE 'UNKNOWN' END, 'SAME_STOP_AREA' FROM several JOIN clean ON x = area_id
+ UNION ALL SELECT 'edge_' || a.y || '_' || b.y, NULL, from_id, to_id, NULL, NULL, distance_meters, {WALK.format(d='distance_meters')}, ({WALK.format(d='distance_meters')} + 59) // 60, 0, 'NEARBY_AREA_CANDIDATE', 'DISTANCE_CANDIDATE', 'AREA', 'STRAIGHT_LINE_LOWER_BOUND',
+  CASE WHEN distance_meters <= 200 THEN 'CANDIDATE' WHEN distance_meters <= 400 THEN 'LOW' ELSE 'UNKNOWN' END, 'DISTANCE_HEURISTIC' FROM top JOIN clean a ON a.x = from_id JOIN clean b ON b.x = to_id WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.from_area_id = from_id AND c.to_area_id = to_id))
+"""
+
+
+@query(EDGES + "SELECT * FROM edges")
 def gr02_transfer_edges(f):
     return derive.transfer_edges(f.stops, f.transfers)
 
@@ -438,13 +570,24 @@ def gr06_root_stations(f):
     return roots(f.stops, "stop_id", "parent_station")
 
 
-@query("SELECT stop_id, min(stop_id) OVER (PARTITION BY stop_code) AS label FROM stops WHERE stop_code LIKE 'SC%'")
-def gr05_identity_components(f):
-    from ..operators.graph import components
+IDENTITIES = SOURCES + """, ties(x, y) AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach(x, y) AS (SELECT id, id FROM tops UNION SELECT r.x, e.y FROM reach r JOIN ties e ON e.x = r.y),
+labelled AS (SELECT x AS id, min(y) AS label FROM reach GROUP BY 1), groups AS (SELECT label, list_sort(list(id)) AS ids, count(DISTINCT left(id, 2)) AS sources FROM labelled GROUP BY 1),
+hashed AS (SELECT label, sources, CASE WHEN sources > 1 THEN 'C:' || left(sha256(array_to_string(list_transform(ids, lambda x: x || chr(0)), '')), 20) ELSE 'S:' || ids[1] END AS identity, ids FROM groups),
+identities AS (SELECT s.source_id || '::' || s.stop_id AS stop_key, CASE WHEN s.parent_station = '' THEN s.source_id || '::' || s.stop_id ELSE s.source_id || '::' || s.parent_station END AS anchor FROM sourced s),
+keyed AS (SELECT stop_key, anchor, identity, sources FROM identities JOIN labelled l ON l.id = anchor JOIN hashed USING (label)),
+plan AS (SELECT k.stop_key, CASE WHEN k.stop_key = k.anchor AND k.sources > 1 THEN first_value(k.stop_key) OVER (PARTITION BY k.identity, k.stop_key = k.anchor ORDER BY k.stop_key) ELSE k.stop_key END AS output_id FROM keyed k)
+"""
+
+
+@query(IDENTITIES + "SELECT stop_key, anchor, identity, sources FROM keyed")
+def gr05_station_identities(f):
+    return fusion.identities(two_stop_sources(f))
+
 
-    own = f.stops.filter("stop_code LIKE 'SC%'")
-    edges = own.select("stop_id", "stop_code").join(own.groupBy("stop_code").agg(F.min("stop_id").alias("to")), "stop_code").select(F.col("stop_id").alias("a"), F.col("to").alias("b"))
-    return own.select("stop_id").join(components(edges).withColumnRenamed("node", "stop_id"), "stop_id", "left").select("stop_id", F.coalesce("label", "stop_id").alias("label"))
+@query(IDENTITIES + "SELECT stop_key, output_id, output_id <> stop_key AS suppressed FROM plan")
+def gr07_stop_plan(f):
+    both = two_stop_sources(f)
+    return fusion.stop_plan(both, fusion.identities(both))
 
 
 @query("SELECT transfer_id, from_stop_id, to_stop_id, transfer_type, min_transfer_time FROM transfers")
@@ -455,7 +598,7 @@ def src08_transfers(f):
 @query("SELECT area_id, row_number() OVER (ORDER BY area_id) AS ordinal FROM stop_areas")
 def win06_ordinals(f):
     """Numbers in a total order without one task: counts of range partitions, then ranks inside."""
-    areas = derive.stop_areas(f.stops).select("area_id").repartitionByRange(4, "area_id").withColumn("part", F.spark_partition_id())
+    areas = derive.stop_areas(f.stops).select("area_id").repartitionByRange("area_id").withColumn("part", F.spark_partition_id())
     from ..operators.graph import written
 
     areas = written(areas)
@@ -472,22 +615,33 @@ def set05_header_union(f):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("SELECT 'A' || (s_suppkey % 3) AS source_id, 'S' || s_suppkey AS stop_id, CASE WHEN s_suppkey % 5 = 0 THEN 'CROSS_SOURCE_IDENTITY' ELSE 'PRIMARY' END AS kind FROM supplier".join(["SELECT kind, count(*) AS n FROM (", ") GROUP BY 1"]))
-def gr23_mapping_kinds(f):
-    rows = f.source("supplier").select(F.when(F.col("s_suppkey") % 5 == 0, "CROSS_SOURCE_IDENTITY").otherwise("PRIMARY").alias("kind"))
-    return rows.groupBy("kind").agg(F.count("*").alias("n"))
-
-
-@query("""SELECT stop_code, stop_id AS kept, n - 1 AS suppressed FROM (SELECT stop_code, stop_id, row_number() OVER (PARTITION BY stop_code ORDER BY CASE WHEN location_type = 1 THEN 0 ELSE 1 END, stop_id) AS r, count(*) OVER (PARTITION BY stop_code) AS n FROM stops) WHERE r = 1""")
-def gr07_stop_plan(f):
-    best = F.min(F.struct(F.when(F.col("location_type") == 1, 0).otherwise(1).alias("priority"), "stop_id"))
-    return f.stops.groupBy("stop_code").agg(best.alias("x"), (F.count("*") - 1).alias("suppressed")).select("stop_code", F.col("x.stop_id").alias("kept"), "suppressed")
-
-
-@query("""SELECT 'BB::' || trip_id AS trip_id, 'BB::' || stop_id AS stop_id, row_number() OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS stop_sequence FROM stop_times WHERE CAST(substr(stop_id, 2) AS BIGINT) % 4 <> 0""")
-def gr22_rewritten_calls(f):
-    """Calls of kept stops with new ids, numbered anew."""
-    gone = f.stops.filter(F.substring("stop_id", 2, 20).cast("long") % 4 == 0).select("stop_id")
-    kept = f.stop_times.join(gone, "stop_id", "left_anti")
-    number = F.row_number().over(Window.partitionBy("trip_id").orderBy("stop_sequence"))
-    return fusion.namespaced(kept.withColumn("stop_sequence", number), "BB", ["trip_id", "stop_id"]).select("trip_id", "stop_id", "stop_sequence")
+@query(IDENTITIES + """, kept AS (SELECT DISTINCT output_id FROM plan WHERE output_id <> stop_key) SELECT output_id AS canonical_stop_id, split_part(stop_key, '::', 1) AS source_id, split_part(stop_key, '::', 2) AS source_stop_id, CASE WHEN output_id = stop_key THEN 'PRIMARY' ELSE 'CROSS_SOURCE_IDENTITY' END AS match_method
+ FROM plan WHERE output_id IN (SELECT output_id FROM kept)""")
+def gr23_stop_mappings(f):
+    both = two_stop_sources(f)
+    return fusion.stop_mappings(fusion.stop_plan(both, fusion.identities(both)))
+
+
+@query(IDENTITIES + """, gone AS (SELECT stop_key, output_id FROM plan WHERE output_id <> stop_key)
+ SELECT 'stops' AS member, 'BB::b' || s.stop_id AS a, coalesce(p.output_id, 'BB::b' || parent_station) AS b FROM stops s LEFT JOIN gone g ON g.stop_key = 'BB::b' || s.stop_id LEFT JOIN gone p ON p.stop_key = 'BB::b' || s.parent_station WHERE g.stop_key IS NULL
+ UNION ALL SELECT 'stop_times', 'BB::' || trip_id || '/' || stop_sequence, coalesce(output_id, 'BB::b' || stop_id) FROM stop_times LEFT JOIN gone ON stop_key = 'BB::b' || stop_id WHERE right(trip_id, 1) <> '7'
+ UNION ALL SELECT 'transfers', coalesce(x.output_id, 'BB::b' || from_stop_id), coalesce(y.output_id, 'BB::b' || to_stop_id) FROM transfers LEFT JOIN gone x ON x.stop_key = 'BB::b' || from_stop_id LEFT JOIN gone y ON y.stop_key = 'BB::b' || to_stop_id
+ UNION ALL SELECT 'transfer_trips', CAST(transfer_id AS VARCHAR), CASE WHEN right(from_trip_id, 1) = '7' THEN 'AA::' || from_trip_id ELSE 'BB::' || from_trip_id END FROM transfers WHERE from_trip_id IN (SELECT trip_id FROM trips)
+ UNION ALL SELECT 'routes', 'BB::' || route_id, CASE WHEN nullif(trim(agency_id), '') IS NULL THEN 'BB::__DEFAULT_AGENCY' ELSE 'BB::' || agency_id END FROM routes""")
+def gr22_rewritten_members(f):
+    """Source B's members in a feed merged with A: trips ending in 7 are A's, and shared stations have A's ids."""
+    both = two_stop_sources(f)
+    plan = fusion.stop_plan(both, fusion.identities(both))
+    trips = f.trips.select(F.concat(F.lit("BB::"), "trip_id").alias("trip_id"), F.concat(F.when(F.substring("trip_id", -1, 1) == "7", "AA::").otherwise("BB::"), "trip_id").alias("canonical_trip_id"))
+    named = lambda df, *columns: df.withColumns({k: F.concat(F.lit("b"), k) for k in columns})
+    write = lambda df, member: fusion.rewritten(df, "BB", member, plan, trips)
+    moves = write(named(f.transfers, "from_stop_id", "to_stop_id"), "transfers.txt")
+    rows = [
+        write(named(f.stops, "stop_id", "parent_station"), "stops.txt").select(F.lit("stops").alias("member"), F.col("stop_id").alias("a"), F.col("parent_station").alias("b")),
+        write(named(f.stop_times, "stop_id"), "stop_times.txt").select(F.lit("stop_times"), F.concat_ws("/", "trip_id", "stop_sequence"), "stop_id"), moves.select(F.lit("transfers"), "from_stop_id", "to_stop_id"),
+        moves.join(trips.select(F.col("canonical_trip_id").alias("from_trip_id")), "from_trip_id", "left_semi").select(F.lit("transfer_trips"), F.col("transfer_id").cast("string"), "from_trip_id"), write(f.routes, "routes.txt").select(F.lit("routes"), "route_id", "agency_id"),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.union(r)
+    return out

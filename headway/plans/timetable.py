@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..operators import derive, journeys
 from .registry import query
-from .rules import TOKENS
-from .tables import DAY, all_legs, members
+from ..sources import reports
+from ..sources.testfeed import normal
+from .rules import ALIASES, NAMED, TOKENS, alias_table, named_areas
+from .tables import DAY, PROFILES, all_legs, area_routes, calendar_summary, members, profiles
 
 LEG = "trip_id, route_id, service_id, from_stop_id, to_stop_id, from_sequence, to_sequence, departure_seconds, arrival_seconds"
 LEG_COLUMNS = LEG.split(", ")
@@ -59,16 +61,24 @@ def q07_next_legs(f):
     return journeys.earliest(rows, "to_area").select("to_area", "trip_id", "departure_seconds", "arrival_seconds")
 
 
-@query("SELECT trip_id, stop_sequence, st.stop_id, stop_name, arrival_seconds, departure_seconds FROM stop_times st LEFT JOIN stops USING (stop_id) WHERE trip_id = 'T5'")
+@query("SELECT st.trip_id, stop_sequence, st.stop_id, stop_name, arrival_seconds, departure_seconds, t.route_id, t.service_id, t.direction_id, l.line_label, l.route_type FROM stop_times st LEFT JOIN stops USING (stop_id) LEFT JOIN trips t ON t.trip_id = st.trip_id LEFT JOIN labels l ON l.route_id = t.route_id WHERE st.trip_id IN ('T5', 'T7')")
 def q08_trip_calls(f):
-    return f.stop_times.filter("trip_id = 'T5'").join(f.stops.select("stop_id", "stop_name"), "stop_id", "left").select("trip_id", "stop_sequence", "stop_id", "stop_name", "arrival_seconds", "departure_seconds")
+    """Calls of trips with what is known of trip and route."""
+    trips = f.trips.join(derive.route_labels(f.routes), "route_id", "left")
+    rows = f.stop_times.filter("trip_id IN ('T5', 'T7')").join(f.stops.select("stop_id", "stop_name"), "stop_id", "left").join(trips, "trip_id", "left")
+    return rows.select("trip_id", "stop_sequence", "stop_id", "stop_name", "arrival_seconds", "departure_seconds", "route_id", "service_id", "direction_id", "line_label", "route_type")
 
 
-@query("""SELECT s.service_id, d.day, CASE WHEN x.removed THEN 'REMOVED_BY_EXCEPTION' WHEN x.added THEN 'ADDED_BY_EXCEPTION' WHEN has_calendar = 0 THEN 'NO_CALENDAR' WHEN d.day < start_date THEN 'BEFORE_RANGE' WHEN d.day > end_date THEN 'AFTER_RANGE'
- WHEN (weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0 THEN 'ACTIVE_BY_CALENDAR' ELSE 'INACTIVE_WEEKDAY' END AS reason FROM summary s CROSS JOIN (VALUES ('20240102'), ('20240106'), ('20240116'), ('20231231')) d(day)
- LEFT JOIN (SELECT service_id, date, bool_or(exception_type = 2) AS removed, bool_or(exception_type = 1) AS added FROM calendar_dates GROUP BY 1, 2) x ON x.service_id = s.service_id AND x.date = d.day""")
+@query("""SELECT d.service_id, d.day, CASE WHEN s.service_id IS NULL THEN 'UNKNOWN_SERVICE' WHEN x.kind = 1 THEN 'CALENDAR_DATES_ADDITION' WHEN x.kind = 2 THEN 'CALENDAR_DATES_REMOVAL' WHEN x.service_id IS NOT NULL THEN 'INVALID_EXCEPTION_TYPE' WHEN has_calendar = 0 THEN 'EXCEPTIONS_ONLY_NO_ADDITION'
+ WHEN start_date IS NULL OR end_date IS NULL OR d.day < start_date OR d.day > end_date THEN 'OUTSIDE_CALENDAR_RANGE' WHEN (weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0 THEN 'CALENDAR_WEEKDAY_ACTIVE' ELSE 'CALENDAR_WEEKDAY_INACTIVE' END AS reason,
+ CASE WHEN s.service_id IS NULL THEN false WHEN x.service_id IS NOT NULL THEN x.kind = 1 ELSE has_calendar = 1 AND coalesce(d.day BETWEEN start_date AND end_date, false) AND (weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0 END AS active
+ FROM (SELECT service_id, day FROM (SELECT DISTINCT service_id FROM trips UNION ALL SELECT 'NONE') CROSS JOIN (VALUES ('20240102'), ('20240106'), ('20240116'), ('20231231')) v(day)) d LEFT JOIN summary s USING (service_id)
+ LEFT JOIN (SELECT service_id, date, CASE WHEN service_id IN ('SV1', 'SV2') THEN 7 ELSE exception_type END AS kind FROM calendar_dates) x ON x.service_id = d.service_id AND x.date = d.day""")
 def q09_service_day_reasons(f):
-    return journeys.day_reasons(derive.calendar_summary(f.calendar, f.calendar_dates, f.trips), f.calendar_dates, ["20240102", "20240106", "20240116", "20231231"])
+    """Also of a service that no table knows, and with exceptions of an unknown type."""
+    dates = f.calendar_dates.withColumn("exception_type", F.when(F.col("service_id").isin("SV1", "SV2"), 7).otherwise(F.col("exception_type")))
+    asked = f.trips.select("service_id").distinct().union(f.spark.createDataFrame([("NONE",)], "service_id string"))
+    return journeys.day_reasons(asked, calendar_summary(f), dates, ["20240102", "20240106", "20240116", "20231231"])
 
 
 @query("SELECT service_id, list_sort(list(trip_id))[1:20] AS sample FROM trips JOIN active USING (service_id) GROUP BY 1")
@@ -84,74 +94,165 @@ def q11_direct_connections(f):
     return scan.orderBy("departure_seconds", "arrival_seconds", "trip_id", "from_sequence", "to_sequence").limit(10).select(*LEG_COLUMNS)
 
 
-@query("SELECT count(*) AS legs, count(*) FILTER (arrival_seconds >= departure_seconds) AS in_order, count(DISTINCT trip_id) AS trips, count(DISTINCT route_id) AS routes FROM legs WHERE from_area = 'N20' AND to_area = 'N19'")
+CANDIDATES = """, removed AS (SELECT service_id FROM calendar_dates WHERE date = '20240102' AND exception_type = 2), added AS (SELECT service_id FROM calendar_dates WHERE date = '20240102' AND exception_type = 1),
+rides AS (SELECT a.trip_id, t.service_id, ma.area_id AS from_area, mb.area_id AS to_area, a.departure_seconds, b.arrival_seconds, t.service_id IN (SELECT service_id FROM active) AS runs, t.service_id IN (SELECT service_id FROM active) AND t.service_id IN (SELECT service_id FROM added) AS by_addition, t.service_id IN (SELECT service_id FROM removed) AS by_removal
+  FROM stop_times a JOIN stop_times b ON a.trip_id = b.trip_id AND b.stop_sequence > a.stop_sequence JOIN members ma ON ma.stop_id = a.stop_id JOIN members mb ON mb.stop_id = b.stop_id JOIN trips t ON t.trip_id = a.trip_id)
+"""
+
+
+def rides(f, **ends):
+    """All rides, whatever their services do on the day, with what the day says of them."""
+    every = f.trips.select("service_id").distinct()
+    status = journeys.service_status(every, f.calendar, f.calendar_dates, DAY)
+    return derive.legs(f.stop_times, members(f), f.trips, every, **ends).join(F.broadcast(status), "service_id")
+
+
+@query(CANDIDATES + """SELECT count(*) AS raw, count(*) FILTER (runs) AS active, count(*) FILTER (by_addition) AS added, count(*) FILTER (by_removal) AS removed FROM rides WHERE from_area = 'N20' AND to_area = 'N19' AND departure_seconds BETWEEN 18000 AND 79200 AND arrival_seconds >= departure_seconds""")
 def q12_direct_diagnostics(f):
-    rows = all_legs(f, from_area="N20", to_area="N19")
-    return rows.agg(F.count("*").alias("legs"), F.count_if(F.col("arrival_seconds") >= F.col("departure_seconds")).alias("in_order"), F.count_distinct("trip_id").alias("trips"), F.count_distinct("route_id").alias("routes"))
+    rows = rides(f, from_area="N20", to_area="N19").filter(F.col("departure_seconds").between(18000, 79200) & (F.col("arrival_seconds") >= F.col("departure_seconds")))
+    why = F.col("reason")
+    return rows.agg(F.count("*").alias("raw"), F.count_if(why.isin("addition", "calendar")).alias("active"), F.count_if(why == "addition").alias("added"), F.count_if(why == "removal").alias("removed"))
+
 
+ONE_CHANGE = """, firsts AS (SELECT * FROM legs WHERE from_area = 'N20' AND to_area NOT IN ('N20', 'N19') AND departure_seconds BETWEEN 21600 AND 64800 AND arrival_seconds >= departure_seconds ORDER BY arrival_seconds, departure_seconds, to_area, trip_id, from_sequence, to_sequence LIMIT 500),
+bests AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds DESC, trip_id, from_sequence, to_sequence) AS k FROM firsts) WHERE k = 1),
+changes AS (SELECT b.*, area_name FROM bests b JOIN stop_areas a ON a.area_id = b.to_area ORDER BY arrival_seconds, departure_seconds, area_name, to_area LIMIT 25),
+met AS (SELECT c.to_area AS transfer_area, c.area_name AS transfer_name, c.trip_id AS first_trip, s.trip_id AS second_trip, c.departure_seconds, s.arrival_seconds, (s.departure_seconds - c.arrival_seconds) // 60 AS wait_minutes,
+  row_number() OVER (PARTITION BY c.to_area ORDER BY s.departure_seconds, s.arrival_seconds, s.trip_id, s.from_sequence, s.to_sequence) AS r FROM changes c JOIN legs s ON s.from_area = c.to_area AND s.to_area = 'N19' AND s.arrival_seconds >= s.departure_seconds AND s.departure_seconds BETWEEN c.arrival_seconds + 180 AND c.arrival_seconds + 2700)
+"""
 
-@query("""SELECT transfer_area, first_trip, second_trip, departure_seconds, arrival_seconds FROM (SELECT a.to_area AS transfer_area, a.trip_id AS first_trip, b.trip_id AS second_trip, a.departure_seconds, b.arrival_seconds,
- row_number() OVER (PARTITION BY a.to_area ORDER BY b.departure_seconds, b.arrival_seconds, b.trip_id, b.from_sequence, b.to_sequence) AS r FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds DESC, trip_id, from_sequence, to_sequence) AS k
- FROM (SELECT * FROM legs WHERE from_area = 'N20' AND to_area NOT IN ('N20', 'N19') AND departure_seconds BETWEEN 21600 AND 64800 ORDER BY departure_seconds, arrival_seconds, trip_id, from_sequence, to_sequence LIMIT 500)) WHERE k = 1) a
- JOIN legs b ON b.from_area = a.to_area AND b.to_area = 'N19' AND b.trip_id <> a.trip_id AND b.departure_seconds BETWEEN a.arrival_seconds + 180 AND a.arrival_seconds + 2700) WHERE r <= 20""")
+
+@query(ONE_CHANGE + """SELECT transfer_area, transfer_name, first_trip, second_trip, departure_seconds, arrival_seconds, min(wait_minutes) AS wait_minutes FROM met WHERE r <= 20 GROUP BY 1, 2, 3, 4, 5, 6
+ ORDER BY departure_seconds, arrival_seconds, wait_minutes, transfer_name, transfer_area, first_trip, second_trip LIMIT 10""")
 def q13_one_transfer(f):
-    return journeys.one_transfer(all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), "N20", "N19", 21600, 64800)
+    return journeys.one_transfer(all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), derive.stop_areas(f.stops), "N20", "N19", 21600, 64800)
 
 
-@query(None)
+@query("""SELECT * FROM (SELECT NULL AS transfer_area, trip_id AS first_trip, NULL AS second_trip, departure_seconds, arrival_seconds FROM legs WHERE from_area = 'N20' AND to_area = 'N19' AND departure_seconds BETWEEN 21600 AND 22600
+ UNION ALL SELECT DISTINCT c.to_area, c.trip_id, s.trip_id, c.departure_seconds, s.arrival_seconds FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds, trip_id, to_sequence, from_sequence) AS k FROM legs
+  WHERE from_area = 'N20' AND to_area NOT IN ('N20', 'N19') AND departure_seconds BETWEEN 21600 AND 22600 AND arrival_seconds >= departure_seconds) WHERE k = 1 ORDER BY arrival_seconds, departure_seconds, trip_id, to_area LIMIT 40) c
+  JOIN legs s ON s.from_area = c.to_area AND s.to_area = 'N19' AND s.departure_seconds BETWEEN c.arrival_seconds + 180 AND least(22600 + 7200, c.arrival_seconds + 2700) WHERE (SELECT count(*) FROM legs WHERE from_area = 'N20' AND to_area = 'N19' AND departure_seconds BETWEEN 21600 AND 22600) < 1000)
+ ORDER BY departure_seconds, arrival_seconds, first_trip, second_trip NULLS FIRST, transfer_area NULLS FIRST LIMIT 20""")
 def q14_hybrid_search(f):
-    direct = all_legs(f, from_area="N20", to_area="N19").filter(F.col("departure_seconds").between(21600, 64800))
-    return journeys.hybrid(direct, all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), "N20", "N19", 21600, 64800, enough=3)
+    return journeys.hybrid(all_legs(f, from_area="N20", to_area="N19"), all_legs(f, from_area="N20"), all_legs(f, to_area="N19"), "N20", "N19", 21600, 22600, enough=1000)
 
 
-@query("SELECT count(*) AS legs, count(DISTINCT to_area) AS areas, count(*) FILTER (arrival_seconds - departure_seconds <= 3600) AS within_hour FROM legs WHERE from_area = 'N20'")
+@query(CANDIDATES + "SELECT count(*) AS raw, count(*) FILTER (runs) AS active, count(DISTINCT to_area) FILTER (runs) AS areas FROM rides WHERE from_area = 'N20' AND to_area <> 'N20' AND departure_seconds BETWEEN 21600 AND 64800 AND arrival_seconds >= departure_seconds")
 def q15_next_leg_funnel(f):
-    rows = all_legs(f, from_area="N20")
-    return rows.agg(F.count("*").alias("legs"), F.count_distinct("to_area").alias("areas"), F.count_if(F.col("arrival_seconds") - F.col("departure_seconds") <= 3600).alias("within_hour"))
+    rows = rides(f, from_area="N20").filter(F.col("departure_seconds").between(21600, 64800) & (F.col("to_area") != "N20") & (F.col("arrival_seconds") >= F.col("departure_seconds")))
+    runs = F.col("reason").isin("addition", "calendar")
+    return rows.agg(F.count("*").alias("raw"), F.count_if(runs).alias("active"), F.count_distinct(F.when(runs, F.col("to_area"))).alias("areas"))
+
+
+QUERIES = ["Stadt1", "stadt4 hbf", "Hauptbahnhof", "Altenfels", "Altenfels Hauptbahnhof", "bergau", "U Birkental", "Seeh", "Ärzte-Haus", "xyz", " - "]
+ASKED = ", ".join(f"('{q}')" for q in QUERIES)
+WHOLE = "'hbf', 'hauptbahnhof', 'bf', 'bahnhof', 'u', 'ubahn', 's', 'sbahn'"
+SEARCH = TOKENS + f""", asked AS (SELECT q, n, list_distinct(string_split(n, ' ')) AS ws FROM (SELECT q, {normal('q')} AS n FROM (VALUES {ASKED}) v(q)) WHERE n <> ''),
+parts AS (SELECT q, n, ws, len(ws) > 1 AND len(list_filter(ws, lambda w: w NOT IN ({WHOLE}))) > 0 AS specific FROM asked),
+told_words AS (SELECT DISTINCT q, w FROM (SELECT q, unnest(ws) AS w FROM parts UNION ALL SELECT q, y.token FROM (SELECT q, unnest(ws) AS w FROM parts) x JOIN (VALUES ('hbf', 'hauptbahnhof'), ('hauptbahnhof', 'hbf'), ('bf', 'bahnhof'), ('bahnhof', 'bf'), ('u', 'ubahn'), ('s', 'sbahn')) y(w, token) USING (w))),
+used AS (SELECT q, w FROM told_words JOIN parts USING (q) WHERE NOT (specific AND w IN ({WHOLE}))),
+lookups AS (SELECT q, n AS w, true AS whole FROM parts UNION SELECT q, w, true FROM used UNION SELECT q, w, false FROM used WHERE length(w) >= 3),
+found AS (SELECT q, w, whole, area_id, token, token_type, source FROM lookups JOIN tokens ON CASE WHEN whole THEN token = w ELSE starts_with(token, w) END),
+points AS (SELECT q, w, area_id, coalesce(max(CASE WHEN whole THEN CASE WHEN token_type = 'NORMALIZED' THEN 1600 ELSE 1000 END END), 0) + CASE WHEN bool_or(NOT whole) THEN 420 ELSE 0 END + 180 * count(DISTINCT token) FILTER (source = 'AREA_NAME') AS p FROM found GROUP BY 1, 2, 3),
+totals AS (SELECT q, area_id, sum(p) AS p, list(w) AS seen FROM points GROUP BY 1, 2),
+scored AS (SELECT q AS query, area_id, name AS area_name, CAST(p + CASE WHEN f = n THEN 8000 WHEN starts_with(f, n) THEN 3000 WHEN contains(f, n) THEN 1200 ELSE 0 END + CASE WHEN missing = 0 THEN 4000 ELSE -4000 * missing END + least(120, stop_count * 4) AS BIGINT) AS score
+  FROM (SELECT t.*, a.name, a.stop_count, a.f, p.n, len(list_filter(p.ws, lambda w: NOT list_contains(t.seen, w) AND NOT list_contains(string_split(a.f, ' '), w))) AS missing FROM totals t JOIN parts p USING (q) JOIN (SELECT d.area_id, d.name, coalesce(s.stop_count, 1) AS stop_count, {normal('d.folded')} AS f FROM named d LEFT JOIN stop_areas s USING (area_id)) a USING (area_id)))
+"""
 
 
-SEARCH = TOKENS + """, hits AS (SELECT area_id, CAST(sum(points) AS BIGINT) AS score, count(DISTINCT q) AS found FROM (SELECT area_id, q, max(CASE WHEN token = q THEN 1600 ELSE 420 END) AS points
- FROM tokens JOIN (VALUES ('stadt1'), ('hauptbahnhof')) t(q) ON token = q OR starts_with(token, q) GROUP BY 1, 2) GROUP BY 1)
-"""
+def search_areas(f):
+    return derive.stop_areas(f.stops).select("area_id", "area_name", "stop_count").union(named_areas(f).filter("area_id LIKE 'name%'").select("area_id", "area_name", F.lit(1)))
 
 
-@query(SEARCH + "SELECT area_id, area_name, score + CASE WHEN found = 2 THEN 4000 ELSE -4000 * (2 - found) END AS score FROM hits JOIN stop_areas USING (area_id) ORDER BY score DESC, area_id LIMIT 20")
+@query(SEARCH + "SELECT query, area_id, area_name, score, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, area_name, area_id) AS r FROM scored) WHERE r <= 20")
 def q16_stop_search(f):
-    return journeys.search(derive.search_tokens(f.stops), derive.stop_areas(f.stops), ["stadt1", "hauptbahnhof"], 20)
+    asked = f.spark.createDataFrame([(q,) for q in QUERIES], "query string")
+    return journeys.search(derive.search_tokens(f.stops, named_areas(f)), search_areas(f), asked, 20)
 
 
-@query("SELECT area_id, count(*) AS departures, min(departure_seconds) AS first_departure FROM stop_times JOIN members USING (stop_id) JOIN trips USING (trip_id) JOIN active USING (service_id) GROUP BY 1")
-def q17_area_day_status(f):
-    rows = f.stop_times.join(members(f), "stop_id").join(f.trips, "trip_id").join(derive.active_services(f.calendar, f.calendar_dates, DAY), "service_id")
-    return rows.groupBy("area_id").agg(F.count("*").alias("departures"), F.min("departure_seconds").alias("first_departure"))
+@query(SEARCH + """, best AS (SELECT query, area_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, area_name, area_id) AS r FROM scored) WHERE r = 1),
+ gone AS (SELECT area_id, count(*) AS departures, min(departure_seconds) AS first_departure FROM stop_times JOIN members USING (stop_id) JOIN trips USING (trip_id) JOIN active USING (service_id) WHERE departure_seconds BETWEEN 21600 AND 36000 GROUP BY 1)
+ SELECT query, area_id, score, coalesce(departures, 0) AS departures, first_departure FROM best LEFT JOIN gone USING (area_id)""")
+def q17_search_with_departures(f):
+    """The best area of each query and what leaves there in a window of the day."""
+    asked = f.spark.createDataFrame([(q,) for q in QUERIES], "query string")
+    best = journeys.search(derive.search_tokens(f.stops, named_areas(f)), search_areas(f), asked, 1).select("query", "area_id", "score")
+    rows = f.stop_times.filter(F.col("departure_seconds").between(21600, 36000)).join(members(f), "stop_id").join(f.trips, "trip_id").join(derive.active_services(f.calendar, f.calendar_dates, DAY), "service_id")
+    gone = rows.groupBy("area_id").agg(F.count("*").alias("departures"), F.min("departure_seconds").alias("first_departure"))
+    return best.join(gone, "area_id", "left").fillna(0, ["departures"])
+
+
+FAMILY_SEARCH = PROFILES + ALIASES.replace(NAMED, NAMED, 1) + TOKENS.replace(NAMED, "", 1) + f""", queries AS (SELECT q, {normal('q')} AS n FROM (VALUES {ASKED}) v(q)), heads AS (SELECT area_id, {normal('folded')} AS f FROM named WHERE left(area_id, 1) <> 'S'),
+ hits AS (SELECT q, area_id, CASE WHEN f = n THEN 45000 ELSE 18000 END AS p FROM queries JOIN heads ON starts_with(f, n) WHERE n <> '' UNION ALL SELECT q, area_id, CASE WHEN alias_normalized = n THEN 20000 ELSE 8000 END + priority * 100 FROM queries JOIN aliases ON starts_with(alias_normalized, n) WHERE n <> ''
+  UNION ALL SELECT q, area_id, 2000 * count(DISTINCT token) FROM (SELECT DISTINCT q, unnest(string_split(n, ' ')) AS w FROM queries WHERE n <> '') JOIN tokens ON token = w GROUP BY 1, 2)
+"""
 
 
-@query("""SELECT area_id, CAST(max(points) AS BIGINT) AS score FROM (SELECT area_id, CASE WHEN lower(area_name) = 'stadt4 hbf' THEN 45000 WHEN starts_with(lower(area_name), 'stadt4') THEN 18000 END AS points FROM stop_areas
- UNION ALL SELECT area_id, 20000 FROM stop_areas WHERE lower(replace(area_name, 'Hbf', 'Hauptbahnhof')) = 'stadt4 hauptbahnhof') WHERE points IS NOT NULL GROUP BY 1""")
+@query(FAMILY_SEARCH + "SELECT q AS query, h.area_id, CAST(sum(p + coalesce(search_priority_score, 0)) AS BIGINT) AS score FROM hits h LEFT JOIN profiles USING (area_id) GROUP BY 1, 2")
 def q18_canonical_search(f):
-    name = F.lower("area_name")
-    areas = derive.stop_areas(f.stops)
-    by_name = areas.select("area_id", F.when(name == "stadt4 hbf", 45000).when(name.startswith("stadt4"), 18000).alias("points"))
-    by_alias = areas.filter(F.lower(F.replace("area_name", F.lit("Hbf"), F.lit("Hauptbahnhof"))) == "stadt4 hauptbahnhof").select("area_id", F.lit(20000).alias("points"))
-    return by_name.union(by_alias).filter("points IS NOT NULL").groupBy("area_id").agg(F.max("points").cast("long").alias("score"))
+    asked = f.spark.createDataFrame([(q,) for q in QUERIES], "query string")
+    heads = named_areas(f).filter("NOT startswith(area_id, 'S')").select("area_id", F.col("area_name").alias("display_name"))
+    return journeys.family_search(heads, alias_table(f), derive.search_tokens(f.stops, named_areas(f)), profiles(f), asked)
+
+
+RELATIONS = [("N20", "N19"), ("N1", "N2"), ("N3", "N7"), ("N0", "N24"), ("N5", "S9"), ("N8", "N14"), ("S9", "N20"), ("N11", "N11x")]
+WINDOWS = [(21600, 25200, 36000), (43200, 45000, 54000), (64800, 68400, 82800), (79200, 86400, 93600)]
+_IN = "(l.departure_seconds BETWEEN {lo} AND {hi})"
+
+
+def top(rows: str, key: str, order: str, k: int) -> str:
+    return f"SELECT * EXCLUDE (_k) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _k FROM ({rows})) WHERE _k <= {k}"
+
+
+CASE = "start, target, lo, hi, latest"
+COVERAGE = f""", cases(start, target, lo, hi, latest) AS (SELECT a, b, lo, hi, latest FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in RELATIONS)}) r(a, b) CROSS JOIN (VALUES {', '.join(map(str, WINDOWS))}) w(lo, hi, latest)),
+timely AS (SELECT * FROM legs WHERE arrival_seconds >= departure_seconds),
+directs AS (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.arrival_seconds AS a1, l.departure_seconds AS d1, l.trip_id AS t1, l.from_sequence AS f1, l.to_sequence AS o1 FROM cases c JOIN timely l ON l.from_area = start AND l.to_area = target AND l.departure_seconds BETWEEN lo AND hi", CASE, "d1, a1, t1, f1, o1", 8)}) WHERE a1 <= latest GROUP BY ALL),
+left1 AS (SELECT * FROM cases ANTI JOIN directs USING ({CASE})),
+reached AS ({top("SELECT c.*, l.to_area AS area1, l.trip_id AS t1, l.departure_seconds AS d1, l.arrival_seconds AS a1, l.to_sequence AS o1, l.from_sequence AS f1 FROM left1 c JOIN timely l ON l.from_area = start AND l.to_area <> start AND l.departure_seconds BETWEEN lo AND hi", CASE + ", area1", "a1, d1, t1, o1, f1", 1)}),
+first1 AS (SELECT * FROM ({top("SELECT * FROM reached", CASE, "a1, d1, t1, area1", 60)}) WHERE area1 NOT IN (start, target)),
+ones AS (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.trip_id AS t2, l.from_sequence AS f2, l.to_sequence AS o2 FROM first1 c JOIN timely l ON l.from_area = area1 AND l.to_area = target AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2700, latest) WHERE least(a1 + 2700, latest) > a1 + 180", CASE + ", area1", "d2, a2, t2, f2, o2", 8)}) GROUP BY ALL),
+left2 AS (SELECT * FROM left1 ANTI JOIN ones USING ({CASE})),
+first2 AS (SELECT * FROM ({top(f"SELECT * FROM reached SEMI JOIN left2 USING ({CASE})", CASE, "a1, d1, t1, area1", 30)}) WHERE area1 NOT IN (start, target)),
+again AS ({top("SELECT c.*, l.to_area AS area2, l.trip_id AS t2, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.to_sequence AS o2, l.from_sequence AS f2 FROM first2 c JOIN timely l ON l.from_area = area1 AND l.to_area <> area1 AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2100, latest)", CASE + ", area1, area2", "a2, d2, t2, o2, f2", 1)}),
+second AS (SELECT * FROM ({top("SELECT * FROM again", CASE + ", area1", "a2, d2, t2, area2", 10)}) WHERE area2 NOT IN (start, target) AND area2 <> area1 AND t2 <> t1),
+twos AS (SELECT {CASE}, count(DISTINCT t1 || '|' || t2 || '|' || t3) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d3, l.arrival_seconds AS a3, l.trip_id AS t3, l.from_sequence AS f3, l.to_sequence AS o3 FROM second c JOIN timely l ON l.from_area = area2 AND l.to_area = target AND l.departure_seconds BETWEEN a2 + 180 AND least(a2 + 2100, latest) WHERE least(a2 + 2100, latest) > a2 + 180", CASE + ", area1, area2", "d3, a3, t3, f3, o3", 5)})
+  WHERE ((d2 - a1) // 60 + (d3 - a2) // 60) * 60 <= 3600 GROUP BY ALL)
+"""
+
+
+@query(COVERAGE + f"""SELECT c.start, c.target, c.lo AS from_seconds, c.hi AS to_seconds, c.latest, coalesce(d.n, 0) AS direct, coalesce(o.n, 0) AS one_transfer, coalesce(t.n, 0) AS two_transfers,
+ CASE WHEN d.n > 0 THEN 'FOUND_DIRECT' WHEN o.n > 0 THEN 'FOUND_ONE_TRANSFER' WHEN t.n > 0 THEN 'FOUND_TWO_TRANSFER' ELSE 'UNKNOWN' END AS classification FROM cases c LEFT JOIN directs d USING ({CASE}) LEFT JOIN ones o USING ({CASE}) LEFT JOIN twos t USING ({CASE})""")
+def q23_coverage_matrix(f):
+    """Relations by time windows; direct rides, then one change, then two."""
+    cases = f.spark.createDataFrame([(a, b, *w) for a, b in RELATIONS for w in WINDOWS], "start string, target string, from_seconds int, to_seconds int, latest int")
+    return journeys.coverage(all_legs(f), cases)
 
 
-@query("SELECT from_area, to_area, count(*) AS legs, min(arrival_seconds - departure_seconds) AS fastest FROM legs WHERE from_area <> to_area GROUP BY 1, 2")
+@query(COVERAGE.replace(", cases(start, target, lo, hi, latest) AS (SELECT a, b, lo, hi, latest FROM", ", cases(start, target, lo, hi, latest) AS (SELECT a, b, 28800, 32400, 39600 FROM (SELECT x.area_id AS a, y.area_id AS b FROM stop_areas x CROSS JOIN stop_areas y WHERE x.area_id IN ('N0', 'N5', 'N10', 'N15', 'N20') AND x.area_id <> y.area_id)), unused AS (SELECT 1 FROM", 1) + f"""SELECT
+ CASE WHEN d.n > 0 THEN 'FOUND_DIRECT' WHEN o.n > 0 THEN 'FOUND_ONE_TRANSFER' WHEN t.n > 0 THEN 'FOUND_TWO_TRANSFER' ELSE 'UNKNOWN' END AS classification, count(*) AS cases, CAST(sum(coalesce(d.n, 0) + coalesce(o.n, 0) + coalesce(t.n, 0)) AS BIGINT) AS rides FROM cases c LEFT JOIN directs d USING ({CASE}) LEFT JOIN ones o USING ({CASE}) LEFT JOIN twos t USING ({CASE}) GROUP BY 1""")
 def q22_all_relations(f):
-    rows = all_legs(f).filter("from_area <> to_area")
-    return rows.groupBy("from_area", "to_area").agg(F.count("*").alias("legs"), F.min(F.col("arrival_seconds") - F.col("departure_seconds")).alias("fastest"))
+    """Every relation from five areas to all others, by the first kind of ride that is found."""
+    areas = derive.stop_areas(f.stops).select("area_id")
+    pairs = areas.filter("area_id IN ('N0', 'N5', 'N10', 'N15', 'N20')").select(F.col("area_id").alias("start")).crossJoin(areas.select(F.col("area_id").alias("target"))).filter("start <> target")
+    cases = pairs.select("start", "target", F.lit(28800).alias("from_seconds"), F.lit(32400).alias("to_seconds"), F.lit(39600).alias("latest"))
+    out = journeys.coverage(all_legs(f), cases)
+    return out.groupBy("classification").agg(F.count("*").alias("cases"), F.sum(F.col("direct") + F.col("one_transfer") + F.col("two_transfers")).alias("rides"))
 
 
-@query("""SELECT r.a, r.b, w.lo, count(l.trip_id) AS legs, CASE WHEN count(l.trip_id) > 0 THEN 'DIRECT' ELSE 'NONE' END AS outcome FROM (VALUES ('N20', 'N19'), ('N1', 'N2'), ('N3', 'N7')) r(a, b)
- CROSS JOIN (VALUES (21600, 36000), (36000, 57600), (57600, 79200)) w(lo, hi) LEFT JOIN legs l ON l.from_area = r.a AND l.to_area = r.b AND l.departure_seconds >= w.lo AND l.departure_seconds < w.hi GROUP BY 1, 2, 3""")
-def q23_coverage_matrix(f):
-    return journeys.coverage(all_legs(f), [("N20", "N19"), ("N1", "N2"), ("N3", "N7")], [(21600, 36000), (36000, 57600), (57600, 79200)])
+_BROKEN = "CASE WHEN ascii(right(trip_id, 1)) % 4 = 1 THEN {a} ELSE {b} END"
 
 
-@query("SELECT trip_id, from_sequence, to_sequence, to_sequence > from_sequence AS in_sequence, arrival_seconds >= departure_seconds AS in_time, from_stop_id <> to_stop_id AS moves FROM legs WHERE from_area = 'N20' AND to_area = 'N19'")
+@query(""", claims AS (SELECT trip_id, from_stop_id, to_stop_id, from_sequence, to_sequence, departure_seconds + CASE WHEN ascii(right(trip_id, 1)) % 4 = 1 THEN 60 ELSE 0 END AS departure_seconds, CASE WHEN ascii(right(trip_id, 1)) % 5 = 2 THEN 0 ELSE arrival_seconds END AS arrival_seconds, CASE WHEN ascii(right(trip_id, 1)) % 6 = 3 THEN 'NONE' ELSE service_id END AS service_id FROM legs WHERE from_area = 'N20' AND to_area = 'N19')
+ SELECT c.trip_id, c.from_sequence, c.to_sequence, list_filter([CASE WHEN a.trip_id IS NULL OR b.trip_id IS NULL THEN 'CALL_NOT_FOUND' END, CASE WHEN a.departure_seconds <> c.departure_seconds OR b.arrival_seconds <> c.arrival_seconds THEN 'TIME_MISMATCH' END, CASE WHEN c.arrival_seconds < c.departure_seconds THEN 'ARRIVES_BEFORE_DEPARTURE' END,
+  CASE WHEN c.to_sequence <= c.from_sequence THEN 'WRONG_ORDER' END, CASE WHEN c.service_id NOT IN (SELECT service_id FROM active) THEN 'SERVICE_INACTIVE' END], lambda x: x IS NOT NULL) AS failures FROM claims c
+ LEFT JOIN stop_times a ON a.trip_id = c.trip_id AND a.stop_sequence = c.from_sequence AND a.stop_id = c.from_stop_id LEFT JOIN stop_times b ON b.trip_id = c.trip_id AND b.stop_sequence = c.to_sequence AND b.stop_id = c.to_stop_id""")
 def q25_leg_validation(f):
-    rows = all_legs(f, from_area="N20", to_area="N19")
-    return rows.select("trip_id", "from_sequence", "to_sequence", (F.col("to_sequence") > F.col("from_sequence")).alias("in_sequence"), (F.col("arrival_seconds") >= F.col("departure_seconds")).alias("in_time"), (F.col("from_stop_id") != F.col("to_stop_id")).alias("moves"))
+    """Claimed legs against the tables, some of them with wrong times or services."""
+    last = F.ascii(F.substring("trip_id", -1, 1))
+    legs = all_legs(f, from_area="N20", to_area="N19")
+    claims = legs.withColumns({"departure_seconds": F.col("departure_seconds") + F.when(last % 4 == 1, 60).otherwise(0), "arrival_seconds": F.when(last % 5 == 2, 0).otherwise(F.col("arrival_seconds")), "service_id": F.when(last % 6 == 3, "NONE").otherwise(F.col("service_id"))})
+    return journeys.leg_failures(claims, f.stop_times, derive.active_services(f.calendar, f.calendar_dates, DAY)).select("trip_id", "from_sequence", "to_sequence", "failures")
 
 
 @query("SELECT to_area, trip_id FROM (SELECT *, row_number() OVER (PARTITION BY to_area ORDER BY arrival_seconds, departure_seconds DESC, trip_id, from_sequence, to_sequence) AS k FROM legs WHERE from_area = 'N20' AND to_area <> 'N20') WHERE k = 1")
@@ -174,32 +275,12 @@ def ord02_limit_then_count(f):
     return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(500).groupBy("stop_id").agg(F.count("*").alias("n"))
 
 
-@query(SEARCH + """SELECT area_id, score + CASE WHEN contains(lower(area_name), 'hbf') THEN 2500 ELSE 0 END - CASE WHEN contains(area_name, 'Gleis') THEN 1500 ELSE 0 END AS score FROM hits JOIN stop_areas USING (area_id)""")
-def q19_search_quality(f):
-    tokens = derive.search_tokens(f.stops)
-    points = [tokens.filter(F.col("token").startswith(w)).groupBy("area_id").agg(F.max(F.when(F.col("token") == w, 1600).otherwise(420)).alias("points")) for w in ("stadt1", "hauptbahnhof")]
-    n = F.col("area_name")
-    score = F.col("s") + F.when(F.lower(n).contains("hbf"), 2500).otherwise(0) - F.when(n.contains("Gleis"), 1500).otherwise(0)
-    summed = points[0].union(points[1]).groupBy("area_id").agg(F.sum("points").alias("s"))
-    return summed.join(derive.stop_areas(f.stops), "area_id").select("area_id", score.alias("score"))
-
-
 @query("SELECT area_id, stop_id, r FROM (SELECT area_id, stop_id, row_number() OVER (PARTITION BY area_id ORDER BY CASE member_role WHEN 'AREA_ANCHOR' THEN 0 ELSE 1 END, stop_id) AS r FROM members) WHERE r <= 12")
-def q20_family_members(f):
+def q20_area_members(f):
     order = Window.partitionBy("area_id").orderBy(F.when(F.col("member_role") == "AREA_ANCHOR", 0).otherwise(1), "stop_id")
     return members(f).withColumn("r", F.row_number().over(order)).filter("r <= 12").select("area_id", "stop_id", "r")
 
 
-@query("SELECT q, area_id FROM (SELECT q, area_id, row_number() OVER (PARTITION BY q ORDER BY CASE WHEN lower(area_name) = q THEN 3 WHEN starts_with(lower(area_name), q || ' ') THEN 2 ELSE 1 END DESC, stop_count DESC, area_id) AS r FROM stop_areas JOIN (VALUES ('stadt1'), ('stadt4'), ('stadt20')) t(q) ON starts_with(lower(area_name), q)) WHERE r = 1")
-def q21_best_target(f):
-    words = f.spark.createDataFrame([("stadt1",), ("stadt4",), ("stadt20",)], "q string")
-    name = F.lower("area_name")
-    rows = derive.stop_areas(f.stops).join(F.broadcast(words), name.startswith(F.col("q")))
-    fit = F.when(name == F.col("q"), 3).when(name.startswith(F.concat("q", F.lit(" "))), 2).otherwise(1)
-    order = Window.partitionBy("q").orderBy(fit.desc(), F.desc("stop_count"), "area_id")
-    return rows.withColumn("r", F.row_number().over(order)).filter("r = 1").select("q", "area_id")
-
-
 @query("SELECT m.area_id, m.stop_id, count(a.service_id) AS departures FROM members m LEFT JOIN stop_times st USING (stop_id) LEFT JOIN trips t USING (trip_id) LEFT JOIN active a ON a.service_id = t.service_id GROUP BY 1, 2")
 def q24_area_graph(f):
     active = derive.active_services(f.calendar, f.calendar_dates, DAY)
@@ -207,7 +288,24 @@ def q24_area_graph(f):
     return members(f).join(n, "stop_id", "left").select("area_id", "stop_id", F.coalesce("departures", F.lit(0)).alias("departures"))
 
 
-@query("SELECT d.day, count(t.trip_id) AS trips FROM (VALUES ('20240102'), ('20240106'), ('20240107')) d(day) LEFT JOIN (SELECT '20240102' AS day, trip_id FROM trips JOIN active USING (service_id)) t USING (day) WHERE d.day = '20240102' GROUP BY 1")
+SCENARIOS = [("day", "20240102", 28800, 36000), ("saturday", "20240106", 28800, 36000), ("late", "20240102", 79200, 93600), ("before", "20231231", 0, 93600), ("exceptions", "20240116", 0, 93600)]
+
+
+@query(f""", scenarios(name, day, lo, hi) AS (VALUES {', '.join(map(str, SCENARIOS))}),
+ runs AS (SELECT d.day, s.service_id FROM (SELECT DISTINCT day FROM scenarios) d CROSS JOIN summary s LEFT JOIN calendar_dates x ON x.service_id = s.service_id AND x.date = d.day WHERE CASE WHEN x.exception_type = 1 THEN true WHEN x.exception_type = 2 THEN false ELSE has_calendar = 1 AND d.day BETWEEN start_date AND end_date AND (weekday_mask & (1 << (isodow(strptime(d.day, '%Y%m%d')) - 1))) <> 0 END)
+ SELECT c.name, c.day, (SELECT count(*) FROM runs r WHERE r.day = c.day) AS services, count(DISTINCT st.trip_id) AS trips, count(st.trip_id) AS departures, count(DISTINCT m.area_id) AS areas, count(*) FILTER (st.departure_seconds >= 86400) AS overflow,
+ (SELECT count(*) FROM calendar_dates x WHERE x.date = c.day AND x.exception_type = 1) AS additions, (SELECT count(*) FROM calendar_dates x WHERE x.date = c.day AND x.exception_type = 2) AS removals FROM scenarios c
+ LEFT JOIN runs r ON r.day = c.day LEFT JOIN trips t ON t.service_id = r.service_id LEFT JOIN stop_times st ON st.trip_id = t.trip_id AND st.departure_seconds BETWEEN c.lo AND c.hi LEFT JOIN members m ON m.stop_id = st.stop_id GROUP BY 1, 2, c.lo, c.hi""")
 def q26_scenario_audit(f):
-    active = derive.active_services(f.calendar, f.calendar_dates, DAY)
-    return f.trips.join(active, "service_id", "left_semi").agg(F.lit(DAY).alias("day"), F.count("*").alias("trips"))
+    """What runs in each scenario: services, trips, departures, areas, times beyond midnight and exceptions."""
+    scenarios = f.spark.createDataFrame(SCENARIOS, "name string, day string, lo int, hi int")
+    return journeys.scenario_audit(scenarios, calendar_summary(f), f.calendar_dates, f.trips, f.stop_times, members(f))
+
+
+@query(NAMED + """, stored AS (SELECT area_id, name, CASE WHEN ascii(right(area_id, 1)) % 3 = 0 THEN name || ' alt' WHEN ascii(right(area_id, 1)) % 3 = 1 THEN name END AS old FROM named) SELECT CASE WHEN old IS NULL THEN 'NEW' WHEN old = name THEN 'SAME' ELSE 'CHANGED' END AS state, count(*) AS n FROM stored WHERE name IS NOT NULL GROUP BY 1""")
+def q27_name_refresh(f):
+    """What a refresh of stored names would change."""
+    last = F.ascii(F.substring("area_id", -1, 1)) % 3
+    fresh = named_areas(f).filter("area_name IS NOT NULL").select("area_id", F.col("area_name").alias("name"))
+    stored = fresh.filter(last != 2).select("area_id", F.when(last == 0, F.concat("name", F.lit(" alt"))).otherwise(F.col("name")).alias("name"))
+    return reports.changes(stored, fresh, "area_id", ["name"]).groupBy("state").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,34 @@ from pyspark.sql import functions as F
 WEEK = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 
 
+#: Invented names and their cities that the rules of names are tried on, next to the feed's own.
+NAMES = [
+    ("Altenfels Hbf", "Altenfels"), ("Altenfels Hauptbahnhof", "Altenfels"), ("Hauptbahnhof Altenfels", "Altenfels"), ("Hbf Altenfels", "Altenfels"), ("ALTENFELS HBF", "Altenfels"), ("Altenfels hauptbahnhof tief", "Altenfels"),
+    ("Bergau Bahnhof", "Bergau"), ("Bergau Bf", "Bergau"), ("Bahnhof, Seeheim", "Seeheim"), ("Seeheim, Bahnhof", "Seeheim"), ("Seeheim, S Bahn", "Seeheim"), ("Bf, S Seeheim", "Seeheim"), ("Bergau Bahnhof Seeheim Bodensee", "Bergau"),
+    ("Bergau Stadtbahnhof", "Bergau"), ("Stadtbahnhof Bergau", "Bergau"), ("Neu Ulmbach Ostbahnhof", "Neu Ulmbach"), ("Neu Ulmbach Westf Bahnhof", "Neu Ulmbach"), ("Tannau Main Bf", "Tannau"), ("Dorf aller Leute Bf", "Dorf"),
+    ("Tannau ZOB", "Tannau"), ("Tannau Busbahnhof", "Tannau"), ("Tannau, Kirchenallee", "Tannau"), ("Tannau Bahnhofstr.", "Tannau"), ("Tannau Bahnhofstraße", "Tannau"), ("Tannau Str. des Friedens", "Tannau"), ("Tannau Ringstr", "Tannau"),
+    ("S Birkental", "Birkental"), ("U Birkental", "Birkental"), ("S+U Birkental Süd", "Birkental"), ("S-Bahnhof Birkental", "Birkental"), ("U Bahn Birkental", "Birkental"), ("ubahn birkental nord", "Birkental"), ("s u birkental", "Birkental"),
+    ("Altenfels (Oberland)", "Altenfels"), ("Altenfels-Messe", "Altenfels"), ("Altenfels.Markt", "Altenfels"), ("Altenfels", "Altenfels"), ("Altenfelser Hof", "Altenfels"), ("Altenfels krs Bergau", "Altenfels"), ("Altenfels (Süd) Rathaus", "Altenfels Süd"),
+    ("AL-Marktplatz", "Altenfels"), ("AF.-Ring", "Altenfels"), ("NU-Tor", "Neu Ulmbach"), ("TU-Campus", "Tannau"), ("ZUP-Platz", "Bergau"), ("SAP-Allee", "Bergau"), ("II-Abschnitt", "Bergau"), ("XQ-Halle", "Bergau"), ("DO-West", "Dortmund"),
+    ("Rathaus & Markt", "Bergau"), ("Haus+Hof / Garten", "Bergau"), ("  Ärzte\t Haus  ", "Bergau"), ("Wald-Schule, Nord", "Bergau"), ("Ｗｅｉｔｅ Straße", "Bergau"), ("ﬁliale Mu\u0308hle", "Bergau"), ("Platz Nr.\u00a05", "Bergau"),
+    ("Seeheim Gleis 4", "Seeheim"), ("Seeheim Platform B", "Seeheim"), ("Gare de Seeheim", "Seeheim"), ("Haltestelle", "Seeheim"), ("Bahnhof", "Seeheim"), ("---", "Seeheim"), ("", "Seeheim"), (None, "Seeheim"), ("Flughafen Nord", "Bergau"),
+]
+
+
+def normal(text: str) -> str:
+    """SQL of the search form of a text whose compatibility forms are folded."""
+    bare = f"regexp_replace(coalesce({text}, ''), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+    spelled = f"replace(replace(replace(replace(lower({bare}), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss')"
+    spaced = f"regexp_replace(regexp_replace({spelled}, '[&+]', ' und ', 'g'), '[!-/:-@\\[-`{{-~]+', ' ', 'g')"
+    return f"trim(regexp_replace({spaced}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+
+
+def _names_sql() -> str:
+    text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    folded = lambda x: x if x is None else unicodedata.normalize("NFKC", x)
+    return ", ".join(f"({k}, {text(n)}, {text(folded(n))}, {text(c)})" for k, (n, c) in enumerate(NAMES))
+
+
 class Feed:
     """Tables of a feed as DataFrames; attributes are the tables' names."""
 
@@ -42,6 +71,10 @@ class TestFeed(Feed):
         )
         return nations.unionByName(suppliers)
 
+    @cached_property
+    def names(self) -> DataFrame:
+        return self.spark.createDataFrame([(k, n, c) for k, (n, c) in enumerate(NAMES)], "name_id int, name string, city string")
+
     @cached_property
     def trips(self) -> DataFrame:
         return self.source("orders").selectExpr("concat('T', o_orderkey) AS trip_id", "concat('R', o_custkey % 25) AS route_id", "concat('SV', o_custkey % 40) AS service_id", "CAST(o_orderkey % 2 AS string) AS direction_id")
@@ -95,7 +128,7 @@ class TestFeed(Feed):
 
 
 #: The same projection as common table expressions; what an operator's SQL builds on.
-SQL = """WITH stops AS (
+SQL = """WITH RECURSIVE stops AS (
   SELECT 'N' || n_nationkey AS stop_id, 'NC' || n_nationkey AS stop_code,
     'Stadt' || n_nationkey || CASE n_nationkey % 4 WHEN 0 THEN ' Hbf' WHEN 1 THEN ' Bahnhof' WHEN 2 THEN ', Messe/Süd' ELSE '-Kampstraße U' END AS stop_name,
     51e0 + n_nationkey * 0.004e0 AS stop_lat, 7e0 + (n_nationkey % 5) * 0.003e0 AS stop_lon, CAST(NULL AS VARCHAR) AS parent_station, 1 AS location_type, CAST(NULL AS VARCHAR) AS platform_code FROM nation
@@ -121,9 +154,9 @@ transfers AS (SELECT a * 1000000 + b AS transfer_id, 'S' || a AS from_stop_id, C
   CASE WHEN (a * b) % 13 = 5 THEN 'T' || a END AS from_trip_id, CASE WHEN (a + 2 * b) % 17 = 4 THEN 'SV' || (b % 40) END AS service_id,
   CASE WHEN (a + b) % 7 <> 6 THEN CAST((a + b) % 7 AS INTEGER) END AS transfer_type, CASE WHEN (a + b) % 7 = 2 THEN CAST((a * 13 + b * 7) % 4000 AS INTEGER) END AS min_transfer_time
   FROM (SELECT DISTINCT CAST(substr(stop_id, 2) AS BIGINT) AS a, CAST(substr(nxt, 2) AS BIGINT) AS b FROM (SELECT stop_id, lead(stop_id) OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS nxt FROM stop_times) WHERE nxt IS NOT NULL)),
+names(name_id, name, folded, city) AS (VALUES """ + _names_sql() + """),
 members AS (SELECT coalesce(nullif(trim(parent_station), ''), stop_id) AS area_id, stop_id, CASE WHEN nullif(trim(parent_station), '') IS NULL THEN 'AREA_ANCHOR' ELSE 'STOP' END AS member_role FROM stops),
-norm AS (SELECT stop_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(replace(lower(stop_name), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'), '[&+]', ' und ', 'g'),
-  '[!-/:-@\\[-`{-~]+', ' ', 'g'), '\\s+', ' ', 'g')) AS stop_name_normalized FROM stops),
+norm AS (SELECT stop_id, """ + normal("stop_name") + """ AS stop_name_normalized FROM stops),
 stop_areas AS (SELECT m.area_id, coalesce(max(CASE WHEN s.stop_id = m.area_id THEN s.stop_name END), min(s.stop_name)) AS area_name, avg(CASE WHEN s.stop_lat IS NOT NULL AND s.stop_lon IS NOT NULL THEN s.stop_lat END) AS area_lat,
   avg(CASE WHEN s.stop_lat IS NOT NULL AND s.stop_lon IS NOT NULL THEN s.stop_lon END) AS area_lon, count(*) AS stop_count FROM members m JOIN stops s USING (stop_id) GROUP BY 1),
 labels AS (SELECT route_id, route_type, coalesce(nullif(trim(route_short_name), ''), nullif(trim(route_long_name), ''), route_id) AS line_label FROM routes),
@@ -135,11 +168,17 @@ active AS (SELECT service_id FROM (SELECT service_id FROM calendar WHERE start_d
 legs AS (SELECT a.trip_id, t.route_id, t.service_id, a.stop_id AS from_stop_id, b.stop_id AS to_stop_id, ma.area_id AS from_area, mb.area_id AS to_area, a.stop_sequence AS from_sequence, b.stop_sequence AS to_sequence,
   a.departure_seconds, b.arrival_seconds FROM stop_times a JOIN stop_times b ON a.trip_id = b.trip_id AND b.stop_sequence > a.stop_sequence JOIN members ma ON ma.stop_id = a.stop_id JOIN members mb ON mb.stop_id = b.stop_id
   JOIN trips t ON t.trip_id = a.trip_id JOIN active USING (service_id)),
+zones AS (SELECT t.service_id, count(DISTINCT nullif(trim(a.agency_timezone), '')) AS n, min(nullif(trim(a.agency_timezone), '')) AS zone FROM trips t JOIN routes r USING (route_id)
+  LEFT JOIN agency a ON coalesce(a.agency_id, '') = coalesce(r.agency_id, '') GROUP BY 1),
+feed_zone AS (SELECT count(DISTINCT nullif(trim(agency_timezone), '')) AS n, min(nullif(trim(agency_timezone), '')) AS zone FROM agency),
 summary AS (SELECT s.service_id, CASE WHEN c.service_id IS NULL THEN 0 ELSE 1 END AS has_calendar, coalesce(monday + tuesday * 2 + wednesday * 4 + thursday * 8 + friday * 16 + saturday * 32 + sunday * 64, 0) AS weekday_mask, c.start_date, c.end_date,
-  coalesce(x.addition_count, 0) AS addition_count, coalesce(x.removal_count, 0) AS removal_count, x.first_exception_date, x.last_exception_date, coalesce(n.trip_count, 0) AS trip_count
+  coalesce(x.addition_count, 0) AS addition_count, coalesce(x.removal_count, 0) AS removal_count, x.first_exception_date, x.last_exception_date, coalesce(n.trip_count, 0) AS trip_count,
+  CASE WHEN z.n = 1 THEN z.zone WHEN z.n > 1 THEN 'MULTIPLE' WHEN g.n = 1 THEN g.zone ELSE 'UNKNOWN' END AS service_timezone,
+  CASE WHEN c.service_id IS NOT NULL AND coalesce(x.addition_count, 0) + coalesce(x.removal_count, 0) > 0 THEN 'BASE_WITH_EXCEPTIONS' WHEN c.service_id IS NOT NULL THEN 'BASE_ONLY'
+    WHEN coalesce(x.addition_count, 0) + coalesce(x.removal_count, 0) > 0 THEN 'EXCEPTIONS_ONLY' ELSE 'UNRESOLVED' END AS status
   FROM (SELECT service_id FROM calendar UNION SELECT service_id FROM calendar_dates UNION SELECT service_id FROM trips) s LEFT JOIN calendar c USING (service_id)
   LEFT JOIN (SELECT service_id, count(*) FILTER (exception_type = 1) AS addition_count, count(*) FILTER (exception_type = 2) AS removal_count, min(date) AS first_exception_date, max(date) AS last_exception_date FROM calendar_dates GROUP BY 1) x USING (service_id)
-  LEFT JOIN (SELECT service_id, count(*) AS trip_count FROM trips GROUP BY 1) n USING (service_id)),
+  LEFT JOIN (SELECT service_id, count(*) AS trip_count FROM trips GROUP BY 1) n USING (service_id) LEFT JOIN zones z USING (service_id) CROSS JOIN feed_zone g),
 transfer_kinds AS (SELECT *, CASE WHEN coalesce(transfer_type, 0) = 0 THEN 'RECOMMENDED' WHEN transfer_type = 1 THEN 'TIMED' WHEN transfer_type = 2 THEN 'MINIMUM_TIME' WHEN transfer_type = 3 THEN 'PROHIBITED'
     WHEN transfer_type = 4 THEN 'IN_SEAT_ALLOWED' WHEN transfer_type = 5 THEN 'IN_SEAT_FORBIDDEN' ELSE 'UNKNOWN' END AS semantic,
   CASE WHEN from_trip_id IS NOT NULL AND service_id IS NOT NULL THEN 'TRIP_SERVICE' WHEN from_trip_id IS NOT NULL THEN 'TRIP' WHEN from_route_id IS NOT NULL THEN 'ROUTE' WHEN service_id IS NOT NULL THEN 'SERVICE' ELSE 'STOP' END AS scope_type FROM transfers)
