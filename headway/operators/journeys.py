@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from . import graph
 
 # fixed values of searches with changes: first legs, areas to change at, second legs of each area, results; waits in seconds
 FIRST_LEGS, TRANSFER_AREAS, SECOND_LEGS, RESULTS = 500, 25, 20, 10
@@ -198,7 +199,8 @@ def coverage(legs: DataFrame, cases: DataFrame) -> DataFrame:
     fixed limits a pair of legs.
     """
     case = ["start", "target", "from_seconds", "to_seconds", "latest"]
-    ride = legs.filter("arrival_seconds >= departure_seconds").select("from_area", "to_area", "trip_id", "from_sequence", "to_sequence", "departure_seconds", "arrival_seconds")
+    # read by every step: written once
+    ride = graph.written(legs.filter("arrival_seconds >= departure_seconds").select("from_area", "to_area", "trip_id", "from_sequence", "to_sequence", "departure_seconds", "arrival_seconds"))
 
     def top(rows: DataFrame, key: list[str], order: list, k: int) -> DataFrame:
         return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("_r") <= k).drop("_r")

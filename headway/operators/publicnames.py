@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from . import names
+from . import graph, names
 from .names import any_of, first_filled, spaced
 
 STEPS = 4
@@ -163,6 +163,7 @@ def inferred(df: DataFrame, original: str, shown: str, city: str | None, station
     last = F.struct(clean_stop(s).alias("stop"), blank.alias("city"), F.lit("CANONICAL_ONLY").alias("source"))
     # one column a rule, so that no rule's expression holds the others
     tagged = df.withColumns({f"_r{k}": r.cast(PARTS) for k, r in enumerate(rules)})
+    tagged = graph.written(tagged)
     return tagged.withColumn("_p", F.coalesce(*[F.col(f"_r{k}") for k in range(len(rules))], last)).drop(*[f"_r{k}" for k in range(len(rules))])
 
 
@@ -197,7 +198,8 @@ def chained(df: DataFrame, text: str, city: str, codes: str, out: str) -> DataFr
 
     for _ in range(STEPS):
         t = F.col("_t")
-        rows = rows.withColumns({"_q": qualified(t), "_b": boundary_strip(t, F.col(city)), "_k": coded(t), "_m": marked(t)})
+        # written, so that no step's expression holds the steps before it
+        rows = graph.written(rows.withColumns({"_q": qualified(t), "_b": boundary_strip(t, F.col(city)), "_k": coded(t), "_m": marked(t)}))
         entry = lambda text, how: F.struct(text.alias("t"), how.alias("how"))
         step = F.coalesce(
             F.when((F.col("_q") != "") & (F.col("_q") != t), entry(F.col("_q"), F.lit("CITY_QUALIFIED_NAME"))), F.when((F.col("_b") != "") & (F.col("_b") != t), entry(clean(F.col("_b")), F.lit("CITY_NAME"))),
@@ -231,7 +233,7 @@ def public_names(df: DataFrame, original: str, shown: str, aliases: DataFrame, o
     coded = aliases.groupBy("city").agg(F.collect_list(F.struct("code", "learned")).alias("_codes")).withColumnRenamed("city", "_key")
     rows = rows.withColumn("_key", c.plain(F.col("_city"))).join(coded, "_key", "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<struct<code:string,learned:boolean>>")))
     rows = rows.withColumn("_stop", F.col("_p.stop"))
-    rows = chained(chained(rows, "_stop", "_city", "_codes", "_i"), shown, "_city", "_codes", "_n")
+    rows = graph.written(chained(chained(rows, "_stop", "_city", "_codes", "_i"), shown, "_city", "_codes", "_n"))
     town, stop, source = F.col("_city"), F.col("_p.stop"), F.col("_p.source")
     of = lambda x: clean_stop(F.col(x)["t"])
     good = lambda x: (of(x) != "") & ~same(of(x), town)
@@ -247,12 +249,14 @@ def public_names(df: DataFrame, original: str, shown: str, aliases: DataFrame, o
         F.when((last != "") & ~same(last, town), entry(last, source)),
     )
     rows = rows.withColumn("_f", F.when((source == "NAMED_FACILITY") | (town == ""), F.col("_p")).otherwise(F.coalesce(resolved.cast(PARTS), F.col("_p"))))
+    rows = graph.written(rows)
     before = clean_stop(F.regexp_extract("_f.stop", r"(?iu)^(.+?)\s+Bahnhof$", 1))
     street = any_of([F.coalesce(F.col(x), blank).rlike("(?iu)" + STREET) for x in {original, shown}])
     suffix = (F.col("_f.city") != "") & (before != "") & ~street & locality(before, F.col("_f.city"))
     rows = rows.withColumns({"public_stop_name": F.when(suffix, before).otherwise(F.col("_f.stop")), "public_city_name": F.col("_f.city"), "name_source": F.when(suffix, F.concat("_f.source", F.lit("+GENERIC_STATION_SUFFIX_REMOVED"))).otherwise(F.col("_f.source"))})
     pair = F.when(F.col("public_city_name") == "", F.col("public_stop_name")).otherwise(F.concat("public_stop_name", F.lit(", "), "public_city_name"))
     rows = rows.withColumns({"public_display_name": F.when(F.col("public_stop_name") == "", F.coalesce(F.col(shown), blank)).otherwise(pair), "public_quality": F.when((F.col("public_stop_name") == "") | (F.col("public_city_name") == ""), "TECHNICAL").otherwise("GOOD")})
+    rows = graph.written(rows)
     either = lambda test: test(F.coalesce(F.col(original), blank)) | test(F.coalesce(F.col(shown), blank))
     s = F.col("name_source")
     code = "|".join(k for k in names.CODES if k != names.WORD_CODE)
