@@ -66,12 +66,15 @@ def hot_keys(df: DataFrame, *key: str) -> DataFrame:
     return counts.filter(F.col("_n") > HOT_ROWS).crossJoin(F.broadcast(counts.agg(least.alias("_least")))).filter(F.col("_n") > F.col("_least")).select(*key, F.ceil(F.col("_n") / F.col("_least")).cast("int").alias("_shares"))
 
 
-def dealt_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+def dealt_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``left`` joined with ``right``, whose rows differ in ``key``; a hot key's rows of ``left`` are dealt to parts, each with its copy of the row of ``right``.
 
-    ``hot`` has the hot keys of ``left`` as ``hot_keys`` gives them.
+    Without hot keys it is a plain join; their list, which HOT bounds, is looked at first.
     """
-    hot = F.broadcast(hot_keys(left, key) if hot is None else hot)
+    found = hot_keys(left, key).collect()
+    if not found:
+        return left.join(right, key, how)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, left.select(key, F.lit(1).alias("_shares")).schema))
     shares = F.coalesce("_shares", F.lit(1))
     others = [c for c in left.columns if c != key]
     dealt = left.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*(others or [key])), shares).cast("int")).drop("_shares")
