@@ -48,3 +48,19 @@ pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shared a
 e AS MATERIALIZED (SELECT a, b FROM pairs JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
 r(a, b) AS (SELECT a, b FROM (SELECT a, b FROM e UNION SELECT b, a FROM e) UNION SELECT r.a, x.b FROM r JOIN (SELECT a, b FROM e UNION SELECT b, a FROM e) x ON x.a = r.b)
 SELECT w.doc_id, coalesce(max(c.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id FROM w LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN r ON r.a = w.doc_id GROUP BY w.doc_id"""
+
+FILTER_ORDERS = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, len(ws) < 200 AS A, 100 * len(list_distinct(ws)) < 50 * len(ws) AS B,
+  100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) AS C, regexp_matches(t, '[#$%&*|]') AS D,
+  coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS E FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+m AS (SELECT part, good, toxic, CASE WHEN A THEN 'A' ELSE '' END || CASE WHEN B THEN 'B' ELSE '' END || CASE WHEN C THEN 'C' ELSE '' END || CASE WHEN D THEN 'D' ELSE '' END || CASE WHEN E THEN 'E' ELSE '' END AS fails FROM f),
+c AS (SELECT part, good, toxic, fails, count(*) AS n FROM m GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step:step] AS filter, filter_order[1:step - 1] AS earlier FROM o, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)),
+e AS (SELECT part, filter_order, step, filter, n, good, toxic, contains(fails, filter) AS now, fails = filter AS alone, translate(earlier, fails, '') <> earlier AS gone FROM s, c),
+r AS (SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT now), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND now), 0) AS removed, coalesce(sum(n) FILTER (gone AND now), 0) AS redundant,
+  coalesce(sum(n) FILTER (alone), 0) AS unique_fails, coalesce(sum(n) FILTER (NOT gone AND now AND good = 1), 0) AS good_lost, coalesce(sum(n) FILTER (NOT gone AND now AND toxic = 1), 0) AS toxic_lost FROM e GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r"""

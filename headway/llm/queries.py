@@ -94,11 +94,17 @@ def op10_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_filter_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filteraudit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op4_crf_language, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op4_crf_language, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing, op11_filter_lattice)}
 
 
 def oracle_sql() -> dict[str, str]:
     from . import oracles
 
-    return {"op3_mtree_top_k": oracles.TOP_K, "op5_line_first_quality": oracles.QUALITY, "op7_jaccard_join": oracles.NEAR, "op9_line_dedup_runs": oracles.LINES}
+    return {"op3_mtree_top_k": oracles.TOP_K, "op5_line_first_quality": oracles.QUALITY, "op7_jaccard_join": oracles.NEAR, "op9_line_dedup_runs": oracles.LINES, "op11_filter_lattice": oracles.FILTER_ORDERS}
