@@ -64,3 +64,6 @@ r AS (SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone
   coalesce(sum(n) FILTER (alone), 0) AS unique_fails, coalesce(sum(n) FILTER (NOT gone AND now AND good = 1), 0) AS good_lost, coalesce(sum(n) FILTER (NOT gone AND now AND toxic = 1), 0) AS toxic_lost FROM e GROUP BY ALL)
 SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
   CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r"""
+
+COPIES = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (w ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
