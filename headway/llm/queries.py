@@ -100,6 +100,18 @@ def op11_filter_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_source_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op12_source_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
 def op13_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exactdedup import exact_duplicates
 
@@ -107,10 +119,10 @@ def op13_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op4_crf_language, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing, op11_filter_lattice, op13_patricia_dedup)}
+    return {f.__name__: f for f in (op1_site_templates, op2_bpe_codec, op3_mtree_top_k, op4_crf_language, op5_line_first_quality, op6_feistel_pseudonyms, op7_jaccard_join, op8_separator_scan, op9_line_dedup_runs, op10_configuration_packing, op11_filter_lattice, op12_source_tournament, op13_patricia_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     from . import oracles
 
-    return {"op3_mtree_top_k": oracles.TOP_K, "op5_line_first_quality": oracles.QUALITY, "op7_jaccard_join": oracles.NEAR, "op9_line_dedup_runs": oracles.LINES, "op11_filter_lattice": oracles.FILTER_ORDERS, "op13_patricia_dedup": oracles.COPIES}
+    return {"op3_mtree_top_k": oracles.TOP_K, "op5_line_first_quality": oracles.QUALITY, "op7_jaccard_join": oracles.NEAR, "op9_line_dedup_runs": oracles.LINES, "op11_filter_lattice": oracles.FILTER_ORDERS, "op12_source_tournament": oracles.DIVERGENCE, "op12_source_tournament": oracles.DIVERGENCE, "op13_patricia_dedup": oracles.COPIES}
