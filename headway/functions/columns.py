@@ -114,9 +114,10 @@ def transfer_semantic(kind: Column) -> Column:
     return out.otherwise(F.lit("UNKNOWN"))
 
 
-def transfer_scope(route: Column, trip: Column, service: Column) -> Column:
-    has = lambda c: filled(c).isNotNull()
-    return F.when(has(trip) & has(service), "TRIP_SERVICE").when(has(trip), "TRIP").when(has(route), "ROUTE").when(has(service), "SERVICE").otherwise("STOP")
+def transfer_scope(routes: list[Column], trips: list[Column], service: Column) -> Column:
+    """What a transfer is bound to, at either of its ends."""
+    has = lambda *cs: F.coalesce(*[filled(c) for c in cs]).isNotNull()
+    return F.when(has(*trips) & has(service), "TRIP_SERVICE").when(has(*trips), "TRIP").when(has(*routes), "ROUTE").when(has(service), "SERVICE").otherwise("STOP")
 
 
 def pedestrian(kind: Column, scope: Column) -> Column:

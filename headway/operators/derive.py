@@ -102,7 +102,8 @@ def legs(stop_times: DataFrame, members: DataFrame, trips: DataFrame, active: Da
 
 
 def transfer_kinds(transfers: DataFrame) -> DataFrame:
-    scope = c.transfer_scope(F.col("from_route_id"), F.col("from_trip_id"), F.col("service_id"))
+    ends = lambda kind: [F.col(f"{side}_{kind}_id") for side in ("from", "to")]
+    scope = c.transfer_scope(ends("route"), ends("trip"), F.col("service_id"))
     out = transfers.withColumns({"semantic": c.transfer_semantic(F.col("transfer_type")), "scope_type": scope})
     return out.withColumn("pedestrian_usable", c.pedestrian(F.col("transfer_type"), F.col("scope_type")).cast("int"))
 

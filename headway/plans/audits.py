@@ -53,7 +53,7 @@ def aud03_service_days(f):
     return model(f)
 
 
-WAYS = EDGES + f""", paths AS ({PATHS}), multi AS (SELECT area_id FROM boarding GROUP BY 1 HAVING count(DISTINCT stop_id) > 1), scoped AS (SELECT transfer_id FROM transfers WHERE from_route_id IS NOT NULL OR from_trip_id IS NOT NULL OR service_id IS NOT NULL),
+WAYS = EDGES + f""", paths AS ({PATHS}), multi AS (SELECT area_id FROM boarding GROUP BY 1 HAVING count(DISTINCT stop_id) > 1), scoped AS (SELECT transfer_id FROM transfers WHERE coalesce(from_route_id, to_route_id, from_trip_id, to_trip_id, service_id) IS NOT NULL),
 ways AS (SELECT (SELECT count(*) FROM transfers) AS raw_transfers, (SELECT count(*) FROM scoped) AS scoped_transfers, (SELECT count(*) FROM edges) AS transfer_edges, (SELECT count(*) FROM edges WHERE is_traversable = 1) AS traversable_edges,
  (SELECT count(*) FROM edges e JOIN transfers t ON t.transfer_id = e.raw_transfer_id WHERE t.transfer_type IN (3, 4, 5)) AS non_pedestrian_edges, (SELECT count(*) FROM edges WHERE raw_transfer_id IN (SELECT transfer_id FROM scoped)) AS scoped_edges,
  (SELECT count(*) FROM edges WHERE is_traversable = 1 AND edge_kind = 'NEARBY_AREA_CANDIDATE') AS traversable_nearby, (SELECT count(*) FROM edges WHERE is_traversable = 1 AND edge_kind = 'AREA_MEMBERSHIP_CANDIDATE') AS traversable_membership,

@@ -59,7 +59,9 @@ def prj06_transfer_semantic(f):
 
 @query("SELECT transfer_id, scope_type FROM transfer_kinds")
 def prj07_transfer_scope(f):
-    return f.transfers.select("transfer_id", c.transfer_scope(F.col("from_route_id"), F.col("from_trip_id"), F.col("service_id")).alias("scope_type"))
+    from ..operators.derive import transfer_kinds
+
+    return transfer_kinds(f.transfers).select("transfer_id", "scope_type")
 
 
 @query("SELECT transfer_id FROM transfer_kinds WHERE scope_type = 'STOP' AND (transfer_type IS NULL OR transfer_type IN (0, 2))")

@@ -122,7 +122,8 @@ class TestFeed(Feed):
         pairs = self.stop_times.withColumn("next", F.lead("stop_id").over(order)).filter("next IS NOT NULL").select(n("stop_id").alias("a"), n("next").alias("b")).distinct()
         return pairs.selectExpr(
             "a * 1000000 + b AS transfer_id", "concat('S', a) AS from_stop_id", "concat(CASE WHEN (a + b) % 11 = 0 THEN 'X' ELSE 'S' END, b) AS to_stop_id", "CASE WHEN (a * b) % 7 = 3 THEN concat('R', a % 25) END AS from_route_id",
-            "CASE WHEN (a * b) % 13 = 5 THEN concat('T', a) END AS from_trip_id", "CASE WHEN (a + 2 * b) % 17 = 4 THEN concat('SV', b % 40) END AS service_id",
+            "CASE WHEN (a * b) % 13 = 5 THEN concat('T', a) END AS from_trip_id", "CASE WHEN (a + 2 * b) % 19 = 7 THEN concat('R', b % 25) END AS to_route_id", "CASE WHEN (a + 3 * b) % 23 = 6 THEN concat('T', b) END AS to_trip_id",
+            "CASE WHEN (a + 2 * b) % 17 = 4 THEN concat('SV', b % 40) END AS service_id",
             "CASE WHEN (a + b) % 7 <> 6 THEN CAST((a + b) % 7 AS int) END AS transfer_type", "CASE WHEN (a + b) % 7 = 2 THEN CAST((a * 13 + b * 7) % 4000 AS int) END AS min_transfer_time",
         )
 
@@ -151,7 +152,7 @@ calendar AS (SELECT 'SV' || k AS service_id, k % 2 AS monday, 1 AS tuesday, 1 AS
 calendar_dates AS (SELECT 'SV' || k AS service_id, date, CASE WHEN k >= 30 THEN 2 ELSE 1 END AS exception_type FROM (
   SELECT DISTINCT CAST(user_id % 40 AS INTEGER) AS k, strftime(ts, '%Y%m%d') AS date FROM events WHERE event_type IN ('signup', 'error') AND user_id % 3 <> 0) WHERE k NOT IN (3, 15)),
 transfers AS (SELECT a * 1000000 + b AS transfer_id, 'S' || a AS from_stop_id, CASE WHEN (a + b) % 11 = 0 THEN 'X' ELSE 'S' END || b AS to_stop_id, CASE WHEN (a * b) % 7 = 3 THEN 'R' || (a % 25) END AS from_route_id,
-  CASE WHEN (a * b) % 13 = 5 THEN 'T' || a END AS from_trip_id, CASE WHEN (a + 2 * b) % 17 = 4 THEN 'SV' || (b % 40) END AS service_id,
+  CASE WHEN (a * b) % 13 = 5 THEN 'T' || a END AS from_trip_id, CASE WHEN (a + 2 * b) % 19 = 7 THEN 'R' || (b % 25) END AS to_route_id, CASE WHEN (a + 3 * b) % 23 = 6 THEN 'T' || b END AS to_trip_id, CASE WHEN (a + 2 * b) % 17 = 4 THEN 'SV' || (b % 40) END AS service_id,
   CASE WHEN (a + b) % 7 <> 6 THEN CAST((a + b) % 7 AS INTEGER) END AS transfer_type, CASE WHEN (a + b) % 7 = 2 THEN CAST((a * 13 + b * 7) % 4000 AS INTEGER) END AS min_transfer_time
   FROM (SELECT DISTINCT CAST(substr(stop_id, 2) AS BIGINT) AS a, CAST(substr(nxt, 2) AS BIGINT) AS b FROM (SELECT stop_id, lead(stop_id) OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS nxt FROM stop_times) WHERE nxt IS NOT NULL)),
 names(name_id, name, folded, city) AS (VALUES """ + _names_sql() + """),
@@ -181,5 +182,5 @@ summary AS (SELECT s.service_id, CASE WHEN c.service_id IS NULL THEN 0 ELSE 1 EN
   LEFT JOIN (SELECT service_id, count(*) AS trip_count FROM trips GROUP BY 1) n USING (service_id) LEFT JOIN zones z USING (service_id) CROSS JOIN feed_zone g),
 transfer_kinds AS (SELECT *, CASE WHEN coalesce(transfer_type, 0) = 0 THEN 'RECOMMENDED' WHEN transfer_type = 1 THEN 'TIMED' WHEN transfer_type = 2 THEN 'MINIMUM_TIME' WHEN transfer_type = 3 THEN 'PROHIBITED'
     WHEN transfer_type = 4 THEN 'IN_SEAT_ALLOWED' WHEN transfer_type = 5 THEN 'IN_SEAT_FORBIDDEN' ELSE 'UNKNOWN' END AS semantic,
-  CASE WHEN from_trip_id IS NOT NULL AND service_id IS NOT NULL THEN 'TRIP_SERVICE' WHEN from_trip_id IS NOT NULL THEN 'TRIP' WHEN from_route_id IS NOT NULL THEN 'ROUTE' WHEN service_id IS NOT NULL THEN 'SERVICE' ELSE 'STOP' END AS scope_type FROM transfers)
+  CASE WHEN coalesce(from_trip_id, to_trip_id) IS NOT NULL AND service_id IS NOT NULL THEN 'TRIP_SERVICE' WHEN coalesce(from_trip_id, to_trip_id) IS NOT NULL THEN 'TRIP' WHEN coalesce(from_route_id, to_route_id) IS NOT NULL THEN 'ROUTE' WHEN service_id IS NOT NULL THEN 'SERVICE' ELSE 'STOP' END AS scope_type FROM transfers)
 """

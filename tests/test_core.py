@@ -327,3 +327,11 @@ def test_fused_trips_of_a_feed(spark):
     got = rows(entities.gr19_fused_trips(feed), "trip_id", "decision", "other_trip_id")
     assert got == sorted(want) and {d for _, d, _ in got} >= {"SUBSET_SUPPRESSED", "STITCHED"}
     assert any(a[3:] != b[3:] for a, _, b in got)
+
+
+def test_transfer_scope_of_either_end(spark):
+    columns = ["transfer_id", "from_route_id", "to_route_id", "from_trip_id", "to_trip_id", "service_id"]
+    table = [(1, None, None, None, "t", None), (2, None, "r", None, None, None), (3, None, " ", None, "", None), (4, "r", None, None, "t", "s"), (5, None, None, None, None, "s"), (6, "r", None, None, None, "s")]
+    df = spark.createDataFrame(table, "transfer_id int, " + ", ".join(f"{c} string" for c in columns[1:])).withColumn("transfer_type", F.lit(None).cast("int"))
+    got = rows(derive.transfer_kinds(df), "transfer_id", "scope_type", "pedestrian_usable")
+    assert got == [(1, "TRIP", 0), (2, "ROUTE", 0), (3, "STOP", 1), (4, "TRIP_SERVICE", 0), (5, "SERVICE", 0), (6, "ROUTE", 0)]
