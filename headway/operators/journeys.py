@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from . import graph
 
 # fixed values of searches with changes: first legs, areas to change at, second legs of each area, results; waits in seconds
 FIRST_LEGS, TRANSFER_AREAS, SECOND_LEGS, RESULTS = 500, 25, 20, 10
@@ -184,54 +183,3 @@ def scenario_audit(scenarios: DataFrame, summary: DataFrame, dates: DataFrame, t
     counts = calls.groupBy("name").agg(F.count_distinct("trip_id").alias("trips"), F.count("*").alias("departures"), F.count_distinct("area_id").alias("areas"), F.count_if(F.col("departure_seconds") >= 86_400).alias("overflow"))
     out = scenarios.join(counts, "name", "left").join(services, "day", "left").join(excepted, "day", "left").fillna(0)
     return out.select("name", "day", "services", "trips", "departures", "areas", "overflow", "additions", "removals")
-
-
-#: Fixed values of the coverage scan: rides of each pair, first legs, and the legs, results and waits (seconds) of rides with one and with two changes.
-DIRECT_LIMIT, FIRST_LIMIT, ONE_LIMIT, ONE_WAIT = 8, 60, 8, 2700
-TWO_FIRST, TWO_SECOND, TWO_LIMIT, TWO_WAIT, TWO_TOTAL = 30, 10, 5, 2100, 3600
-
-
-def coverage(legs: DataFrame, cases: DataFrame) -> DataFrame:
-    """Direct, one-change and two-change rides of every case (start, target, from_seconds, to_seconds, latest), and the first kind that is found.
-
-    All cases go through each join together; cases that one kind answers take no part in
-    the next.  Of each case the soonest areas are expanded, and rides are counted up to
-    fixed limits a pair of legs.
-    """
-    case = ["start", "target", "from_seconds", "to_seconds", "latest"]
-    # read by every step: written once
-    ride = graph.written(legs.filter("arrival_seconds >= departure_seconds").select("from_area", "to_area", "trip_id", "from_sequence", "to_sequence", "departure_seconds", "arrival_seconds"))
-
-    def top(rows: DataFrame, key: list[str], order: list, k: int) -> DataFrame:
-        return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("_r") <= k).drop("_r")
-
-    def next_legs(rows: DataFrame, key: list[str], at: str, low, high, k: int, tag: str) -> DataFrame:
-        """The first arrival at each area by rides that leave ``at`` in a window; the k soonest areas."""
-        met = rows.join(ride.select(*[F.col(x).alias(f"{tag}_{x}") for x in ride.columns]), F.col(at) == F.col(f"{tag}_from_area")).filter(F.col(f"{tag}_departure_seconds").between(low, high) & (F.col(f"{tag}_to_area") != F.col(at)))
-        order = [f"{tag}_arrival_seconds", f"{tag}_departure_seconds", f"{tag}_trip_id", f"{tag}_to_sequence", f"{tag}_from_sequence"]
-        return top(top(met, [*key, f"{tag}_to_area"], order, 1), key, [*order[:3], f"{tag}_to_area"], k)
-
-    def last_legs(rows: DataFrame, key: list[str], at: str, low, high, k: int, tag: str) -> DataFrame:
-        """The next rides from ``at`` to the target that leave in a window."""
-        met = rows.join(ride.select(*[F.col(x).alias(f"{tag}_{x}") for x in ride.columns]), (F.col(at) == F.col(f"{tag}_from_area")) & (F.col("target") == F.col(f"{tag}_to_area"))).filter(F.col(f"{tag}_departure_seconds").between(low, high))
-        return top(met, key, [f"{tag}_departure_seconds", f"{tag}_arrival_seconds", f"{tag}_trip_id", f"{tag}_from_sequence", f"{tag}_to_sequence"], k)
-
-    cases = cases.select(*case).distinct()
-    plain = last_legs(cases, case, "start", F.col("from_seconds"), F.col("to_seconds"), DIRECT_LIMIT, "a")
-    direct = plain.filter(F.col("a_arrival_seconds") <= F.col("latest")).groupBy(*case).agg(F.count("*").alias("direct"))
-    left = cases.join(direct, case, "left_anti")
-    first = next_legs(left, case, "start", F.col("from_seconds"), F.col("to_seconds"), FIRST_LIMIT, "a").filter("a_to_area <> target AND a_to_area <> start")
-    leaves = F.col("a_arrival_seconds") + WAIT_SECONDS
-    until = F.least(F.col("a_arrival_seconds") + ONE_WAIT, F.col("latest"))
-    one = last_legs(first.filter(until > leaves), [*case, "a_to_area"], "a_to_area", leaves, until, ONE_LIMIT, "b").groupBy(*case).agg(F.count("*").alias("one_transfer"))
-    left = left.join(one, case, "left_anti")
-    first = next_legs(left, case, "start", F.col("from_seconds"), F.col("to_seconds"), TWO_FIRST, "a").filter("a_to_area <> target AND a_to_area <> start")
-    second = next_legs(first, [*case, "a_to_area"], "a_to_area", leaves, F.least(F.col("a_arrival_seconds") + TWO_WAIT, F.col("latest")), TWO_SECOND, "b").filter("b_to_area NOT IN (target, start) AND b_to_area <> a_to_area AND b_trip_id <> a_trip_id")
-    again = F.col("b_arrival_seconds") + WAIT_SECONDS
-    until = F.least(F.col("b_arrival_seconds") + TWO_WAIT, F.col("latest"))
-    third = last_legs(second.filter(until > again), [*case, "a_to_area", "b_to_area"], "b_to_area", again, until, TWO_LIMIT, "d")
-    waits = F.expr("(b_departure_seconds - a_arrival_seconds) div 60 + (d_departure_seconds - b_arrival_seconds) div 60")
-    two = third.filter(waits * 60 <= TWO_TOTAL).groupBy(*case).agg(F.count_distinct("a_trip_id", "b_trip_id", "d_trip_id").alias("two_transfers"))
-    out = cases.join(direct, case, "left").join(one, case, "left").join(two, case, "left").fillna(0)
-    found = F.when(F.col("direct") > 0, "FOUND_DIRECT").when(F.col("one_transfer") > 0, "FOUND_ONE_TRANSFER").when(F.col("two_transfers") > 0, "FOUND_TWO_TRANSFER").otherwise("UNKNOWN")
-    return out.withColumn("classification", found)

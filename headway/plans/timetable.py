@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import derive, journeys
+from ..operators import derive, familyrouting, journeys
 from .registry import query
 from ..sources import reports
 from ..sources.testfeed import normal
@@ -195,9 +195,8 @@ def q18_canonical_search(f):
     return journeys.family_search(heads, alias_table(f), derive.search_tokens(f.stops, named_areas(f)), profiles(f), asked)
 
 
-RELATIONS = [("N20", "N19"), ("N1", "N2"), ("N3", "N7"), ("N0", "N24"), ("N5", "S9"), ("N8", "N14"), ("S9", "N20"), ("N11", "N11x")]
+RELATIONS = [(f"N{k}", f"N{(k + d) % 25}") for d in (1, 2, 7, 12, 19) for k in range(25)]
 WINDOWS = [(21600, 25200, 36000), (43200, 45000, 54000), (64800, 68400, 82800), (79200, 86400, 93600)]
-_IN = "(l.departure_seconds BETWEEN {lo} AND {hi})"
 
 
 def top(rows: str, key: str, order: str, k: int) -> str:
@@ -205,39 +204,81 @@ def top(rows: str, key: str, order: str, k: int) -> str:
 
 
 CASE = "start, target, lo, hi, latest"
-COVERAGE = f""", cases(start, target, lo, hi, latest) AS (SELECT a, b, lo, hi, latest FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in RELATIONS)}) r(a, b) CROSS JOIN (VALUES {', '.join(map(str, WINDOWS))}) w(lo, hi, latest)),
-timely AS (SELECT * FROM legs WHERE arrival_seconds >= departure_seconds),
-directs AS (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.arrival_seconds AS a1, l.departure_seconds AS d1, l.trip_id AS t1, l.from_sequence AS f1, l.to_sequence AS o1 FROM cases c JOIN timely l ON l.from_area = start AND l.to_area = target AND l.departure_seconds BETWEEN lo AND hi", CASE, "d1, a1, t1, f1, o1", 8)}) WHERE a1 <= latest GROUP BY ALL),
-left1 AS (SELECT * FROM cases ANTI JOIN directs USING ({CASE})),
-reached AS ({top("SELECT c.*, l.to_area AS area1, l.trip_id AS t1, l.departure_seconds AS d1, l.arrival_seconds AS a1, l.to_sequence AS o1, l.from_sequence AS f1 FROM left1 c JOIN timely l ON l.from_area = start AND l.to_area <> start AND l.departure_seconds BETWEEN lo AND hi", CASE + ", area1", "a1, d1, t1, o1, f1", 1)}),
-first1 AS (SELECT * FROM ({top("SELECT * FROM reached", CASE, "a1, d1, t1, area1", 60)}) WHERE area1 NOT IN (start, target)),
-ones AS (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.trip_id AS t2, l.from_sequence AS f2, l.to_sequence AS o2 FROM first1 c JOIN timely l ON l.from_area = area1 AND l.to_area = target AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2700, latest) WHERE least(a1 + 2700, latest) > a1 + 180", CASE + ", area1", "d2, a2, t2, f2, o2", 8)}) GROUP BY ALL),
-left2 AS (SELECT * FROM left1 ANTI JOIN ones USING ({CASE})),
-first2 AS (SELECT * FROM ({top(f"SELECT * FROM reached SEMI JOIN left2 USING ({CASE})", CASE, "a1, d1, t1, area1", 30)}) WHERE area1 NOT IN (start, target)),
-again AS ({top("SELECT c.*, l.to_area AS area2, l.trip_id AS t2, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.to_sequence AS o2, l.from_sequence AS f2 FROM first2 c JOIN timely l ON l.from_area = area1 AND l.to_area <> area1 AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2100, latest)", CASE + ", area1, area2", "a2, d2, t2, o2, f2", 1)}),
-second AS (SELECT * FROM ({top("SELECT * FROM again", CASE + ", area1", "a2, d2, t2, area2", 10)}) WHERE area2 NOT IN (start, target) AND area2 <> area1 AND t2 <> t1),
-twos AS (SELECT {CASE}, count(DISTINCT t1 || '|' || t2 || '|' || t3) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d3, l.arrival_seconds AS a3, l.trip_id AS t3, l.from_sequence AS f3, l.to_sequence AS o3 FROM second c JOIN timely l ON l.from_area = area2 AND l.to_area = target AND l.departure_seconds BETWEEN a2 + 180 AND least(a2 + 2100, latest) WHERE least(a2 + 2100, latest) > a2 + 180", CASE + ", area1, area2", "d3, a3, t3, f3, o3", 5)})
-  WHERE ((d2 - a1) // 60 + (d3 - a2) // 60) * 60 <= 3600 GROUP BY ALL)
-"""
-
-
-@query(COVERAGE + f"""SELECT c.start, c.target, c.lo AS from_seconds, c.hi AS to_seconds, c.latest, coalesce(d.n, 0) AS direct, coalesce(o.n, 0) AS one_transfer, coalesce(t.n, 0) AS two_transfers,
- CASE WHEN d.n > 0 THEN 'FOUND_DIRECT' WHEN o.n > 0 THEN 'FOUND_ONE_TRANSFER' WHEN t.n > 0 THEN 'FOUND_TWO_TRANSFER' ELSE 'UNKNOWN' END AS classification FROM cases c LEFT JOIN directs d USING ({CASE}) LEFT JOIN ones o USING ({CASE}) LEFT JOIN twos t USING ({CASE})""")
+PAIR = CASE + ", a, b"
+FAMILIES = """, shown AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_area_id ORDER BY is_primary_for_routing DESC, is_primary_for_search DESC, access_cost_minutes, member_role, area_id) AS k FROM family_members) WHERE k <= 12),
+owned AS (SELECT requested, coalesce((SELECT min(m.canonical_area_id) FROM family_members m WHERE m.area_id = requested), (SELECT min(m.canonical_area_id) FROM family_members m WHERE m.primary_area_id = requested)) AS canonical_area_id FROM requests),
+expanded AS (SELECT requested, canonical_area_id, area_id, member_role, access_cost_minutes, is_primary_for_routing, is_primary_for_search, 0 AS added FROM owned JOIN shown USING (canonical_area_id)
+  UNION ALL SELECT requested, coalesce(canonical_area_id, requested), requested, 'RAW_STOP_AREA', 0, 1, 1, 1 FROM owned o WHERE NOT EXISTS (SELECT 1 FROM shown s WHERE s.canonical_area_id = o.canonical_area_id AND s.area_id = o.requested)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY requested ORDER BY added, is_primary_for_routing DESC, is_primary_for_search DESC, access_cost_minutes, member_role, area_id) AS place FROM expanded),
+routing AS (SELECT * FROM (SELECT requested, area_id, access_cost_minutes, row_number() OVER (PARTITION BY requested ORDER BY is_primary_for_routing DESC, access_cost_minutes, area_id) AS routing_place FROM expanded WHERE is_primary_for_routing = 1 OR area_id = requested) WHERE routing_place <= 8)"""
+
+
+@query(", requests AS (SELECT DISTINCT area_id AS requested FROM stop_areas UNION SELECT 'nowhere')" + FAMILIES + " SELECT requested, canonical_area_id, area_id, member_role, access_cost_minutes, place, routing_place FROM placed LEFT JOIN routing USING (requested, area_id, access_cost_minutes)")
+def q20_station_families(f):
+    """The family of every area, as it is searched from there."""
+    areas = derive.stop_areas(f.stops).select("area_id")
+    return familyrouting.station_families(f.family_members, areas.union(f.spark.createDataFrame([("nowhere",)], "area_id string")))
+
+
+#: Counts of rides of each case, over pairs of family members; legs, which has every ride of the day, is restricted by nothing here.
+COVERAGE = f""", requests AS (SELECT start AS requested FROM cases UNION SELECT target FROM cases){FAMILIES},
+pairs AS MATERIALIZED (SELECT c.*, s.area_id AS a, t.area_id AS b, least(hi, lo + s.access_cost_minutes * 60) AS alo, least(hi, lo + t.access_cost_minutes * 60) AS blo, latest - t.access_cost_minutes * 60 AS until FROM cases c JOIN routing s ON s.requested = start JOIN routing t ON t.requested = target),
+timely AS MATERIALIZED (SELECT * FROM legs WHERE arrival_seconds >= departure_seconds),
+directs AS MATERIALIZED (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.arrival_seconds AS a1, l.departure_seconds AS d1, l.trip_id AS t1, l.from_sequence AS f1, l.to_sequence AS o1 FROM pairs c JOIN timely l ON l.from_area = a AND l.to_area = b AND l.departure_seconds BETWEEN alo AND hi WHERE until > alo", PAIR, "d1, a1, t1, f1, o1", 8)}) WHERE a1 <= until GROUP BY ALL),
+left1 AS MATERIALIZED (SELECT * FROM pairs ANTI JOIN directs USING ({CASE})),
+reached AS MATERIALIZED ({top("SELECT c.*, l.to_area AS area1, l.trip_id AS t1, l.departure_seconds AS d1, l.arrival_seconds AS a1, l.to_sequence AS o1, l.from_sequence AS f1 FROM (SELECT DISTINCT a, alo, hi FROM left1) c JOIN timely l ON l.from_area = a AND l.to_area <> a AND l.departure_seconds BETWEEN alo AND hi", "a, alo, hi, area1", "a1, d1, t1, o1, f1", 1)}),
+soonest AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY a, alo, hi ORDER BY a1, d1, t1, area1) AS turn FROM reached),
+first1 AS (SELECT * FROM left1 JOIN soonest USING (a, alo, hi) WHERE turn <= 60 AND area1 NOT IN (a, b)),
+ones AS MATERIALIZED (SELECT {CASE}, count(*) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.trip_id AS t2, l.from_sequence AS f2, l.to_sequence AS o2 FROM first1 c JOIN timely l ON l.from_area = area1 AND l.to_area = b AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2700, until) WHERE least(a1 + 2700, until) > a1 + 180", PAIR + ", area1", "d2, a2, t2, f2, o2", 8)}) GROUP BY ALL),
+first2 AS MATERIALIZED (SELECT * FROM first1 ANTI JOIN ones USING ({CASE}) WHERE turn <= 30),
+again AS ({top("SELECT c.*, l.to_area AS area2, l.trip_id AS t2, l.departure_seconds AS d2, l.arrival_seconds AS a2, l.to_sequence AS o2, l.from_sequence AS f2 FROM (SELECT DISTINCT area1, a1, latest FROM first2) c JOIN timely l ON l.from_area = area1 AND l.to_area <> area1 AND l.departure_seconds BETWEEN a1 + 180 AND least(a1 + 2100, latest)", "area1, a1, latest, area2", "a2, d2, t2, o2, f2", 1)}),
+second AS (SELECT * FROM first2 JOIN ({top("SELECT * FROM again", "area1, a1, latest", "a2, d2, t2, area2", 10)}) USING (area1, a1, latest) WHERE area2 NOT IN (a, b) AND t2 <> t1),
+twos AS (SELECT {CASE}, sum(n) AS n FROM (SELECT {PAIR}, count(DISTINCT t1 || '|' || t2 || '|' || t3) AS n FROM ({top("SELECT c.*, l.departure_seconds AS d3, l.arrival_seconds AS a3, l.trip_id AS t3, l.from_sequence AS f3, l.to_sequence AS o3 FROM second c JOIN timely l ON l.from_area = area2 AND l.to_area = b AND l.departure_seconds BETWEEN a2 + 180 AND least(a2 + 2100, until) WHERE least(a2 + 2100, until) > a2 + 180", PAIR + ", area1, area2", "d3, a3, t3, f3, o3", 5)})
+  WHERE (d2 - a1) // 60 + (d3 - a2) // 60 <= 60 GROUP BY ALL) GROUP BY ALL),
+running AS MATERIALIZED (SELECT area_id, departure_seconds FROM stop_times JOIN members USING (stop_id) JOIN trips USING (trip_id) SEMI JOIN active USING (service_id)),
+counted AS (SELECT c.start, c.target, c.lo AS from_seconds, c.hi AS to_seconds, c.latest, coalesce(d.n, 0) AS direct, coalesce(o.n, 0) AS one_transfer, CAST(coalesce(t.n, 0) AS BIGINT) AS two_transfers,
+  CASE WHEN d.n > 0 THEN 'FOUND_DIRECT' WHEN o.n > 0 THEN 'FOUND_ONE_TRANSFER' WHEN t.n > 0 THEN 'FOUND_TWO_TRANSFER' ELSE 'UNKNOWN' END AS classification,
+  EXISTS (SELECT 1 FROM pairs p JOIN running r ON r.area_id = p.a AND r.departure_seconds BETWEEN p.alo AND p.hi WHERE p.start = c.start AND p.lo = c.lo AND p.hi = c.hi) AS start_departs,
+  EXISTS (SELECT 1 FROM pairs p JOIN running r ON r.area_id = p.b AND r.departure_seconds BETWEEN p.blo AND p.hi WHERE p.target = c.target AND p.lo = c.lo AND p.hi = c.hi) AS target_departs
+  FROM cases c LEFT JOIN directs d USING ({CASE}) LEFT JOIN ones o USING ({CASE}) LEFT JOIN twos t USING ({CASE}))
+SELECT *, CASE WHEN classification <> 'UNKNOWN' THEN 'OK' WHEN NOT (start_departs AND target_departs) THEN 'NO_ACTIVE_DEPARTURES_SELECTED_AREA' ELSE 'TRANSFER_DEPTH_OR_SEARCH_WINDOW' END AS suspected_cause FROM counted"""
+CASE_TYPES = "start string, target string, from_seconds int, to_seconds int, latest int"
+
+
+def family_calls(f):
+    return familyrouting.active_calls(f.stop_times, members(f), f.trips, derive.active_services(f.calendar, f.calendar_dates, DAY))
+
+
+@query(f", cases(start, target, lo, hi, latest) AS (SELECT a, b, lo, hi, latest FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in RELATIONS)}) r(a, b) CROSS JOIN (VALUES {', '.join(map(str, WINDOWS))}) w(lo, hi, latest))" + COVERAGE)
 def q23_coverage_matrix(f):
-    """Relations by time windows; direct rides, then one change, then two."""
-    cases = f.spark.createDataFrame([(a, b, *w) for a, b in RELATIONS for w in WINDOWS], "start string, target string, from_seconds int, to_seconds int, latest int")
-    return journeys.coverage(all_legs(f), cases)
+    """125 relations by four windows, over families: the first kind of ride that is found, and what may be the cause where none is."""
+    cases = f.spark.createDataFrame([(a, b, *w) for a, b in RELATIONS for w in WINDOWS], CASE_TYPES)
+    return familyrouting.coverage(family_calls(f), f.family_members, cases)
 
 
-@query(COVERAGE.replace(", cases(start, target, lo, hi, latest) AS (SELECT a, b, lo, hi, latest FROM", ", cases(start, target, lo, hi, latest) AS (SELECT a, b, 28800, 32400, 39600 FROM (SELECT x.area_id AS a, y.area_id AS b FROM stop_areas x CROSS JOIN stop_areas y WHERE x.area_id IN ('N0', 'N5', 'N10', 'N15', 'N20') AND x.area_id <> y.area_id)), unused AS (SELECT 1 FROM", 1) + f"""SELECT
- CASE WHEN d.n > 0 THEN 'FOUND_DIRECT' WHEN o.n > 0 THEN 'FOUND_ONE_TRANSFER' WHEN t.n > 0 THEN 'FOUND_TWO_TRANSFER' ELSE 'UNKNOWN' END AS classification, count(*) AS cases, CAST(sum(coalesce(d.n, 0) + coalesce(o.n, 0) + coalesce(t.n, 0)) AS BIGINT) AS rides FROM cases c LEFT JOIN directs d USING ({CASE}) LEFT JOIN ones o USING ({CASE}) LEFT JOIN twos t USING ({CASE}) GROUP BY 1""")
+@query(", heads AS (SELECT DISTINCT primary_area_id AS area_id FROM family_members), cases AS (SELECT x.area_id AS start, y.area_id AS target, 28800 AS lo, 30600 AS hi, 36000 AS latest FROM heads x CROSS JOIN heads y WHERE x.area_id <> y.area_id)" + COVERAGE)
 def q22_all_relations(f):
-    """Every relation from five areas to all others, by the first kind of ride that is found."""
-    areas = derive.stop_areas(f.stops).select("area_id")
-    pairs = areas.filter("area_id IN ('N0', 'N5', 'N10', 'N15', 'N20')").select(F.col("area_id").alias("start")).crossJoin(areas.select(F.col("area_id").alias("target"))).filter("start <> target")
-    cases = pairs.select("start", "target", F.lit(28800).alias("from_seconds"), F.lit(32400).alias("to_seconds"), F.lit(39600).alias("latest"))
-    out = journeys.coverage(all_legs(f), cases)
-    return out.groupBy("classification").agg(F.count("*").alias("cases"), F.sum(F.col("direct") + F.col("one_transfer") + F.col("two_transfers")).alias("rides"))
+    """Every relation between two families in one window."""
+    heads = f.family_members.select("primary_area_id").distinct()
+    # all relations are the question; families are bounded by areas
+    pairs = heads.toDF("start").join(heads.toDF("target"), F.col("start") != F.col("target"))
+    cases = pairs.select("start", "target", F.lit(28800).alias("from_seconds"), F.lit(30600).alias("to_seconds"), F.lit(36000).alias("latest"))
+    return familyrouting.coverage(family_calls(f), f.family_members, cases)
+
+
+def _round(name: str, before: str, since: str) -> str:
+    return f"{name} AS MATERIALIZED (SELECT s.start, l.to_area AS area_id, min(l.arrival_seconds) AS got FROM {before} s JOIN legs l ON l.from_area = s.area_id AND l.departure_seconds >= {since} AND l.departure_seconds <= 36000 AND l.arrival_seconds <= 36000 GROUP BY ALL)"
+
+
+@query(", requests AS (SELECT DISTINCT primary_area_id AS requested FROM family_members)" + FAMILIES + f""", ready AS (SELECT requested AS start, area_id, 28800 + access_cost_minutes * 60 AS got FROM routing),
+{_round("ride1", "ready", "s.got")}, {_round("ride2", "ride1", "s.got + 180")}, {_round("ride3", "ride2", "s.got + 180")},
+best AS (SELECT start, area_id, min(got * 10 + k) AS x FROM (SELECT *, 1 AS k FROM ride1 UNION ALL SELECT *, 2 FROM ride2 UNION ALL SELECT *, 3 FROM ride3) GROUP BY ALL),
+ends AS (SELECT b.start, r.requested AS target, min(x + r.access_cost_minutes * 600) AS x FROM best b JOIN routing r ON r.area_id = b.area_id WHERE b.start <> r.requested AND x // 10 + r.access_cost_minutes * 60 <= 36000 GROUP BY ALL)
+SELECT start, target, CAST(x // 10 AS INTEGER) AS arrival_seconds, CAST(x % 10 AS INTEGER) AS rides FROM ends""")
+def q22_family_arrivals(f):
+    """When each family is reached first from each other, with up to two changes."""
+    heads = f.family_members.select(F.col("primary_area_id").alias("area_id")).distinct()
+    return familyrouting.earliest_arrivals(family_calls(f), f.family_members, heads, heads, 28800, 36000)
 
 
 _BROKEN = "CASE WHEN ascii(right(trip_id, 1)) % 4 = 1 THEN {a} ELSE {b} END"
@@ -275,12 +316,6 @@ def ord02_limit_then_count(f):
     return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(500).groupBy("stop_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT area_id, stop_id, r FROM (SELECT area_id, stop_id, row_number() OVER (PARTITION BY area_id ORDER BY CASE member_role WHEN 'AREA_ANCHOR' THEN 0 ELSE 1 END, stop_id) AS r FROM members) WHERE r <= 12")
-def q20_area_members(f):
-    order = Window.partitionBy("area_id").orderBy(F.when(F.col("member_role") == "AREA_ANCHOR", 0).otherwise(1), "stop_id")
-    return members(f).withColumn("r", F.row_number().over(order)).filter("r <= 12").select("area_id", "stop_id", "r")
-
-
 @query("SELECT m.area_id, m.stop_id, count(a.service_id) AS departures FROM members m LEFT JOIN stop_times st USING (stop_id) LEFT JOIN trips t USING (trip_id) LEFT JOIN active a ON a.service_id = t.service_id GROUP BY 1, 2")
 def q24_area_graph(f):
     active = derive.active_services(f.calendar, f.calendar_dates, DAY)

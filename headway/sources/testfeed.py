@@ -127,6 +127,20 @@ class TestFeed(Feed):
             "CASE WHEN (a + b) % 7 <> 6 THEN CAST((a + b) % 7 AS int) END AS transfer_type", "CASE WHEN (a + b) % 7 = 2 THEN CAST((a * 13 + b * 7) % 4000 AS int) END AS min_transfer_time",
         )
 
+    @cached_property
+    def family_members(self) -> DataFrame:
+        """Families of areas: some nations belong to the one before them; suppliers without a station are members, feeders or families of their own."""
+        nations = self.source("nation").selectExpr("concat('N', CASE WHEN n_nationkey % 8 = 4 THEN n_nationkey - 1 ELSE n_nationkey END) AS primary_area_id", "concat('N', n_nationkey) AS area_id", "CASE WHEN n_nationkey % 8 = 4 THEN 2 ELSE 0 END AS kind")
+        suppliers = self.source("supplier").filter("s_suppkey % 10 = 9").selectExpr(
+            "CASE WHEN s_suppkey div 10 % 4 = 3 THEN concat('S', s_suppkey) ELSE concat('N', CASE WHEN s_nationkey % 8 = 4 THEN s_nationkey - 1 ELSE s_nationkey END) END AS primary_area_id",
+            "concat('S', s_suppkey) AS area_id", "CASE s_suppkey div 10 % 4 WHEN 3 THEN 1 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 4 END AS kind",
+        )
+        role = "CASE kind WHEN 0 THEN 'PRIMARY_RAIL' WHEN 1 THEN 'PRIMARY_STOP' WHEN 2 THEN 'RAIL_PLATFORM' WHEN 3 THEN 'NEARBY_URBAN' ELSE 'BUS_FEEDER' END AS member_role"
+        return nations.union(suppliers).selectExpr(
+            "concat('CAN_', primary_area_id) AS canonical_area_id", "primary_area_id", "area_id", role, "CAST(CASE WHEN kind < 2 THEN 0 ELSE (kind - 1) * 3 END AS int) AS access_cost_minutes",
+            "CASE WHEN kind = 4 THEN 0 ELSE 1 END AS is_primary_for_routing", "CASE WHEN kind < 2 THEN 1 ELSE 0 END AS is_primary_for_search",
+        )
+
 
 #: The same projection as common table expressions; what an operator's SQL builds on.
 SQL = """WITH RECURSIVE stops AS (
@@ -155,6 +169,11 @@ transfers AS (SELECT a * 1000000 + b AS transfer_id, 'S' || a AS from_stop_id, C
   CASE WHEN (a * b) % 13 = 5 THEN 'T' || a END AS from_trip_id, CASE WHEN (a + 2 * b) % 19 = 7 THEN 'R' || (b % 25) END AS to_route_id, CASE WHEN (a + 3 * b) % 23 = 6 THEN 'T' || b END AS to_trip_id, CASE WHEN (a + 2 * b) % 17 = 4 THEN 'SV' || (b % 40) END AS service_id,
   CASE WHEN (a + b) % 7 <> 6 THEN CAST((a + b) % 7 AS INTEGER) END AS transfer_type, CASE WHEN (a + b) % 7 = 2 THEN CAST((a * 13 + b * 7) % 4000 AS INTEGER) END AS min_transfer_time
   FROM (SELECT DISTINCT CAST(substr(stop_id, 2) AS BIGINT) AS a, CAST(substr(nxt, 2) AS BIGINT) AS b FROM (SELECT stop_id, lead(stop_id) OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS nxt FROM stop_times) WHERE nxt IS NOT NULL)),
+family_members AS (SELECT 'CAN_' || primary_area_id AS canonical_area_id, primary_area_id, area_id, CASE kind WHEN 0 THEN 'PRIMARY_RAIL' WHEN 1 THEN 'PRIMARY_STOP' WHEN 2 THEN 'RAIL_PLATFORM' WHEN 3 THEN 'NEARBY_URBAN' ELSE 'BUS_FEEDER' END AS member_role,
+  CASE WHEN kind < 2 THEN 0 ELSE (kind - 1) * 3 END AS access_cost_minutes, CASE WHEN kind = 4 THEN 0 ELSE 1 END AS is_primary_for_routing, CASE WHEN kind < 2 THEN 1 ELSE 0 END AS is_primary_for_search FROM (
+  SELECT 'N' || (CASE WHEN n_nationkey % 8 = 4 THEN n_nationkey - 1 ELSE n_nationkey END) AS primary_area_id, 'N' || n_nationkey AS area_id, CASE WHEN n_nationkey % 8 = 4 THEN 2 ELSE 0 END AS kind FROM nation
+  UNION ALL SELECT CASE WHEN s_suppkey // 10 % 4 = 3 THEN 'S' || s_suppkey ELSE 'N' || (CASE WHEN s_nationkey % 8 = 4 THEN s_nationkey - 1 ELSE s_nationkey END) END, 'S' || s_suppkey,
+    CASE s_suppkey // 10 % 4 WHEN 3 THEN 1 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 4 END FROM supplier WHERE s_suppkey % 10 = 9)),
 names(name_id, name, folded, city) AS (VALUES """ + _names_sql() + """),
 members AS (SELECT coalesce(nullif(trim(parent_station), ''), stop_id) AS area_id, stop_id, CASE WHEN nullif(trim(parent_station), '') IS NULL THEN 'AREA_ANCHOR' ELSE 'STOP' END AS member_role FROM stops),
 norm AS (SELECT stop_id, """ + normal("stop_name") + """ AS stop_name_normalized FROM stops),
