@@ -2,15 +2,14 @@
 
 Areas with trains, subways or trams are primaries.  In order of rank each joins the
 nearest family it may merge with, or the first family of its city's plain station
-name, or begins a family.  That order matters only among primaries that could merge
-at all; these are found by grid and key joins, and each of their components is decided
-on its own.  All else is joins: feeders go to the first family in reach, other served
-areas stand alone, and names are picked by scores.
+name, or begins a family.  That order matters only among primaries that could merge:
+rounds of joins settle all that wait for none before them.  All else is joins: feeders
+go to the first family in reach, other served areas stand alone, and names are picked
+by scores.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +20,6 @@ from . import derive, graph, names
 FEEDER_METRES, PRIMARY_METRES, GENERIC_METRES, NAMED_METRES = 320, 450, 2500, 5000
 CELL, WIDE_CELL = 0.005, 0.04
 # --- end of fixed values ---
-RANK = ["no_train", "no_rail", "no_main", "minus_score", "area_name", "area_id"]
 FLAGS = ["has_train", "has_rail_service", "has_subway", "has_tram", "bus_only", "station_name_signal", "main_station_signal"]
 
 
@@ -41,8 +39,12 @@ def candidates(areas: DataFrame, profiles: DataFrame) -> DataFrame:
     return out.withColumns({"signal": signal, "merge_key": key, "is_primary": rail | on("has_subway") | on("has_tram"), "rank": rank})
 
 
+#: What a decision on two areas looks at.
+SIDE = ["words", "main_station_signal", "signal", "generic", "technical", "base", "area_lat", "area_lon", "has_rail_service", "has_train", "search_priority_score"]
+
+
 def _side(rows: DataFrame, tag: str) -> DataFrame:
-    return rows.select(*[F.col(x).alias(f"{tag}_{x}") for x in ("area_id", "words", "main_station_signal", "signal", "generic", "technical", "base", "area_lat", "area_lon", "merge_key")])
+    return rows.select(*[F.col(x).alias(f"{tag}_{x}") for x in ("area_id", "rank", *SIDE)])
 
 
 def same_place(a: str, b: str) -> Column:
@@ -56,71 +58,63 @@ def _special(a: str, b: str) -> Column:
     return (g(a) & g(b) & (F.col(f"{a}_base") != "") & (F.col(f"{a}_base") == F.col(f"{b}_base"))) | (t(a) & g(b)) | (g(a) & t(b))
 
 
+def outranks(a: str, b: str) -> Column:
+    """Whether a rail area may take another in: both have rail, and it has trains that the other lacks, or no smaller score."""
+    on = lambda side, x: F.col(f"{side}_{x}") == 1
+    return on(a, "has_rail_service") & on(b, "has_rail_service") & ((on(a, "has_train") & ~on(b, "has_train")) | (F.col(f"{a}_search_priority_score") >= F.col(f"{b}_search_priority_score")))
+
+
 def merge_links(primaries: DataFrame) -> DataFrame:
-    """Pairs (a, b) of primaries that may merge, with their distance: ``plain`` by nearness alone, ``ranked`` if the first outranks the second, ``named`` by one key."""
+    """a, b and their distance of primaries near each other, where a comes first in rank and may take b in."""
     near = derive.nearby_pairs(primaries, "area_id", "area_lat", "area_lon", WIDE_CELL, 1, GENERIC_METRES).select(F.col("from_id").alias("a_area_id"), F.col("to_id").alias("b_area_id"), "distance_meters")
-    fit = same_place("a", "b") & F.col("a_signal") & F.col("b_signal")
-    close = near.join(_side(primaries, "a"), "a_area_id").join(_side(primaries, "b"), "b_area_id").filter(fit)
-    close = close.select(F.col("a_area_id").alias("a"), F.col("b_area_id").alias("b"), "distance_meters", (F.col("distance_meters") <= PRIMARY_METRES).alias("plain"), _special("a", "b").alias("ranked"), F.lit(False).alias("named")).filter("plain OR ranked")
-    keyed = primaries.filter("merge_key <> ''")
-    both = _side(keyed, "a").join(_side(keyed, "b"), F.col("a_merge_key") == F.col("b_merge_key")).filter("a_area_id <> b_area_id")
-    metres = c.metres(F.col("a_area_lat"), F.col("a_area_lon"), F.col("b_area_lat"), F.col("b_area_lon"))
-    fits = fit & _special("a", "b") & (metres.isNull() | (metres <= NAMED_METRES))
-    by_name = both.select(F.col("a_area_id").alias("a"), F.col("b_area_id").alias("b"), metres.alias("distance_meters"), F.lit(False).alias("plain"), F.lit(False).alias("ranked"), F.coalesce(fits, F.lit(False)).alias("named"))
-    # pairs of one key that don't fit still say who came first of the key
-    return close.union(by_name)
-
-
-def outranks(a, b) -> bool:
-    """Whether a rail area may take another in: both have rail, and it has trains that the other lacks, or no smaller score."""
-    return bool(a.has_rail_service and b.has_rail_service and ((a.has_train and not b.has_train) or a.search_priority_score >= b.search_priority_score))
+    met = near.join(_side(primaries, "a"), "a_area_id").join(_side(primaries, "b"), "b_area_id").filter(F.col("a_rank") < F.col("b_rank"))
+    may = (F.col("distance_meters") <= PRIMARY_METRES) | (_special("a", "b") & outranks("a", "b"))
+    return met.filter(same_place("a", "b") & F.col("a_signal") & F.col("b_signal") & may).select(F.col("a_area_id").alias("a"), F.col("b_area_id").alias("b"), "distance_meters")
 
 
-def decide(primaries: pd.DataFrame, links: pd.DataFrame) -> list[tuple]:
-    """(head, area, distance) of the primaries of one component, in order of rank; distance is null for heads.
+def settle(primaries: DataFrame, links: DataFrame) -> DataFrame:
+    """head, area_id and distance_meters of primaries, as if each in order of rank joined a family before it or began one.
 
-    Of families in one distance the older one counts.
+    A primary joins the nearest head that is linked to it (of two as near the first in
+    rank), else the first head of its key if that fits and outranks it, else it begins a
+    family; distance is null for heads.  Each round settles all primaries that wait for
+    none before them: no linked one may still begin a family, and of its key a head comes
+    before all that may.  The first in rank that may is always among them; all that are
+    linked to a new head are members from then on, so a crowd takes two rounds, and only
+    a chain of links in order of rank takes as many as it is long.
     """
-    order = list(primaries.sort_values(RANK).itertuples())
-    near = {(r.a, r.b): r for r in links.itertuples() if not r.named and (r.plain or r.ranked)}
-    named = {(r.a, r.b): r for r in links.itertuples() if r.named}
-    heads, of_key, out = [], {}, []
-    for row in order:
-        best = None
-        for k, head in enumerate(heads):
-            link = near.get((head.area_id, row.area_id))
-            if link is not None and (link.plain or outranks(head, row)) and (best is None or link.distance_meters < best[0]):
-                best = (link.distance_meters, k)
-        head = heads[best[1]] if best else None
-        if head is None and row.merge_key in of_key:
-            first = of_key[row.merge_key]
-            link = named.get((first.area_id, row.area_id))
-            if link is not None and outranks(first, row):
-                head, best = first, (NAMED_METRES if pd.isna(link.distance_meters) else link.distance_meters, 0)
-        if head is None:
-            heads.append(row)
-            out.append((row.area_id, row.area_id, None))
-            if row.merge_key:
-                of_key.setdefault(row.merge_key, row)
-        else:
-            out.append((head.area_id, row.area_id, int(best[0])))
+    own = ["area_id", "rank", "merge_key", *SIDE]
+    pending, links = graph.written(primaries.select(*own)), graph.written(links)
+    heads, out = pending.limit(0), primaries.select(F.col("area_id").alias("head"), "area_id", F.lit(None).cast("long").alias("distance_meters")).limit(0)
+    while not pending.isEmpty():
+        links = graph.written(links.join(pending.select(F.col("area_id").alias("b")), "b", "left_semi"))
+        nearest = links.join(heads.select(F.col("area_id").alias("a"), "rank"), "a").groupBy(F.col("b").alias("area_id")).agg(F.min(F.struct("distance_meters", "rank", F.col("a").alias("head"))).alias("nearest"))
+        seen = graph.written(pending.join(nearest, "area_id", "left"))
+        # who has a head in reach will never be one, so none waits for it
+        maybe = seen.filter("nearest IS NULL")
+        blocked = links.join(maybe.select(F.col("area_id").alias("a")), "a", "left_semi").select(F.col("b").alias("area_id"))
+        first = heads.filter("merge_key <> ''").groupBy("merge_key").agg(F.min_by(F.struct(*[x for x in own if x != "merge_key"]), "rank").alias("first"))
+        waits = maybe.filter("merge_key <> ''").groupBy("merge_key").agg(F.min("rank").alias("waits"))
+        rows = seen.join(blocked, "area_id", "left_anti").join(first, "merge_key", "left").join(waits, "merge_key", "left")
+        near, known, rank = F.col("nearest").isNotNull(), F.col("first.rank"), F.col("rank")
+        ready = near | (F.col("merge_key") == "") | (F.col("waits") == rank) | F.coalesce(known < F.col("waits"), F.lit(False))
+        rows = rows.filter(ready).withColumns({f"{t}_{x}": F.col(f"first.{x}") if t == "a" else F.col(x) for t in "ab" for x in SIDE})
+        metres = c.metres(*[F.col(f"{t}_area_{x}") for t in "ab" for x in ("lat", "lon")])
+        fits = same_place("a", "b") & F.col("a_signal") & F.col("b_signal") & _special("a", "b") & (metres.isNull() | (metres <= NAMED_METRES)) & outranks("a", "b")
+        named = F.coalesce((known < rank) & fits, F.lit(False))
+        head = F.when(near, F.col("nearest.head")).when(named, F.col("first.area_id")).otherwise(F.col("area_id"))
+        away = F.when(near, F.col("nearest.distance_meters")).when(named, F.coalesce(metres, F.lit(NAMED_METRES)))
+        new = graph.written(rows.select(*own, head.alias("head"), away.cast("long").alias("distance_meters")))
+        out = out.union(new.select("head", "area_id", "distance_meters"))
+        heads = graph.written(heads.union(new.filter("head = area_id").select(*own)))
+        pending = graph.written(pending.join(new.select("area_id"), "area_id", "left_anti"))
     return out
 
 
 def merged_primaries(rows: DataFrame) -> DataFrame:
     """head, area_id and distance_meters of all primaries."""
     primaries = graph.written(rows.filter("is_primary"))
-    links = graph.written(merge_links(primaries))
-    labels = graph.components(links.select("a", "b"))
-    lone = primaries.join(labels.select(F.col("node").alias("area_id")), "area_id", "left_anti")
-    alone = lone.select(F.col("area_id").alias("head"), "area_id", F.lit(None).cast("long").alias("distance_meters"))
-    grouped = primaries.select("area_id", "area_name", "merge_key", "has_train", "has_rail_service", "search_priority_score", *[F.col("rank")[x].alias(x) for x in RANK if x not in ("area_id", "area_name")]).join(labels.withColumnRenamed("node", "area_id"), "area_id")
-    of_links = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("component")), "a")
-
-    def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(decide(left, right), columns=["head", "area_id", "distance_meters"]).astype({"distance_meters": "Int64"})
-
-    return alone.union(grouped.groupBy("label").cogroup(of_links.groupBy("component")).applyInPandas(one, "head string, area_id string, distance_meters long"))
+    return settle(primaries, merge_links(primaries))
 
 
 def members(areas: DataFrame, profiles: DataFrame) -> DataFrame:
