@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,65 +161,108 @@ def shared_calls(a: list[tuple], b: list[tuple]) -> int:
     return found
 
 
-def decide_bucket(trips: list[dict]) -> list[tuple]:
-    """(trip, decision, other trip, calls) for trips of one service, mode and line: parts are suppressed, ends stitched, likenesses kept apart.
+CALLS = "array<struct<stop_key: string, arrival: int, departure: int>>"
+BUCKET_KEY = ["signature", "mode", "line_key"]
 
-    ``other`` is the trip that stays; ``calls`` are the stitched ones.
+
+def timed_pairs(trips: DataFrame) -> DataFrame:
+    """a, b: trips of one bucket and two sources with two calls or more that are the same; a comes first by source priority, source and id.
+
+    An index of calls by stop and time: a known departure meets those of its own slot of
+    time and the two beside it, an unknown one all of its stop.  Only calls that agree
+    become rows, whatever the size of a bucket.
+    """
+    rank = F.struct("source_priority", "source_id", "trip_id").alias("rank")
+    known = lambda t: F.coalesce(F.col(f"call.{t}"), F.lit(-1))
+    index = trips.select(*BUCKET_KEY, rank, F.posexplode("calls").alias("k", "call")).select(*BUCKET_KEY, "rank", "k", "call.stop_key", known("arrival").alias("arrival"), known("departure").alias("departure"))
+    index = graph.written(index.withColumn("slot", F.when(F.col("departure") >= 0, F.expr(f"departure div {NEAR_SECONDS + 1}"))))
+    timed, free = index.filter("slot IS NOT NULL"), index.filter("slot IS NULL")
+    side = lambda df, t: df.select(*BUCKET_KEY, "stop_key", "slot", *[F.col(x).alias(f"{x}_{t}") for x in ("rank", "k", "arrival", "departure")])
+    at = [*BUCKET_KEY, "stop_key"]
+    beside = side(timed, "a").withColumn("slot", F.explode(F.array(*[F.col("slot") + d for d in (-1, 0, 1)])))
+    plain = lambda df, t: side(df, t).drop("slot")
+    found = beside.join(side(timed, "b"), [*at, "slot"]).drop("slot").union(plain(free, "a").join(plain(index, "b"), at)).union(plain(timed, "a").join(plain(free, "b"), at))
+    close = lambda t: (F.col(f"{t}_a") < 0) | (F.col(f"{t}_b") < 0) | (F.abs(F.col(f"{t}_a") - F.col(f"{t}_b")) <= NEAR_SECONDS)
+    same = found.filter((F.col("rank_a") < F.col("rank_b")) & (F.col("rank_a.source_id") != F.col("rank_b.source_id")) & close("arrival") & close("departure"))
+    agree = same.groupBy(F.col("rank_a.trip_id").alias("a"), F.col("rank_b.trip_id").alias("b")).agg(F.count_distinct("k_a").alias("x"), F.count_distinct("k_b").alias("y"))
+    return agree.filter("x > 1 AND y > 1").select("a", "b")
+
+
+def compared(trips: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per pair its turn (the longest first, then by ids), ``part`` (the trip that is a stretch of the other), ``stitched`` calls if a journey's ends meet, and ``alike`` for two calls in common."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                a, b = ([tuple(-1 if x is None and k else x for k, x in enumerate(call.values())) for call in r[side]] for side in ("a_calls", "b_calls"))
+                if len({x[0] for x in a} & {x[0] for x in b}) < 2:
+                    continue
+                part = r["b"] if is_part(b, a) else r["a"] if is_part(a, b) else None
+                stitched: list[tuple] = []
+                if r["a_key"].strip() and r["a_key"] == r["b_key"]:
+                    forward, back = joined(a, b), joined(b, a)
+                    stitched = forward if len(forward) >= len(back) else back
+                calls = [dict(zip(("stop_key", "arrival", "departure"), x, strict=True)) for x in stitched] or None
+                out.append({"a": r["a"], "b": r["b"], "length": -max(len(a), len(b)), "part": part, "stitched": calls, "alike": shared_calls(a, b) >= 2})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    call = pa.struct([("stop_key", pa.string()), ("arrival", pa.int32()), ("departure", pa.int32())])
+    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("length", pa.int32()), ("part", pa.string()), ("stitched", pa.list_(call)), ("alike", pa.bool_())])
+    of = lambda t: trips.select(F.col("trip_id").alias(t), F.coalesce("journey_key", F.lit("")).alias(f"{t}_key"), F.col("calls").cast(CALLS).alias(f"{t}_calls"))
+    rows = pairs.join(of("a"), "a").join(of("b"), "b")
+    out = rows.mapInArrow(run, f"a string, b string, length int, part string, stitched {CALLS}, alike boolean")
+    return out.select("a", "b", F.struct("length", "a", "b").alias("turn"), "part", "stitched", "alike")
+
+
+def in_turn(pairs: DataFrame) -> DataFrame:
+    """Of pairs (turn, goes, stays) those that take effect, if each in turn takes ``goes`` away unless it or ``stays`` is gone.
+
+    Each round takes every pair that no earlier one left may spoil; the first of all that
+    are left is always among them.
     """
-    rank = {t["trip_id"]: (t["source_priority"], t["source_id"], t["trip_id"]) for t in trips}
-    order = sorted(trips, key=lambda t: rank[t["trip_id"]])
-    if len(order) > BUCKET:
-        return [(t["trip_id"], "BUCKET_TOO_LARGE_KEPT", "", None) for t in order]
-    stops = {t["trip_id"]: {x[0] for x in t["calls"]} for t in order}
-    pairs = [(a, b) for k, a in enumerate(order) for b in order[k + 1 :] if a["source_id"] != b["source_id"] and len(stops[a["trip_id"]] & stops[b["trip_id"]]) > 1]
-    pairs.sort(key=lambda p: (-max(len(p[0]["calls"]), len(p[1]["calls"])), p[0]["trip_id"], p[1]["trip_id"]))
-    gone: set[str] = set()
-    out: list[tuple] = []
-
-    def live() -> Iterator[tuple[dict, dict]]:
-        # pairs are looked at in turn, as each decision may settle later ones
-        return (p for p in pairs if not {p[0]["trip_id"], p[1]["trip_id"]} & gone)
-
-    for a, b in live():
-        long, short = (a, b) if len(a["calls"]) >= len(b["calls"]) else (b, a)
-        if is_part(short["calls"], long["calls"]):
-            gone.add(short["trip_id"])
-            out.append((short["trip_id"], "SUBSET_SUPPRESSED", long["trip_id"], None))
-    for a, b in live():
-        if a["journey_key"].strip() and a["journey_key"] == b["journey_key"]:
-            forward, back = joined(a["calls"], b["calls"]), joined(b["calls"], a["calls"])
-            calls = forward if len(forward) >= len(back) else back
-            if calls:
-                gone.add(b["trip_id"])
-                out.append((b["trip_id"], "STITCHED", a["trip_id"], calls))
-    for a, b in live():
-        if shared_calls(a["calls"], b["calls"]) >= 2:
-            out.append((b["trip_id"], "AMBIGUOUS_KEPT", a["trip_id"], None))
+    columns = ["turn", "goes", "stays"]
+    left, out = graph.written(pairs.select(*columns)), pairs.select(*columns).limit(0)
+    while not left.isEmpty():
+        first = left.groupBy("goes").agg(F.min("turn").alias("first"))
+        of = lambda t, name: first.select(F.col("goes").alias(t), F.col("first").alias(name))  # noqa: E731, B023
+        ready = left.join(of("goes", "own"), "goes").join(of("stays", "other"), "stays", "left").filter((F.col("turn") == F.col("own")) & (F.col("other").isNull() | (F.col("other") > F.col("turn"))))
+        new = graph.written(ready.select(*columns))
+        out = out.union(new)
+        gone = new.select(F.col("goes").alias("trip"), F.col("turn").alias("at"))
+        rest = left.join(gone, (F.col("goes") == F.col("trip")) & (F.col("turn") >= F.col("at")), "left_anti").join(gone, (F.col("stays") == F.col("trip")) & (F.col("turn") >= F.col("at")), "left_anti")
+        left = graph.written(rest)
     return out
 
 
-DECISIONS = "trip_id string, decision string, other_trip_id string, calls array<struct<stop_key: string, arrival: int, departure: int>>"
+DECISIONS = f"trip_id string, decision string, other_trip_id string, calls {CALLS}"
 
 
-def fuse_trips(trips: DataFrame) -> DataFrame:
+def fuse_trips(trips: DataFrame, bucket: int | None = BUCKET) -> DataFrame:
     """Decisions for trips (source_id, source_priority, trip_id, signature, mode, line_key, journey_key, calls) by bucket of signature, mode and line.
 
-    Buckets with one source have nothing to decide.  A bucket with over BUCKET trips is kept whole, natively.
+    Trips that are a stretch of another are suppressed, then ends of one journey are
+    stitched, in order of length and ids, each as far as both trips are still there;
+    other pairs with two calls in common are kept and named.  ``other_trip_id`` is the
+    trip that stays, ``calls`` the stitched ones.  A bucket with over ``bucket`` trips
+    is kept whole, as the contract says; None compares trips of any bucket.  Buckets with
+    one source have nothing to decide.
     """
-    import pandas as pd
-
-    key = ["signature", "mode", "line_key"]
-    sizes = trips.groupBy(*key).agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources")).filter("sources > 1")
-    rows = trips.join(sizes, key)
-    none = F.lit(None).cast("array<struct<stop_key: string, arrival: int, departure: int>>")
-    large = rows.filter(F.col("n") > BUCKET).select("trip_id", F.lit("BUCKET_TOO_LARGE_KEPT").alias("decision"), F.lit("").alias("other_trip_id"), none.alias("calls"))
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        records = [r | {"calls": [(x["stop_key"], x["arrival"], x["departure"]) for x in r["calls"]]} for r in part.to_dict("records")]
-        found = [(t, d, o, None if calls is None else [{"stop_key": k, "arrival": x, "departure": y} for k, x, y in calls]) for t, d, o, calls in decide_bucket(records)]
-        return pd.DataFrame(found, columns=["trip_id", "decision", "other_trip_id", "calls"])
-
-    return rows.filter(F.col("n") <= BUCKET).groupBy(*key).applyInPandas(one, DECISIONS).union(large)
+    sizes = trips.groupBy(*BUCKET_KEY).agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources")).filter("sources > 1")
+    rows = trips.join(sizes, BUCKET_KEY)
+    none = F.lit(None).cast(CALLS)
+    large = rows.filter(F.lit(False) if bucket is None else F.col("n") > bucket).select("trip_id", F.lit("BUCKET_TOO_LARGE_KEPT").alias("decision"), F.lit("").alias("other_trip_id"), none.alias("calls"))
+    some = graph.written(rows if bucket is None else rows.filter(F.col("n") <= bucket))
+    pairs = graph.written(compared(some, timed_pairs(some)))
+    kept = F.when(F.col("part") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    parts = in_turn(pairs.filter("part IS NOT NULL").select("turn", F.col("part").alias("goes"), kept.alias("stays")))
+    without = lambda df, gone: df.join(gone.select(F.col("goes").alias("a")), "a", "left_anti").join(gone.select(F.col("goes").alias("b")), "b", "left_anti")
+    left = without(pairs, parts)
+    ends = in_turn(left.filter("stitched IS NOT NULL").select("turn", F.col("b").alias("goes"), F.col("a").alias("stays")))
+    stitched = ends.join(pairs.select("turn", "stitched"), "turn")
+    out = parts.select(F.col("goes").alias("trip_id"), F.lit("SUBSET_SUPPRESSED").alias("decision"), F.col("stays").alias("other_trip_id"), none.alias("calls"))
+    out = out.union(stitched.select("goes", F.lit("STITCHED"), "stays", "stitched"))
+    return out.union(without(left, ends).filter("alike").select("b", F.lit("AMBIGUOUS_KEPT"), "a", none)).union(large)
 
 
 def trip_mappings(trips: DataFrame, duplicates: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -221,28 +221,7 @@ def test_families(spark):
     assert rows(more, "alias", "priority") == [("Bergau Hauptbahnhof", 108), ("Bergau Hbf", 115)]
 
 
-def calls(text, start=0):
-    return [(x, start + 3600 * k, start + 3600 * k) for k, x in enumerate(text)]
-
-
-def trip(source, name, text, start=0, key=""):
-    return {"source_id": source, "source_priority": 0 if source == "A" else 1, "trip_id": name, "journey_key": key, "calls": calls(text, start)}
-
-
-def test_trip_fusion():
-    decide = lambda *trips: [(t, d, o, len(x or ())) for t, d, o, x in fusion.decide_bucket(list(trips))]
-    assert decide(trip("A", "a", "WXYZ"), trip("B", "b", "XY", 3600 + 60)) == [("b", "SUBSET_SUPPRESSED", "a", 0)]
-    assert decide(trip("A", "a", "XY", 3600 + 60), trip("B", "b", "WXYZ")) == [("a", "SUBSET_SUPPRESSED", "b", 0)]
-    assert decide(trip("A", "a", "ABC", key="k"), trip("B", "b", "BCD", 3600, "k")) == [("b", "STITCHED", "a", 4)]
-    assert decide(trip("A", "a", "BCD", 3600, "k"), trip("B", "b", "ABC", key="k")) == [("b", "STITCHED", "a", 4)]
-    assert decide(trip("A", "a", "ABC"), trip("B", "b", "BCD", 3600)) == [("b", "AMBIGUOUS_KEPT", "a", 0)]
-    assert decide(trip("A", "a", "ABCX"), trip("B", "b", "ABCY")) == [("b", "AMBIGUOUS_KEPT", "a", 0)]
-    assert decide(trip("A", "a", "AB"), trip("B", "b", "AB", 600)) == [] and decide(trip("A", "a", "ABCD"), trip("A", "b", "BC", 3600)) == []
-    unknown = trip("B", "b", "BC") | {"calls": [("B", -1, -1), ("C", -1, 7200)]}
-    assert decide(trip("A", "a", "ABC"), unknown) == [("b", "SUBSET_SUPPRESSED", "a", 0)]
-    # a call counts once
-    assert fusion.shared_calls([("A", 0, 0), ("A", 10, 10)], [("A", 5, 5)]) == 1
-    assert {d for _, d, _, _ in fusion.decide_bucket([trip("A", f"t{k}", "AB") for k in range(1001)])} == {"BUCKET_TOO_LARGE_KEPT"}
+def test_source_names():
     with pytest.raises(ValueError):
         fusion.namespaced(None, "bad name", [])
 
