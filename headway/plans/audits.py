@@ -88,7 +88,7 @@ def aud05_routing_compatibility(f):
     return audits.routing_compatibility(tables, model(f), ways(f))
 
 
-SHOWN = PREFIX_TABLES + f""", shown AS (SELECT name_id, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS stop, city, CASE WHEN name_id % 9 = 0 THEN name ELSE trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) || ', ' || city END AS display, CASE name_id % 4 WHEN 0 THEN 'NONE' WHEN 1 THEN 'STOP_CITY_COMPOSED' WHEN 2 THEN 'STOP_CITY_COMPOSED|CITY_PREFIX_REMOVED' ELSE '' END AS rules FROM names),
+SHOWN = PREFIX_TABLES + f""", shown AS (SELECT name_id, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS stop, city, CASE WHEN name_id % 9 = 0 THEN name ELSE trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) || ', ' || city END AS display, CASE name_id % 4 WHEN 0 THEN 'NONE' WHEN 1 THEN 'STOP_CITY_COMPOSED' WHEN 2 THEN 'STOP_CITY_COMPOSED|CITY_PREFIX_REMOVED' ELSE '' END AS rules FROM named_stops),
 stripped AS (SELECT DISTINCT name_id FROM fits), forms AS (SELECT *, {normal('stop')} AS n, {normal('city')} AS p, regexp_extract(stop, '^(\\p{{Lu}}{{2,5}})[-.]+.+$', 1) AS code, {normal("regexp_extract(stop, '^\\(([^)]+)\\)\\s+(.+)$', 1)")} AS mark, name_id IN (SELECT name_id FROM stripped) AS cut FROM shown)
 """
 
@@ -97,22 +97,22 @@ def shown_names(f):
     k, stop = F.col("name_id"), F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"\s+", " "))
     display = F.when(k % 9 == 0, F.col("name")).otherwise(F.concat(stop, F.lit(", "), "city"))
     rules = F.when(k % 4 == 0, "NONE").when(k % 4 == 1, "STOP_CITY_COMPOSED").when(k % 4 == 2, "STOP_CITY_COMPOSED|CITY_PREFIX_REMOVED").otherwise("")
-    return f.names.select("name_id", stop.alias("public_stop_name"), F.col("city").alias("public_city_name"), display.alias("public_display_name"), rules.alias("name_rules"))
+    return f.named_stops.select("name_id", stop.alias("public_stop_name"), F.col("city").alias("public_city_name"), display.alias("public_display_name"), rules.alias("name_rules"))
 
 
 @query(SHOWN + """SELECT count(*) AS scanned, count(*) FILTER (trim(regexp_replace(coalesce(display, ''), '\\s+', ' ', 'g')) <> stop || ', ' || city) AS format_mismatches, count(*) FILTER (n = p) AS municipality_only, count(*) FILTER (n <> p AND starts_with(n, p || ' ')) AS duplicate_city, count(*) FILTER (cut) AS city_codes,
  count(*) FILTER (length(mark) >= 3 AND contains(' ' || p || ' ', ' ' || mark || ' ')) AS city_qualifiers, count(*) FILTER (code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut) AS unknown_prefixes,
  (SELECT count(*) FROM forms WHERE rules = 'STOP_CITY_COMPOSED') AS transformed, (SELECT count(*) FROM forms WHERE rules NOT IN ('NONE', 'STOP_CITY_COMPOSED')) AS invalid_rules FROM forms WHERE stop <> '' AND p <> ''""")
 def aud06_display_names(f):
-    return publicnames.name_audit(shown_names(f), names.prefix_aliases(f.names), "name_id")
+    return publicnames.name_audit(shown_names(f), names.prefix_aliases(f.named_stops), "name_id")
 
 
 @query(SHOWN + f"""SELECT name_id, 'MUNICIPALITY_ONLY' AS finding_type, CASE WHEN contains(stop, '(') AND contains(stop, ')') THEN 'LOCALITY_STOP_WITH_SOURCE_QUALIFIER' ELSE 'LOCALITY_STOP_NAME' END AS classification, '' AS prefix, 'PRESERVE' AS action FROM forms WHERE stop <> '' AND n = p
  UNION ALL SELECT name_id, 'UPPERCASE_PREFIX', CASE WHEN code = 'TU' THEN 'INSTITUTION_NAME' WHEN code = 'ZUP' THEN 'TRANSIT_OR_INFRASTRUCTURE_TERM' WHEN code = 'SAP' THEN 'NAMED_ENTITY' WHEN code = 'II' THEN 'SECTION_OR_ZONE_LABEL'
   WHEN regexp_matches(upper(regexp_replace(p, '[^a-z0-9]', '', 'g')), array_to_string(string_split(code, ''), '.*')) THEN 'LOCALITY_CODE_CANDIDATE' ELSE 'PRESERVED_ACRONYM' END, code, 'PRESERVE' FROM forms WHERE stop <> '' AND code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut""")
 def aud07_name_findings(f):
-    originals = f.names.select("name_id", F.col("name").alias("area_name"))
-    return publicnames.name_findings(shown_names(f), originals, names.prefix_aliases(f.names), "name_id")
+    originals = f.named_stops.select("name_id", F.col("name").alias("area_name"))
+    return publicnames.name_findings(shown_names(f), originals, names.prefix_aliases(f.named_stops), "name_id")
 
 
 READY = PROFILES + WAYS.replace(EDGES, EDGES, 1) + TOKENS

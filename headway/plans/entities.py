@@ -14,9 +14,9 @@ from .tables import profiles
 
 @query(None)
 def fn18_public_names(f):
-    """Public names of the invented names; of the feed's areas in gr14."""
-    known = names.prefix_aliases(f.names)
-    out = publicnames.public_names(f.names, "name", "name", known, "city")
+    """Public names of the feed's stops and the invented names; of its areas in gr14."""
+    known = names.prefix_aliases(f.named_stops)
+    out = publicnames.public_names(f.named_stops, "name", "name", known, "city")
     return out.select("name_id", "public_stop_name", "public_city_name", "public_display_name", "public_quality", "name_source", "name_rules")
 
 

@@ -105,19 +105,6 @@ def prj12_route_colours(f):
     return enrich_colours(f.routes, f.spark.createDataFrame(catalogue, "line_label string, route_color string, route_text_color string, operator string"), f.agency).select("route_id", "route_color", "route_text_color")
 
 
-@query("SELECT CAST(d AS BIGINT) AS distance_meters, CAST(greatest(120, ceil(d * 1.35e0 / 1.2e0) + 60) AS BIGINT) AS walking_seconds FROM range(0, 1500, 7) t(d)")
-def prj13_walking_seconds(f):
-    return f.spark.range(0, 1500, 7).select(F.col("id").alias("distance_meters"), c.walking_seconds(F.col("id")).alias("walking_seconds"))
-
-
-@query("""SELECT CAST(d AS BIGINT) AS d, CASE WHEN d > 400 THEN 'UNKNOWN' WHEN d <= 80 THEN 'GOOD' WHEN d <= 200 THEN 'ESTIMATED' ELSE 'LOW' END AS footpath, CASE WHEN d <= 240 THEN 'GOOD' WHEN d <= 360 THEN 'OK' WHEN d <= 600 THEN 'LONG' ELSE 'AVOID' END AS seconds,
- CASE WHEN d <= 200 THEN 'CANDIDATE' WHEN d <= 400 THEN 'LOW' ELSE 'UNKNOWN' END AS candidate, CASE WHEN d <= 200 THEN 'GOOD' WHEN d <= 400 THEN 'OK' ELSE 'LONG' END AS family, CAST(CASE WHEN d <= 80 THEN 2 WHEN d <= 200 THEN 4 WHEN d <= 400 THEN 6 ELSE 10 END AS INTEGER) AS minutes
- FROM range(0, 1200, 8) t(d)""")
-def prj14_quality_bands(f):
-    d = F.col("id")
-    return f.spark.range(0, 1200, 8).select(d.alias("d"), c.footpath_quality(d).alias("footpath"), c.seconds_quality(d).alias("seconds"), c.candidate_quality(d).alias("candidate"), c.family_quality(d).alias("family"), c.access_minutes(d).alias("minutes"))
-
-
 @query("SELECT trip_id, CAST(greatest(0, (max(arrival_seconds) - min(departure_seconds)) // 60) AS BIGINT) AS minutes FROM stop_times GROUP BY 1")
 def prj15_duration_minutes(f):
     return f.stop_times.groupBy("trip_id").agg(F.greatest(F.lit(0).cast("long"), F.expr("(max(arrival_seconds) - min(departure_seconds)) div 60")).alias("minutes"))
@@ -345,9 +332,9 @@ def fn14_city_names(f):
     return named_areas(f).select("area_id", names.city_name(F.col("area_name")).alias("city"))
 
 
-@query(f"SELECT name_id, {sql_station_name(sql_no_mode(sql_clean('name')), 'city')} AS station_name FROM names")
+@query(f"SELECT name_id, {sql_station_name(sql_no_mode(sql_clean('name')), 'city')} AS station_name FROM named_stops")
 def fn15_station_names(f):
-    return f.names.select("name_id", names.station_name(F.col("name"), F.col("city")).alias("station_name"))
+    return f.named_stops.select("name_id", names.station_name(F.col("name"), F.col("city")).alias("station_name"))
 
 
 @query(NAMED + f"SELECT area_id, CASE WHEN trim(coalesce(name, '')) = '' OR {sql_technical(normal('folded'))} THEN 'TECHNICAL' ELSE 'GOOD' END AS quality FROM named")
@@ -359,7 +346,7 @@ _KIND = "CASE WHEN " + sql_has("hbf") + " OR contains(n, 'hauptbahnhof') THEN 'H
 _STREET = "(" + " OR ".join([f"contains(c, '{x}')" for x in ("bahnhofstr", "kaiserstr", "kirchenallee", "steintordamm", "zob", "bus")] + [sql_has("str", "c"), sql_has("strasse", "c")]) + ")"
 
 
-@query(f""", own AS (SELECT name_id, name_id % 2 = 0 AS station, CASE WHEN name_id % 5 = 0 THEN city END AS official, trim(coalesce(name, '')) AS name FROM names){city_tables('own', 'name', 'o')},
+@query(f""", own AS (SELECT name_id, name_id % 2 = 0 AS station, CASE WHEN name_id % 5 = 0 THEN city END AS official, trim(coalesce(name, '')) AS name FROM named_stops){city_tables('own', 'name', 'o')},
  shown AS (SELECT *, {sql_clean('name')} AS s FROM o_city){city_tables('shown', 's', 's')}, pair AS (SELECT *, CASE WHEN trim(o_town) <> '' THEN o_town ELSE s_town END AS town, {normal('name')} AS n, {normal('s')} AS c FROM s_city),
  pick AS (SELECT *, CASE WHEN station AND ({sql_technical('c')} OR s = '') THEN CASE WHEN town = '' THEN '' ELSE town || ' ' || {_KIND} END WHEN station AND town <> '' AND ({sql_has('hbf')} OR contains(n, 'hauptbahnhof')) AND NOT {sql_has('hbf', 'c')} THEN town || ' Hbf'
   WHEN station AND {_STREET} THEN CASE WHEN town = '' THEN '' ELSE town || ' ' || {_KIND} END ELSE s END AS k FROM pair),
@@ -368,7 +355,7 @@ _STREET = "(" + " OR ".join([f"contains(c, '{x}')" for x in ("bahnhofstr", "kais
  SELECT name_id, display_name, city_name, {sql_station_name(sql_no_mode(sql_clean('display_name')), 'city_name')} AS station_name, CASE WHEN city_name = '' THEN 'STATION_ONLY' ELSE 'CITY_STATION' END AS name_order,
  CASE WHEN display_name = '' OR {sql_technical(normal('display_name'))} THEN 'TECHNICAL' ELSE 'GOOD' END AS display_quality FROM named""")
 def fn17_harmonised_names(f):
-    rows = f.names.select("name_id", "name", (F.col("name_id") % 2 == 0).alias("station"), F.when(F.col("name_id") % 5 == 0, F.col("city")).alias("official"))
+    rows = f.named_stops.select("name_id", "name", (F.col("name_id") % 2 == 0).alias("station"), F.when(F.col("name_id") % 5 == 0, F.col("city")).alias("official"))
     return names.harmonised(rows, "name", "station", official="official").select("name_id", "display_name", "city_name", "station_name", "name_order", "display_quality")
 
 
@@ -420,10 +407,10 @@ def fn22_rule_codes(f):
 
 
 FIXED_CODES = "(VALUES ('D', 'duesseldorf'), ('DO', 'dortmund'), ('DU', 'duisburg'), ('E', 'essen'), ('FFM', 'frankfurt am main'), ('MG', 'moenchengladbach'), ('OB', 'oberhausen'), ('SZ', 'salzgitter'), ('AB', 'aschaffenburg'), ('PB', 'paderborn'), ('GD', 'schwaebisch gmuend'), ('FRANKFURT', 'frankfurt am main')) v(code, city)"
-PREFIX_TABLES = f""", places AS (SELECT DISTINCT {normal('city')} AS city FROM names WHERE city IS NOT NULL),
+PREFIX_TABLES = f""", places AS (SELECT DISTINCT {normal('city')} AS city FROM named_stops WHERE city IS NOT NULL),
 codes AS (SELECT code, city FROM {FIXED_CODES} UNION SELECT upper(left(replace(city, ' ', ''), 2)), city FROM places WHERE length(replace(city, ' ', '')) >= 2
   UNION SELECT upper(array_to_string(list_transform(string_split(city, ' '), lambda w: left(w, 1)), '')), city FROM places WHERE contains(city, ' ')),
-texts AS (SELECT name_id, {normal('city')} AS city, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS t FROM names),
+texts AS (SELECT name_id, {normal('city')} AS city, trim(regexp_replace(coalesce(name, ''), '\\s+', ' ', 'g')) AS t FROM named_stops),
 cuts AS (SELECT *, unnest(range(1, least(length(t), 14) + 1)) AS i FROM texts),
 heads AS (SELECT *, trim(left(t, i - 1)) AS p, trim(substr(t, i + 1)) AS rest FROM cuts WHERE substr(t, i, 1) = '-' OR (substr(t, i, 1) = ' ' AND i = strpos(t, ' ') AND i > 1)),
 fits AS (SELECT h.* FROM heads h JOIN codes k ON k.city = h.city AND k.code = upper(regexp_replace(p, '[^\\p{{L}}]', '', 'g')) WHERE rest <> '' AND ((length(p) <= 10 AND regexp_matches(p, '^[\\p{{Lu}}.-]*\\p{{Lu}}[\\p{{Lu}}.-]*$')) OR k.code = 'FRANKFURT'))
@@ -432,8 +419,8 @@ fits AS (SELECT h.* FROM heads h JOIN codes k ON k.city = h.city AND k.code = up
 
 @query(PREFIX_TABLES + "SELECT t.name_id, coalesce(f.rest, t.t) AS stripped_name, coalesce(f.p, '') AS stripped_prefix FROM texts t LEFT JOIN (SELECT DISTINCT name_id, arg_max(rest, i) AS rest, arg_max(p, i) AS p FROM fits GROUP BY name_id) f USING (name_id)")
 def fn23_stripped_prefixes(f):
-    known = names.prefix_aliases(f.names)
-    return names.without_prefix(f.names, known, "name_id", "name", "city").select("name_id", "stripped_name", "stripped_prefix")
+    known = names.prefix_aliases(f.named_stops)
+    return names.without_prefix(f.named_stops, known, "name_id", "name", "city").select("name_id", "stripped_name", "stripped_prefix")
 
 
 @query(f"""SELECT p.prefix, r.r_name AS city, CASE WHEN p.prefix IN ('HEIG', 'UNIL', 'KIT', 'HAWK', 'TU', 'DFB', 'LWL', 'LVR') THEN 'INSTITUTION_NAME' WHEN p.prefix IN ('AST', 'BAB', 'BSAG', 'GVZ', 'KVG', 'OEG', 'RVE', 'RVK', 'SBB', 'SSB', 'ZUP') THEN 'TRANSIT_OR_INFRASTRUCTURE_TERM'
@@ -454,26 +441,26 @@ def sql_base(x: str) -> str:
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 
 
-@query(city_tables("names", "name", "x") + f""", forms AS (SELECT name_id, name_id % 2 = 0 AS rail, {normal('name')} AS n, {normal('x_town')} AS town FROM x_city),
+@query(city_tables("named_stops", "name", "x") + f""", forms AS (SELECT name_id, name_id % 2 = 0 AS rail, {normal('name')} AS n, {normal('x_town')} AS town FROM x_city),
  flags AS (SELECT *, town <> '' AND {sql_undistricted('n')} IN (town, town || ' bahnhof', town || ' bf', town || ' hbf', town || ' hauptbahnhof') AS generic, rail AND (contains(n, 'kaiserstr') OR contains(n, 'bahnhofstr') OR contains(n, 'kirchenallee') OR contains(n, 'steintordamm') OR {sql_has('str')} OR {sql_has('strasse')}) AS technical FROM forms),
  keys AS (SELECT *, {sql_base('town')} AS a, {sql_base('n')} AS b FROM flags) SELECT name_id, generic, technical, CASE WHEN generic OR technical THEN CASE WHEN a <> '' THEN a ELSE b END ELSE '' END AS merge_key FROM keys""")
 def fn27_generic_stations(f):
     n, rail = F.col("name"), F.col("name_id") % 2 == 0
-    return f.names.select("name_id", names.generic_station(n).alias("generic"), names.technical_station(c.plain(n), rail).alias("technical"), names.merge_key(n, rail).alias("merge_key"))
+    return f.named_stops.select("name_id", names.generic_station(n).alias("generic"), names.technical_station(c.plain(n), rail).alias("technical"), names.merge_key(n, rail).alias("merge_key"))
 
 
 @query(f"""SELECT name_id, station, station = false AND specific BETWEEN 1 AND 2 AS rail_place, regexp_matches(n, '(^| )(ost|west|nord|sued|sud)bahnhof$') AS directional, n IN ('bahnhof', 'hbf', 'hauptbahnhof', 'ostbahnhof', 'westbahnhof', 'nordbahnhof', 'suedbahnhof', 'sudbahnhof') AS generic
  FROM (SELECT name_id, n, contains(n, 'hbf') OR contains(n, 'bahnhof') OR ends_with(n, ' bf') OR contains(n, 'suedkreuz') AS station, len(list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) >= 2 AND w NOT IN ('hbf', 'hauptbahnhof', 'bf', 'bahnhof', 'u', 'ubahn', 's', 'sbahn')))) AS specific
- FROM (SELECT name_id, {normal('folded')} AS n FROM names))""")
+ FROM (SELECT name_id, {normal('folded')} AS n FROM named_stops))""")
 def fn31_query_intents(f):
     from ..operators.journeys import query_intents
 
-    return f.names.select("name_id", *[x.alias(k) for k, x in query_intents(c.normalised(F.col("name"))).items()])
+    return f.named_stops.select("name_id", *[x.alias(k) for k, x in query_intents(c.normalised(F.col("name"))).items()])
 
 
-@query("SELECT name_id, CASE WHEN regexp_matches(x, '[\",\r\n]') THEN '\"' || replace(x, '\"', '\"\"') || '\"' ELSE x END AS field FROM (SELECT name_id, coalesce(name || CASE name_id % 3 WHEN 0 THEN '\"x' WHEN 1 THEN chr(10) || 'y' ELSE '' END, '') AS x FROM names)")
+@query("SELECT name_id, CASE WHEN regexp_matches(x, '[\",\r\n]') THEN '\"' || replace(x, '\"', '\"\"') || '\"' ELSE x END AS field FROM (SELECT name_id, coalesce(name || CASE name_id % 3 WHEN 0 THEN '\"x' WHEN 1 THEN chr(10) || 'y' ELSE '' END, '') AS x FROM named_stops)")
 def fn32_csv_fields(f):
     from ..sources.gtfs import csv_field
 
     more = F.when(F.col("name_id") % 3 == 0, '"x').when(F.col("name_id") % 3 == 1, "\ny").otherwise("")
-    return f.names.select("name_id", csv_field(F.concat("name", more)).alias("field"))
+    return f.named_stops.select("name_id", csv_field(F.concat("name", more)).alias("field"))

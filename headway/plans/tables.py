@@ -135,6 +135,23 @@ def gr03_footpaths(f):
     return derive.footpaths(f.stops)
 
 
+@query(f", paths AS ({PATHS}) SELECT from_stop_id, to_stop_id, distance_meters, CAST(greatest(120, ceil(distance_meters * 1.35e0 / 1.2e0) + 60) AS BIGINT) AS walking_seconds FROM paths WHERE distance_meters IS NOT NULL")
+def prj13_walking_seconds(f):
+    """Walking times between boarding stops of one area."""
+    d = F.col("distance_meters")
+    return derive.footpaths(f.stops).filter(d.isNotNull()).select("from_stop_id", "to_stop_id", d, c.walking_seconds(d).alias("walking_seconds"))
+
+
+@query(f""", paths AS ({PATHS}) SELECT from_stop_id, to_stop_id, CASE WHEN d > 400 THEN 'UNKNOWN' WHEN d <= 80 THEN 'GOOD' WHEN d <= 200 THEN 'ESTIMATED' ELSE 'LOW' END AS footpath, CASE WHEN d <= 240 THEN 'GOOD' WHEN d <= 360 THEN 'OK' WHEN d <= 600 THEN 'LONG' ELSE 'AVOID' END AS seconds,
+ CASE WHEN d <= 200 THEN 'CANDIDATE' WHEN d <= 400 THEN 'LOW' ELSE 'UNKNOWN' END AS candidate, CASE WHEN d <= 200 THEN 'GOOD' WHEN d <= 400 THEN 'OK' ELSE 'LONG' END AS family, CAST(CASE WHEN d <= 80 THEN 2 WHEN d <= 200 THEN 4 WHEN d <= 400 THEN 6 ELSE 10 END AS INTEGER) AS minutes
+ FROM (SELECT from_stop_id, to_stop_id, distance_meters AS d FROM paths WHERE distance_meters IS NOT NULL)""")
+def prj14_quality_bands(f):
+    """What each rule says of the distances between boarding stops of one area."""
+    d = F.col("distance_meters")
+    bands = {"footpath": c.footpath_quality(d), "seconds": c.seconds_quality(d), "candidate": c.candidate_quality(d), "family": c.family_quality(d), "minutes": c.access_minutes(d)}
+    return derive.footpaths(f.stops).filter(d.isNotNull()).select("from_stop_id", "to_stop_id", *[v.alias(k) for k, v in bands.items()])
+
+
 @query("SELECT a.area_id, a.stop_id AS from_stop_id, b.stop_id AS to_stop_id FROM boarding a JOIN boarding b ON a.area_id = b.area_id AND a.stop_id <> b.stop_id")
 def join09_ordered_pairs(f):
     return derive.footpaths(f.stops).select("area_id", "from_stop_id", "to_stop_id")

@@ -75,6 +75,12 @@ class TestFeed(Feed):
     def names(self) -> DataFrame:
         return self.spark.createDataFrame([(k, n, c) for k, (n, c) in enumerate(NAMES)], "name_id int, name string, city string")
 
+    @cached_property
+    def named_stops(self) -> DataFrame:
+        """The feed's stops and the invented names, with their cities: name_id, name, city."""
+        number = "CASE WHEN location_type = 1 THEN 500 ELSE 1000 END + CAST(substring(stop_id, 2, 20) AS int) AS name_id"
+        return self.stops.selectExpr(number, "stop_name AS name", "regexp_extract(stop_name, '^(Stadt[0-9]+)', 1) AS city").union(self.names)
+
     @cached_property
     def trips(self) -> DataFrame:
         return self.source("orders").selectExpr("concat('T', o_orderkey) AS trip_id", "concat('R', o_custkey % 25) AS route_id", "concat('SV', o_custkey % 40) AS service_id", "CAST(o_orderkey % 2 AS string) AS direction_id")
@@ -175,6 +181,7 @@ family_members AS (SELECT 'CAN_' || primary_area_id AS canonical_area_id, primar
   UNION ALL SELECT CASE WHEN s_suppkey // 10 % 4 = 3 THEN 'S' || s_suppkey ELSE 'N' || (CASE WHEN s_nationkey % 8 = 4 THEN s_nationkey - 1 ELSE s_nationkey END) END, 'S' || s_suppkey,
     CASE s_suppkey // 10 % 4 WHEN 3 THEN 1 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 4 END FROM supplier WHERE s_suppkey % 10 = 9)),
 names(name_id, name, folded, city) AS (VALUES """ + _names_sql() + """),
+named_stops AS (SELECT CASE WHEN location_type = 1 THEN 500 ELSE 1000 END + CAST(substr(stop_id, 2) AS INTEGER) AS name_id, stop_name AS name, stop_name AS folded, regexp_extract(stop_name, '^(Stadt[0-9]+)', 1) AS city FROM stops UNION ALL SELECT * FROM names),
 members AS (SELECT coalesce(nullif(trim(parent_station), ''), stop_id) AS area_id, stop_id, CASE WHEN nullif(trim(parent_station), '') IS NULL THEN 'AREA_ANCHOR' ELSE 'STOP' END AS member_role FROM stops),
 norm AS (SELECT stop_id, """ + normal("stop_name") + """ AS stop_name_normalized FROM stops),
 stop_areas AS (SELECT m.area_id, coalesce(max(CASE WHEN s.stop_id = m.area_id THEN s.stop_name END), min(s.stop_name)) AS area_name, avg(CASE WHEN s.stop_lat IS NOT NULL AND s.stop_lon IS NOT NULL THEN s.stop_lat END) AS area_lat,
