@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import audits, derive, fusion
+from ..operators import audits, derive, fusion, graph
 from ..sources import gtfs, reports
 from ..sources.testfeed import normal
 from .registry import query
@@ -663,3 +663,20 @@ def gr22_rewritten_members(f):
     for r in rows[1:]:
         out = out.union(r)
     return out
+
+
+def clock(seconds: str):
+    """A time of the service day as feeds write it."""
+    part = lambda x: F.lpad(F.expr(x).cast("string"), 2, "0")
+    return F.concat_ws(":", part(f"{seconds} div 3600"), part(f"{seconds} div 60 % 60"), part(f"{seconds} % 60"))
+
+
+@query("SELECT 'stop_times' AS member, trip_id || '/' || stop_sequence AS id, stop_id AS stop, departure_seconds - arrival_seconds AS number FROM stop_times UNION ALL SELECT 'stops', stop_id, stop_name, location_type FROM stops")
+def src04_zip_members(f):
+    """The feed's stops and stop times, written as a ZIP in the shared folder and read from it again."""
+    path = f"{graph.scratch(f.spark)}.zip"
+    times = f.stop_times.select("trip_id", "stop_id", "stop_sequence", clock("arrival_seconds").alias("arrival_time"), clock("departure_seconds").alias("departure_time"))
+    gtfs.write_zip({"stops": f.stops.select("stop_id", "stop_name", "location_type"), "stop_times": times}, path)
+    calls, stops = gtfs.read_member(f.spark, path, "stop_times"), gtfs.read_member(f.spark, path, "stops")
+    own = calls.select(F.lit("stop_times").alias("member"), F.concat_ws("/", "trip_id", "stop_sequence").alias("id"), F.col("stop_id").alias("stop"), (F.col("departure_seconds") - F.col("arrival_seconds")).alias("number"))
+    return own.union(stops.select(F.lit("stops"), "stop_id", "stop_name", "location_type"))

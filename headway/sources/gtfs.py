@@ -5,16 +5,15 @@ from __future__ import annotations
 import csv
 import hashlib
 import json
-import os
-import shutil
-import tempfile
-import zipfile
+import uuid
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import derive, graph
+from ..operators import derive
+from . import feedsource, zipsink
 from .testfeed import WEEK, Feed
 
 #: Columns by member: name, type, whether a blank aborts the read.
@@ -33,23 +32,10 @@ MEMBERS = {
 REQUIRED = ("stops", "routes", "trips", "stop_times")
 
 
-def unpack(path: str, folder: str) -> dict[str, str]:
-    """Members of a ZIP by lower-case base name without ``.txt``; of equal names the last counts."""
-    out = {}
-    with zipfile.ZipFile(path) as z:
-        for info in z.infolist():
-            name = info.filename.replace("\\", "/").rsplit("/", 1)[-1].lower()
-            if name.endswith(".txt"):
-                target = os.path.join(folder, name)
-                with z.open(info) as source, open(target, "wb") as sink:
-                    shutil.copyfileobj(source, sink)
-                out[name[:-4]] = target
-    return out
-
-
-def headers(path: str) -> list[str]:
-    with open(path, encoding="utf-8-sig", newline="") as f:
-        return [h.strip() for h in next(csv.reader(f), [])]
+def headers(path: str, member: str | None = None) -> list[str]:
+    """The columns that a member's first line names."""
+    found = feedsource.members(path)[member or feedsource.member_name(path)]
+    return [h.strip() for h in next(csv.reader([feedsource.first_line(found)]), [])]
 
 
 def fields(line: Column) -> Column:
@@ -63,12 +49,12 @@ def fields(line: Column) -> Column:
     return F.when(line.contains('"'), F.transform(raw, bare)).otherwise(F.split(line, ","))
 
 
-def read_rows(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, names: list[str], member: str | None = None) -> DataFrame:
     """A member's lines as text columns by header, ``_row`` in file order; only empty lines are no rows, and short ones lack their last fields.
 
     ``_real`` is true; what raises an error must ask it, as Spark may look at an expression before it has left out the header and empty lines.  Their fields are null.
     """
-    lines = spark.read.text(path).withColumn("_row", F.monotonically_increasing_id())
+    lines = feedsource.feed_lines(spark, path, member or feedsource.member_name(path))
     lines = lines.withColumn("_real", (F.col("_row") > 0) & (F.col("value") != "")).filter("_real")
     split = lines.select("_row", "_real", F.when(F.col("_real"), fields(F.col("value"))).alias("_f"))
     return split.select("_row", "_real", *[F.get("_f", F.lit(names.index(n))).alias(n) for n in dict.fromkeys(names)])
@@ -94,8 +80,8 @@ NUMBERED = {"transfers": ("transfer_id", 1), "agency": ("ordinal", 0)}
 
 def read_member(spark: SparkSession, path: str, name: str, names: list[str] | None = None) -> DataFrame:
     """A member's typed table: columns by header, blanks null, a blank required value or a bad number raises; transfers and agencies carry their place in the file."""
-    names = headers(path) if names is None else names
-    raw = read_rows(spark, path, names)
+    names = headers(path, name) if names is None else names
+    raw = read_rows(spark, path, names, name)
     out = []
     if name in NUMBERED:
         raw = numbered(raw, *NUMBERED[name])
@@ -118,18 +104,13 @@ def unknown_stops(stop_times: DataFrame, stops: DataFrame, samples: int = 5) ->
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unknown")).crossJoin(F.broadcast(few))
 
 
-def read_feed(spark: SparkSession, path: str, folder: str | None = None) -> Feed:
-    """A feed from a ZIP, unpacked to ``folder`` or to the folder that the cluster shares, or from a folder of members."""
-    if os.path.isdir(path):
-        members = {f[:-4].lower(): os.path.join(path, f) for f in sorted(os.listdir(path)) if f.lower().endswith(".txt")}
-    else:
-        folder = folder or graph.scratch(spark)
-        os.makedirs(folder, exist_ok=True)
-        members = unpack(path, folder)
+def read_feed(spark: SparkSession, path: str) -> Feed:
+    """A feed from a ZIP or a folder of members; the driver reads its directory and the members' first lines."""
+    members = feedsource.members(path)
     for name in REQUIRED:
         if name not in members:
             raise FileNotFoundError(f"{path}: no {name}.txt")
-    tables = {name: read_member(spark, members[name], name) if name in members else _empty(spark, name) for name in MEMBERS}
+    tables = {name: read_member(spark, path, name) if name in members else _empty(spark, name) for name in MEMBERS}
     return Feed(spark, **tables)
 
 
@@ -208,47 +189,60 @@ def content_identity(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+MANIFEST = "manifest.json"
+
+
 def publish(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """Write tables as Parquet to a staging folder, then put it in place at once; returns row counts. The target must not exist.
+    """Write tables as Parquet into ``folder`` and then its manifest, which publishes them at once; returns row counts.
 
-    The manifest's identity hashes every table's schema and content.
+    Each attempt writes under a name of its own, so what a lost one left is never read;
+    the manifest is one small file, which any store replaces whole.  A folder that has
+    one is an error.  The manifest's identity hashes every table's schema and content.
     """
-    if os.path.exists(folder):
+    system, place = feedsource.opened(folder)
+    if system.get_file_info(f"{place}/{MANIFEST}").type != fs.FileType.NotFound:
         raise FileExistsError(folder)
-    staging = f"{folder}._staging"
+    data = f"data-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{staging}/{name}")
-    written = {name: df.sparkSession.read.parquet(f"{staging}/{name}") for name, df in tables.items()}
+        df.write.parquet(f"{folder}/{data}/{name}")
+    written = {name: df.sparkSession.read.parquet(f"{folder}/{data}/{name}") for name, df in tables.items()}
     rows = content_identity(written).collect() if written else []
     counts = {r["name"]: r["rows"] for r in rows}
     told = {r["name"]: [written[r["name"]].schema.simpleString(), r["rows"], r["content"]] for r in rows}
-    os.makedirs(staging, exist_ok=True)
-    with open(f"{staging}/manifest.json", "w", encoding="utf-8") as f:
-        json.dump({"rows": counts, "identity": hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()}, f, indent=1, sort_keys=True)
-    os.replace(staging, folder)
+    system.create_dir(place, recursive=True)
+    with system.open_output_stream(f"{place}/{MANIFEST}") as f:
+        f.write(json.dumps({"data": data, "rows": counts, "identity": hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()}, indent=1, sort_keys=True).encode())
     return {name: counts.get(name, 0) for name in tables}
 
 
+def manifest(folder: str) -> dict:
+    """What ``publish`` wrote last; a folder without it isn't published."""
+    system, place = feedsource.opened(folder)
+    with system.open_input_file(f"{place}/{MANIFEST}") as f:
+        return json.loads(f.read())
+
+
+def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of a published folder."""
+    told = manifest(folder)
+    return {name: spark.read.parquet(f"{folder}/{told['data']}/{name}") for name in told["rows"]}
+
+
 def csv_field(value: Column) -> Column:
     """A CSV field, quoted where it holds a comma, a quote or a line's end."""
     text = F.coalesce(value.cast("string"), F.lit(""))
     return F.when(text.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
 
 
-def write_member(df: DataFrame, path: str) -> None:
-    """One CSV member: executors write its lines to the shared folder, the driver only puts their files one behind the other."""
-    folder = graph.scratch(df.sparkSession)
-    df.select(F.concat_ws(",", *[csv_field(F.col(x)) for x in df.columns]).alias("value")).write.text(folder)
-    with open(path, "wb") as f:
-        f.write((",".join(df.columns) + "\n").encode())
-        for part in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
-            with open(os.path.join(folder, part), "rb") as source:
-                shutil.copyfileobj(source, f)
+def member_lines(df: DataFrame) -> DataFrame:
+    return df.select(F.concat_ws(",", *[csv_field(F.col(x)) for x in df.columns]).alias("value"))
 
 
 def write_zip(tables: dict[str, DataFrame], path: str) -> None:
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z, tempfile.TemporaryDirectory() as folder:
-        for name, df in tables.items():
-            member = os.path.join(folder, f"{name}.txt")
-            write_member(df, member)
-            z.write(member, f"{name}.txt")
+    """A ZIP of CSV members, deflated by executors and put one behind the other by one task, in order of partitions."""
+    zipsink.write(path, {f"{name}.txt": (",".join(df.columns) + "\n", member_lines(df)) for name, df in tables.items()})
+
+
+def write_member(df: DataFrame, path: str) -> None:
+    """One CSV file, as ``write_zip`` writes its members."""
+    zipsink.write_plain(path, ",".join(df.columns) + "\n", member_lines(df))

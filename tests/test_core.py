@@ -33,7 +33,7 @@ def feed(spark, tmp_path):
     with zipfile.ZipFile(path, "w") as z:
         for name, text in FEED.items():
             z.writestr(name, text)
-    return gtfs.read_feed(spark, str(path), str(tmp_path))
+    return gtfs.read_feed(spark, str(path))
 
 
 def rows(df, *columns):
