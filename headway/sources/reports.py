@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..operators import graph
 from .gtfs import csv_field
 
 # --- fixed values of the contract ---
@@ -27,19 +28,37 @@ def metadata(tables: dict[str, DataFrame], agency: DataFrame, feed_name: str | N
     return out.union(zones.agg(F.lit("feed_timezones"), F.array_join(F.array_sort(F.collect_set("z")), ",")))
 
 
-def latency_summary(rows: DataFrame, value: str, budget: int) -> DataFrame:
-    """least, mean (whole), p95 (nearest rank), most and n of whole numbers, and whether all are within a budget.
+#: Ranges that a search for a rank is cut into at each step, and the share of numbers below it in hundredths.
+CUTS, P95 = 1024, 95
+
+
+def nearest_rank(counts: DataFrame, least: int, most: int, rank: int) -> int:
+    """The ``rank``-th smallest of whole numbers from ``least`` to ``most``, given as v and k, how often each occurs.
 
-    Ranks come from counts of equal numbers, of which there are few.
+    Each step counts CUTS ranges and goes on in the one that has the rank, so that only
+    their counts are ever in one place: three steps reach any number of 30 bits.
     """
-    from pyspark.sql import Window
-
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("k"))
-    upto = counts.withColumn("upto", F.sum("k").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    whole = counts.agg(F.sum("k").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.sum(F.col("v") * F.col("k")).alias("s"))
-    rank = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(0.95)))
-    both = upto.crossJoin(F.broadcast(whole)).filter(F.col("upto") >= rank)
-    return both.groupBy("n", "least", "most", "s").agg(F.min("v").alias("p95")).select("least", F.expr("s div n").alias("mean"), "p95", "most", "n", (F.col("most") <= budget).alias("within"))
+    before = 0
+    while least < most:
+        width = -(-(most - least + 1) // CUTS)
+        cut = F.expr(f"(v - {least}) div {width}").alias("cut")
+        for r in counts.filter(F.col("v").between(least, most)).groupBy(cut).agg(F.sum("k").alias("k")).orderBy("cut").collect():
+            if before + r["k"] >= rank:
+                least = least + r["cut"] * width
+                most = min(most, least + width - 1)
+                break
+            before += r["k"]
+    return least
+
+
+def latency_summary(rows: DataFrame, value: str, budget: int) -> DataFrame:
+    """least, mean (whole), p95 (nearest rank), most and n of whole numbers, and whether all are within a budget; no row if there are none."""
+    counts = graph.written(rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("k")))
+    whole = counts.agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("k").alias("n"), F.sum(F.col("v") * F.col("k")).alias("s"))
+    found = whole.first()
+    p95 = None if found["n"] is None else nearest_rank(counts, found["least"], found["most"], max(1, -(-found["n"] * P95 // 100)))
+    kind = counts.schema["v"].dataType
+    return whole.filter("n > 0").select("least", F.expr("s div n").alias("mean"), F.lit(p95).cast(kind).alias("p95"), "most", "n", (F.col("most") <= budget).alias("within"))
 
 
 def changes(stored: DataFrame, fresh: DataFrame, key: str, columns: list[str]) -> DataFrame:
