@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audits, derive, names, publicnames
+from ..operators import appready, audits, derive, graph, names, publicnames
 from ..sources.testfeed import normal
 from .registry import query
-from .rules import NAMED, PREFIX_TABLES, TOKENS, named_areas
+from .rules import ALIASES, NAMED, PREFIX_TABLES, TOKENS, alias_table, named_areas
 from .tables import AXES, EDGES, HUBS, OLDER, PATHS, PROFILES, area_routes, calendar_summary, hubs, members, older, profiles
 
 
@@ -116,21 +116,41 @@ def aud07_name_findings(f):
 
 
 READY = PROFILES + WAYS.replace(EDGES, EDGES, 1) + TOKENS
-
-
-@query(READY + """SELECT * FROM (SELECT 'stop_search_tokens' AS name, (SELECT count(*) FROM tokens) AS rows UNION ALL SELECT 'area_route_service_summary', (SELECT count(*) FROM area_routes) UNION ALL SELECT 'stop_area_profiles', (SELECT count(*) FROM profiles)
- UNION ALL SELECT 'profiles_with_line_labels', (SELECT count(*) FROM profiles WHERE line_labels <> '') UNION ALL SELECT 'rail_profiles', (SELECT count(*) FROM profiles WHERE has_rail_service = 1) UNION ALL SELECT 'rail_profiles_with_line_labels', (SELECT count(*) FROM profiles WHERE has_rail_service = 1 AND line_labels <> '')
- UNION ALL SELECT 'transfer_edges', (SELECT count(*) FROM edges) UNION ALL SELECT 'stop_footpaths', (SELECT count(*) FROM paths) UNION ALL SELECT 'traversable_footpaths', (SELECT count(*) FROM paths WHERE is_traversable = 1) UNION ALL SELECT 'routes_with_color', (SELECT count(*) FROM routes WHERE trim(coalesce(route_color, '')) <> '')
- UNION ALL SELECT 'platform_codes', (SELECT count(*) FROM stops WHERE trim(coalesce(platform_code, '')) <> '') UNION ALL SELECT 'calendar', (SELECT count(*) FROM calendar) UNION ALL SELECT 'calendar_dates', (SELECT count(*) FROM calendar_dates) UNION ALL SELECT 'service_calendar_summary', (SELECT count(*) FROM summary))""")
-def aud08_app_ready_counters(f):
-    """Counters that decide whether a feed may be used, in one long table."""
-    p, paths = profiles(f), derive.footpaths(f.stops)
-    filled = lambda x: F.trim(F.coalesce(x, F.lit(""))) != ""
-    return audits.row_counts({
-        "stop_search_tokens": derive.search_tokens(f.stops, named_areas(f)), "area_route_service_summary": area_routes(f), "stop_area_profiles": p, "profiles_with_line_labels": p.filter("line_labels <> ''"), "rail_profiles": p.filter("has_rail_service = 1"),
-        "rail_profiles_with_line_labels": p.filter("has_rail_service = 1 AND line_labels <> ''"), "transfer_edges": derive.transfer_edges(f.stops, f.transfers), "stop_footpaths": paths, "traversable_footpaths": paths.filter("is_traversable = 1"),
-        "routes_with_color": f.routes.filter(filled("route_color")), "platform_codes": f.stops.filter(filled("platform_code")), "calendar": f.calendar, "calendar_dates": f.calendar_dates, "service_calendar_summary": calendar_summary(f),
-    })
+FINDINGS = f"""(SELECT name_id, 'MUNICIPALITY_ONLY' AS finding_type, 'PRESERVE' AS action FROM forms WHERE stop <> '' AND n = p UNION ALL SELECT name_id, 'UPPERCASE_PREFIX', 'PRESERVE' FROM forms WHERE stop <> '' AND code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut)"""
+_SOURCES = {
+    "stop_search_tokens": "tokens", "area_route_service_summary": "area_routes", "stop_area_cities": "(SELECT area_id, CASE stop_count % 3 WHEN 0 THEN 'OFFICIAL_BOUNDARY' WHEN 1 THEN 'GTFS_NAME_FALLBACK' ELSE 'UNRESOLVED' END AS quality FROM stop_areas)", "stop_area_profiles": "profiles",
+    "stop_area_aliases": "aliases", "canonical_stop_areas": "family_heads", "canonical_stop_area_members": "(SELECT *, is_primary_for_search AS is_visible_suggestion FROM family_members)", "canonical_stop_area_names": "family_heads", "stop_area_display_names": "(SELECT *, CASE WHEN name_id % 3 = 0 THEN 'TECHNICAL' ELSE 'GOOD' END AS display_quality FROM shown)",
+    "canonical_stop_area_transfer_edges": "(SELECT area_id FROM family_members UNION ALL SELECT area_id FROM family_members WHERE area_id <> primary_area_id)", "transfer_edges": "edges", "stop_footpaths": "paths", "routes": "routes", "stops": "stops", "calendar": "calendar", "calendar_dates": "calendar_dates",
+    "service_calendar_summary": "summary", "display_name_quality_findings": "told_findings",
+}
+_CHECKS = " UNION ALL ".join(f"SELECT '{k}' AS name, (SELECT count(*) FROM {_SOURCES[t]} WHERE {test}) AS value" for t, tests in appready.COUNTERS.items() for k, test in tests.items() if k != "service_calendar_summary_count")
+
+
+@query(READY + ALIASES.removeprefix(NAMED) + SHOWN + MODEL + f""", family_heads AS (SELECT canonical_area_id, count(*) AS member_count, CASE WHEN count(*) % 2 = 0 THEN 'TECHNICAL' ELSE 'GOOD' END AS display_quality FROM family_members GROUP BY 1), expected_findings AS {FINDINGS}, told_findings AS (SELECT * FROM expected_findings WHERE name_id % 4 <> 1),
+ audited AS (SELECT count(*) AS audit_scanned_count, count(*) FILTER (trim(regexp_replace(coalesce(display, ''), '\\s+', ' ', 'g')) <> stop || ', ' || city) AS format_mismatch_count, count(*) FILTER (n = p) AS municipality_only_count, count(*) FILTER (n <> p AND starts_with(n, p || ' ')) AS duplicate_city_prefix_count, count(*) FILTER (cut) AS matching_city_code_prefix_count,
+  count(*) FILTER (length(mark) >= 3 AND contains(' ' || p || ' ', ' ' || mark || ' ')) AS matching_city_qualifier_count, count(*) FILTER (code <> '' AND code NOT IN ('S', 'U', 'SU', 'BUS', 'TRAM') AND NOT cut) AS suspicious_unknown_prefix_count FROM forms WHERE stop <> '' AND p <> ''),
+ counted AS MATERIALIZED ({_CHECKS} UNION ALL SELECT 'display_name_quality_coverage_gap_count', (SELECT count(*) FROM expected_findings WHERE name_id % 4 = 1)
+  UNION ALL SELECT 'display_name_' || name, value FROM (UNPIVOT audited ON COLUMNS(*)) UNION ALL SELECT 'service_day_model_' || CASE WHEN name = 'services' THEN 'service_count' ELSE name END, value FROM (UNPIVOT (SELECT * EXCLUDE (pass) FROM judged) ON COLUMNS(*)) WHERE name NOT IN ('trip_services', 'base_calendar_services', 'exception_services', 'exception_only_services', 'maximum_service_day_seconds'))
+ SELECT 'check' AS kind, name, CAST(value AS BIGINT) AS value FROM counted UNION ALL SELECT 'flag', unnest(['core_tables', 'stop_search_tokens', 'area_route_service_summary', 'stop_area_cities', 'stop_area_profiles', 'canonical_stop_areas', 'canonical_stop_area_members', 'canonical_stop_area_names', 'stop_area_display_names', 'service_day_model',
+  'canonical_stop_area_transfer_edges', 'stop_area_aliases', 'transfer_edges', 'display_name_quality_baseline', 'stop_footpaths']), 1 UNION ALL SELECT 'flag', 'route_colors', CAST((SELECT count(*) FROM routes WHERE trim(coalesce(route_color, '')) <> '') > 0 AS BIGINT) UNION ALL SELECT 'flag', 'platform_codes', CAST((SELECT count(*) FROM stops WHERE trim(coalesce(platform_code, '')) <> '') > 0 AS BIGINT)
+ UNION ALL SELECT 'warning', 'display_names', 1 WHERE (SELECT format_mismatch_count + duplicate_city_prefix_count + matching_city_code_prefix_count + matching_city_qualifier_count > 0 OR EXISTS (SELECT 1 FROM shown WHERE rules = '') FROM audited) UNION ALL SELECT 'warning', 'display_name_findings', 1 WHERE EXISTS (SELECT 1 FROM expected_findings WHERE name_id % 4 = 1) UNION ALL SELECT 'warning', 'service_days', 1 FROM judged WHERE NOT pass""")
+def aud08_app_ready(f):
+    """All counters, flags and warnings of a feed, with some findings on names that aren't told."""
+    heads = f.family_members.groupBy("canonical_area_id").agg(F.count("*").alias("member_count")).withColumn("display_quality", F.when(F.col("member_count") % 2 == 0, "TECHNICAL").otherwise("GOOD"))
+    shown, known = graph.written(shown_names(f)), graph.written(names.prefix_aliases(f.named_stops))
+    expected = graph.written(publicnames.name_findings(shown, f.named_stops.select("name_id", F.col("name").alias("area_name")), known, "name_id"))
+    areas = derive.stop_areas(f.stops)
+    city = F.when(F.col("stop_count") % 3 == 0, "OFFICIAL_BOUNDARY").when(F.col("stop_count") % 3 == 1, "GTFS_NAME_FALLBACK").otherwise("UNRESOLVED")
+    away = f.family_members.filter("area_id <> primary_area_id")
+    tables = {
+        "stops": f.stops, "stop_areas": areas, "stop_area_members": members(f), "routes": f.routes, "trips": f.trips, "stop_times": f.stop_times, "calendar": f.calendar, "calendar_dates": f.calendar_dates, "stop_search_tokens": derive.search_tokens(f.stops, named_areas(f)), "area_route_service_summary": area_routes(f),
+        "stop_area_cities": areas.select("area_id", city.alias("quality")), "stop_area_profiles": profiles(f), "stop_area_aliases": alias_table(f), "canonical_stop_areas": heads, "canonical_stop_area_members": f.family_members.withColumn("is_visible_suggestion", F.col("is_primary_for_search")), "canonical_stop_area_names": heads,
+        "stop_area_display_names": shown.withColumn("display_quality", F.when(F.col("name_id") % 3 == 0, "TECHNICAL").otherwise("GOOD")), "canonical_stop_area_transfer_edges": f.family_members.select("area_id").union(away.select("area_id")), "transfer_edges": derive.transfer_edges(f.stops, f.transfers),
+        "stop_footpaths": derive.footpaths(f.stops), "service_calendar_summary": calendar_summary(f), "display_name_quality_findings": expected.filter("name_id % 4 <> 1"),
+    }
+    written, found = appready.measured(tables)
+    gaps = expected.join(written["display_name_quality_findings"], ["name_id", "finding_type"], "left_anti").count()
+    return appready.gate(f.spark, list(tables), found, model(f), publicnames.name_audit(shown, known, "name_id"), gaps)
 
 
 @query(PROFILES + """SELECT * FROM (SELECT 'stop_area_members' AS name, EXISTS (SELECT 1 FROM members WHERE area_id = (SELECT min(area_id) FROM members)) AS found UNION ALL SELECT 'stop_area_profiles', EXISTS (SELECT 1 FROM profiles WHERE profile_class = (SELECT min(profile_class) FROM profiles))
