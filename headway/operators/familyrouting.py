@@ -20,6 +20,8 @@ MEMBERS, ROUTING, ALONE = 12, 8, "RAW_STOP_AREA"
 # rides of each pair, first legs, and the legs, results and waits (seconds) of rides with one and with two changes
 DIRECT_LIMIT, FIRST_LIMIT, ONE_LIMIT, ONE_WAIT = 8, 60, 8, 2700
 TWO_FIRST, TWO_SECOND, TWO_LIMIT, TWO_WAIT, TWO_MINUTES = 30, 10, 5, 2100, 60
+# ways within a family that its graph lists
+EDGES = 24
 # --- end of fixed values ---
 CASE = ["start", "target", "from_seconds", "to_seconds", "latest"]
 
@@ -186,3 +188,29 @@ def earliest_arrivals(calls: DataFrame, family: DataFrame, starts: DataFrame, ta
         edge = new.select("start", "area_id", (F.col("at") + WAIT_SECONDS).alias("ready"))
     ends = best.join(side("target", targets), "area_id").withColumn("at", F.col("at") + F.col("walk")).filter((F.col("at") <= latest) & (F.col("start") != F.col("target")))
     return ends.groupBy("start", "target").agg(F.min(F.struct("at", "ride")).alias("x")).select("start", "target", F.col("x.at").alias("arrival_seconds"), F.col("x.ride").alias("rides"))
+
+
+def family_graph(family: DataFrame, ways: DataFrame, areas: DataFrame, profiles: DataFrame, calls: DataFrame, requests: DataFrame, low: int, high: int) -> DataFrame:
+    """What each requested area (area_id) belongs to: requested, canonical_area_id, part (member or way) and place, area_id, other_area_id, role, minutes, profile_class and departures.
+
+    Members come in the order of what they are for, with their departures from ``low`` to
+    ``high``; of the ways (canonical_area_id, from_area_id, to_area_id, access_minutes,
+    source) the first EDGES by their ends.  An area without a family has no rows.  Each
+    family is looked at once, however many areas of it are requested.
+    """
+    asked = requests.select(F.col("area_id").alias("requested")).distinct()
+    owned = graph.written(asked.join(family.groupBy(F.col("area_id").alias("requested")).agg(F.min("canonical_area_id").alias("canonical_area_id")), "requested"))
+    wanted = owned.select("canonical_area_id").distinct()
+    leaves = calls.filter(F.col("departure_seconds").between(low, high)).groupBy("area_id").agg(F.count("*").alias("departures"))
+    own = Window.partitionBy("canonical_area_id")
+    rows = family.join(wanted, "canonical_area_id").join(areas.select("area_id", "area_name"), "area_id").join(profiles.select("area_id", "profile_class"), "area_id", "left").join(leaves, "area_id", "left")
+    order = [F.desc("is_primary_for_search"), F.desc("is_primary_for_routing"), F.desc("is_visible_suggestion"), "access_cost_minutes", "member_role", "area_name", "area_id"]
+    none = F.lit(None).cast("string")
+    members = rows.select(
+        "canonical_area_id", F.lit("member").alias("part"), F.row_number().over(own.orderBy(*order)).alias("place"), "area_id", none.alias("other_area_id"), F.col("member_role").alias("role"), F.col("access_cost_minutes").cast("int").alias("minutes"),
+        F.coalesce("profile_class", F.lit("")).alias("profile_class"), F.coalesce("departures", F.lit(0)).alias("departures"),
+    )
+    listed = top(ways.join(wanted, "canonical_area_id"), ["canonical_area_id"], ["from_area_id", "to_area_id"], EDGES)
+    turn = F.row_number().over(own.orderBy("from_area_id", "to_area_id"))
+    edges = listed.select("canonical_area_id", F.lit("way"), turn, "from_area_id", "to_area_id", "source", F.col("access_minutes").cast("int"), none, F.lit(None).cast("long"))
+    return owned.join(members.union(edges), "canonical_area_id")

@@ -316,11 +316,24 @@ def ord02_limit_then_count(f):
     return f.stop_times.orderBy("departure_seconds", "trip_id", "stop_sequence").limit(500).groupBy("stop_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT m.area_id, m.stop_id, count(a.service_id) AS departures FROM members m LEFT JOIN stop_times st USING (stop_id) LEFT JOIN trips t USING (trip_id) LEFT JOIN active a ON a.service_id = t.service_id GROUP BY 1, 2")
-def q24_area_graph(f):
-    active = derive.active_services(f.calendar, f.calendar_dates, DAY)
-    n = f.stop_times.join(f.trips.join(active, "service_id", "left_semi"), "trip_id", "left_semi").groupBy("stop_id").agg(F.count("*").alias("departures"))
-    return members(f).join(n, "stop_id", "left").select("area_id", "stop_id", F.coalesce("departures", F.lit(0)).alias("departures"))
+WAYS = "SELECT canonical_area_id, area_id AS from_area_id, primary_area_id AS to_area_id, access_cost_minutes AS minutes, 'CANONICAL_FAMILY_DISTANCE' AS source FROM family_members WHERE area_id <> primary_area_id"
+
+
+@query(PROFILES + f""", ways AS ({WAYS} UNION ALL SELECT canonical_area_id, to_area_id, from_area_id, minutes, source FROM ({WAYS}) UNION ALL SELECT canonical_area_id, area_id, area_id, 0, 'SAME_CANONICAL_PRIMARY' FROM family_members WHERE area_id = primary_area_id),
+asked AS (SELECT area_id AS requested, min(canonical_area_id) AS canonical_area_id FROM family_members WHERE area_id IN (SELECT area_id FROM stop_areas) GROUP BY 1),
+leaving AS (SELECT area_id, count(*) AS departures FROM stop_times JOIN members USING (stop_id) JOIN trips USING (trip_id) SEMI JOIN active USING (service_id) WHERE departure_seconds BETWEEN 28800 AND 36000 GROUP BY 1)
+SELECT requested, canonical_area_id, 'member' AS part, CAST(row_number() OVER (PARTITION BY requested ORDER BY is_primary_for_search DESC, is_primary_for_routing DESC, access_cost_minutes, member_role, area_name, f.area_id) AS INTEGER) AS place, f.area_id, NULL AS other_area_id, member_role AS role, access_cost_minutes AS minutes,
+ coalesce(profile_class, '') AS profile_class, coalesce(departures, 0) AS departures FROM asked JOIN family_members f USING (canonical_area_id) JOIN stop_areas s ON s.area_id = f.area_id LEFT JOIN profiles p ON p.area_id = f.area_id LEFT JOIN leaving l ON l.area_id = f.area_id
+UNION ALL SELECT requested, canonical_area_id, 'way', place, from_area_id, to_area_id, source, minutes, NULL, NULL FROM asked JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY canonical_area_id ORDER BY from_area_id, to_area_id) AS INTEGER) AS place FROM ways) USING (canonical_area_id) WHERE place <= 24""")
+def q24_family_graph(f):
+    """The family of every area: members with departures of two hours, and ways between them."""
+    family = f.family_members.withColumn("is_visible_suggestion", F.col("is_primary_for_search"))
+    areas = derive.stop_areas(f.stops)
+    away = family.filter("area_id <> primary_area_id")
+    way = lambda a, b: away.select("canonical_area_id", F.col(a).alias("from_area_id"), F.col(b).alias("to_area_id"), F.col("access_cost_minutes").alias("access_minutes"), F.lit("CANONICAL_FAMILY_DISTANCE").alias("source"))
+    same = family.filter("area_id = primary_area_id").select("canonical_area_id", "area_id", "area_id", F.lit(0), F.lit("SAME_CANONICAL_PRIMARY"))
+    ways = way("area_id", "primary_area_id").union(way("primary_area_id", "area_id")).union(same)
+    return familyrouting.family_graph(family, ways, areas, profiles(f), family_calls(f), areas, 28800, 36000)
 
 
 SCENARIOS = [("day", "20240102", 28800, 36000), ("saturday", "20240106", 28800, 36000), ("late", "20240102", 79200, 93600), ("before", "20231231", 0, 93600), ("exceptions", "20240116", 0, 93600)]
