@@ -160,7 +160,8 @@ class Pseudonyms:
 
     def _iban(self, value: str) -> str | None:
         bare = value.replace(" ", "")
-        if not 15 <= len(bare) <= 34 or mod97(bare) != 1:
+        # 00, 01 and 99 leave the remainder of 97, 98 and 02, but no bank gives them
+        if not 15 <= len(bare) <= 34 or not 2 <= int(bare[2:4]) <= 98 or mod97(bare) != 1:
             return None
         inner = self.mixed("iban" + bare[:2], bare[4:])
         check = 98 - mod97(f"{bare[:2]}00{inner}")
