@@ -2,17 +2,21 @@
 
 Only the histogram (at most ``capacity`` numbers) comes to the driver.  There the
 configuration program  min sum x_p  with  sum a_pl x_p >= n_l  is solved by
-multiplicative weights: a length's price falls with its coverage, a knapsack
-dynamic program over the capacity finds, for each badly covered length, the most
-valuable pattern that holds it, and the pattern's amount grows.  The amounts are
-rounded down, what remains goes through the same pricing in whole copies, and the
-rest, however large, is packed best-fit decreasing as counts of lengths.  Spark
-then ranks the pieces of each length and gives each its place.
+multiplicative weights: prices start from a solution of its dual, a length's price
+falls with its coverage, a knapsack dynamic program over the capacity finds, for each
+badly covered length, the most valuable pattern that holds it, and the pattern's
+amount grows.  The amounts are rounded down, patterns with a fraction left give one
+copy, and what remains is priced again by the same weights in whole copies, at every
+size.  A pattern counts if its dual value is near the largest one, whatever it wastes.
+What no such pattern holds is packed best-fit decreasing as counts of lengths; the
+program goes as far as that total doesn't rise, so no more sequences than best-fit
+alone.  Spark then ranks the pieces of each length and gives each its place.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -25,52 +29,77 @@ from .common import pieces, save
 
 CAPACITY, END = 4096, 1
 ROUNDS, COLUMNS, ETA, STEP = 24, 160, 4.0, 0.34
-#: Passes of the program over what remains; with REST pieces a length or fewer they end; the share of a sequence that a pattern may waste.
-PASSES, REST, WASTE = 6, 8, 0.002
+#: Passes over what remains, rounds of whole copies in each; the share of the largest dual value that a pattern may lack: none first, SLACK then, twice as much and SLACK more in each further pass.
+PASSES, WHOLE, SLACK = 6, 12, 0.0005
+#: Part of a length in its first price, so that pieces that the dual gives nothing still fill up patterns.
+TRACE = 1e-4
 #: Pieces of one length that are ranked together, about.
 RANK_ROWS = 5_000
 
 
 class Knapsack:
-    """Unbounded knapsack over a capacity for given prices of lengths."""
+    """Unbounded knapsack over a capacity for given prices of lengths; of equal choices the longest."""
 
     def __init__(self, lengths: np.ndarray, price: np.ndarray, capacity: int):
-        self.lengths, self.price, self.capacity = lengths, price, capacity
-        self.value, self.pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+        self.lengths, self.capacity = lengths.tolist(), capacity
+        value, pick = np.zeros(capacity + 1), [-1] * (capacity + 1)
+        # prices by length from the capacity down, so that each step adds two slices
+        index, down = np.full(capacity + 1, -1), np.full(capacity, -np.inf)
+        index[lengths], down[capacity - lengths] = np.arange(len(lengths)), price
+        place = index.tolist()
         for c in range(1, capacity + 1):
-            self.value[c], k = self.value[c - 1], upto[c]
-            if k:
-                gain = self.value[c - lengths[:k]] + price[:k]
-                i = int(gain.argmax())
-                if gain[i] > self.value[c]:
-                    self.value[c], self.pick[c] = gain[i], i
-
-    def with_length(self, i: int, most: np.ndarray) -> dict[int, int]:
-        """The most valuable pattern that holds length i, within what there is of each length."""
-        out, room = Counter({i: 1}), self.capacity - int(self.lengths[i])
+            gain = value[:c] + down[capacity - c :]
+            r = int(gain.argmax())
+            value[c] = value[c - 1]
+            if gain[r] > value[c]:
+                value[c], pick[c] = gain[r], place[c - r]
+        self.best, self.pick = float(value[capacity]), pick
+
+    def with_length(self, i: int, most: list[int]) -> dict[int, int]:
+        """The most valuable pattern that holds length i; where a choice is used up, the longest that is left."""
+        lengths, pick = self.lengths, self.pick
+        out, room = {i: 1}, self.capacity - lengths[i]
         while room > 0:
-            j = int(self.pick[room])
-            if j < 0:
-                room -= 1
-            elif out[j] < most[j]:
-                out[j] += 1
-                room -= int(self.lengths[j])
-            else:
-                room -= 1
-        return dict(out)
+            j = pick[room]
+            if j < 0 or not most[j] or out.get(j, 0) >= most[j]:
+                j = bisect_right(lengths, room) - 1
+                while j >= 0 and (not most[j] or out.get(j, 0) >= most[j]):
+                    j -= 1
+                if j < 0:
+                    break
+            out[j] = out.get(j, 0) + 1
+            room -= lengths[j]
+        return out
+
+
+def first_prices(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
+    """A dual solution and its bound: for the best t, lengths over capacity - t count whole, those under t nothing, others by length."""
+    ts = np.append(0, lengths[2 * lengths <= capacity])
+    upto, total = np.append(0, np.cumsum(need)), np.append(0, np.cumsum(need * lengths))
+    low, high = np.searchsorted(lengths, ts), np.searchsorted(lengths, capacity - ts, side="right")
+    # t may be half of the capacity, where nothing lies between
+    bounds = (upto[-1] - upto[high]) + -(-(total[high] - total[np.minimum(low, high)]) // capacity)
+    half = np.searchsorted(lengths, capacity // 2, side="right")
+    if upto[-1] - upto[half] > bounds.max():
+        return np.where(lengths > capacity // 2, capacity, 0) + TRACE * lengths, int(upto[-1] - upto[half])
+    t = int(ts[bounds.argmax()])
+    return np.where(lengths > capacity - t, capacity, np.where(lengths >= t, lengths, 0)) + TRACE * lengths, int(bounds.max())
+
+
+def _weighed(base: np.ndarray, cover: np.ndarray) -> np.ndarray:
+    return base * np.exp(-ETA * (cover - cover.mean()).clip(-1, 1))
 
 
-def multiplicative_weights(lengths: np.ndarray, need: np.ndarray, capacity: int) -> dict[tuple, float]:
+def multiplicative_weights(lengths: np.ndarray, need: np.ndarray, base: np.ndarray, capacity: int) -> dict[tuple, float]:
     """Amounts of patterns that together use no more of any length than is needed, and nearly as much of most."""
     amount: dict[tuple, float] = {}
-    cover = np.zeros(len(lengths))
+    cover, most = np.zeros(len(lengths)), need.tolist()
     for _ in range(ROUNDS):
         if cover.min() >= 1:
             break
-        sack = Knapsack(lengths, lengths * np.exp(-ETA * (cover - cover.mean()).clip(-1, 1)), capacity)
-        for i in np.argsort(cover, kind="stable")[:COLUMNS]:
-            pattern = sack.with_length(int(i), need)
+        sack = Knapsack(lengths, _weighed(base, cover), capacity)
+        for i in np.argsort(cover, kind="stable")[:COLUMNS].tolist():
+            pattern = sack.with_length(i, most)
             own, at = np.array(list(pattern.values())), np.array(list(pattern))
             step = STEP * float((need[at] / own).min())
             cover[at] += own * step / need[at]
@@ -108,35 +137,74 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, i
     return [entry for entries in room.values() for entry in entries]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """Patterns (length: count) and copies that hold exactly the pieces of the histogram."""
-    lengths = np.array(sorted(histogram), np.int64)
-    left = np.array([histogram[x] for x in lengths.tolist()], np.int64)
-    if not len(lengths):
-        return []
-    out: Counter = Counter()
+def whole_copies(lengths: np.ndarray, need: np.ndarray, base: np.ndarray, least: float, capacity: int, fractional: bool) -> tuple[list[tuple[tuple, int]], list[int], bool]:
+    """Patterns worth ``least`` and their copies, what is left of each length, and whether rounding down gave any."""
+    stock, worth, out = need.tolist(), base.tolist(), []
 
-    def take(pattern: dict[int, int], most: int) -> None:
-        copies = min(most, *(int(left[i] // k) for i, k in pattern.items()))
+    def take(pattern, most: int) -> int:
+        copies = min(most, *(stock[i] // k for i, k in pattern))
         if copies > 0:
-            for i, k in pattern.items():
-                left[i] -= copies * k
-            out[tuple(sorted(pattern.items()))] += copies
+            for i, k in pattern:
+                stock[i] -= copies * k
+            out.append((tuple(pattern), copies))
+        return max(copies, 0)
 
-    for _ in range(PASSES):
+    value = lambda pattern: sum(worth[i] * k for i, k in pattern)
+    floors = 0
+    if fractional:
+        amounts = sorted(((p, x) for p, x in multiplicative_weights(lengths, need, base, capacity).items() if value(p) >= least), key=lambda item: (-item[1], item[0]))
+        for p, x in amounts:
+            floors += take(p, int(x))
+        for p, x in sorted(amounts, key=lambda item: (item[1] // 1 - item[1], item[0])):
+            if x % 1:
+                take(p, 1)
+    for _ in range(WHOLE):
+        before, held = len(out), np.array(stock)
+        if not held.any():
+            break
+        cover = 1 - held / need
+        sack = Knapsack(lengths, _weighed(base, cover) * (held > 0), capacity)
+        for i in np.lexsort((-lengths, cover)).tolist():
+            if stock[i]:
+                pattern = sorted(sack.with_length(i, stock).items())
+                if value(pattern) >= least:
+                    take(pattern, max(1, int(STEP * min(stock[j] // k for j, k in pattern))))
+        if len(out) == before:
+            break
+    return out, stock, floors > 0
+
+
+def plan_parts(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[dict[int, int], int]], list[tuple[dict[int, int], int]]]:
+    """Patterns (length: count) and copies, first those of the program, then best-fit's of what it left."""
+    lengths = np.array(sorted(histogram), np.int64)
+    left = np.array([histogram[x] for x in lengths.tolist()], np.int64)
+    placed: list[tuple[dict[int, int], int]] = []
+    best = (placed, best_fit(histogram, capacity))
+    used, fractional = sum(c for _, c in best[1]), True
+    for k in range(PASSES):
         some = np.flatnonzero(left)
-        if left.sum() <= REST * len(some):
+        if not len(some):
             break
-        before = left.sum()
         own = lengths[some]
-        for p, x in sorted(multiplicative_weights(own, left[some], capacity).items(), key=lambda item: (-item[1], item[0])):
-            # what a pattern wastes is better used by pieces that are left
-            if capacity - sum(int(own[i]) * k for i, k in p) <= WASTE * capacity:
-                take({int(some[i]): k for i, k in p}, int(x))
-        if before - left.sum() < before // 20:
-            break
-    rest = {int(x): int(n) for x, n in zip(lengths, left, strict=True) if n}
-    return [({int(lengths[i]): k for i, k in p}, c) for p, c in out.items()] + best_fit(rest, capacity)
+        base, _ = first_prices(own, left[some], capacity)
+        least = (1 - SLACK * (2**k - 1) - 1e-9) * Knapsack(own, base, capacity).best
+        found, stock, fractional = whole_copies(own, left[some], base, least, capacity, fractional)
+        if not found:
+            continue
+        left[some] = stock
+        placed = placed + [({int(own[i]): n for i, n in p}, c) for p, c in found]
+        rest = best_fit({int(x): int(n) for x, n in zip(lengths, left, strict=True) if n}, capacity)
+        total = sum(c for _, c in placed) + sum(c for _, c in rest)
+        # of equal totals the program's larger part
+        if total <= used:
+            best, used = (placed, rest), total
+    return best
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """Patterns (length: count) and copies that hold exactly the pieces of the histogram."""
+    placed, rest = plan_parts(histogram, capacity)
+    return placed + rest
 
 
 def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
