@@ -61,6 +61,16 @@ CLASS_WORDS = set(
     "footer footers masthead topbar share sharing social related recommended recommendations newsletter subscribe subscription signup signin login "
     "comment comments commentlist disqus respond reply replies pagination pager toolbar hidden paywall search form".split()
 )
+#: Words that may follow such a word in a name, as in ``sidebar-left``, and words before it that make it a state, as in ``no-sidebar``.
+TAIL_WORDS = set(
+    "area bar block bottom box btn button buttons container content form group heading icons inner item items left line link links list message outer "
+    "panel posts primary right row secondary section slot text title top unit wrap wrapper zone".split()
+)
+STATE_WORDS = set("no not has have with without hide hides show shows is can enable disable allow".split())
+#: Names of reader comments, which go however long they are.
+COMMENT_WORDS = set("comment comments commentlist disqus respond reply replies".split())
+#: An element with at least this share of the text around it is no advert, menu or form by its name.
+MOST = 0.5
 #: An end of an element that a start tag implies: tag: (tags it ends, tags at which the search stops).
 _P_ENDS = BLOCK - {"html", "body", "caption", "dd", "dt", "legend", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "figcaption", "summary"}
 _LISTS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "option": ({"option"}, {"select"}),
@@ -136,14 +146,26 @@ def _closing(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
 
 
+def _names(token: str) -> str:
+    """The word that says what a class or id names: the last one but for TAIL_WORDS and numbers; none for a state."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not words or words[0] in STATE_WORDS:
+        return ""
+    # body text of a named part ("social-text") is told by its size
+    while len(words) > 1 and (words[-1] in TAIL_WORDS and words[-1] not in CLASS_WORDS or words[-1].isdigit()):
+        words.pop()
+    return words[-1]
+
+
 @lru_cache(maxsize=20_000)
-def marks(attributes: str) -> tuple[frozenset, str, bool]:
-    """Words of class and id, the role, and whether the element is hidden."""
+def marks(attributes: str) -> tuple[frozenset, str, bool, frozenset]:
+    """Words of class and id, the role, whether the element is hidden, and what its classes and id name."""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
-    words = frozenset(w.lower() for w in _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}"))
+    names = f"{found.get('class', '')} {found.get('id', '')}"
+    words = frozenset(w.lower() for w in _WORD.findall(names))
     style = found.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
-    return words, found.get("role", "").lower(), hidden
+    return words, found.get("role", "").lower(), hidden, frozenset(_names(t) for t in names.split())
 
 
 def _finish(node: Node) -> None:
@@ -171,22 +193,38 @@ def _finish(node: Node) -> None:
         x.hash = int.from_bytes(digest.digest(), "big") & ~1 | (x.tag in TEXT_BLOCK)
 
 
-def unwanted(node: Node, in_article: bool) -> bool:
-    if node.tag in NEVER or (node.tag == "header" and not in_article):
+def unwanted(node: Node, in_article: bool, around: int, prose: bool = False) -> bool:
+    """Whether tag, role or names say that an element is no article; ``around`` is the size of the text that it is part of.
+
+    Names, roles and forms say nothing of an element with most of that text, unless it
+    is mostly links, and names nothing of an inline element inside a sentence (``prose``).
+    """
+    most = node.size >= MOST * around and node.linked < LINKED * node.size
+    inline = prose and node.tag not in BLOCK
+    if node.tag in NEVER and not (node.tag in ("form", "fieldset") and most) or (node.tag == "header" and not in_article):
         return True
     if node.attributes and node.tag not in ("html", "body", "main"):
-        words, role, hidden = marks(node.attributes)
-        return hidden or role in ROLES or bool(words & CLASS_WORDS) or ("header" in words and not in_article and node.tag != "article")
+        _, role, hidden, names = marks(node.attributes)
+        if hidden or not names.isdisjoint(COMMENT_WORDS) and not inline:
+            return True
+        if most or inline:
+            return False
+        return role in ROLES or not names.isdisjoint(CLASS_WORDS) or ("header" in names and not in_article and node.tag != "article")
     return False
 
 
+def has_text(node: Node) -> bool:
+    """Whether an element holds text of its own, so that inline elements in it are parts of sentences."""
+    return any(isinstance(c, str) and not c.isspace() for c in node.children)
+
+
 def articles(page: Node, gone: frozenset = frozenset()) -> dict[str, list[Node]]:
     """Articles and mains that aren't deleted and stand in no other article."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     todo = [(page, False)]
     while todo:
         x, inside = todo.pop()
-        if x is not page and (x.hash in gone and x.tag in BLOCK and not inside or unwanted(x, inside)):
+        if x is not page and (x.hash in gone and x.tag in BLOCK and not inside or unwanted(x, inside, page.size)):
             continue
         role = marks(x.attributes)[1] if x.attributes else ""
         kind = "article" if x.tag == "article" or role == "article" else "main" if x.tag == "main" or role == "main" else ""
@@ -275,24 +313,26 @@ def blocks(page: Node, gone: frozenset) -> list[str]:
             out.append(text)
         held.clear()
 
-    todo: list = [(root, root.tag == "article")]
+    todo: list = [(root, root.tag == "article", False)]
     while todo:
-        x, inside = todo.pop()
+        x, inside, prose = todo.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
             held.append(x)
-        elif x is not root and (id(x) in away or (x.hash in gone and x.tag in BLOCK and not (root is not page and x.content)) or unwanted(x, inside)):
+        elif x is not root and (id(x) in away or (x.hash in gone and x.tag in BLOCK and not (root is not page and x.content)) or unwanted(x, inside, root.size, prose)):
             if x.tag in BLOCK:
                 flush()
         elif x.tag == "br":
             held.append(" ")
         else:
             inside = inside or x.tag == "article"
-            own = [(c, inside) for c in reversed(x.children)]
+            # what stands in an inline element of a sentence is part of that sentence
+            prose = has_text(x) or prose and x.tag not in BLOCK
+            own = [(c, inside, prose) for c in reversed(x.children)]
             if x.tag in BLOCK:
                 flush()
-                own.insert(0, (None, inside))
+                own.insert(0, (None, inside, False))
             todo += own
     flush()
     return out

@@ -18,6 +18,33 @@ def test_layout():
     assert htmltext.main_text("<script>var t='</p>'; if (a<b) x()</script><p>ok</p><style>p{}") == "ok"
 
 
+BODY = "<h1>Head</h1><p>" + "Words of the article. " * 20 + "</p><p>More of it, at some length.</p>"
+SAYS = "Head\n\n" + ("Words of the article. " * 20).strip() + "\n\nMore of it, at some length."
+NAMED = [
+    "<article class='post share-enabled'>{}</article>", "<div class='content no-sidebar'>{}</div>", "<div class='entry comment-status-open'>{}</div>", "<div id='main-menu-page'><article>{}</article></div>",
+    "<div class='social-text'>{}</div>", "<article><div class='social-text'>{}</div></article>", "<form id='aspnet'><div>{}</div></form>", "<form><article>{}</article></form>", "<div class='has-ads'><main>{}</main></div>",
+    "<div class='search'><article>{}</article></div>", "<div role='dialog'>{}</div>", "<form><fieldset>{}</fieldset></form>",
+]
+
+
+def test_names_do_not_delete_the_article():
+    other = "<div class='site-footer'>foot</div><div id='cookie-banner'>We use cookies</div><ul class='nav-links'><li>Home</li></ul><div class='sidebar-left'>side</div><form>Mail <input></form>"
+    for layout in NAMED:
+        assert htmltext.main_text(f"<body>{other}{layout.format(BODY)}{other}</body>") == SAYS, layout
+    for name in ("related-posts", "share-buttons", "comments-area", "adSlot2", "newsletter-box"):
+        assert htmltext.main_text(f"<article>{BODY}<div class='{name}'>x y z</div></article>") == SAYS, name
+    # a menu is mostly links, however long it is
+    menu = "".join(f"<li><a>Entry {k} of a long menu</a></li>" for k in range(200))
+    assert htmltext.main_text(f"<body><div class='nav'><ul>{menu}</ul></div><div>{BODY}</div></body>") == SAYS
+    # reader comments go however long they are
+    assert htmltext.main_text(f"<article>{BODY}<section id='comments'>{'<p>So do I.</p>' * 500}</section></article>") == SAYS
+
+
+def test_inline_elements_in_sentences_stay():
+    assert htmltext.main_text("<article><p>We look for <span class='search'>gold <b class='share'>here</b></span> today.</p><p><a class='share'>Share</a></p></article>") == "We look for gold here today."
+    assert htmltext.main_text("<article><p>Seen <span hidden>not </span>here.</p></article>") == "Seen here."
+
+
 def test_deep_and_long():
     assert htmltext.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert htmltext.main_text("<p>" + "word " * 200_000) == ("word " * 200_000).strip()
