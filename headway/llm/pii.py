@@ -10,7 +10,8 @@ of mixed radix.  The permutation depends on the key and the kind only.
 What decides on a value's validity (a phone number's plan, a check digit) is a class
 that its pseudonym shares, so unlike values get unlike pseudonyms.  Dates are read
 with English, German, French and Spanish names of months; a date with slashes is
-month first where it can be, and is written so.  Two writings of one date, or of one
+month first where it can be.  Its pseudonym keeps the order, and days over 12 stay
+over 12, so that it is read as it was written.  Two writings of one date, or of one
 number with other separators, are one value.
 
 The key is the caller's; there is none in the source.
@@ -195,10 +196,11 @@ class Pseudonyms:
         else:
             a, b, y = map(int, numbers)
             sep, wide = value[len(numbers[0])], len(numbers[0]) == 2 and len(numbers[1]) == 2
-            # with slashes the month comes first where it can
-            d, m = (b, a) if sep == "/" and a <= 12 else (a, b)
+            # with slashes the month comes first where it can, in the pseudonym as in the value
+            month_first = sep == "/" and a <= 12
+            d, m = (b, a) if month_first else (a, b)
             pad = (lambda x: f"{x:02d}") if wide else str
-            write = lambda t: sep.join([*((pad(t.month), pad(t.day)) if sep == "/" else (pad(t.day), pad(t.month))), str(t.year)])
+            write = lambda t: sep.join([*((pad(t.month), pad(t.day)) if month_first else (pad(t.day), pad(t.month))), str(t.year)])
         try:
             day = date(y, m, d)
         except ValueError:
@@ -206,7 +208,9 @@ class Pseudonyms:
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
         span = (LAST_DAY - FIRST_DAY).days + 1
-        return write(FIRST_DAY + timedelta(self.feistel.permute("date", span, (day - FIRST_DAY).days, self.back)))
+        # days over 12 stay so, as they tell the order of a writing with slashes
+        late = lambda x: ((FIRST_DAY + timedelta(x)).day > 12) == (day.day > 12)
+        return write(FIRST_DAY + timedelta(self.feistel.permute("date", span, (day - FIRST_DAY).days, self.back, late)))
 
     def _ssn(self, value: str) -> str | None:
         valid = lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"

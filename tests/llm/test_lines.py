@@ -292,3 +292,23 @@ def test_ibans_of_all_check_digits():
         assert back.of("iban", told) == next(x for x in valid if 2 <= int(x[2:4]) <= 98)
         seen.add(told)
     assert len(seen) == 400
+
+
+def test_dates_keep_the_order_of_their_writing():
+    import datetime
+
+    there, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, back=True)
+    days = [datetime.date(1950, 1, 1) + datetime.timedelta(13 * k) for k in range(1500)]
+    seen = {}
+    for t in days:
+        writings = [t.isoformat(), f"{t.month:02d}/{t.day:02d}/{t.year}", f"{t.day}.{t.month}.{t.year}", *([f"{t.day}/{t.month:02d}/{t.year}"] if t.day > 12 else [])]
+        new = [there.of("date", w) for w in writings]
+        y, m, d = map(int, new[0].split("-"))
+        assert new[1] == f"{m:02d}/{d:02d}/{y}" and new[2].split(".") == ([f"{d:02d}", f"{m:02d}", str(y)] if t.day > 9 and t.month > 9 else [str(d), str(m), str(y)])
+        assert (d > 12) == (t.day > 12)
+        if t.day > 12:
+            assert list(map(int, new[3].split("/"))) == [d, m, y]
+        for w, x in zip(writings, new, strict=True):
+            assert seen.setdefault(x, w) == w
+        # writings without zeros may gain a digit, no more
+        assert [back.of("date", x) for x in new[:2]] == writings[:2]
