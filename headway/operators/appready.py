@@ -43,10 +43,11 @@ NAME_FAULTS = ["format_mismatches", "duplicate_city", "city_codes", "city_qualif
 # --- end of fixed values ---
 
 
-def measured(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, int]]:
+def measured(tables: dict[str, DataFrame], weights: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """The tables, written, and the COUNTERS observed on the way: one job and one pass a table.
 
-    A column that a table lacks counts nothing, as does a table that is absent.
+    A column that a table lacks counts nothing, as does a table that is absent.  Of a table
+    in ``weights`` each row counts as often as the column named there says.
     """
     out, found = {}, {}
     for name, df in tables.items():
@@ -54,6 +55,8 @@ def measured(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[s
         if not wanted:
             out[name] = df
             continue
+        each = F.col(weights[name]) if name in (weights or {}) else None
+        count = lambda test: F.count_if(test) if each is None else F.coalesce(F.sum(F.when(test, each)), F.lit(0).cast("long"))  # noqa: B023, E731
         # expressions over columns that are absent can't be analysed
         tests = {}
         for k, test in wanted.items():
@@ -64,9 +67,9 @@ def measured(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[s
                     raise
                 found[k] = 0
             else:
-                tests[k] = F.count_if(F.expr(test)).alias(k)
+                tests[k] = count(F.expr(test)).alias(k)
         seen = Observation(name)
-        out[name] = graph.written(df.observe(seen, F.count("*").alias("_rows"), *tests.values()))
+        out[name] = graph.written(df.observe(seen, count(F.lit(True)).alias("_rows"), *tests.values()))
         found |= {k: v for k, v in seen.get.items() if k != "_rows"} | {f"rows of {name}": seen.get["_rows"]}
     return out, found
 

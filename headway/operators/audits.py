@@ -63,7 +63,10 @@ def service_day_model(summary: DataFrame, calendar: DataFrame, dates: DataFrame,
 
 
 def transfer_audit(stops: DataFrame, transfers: DataFrame, edges: DataFrame, paths: DataFrame) -> DataFrame:
-    """Counters over transfers, edges and footpaths, and whether nothing but proven ways is traversable."""
+    """Counters over transfers, edges and footpaths, and whether nothing but proven ways is traversable.
+
+    ``paths``: ``derive.footpaths``, or ``derive.footpath_places``, whose ``pairs`` say how many footpaths a row stands for.
+    """
     scoped = F.lit(False)
     for k in ("from_route_id", "to_route_id", "from_trip_id", "to_trip_id", "service_id"):
         if k in transfers.columns:
@@ -76,8 +79,10 @@ def transfer_audit(stops: DataFrame, transfers: DataFrame, edges: DataFrame, pat
         F.count_if(walk & (F.col("edge_kind") == "NEARBY_AREA_CANDIDATE")).alias("traversable_nearby"), F.count_if(walk & (F.col("edge_kind") == "AREA_MEMBERSHIP_CANDIDATE")).alias("traversable_membership"),
     )
     d, s = F.col("distance_meters"), F.col("min_transfer_seconds")
+    each = F.col("pairs") if "pairs" in paths.columns else F.lit(1).cast("long")
+    count = lambda test: F.coalesce(F.sum(F.when(test, each)), F.lit(0).cast("long"))
     of_paths = paths.agg(
-        F.count("*").alias("footpaths"), F.count_if(walk).alias("traversable_footpaths"), F.count_if(~walk).alias("unknown_footpaths"), F.count_if(walk & (d > 400)).alias("too_far"), F.count_if(walk & (s.isNull() | (s < 120))).alias("too_fast"),
+        count(F.lit(True)).alias("footpaths"), count(walk).alias("traversable_footpaths"), count(~walk).alias("unknown_footpaths"), count(walk & (d > 400)).alias("too_far"), count(walk & (s.isNull() | (s < 120))).alias("too_fast"),
         F.count_distinct(F.when(d > 400, F.col("area_id"))).alias("oversized_areas"), F.count_distinct(F.when(d > 700, F.col("area_id"))).alias("extreme_areas"), F.max(d).alias("longest"),
     )
     several = derive.stop_area_members(derive.boarding_stops(stops)).groupBy("area_id").agg(F.count_distinct("stop_id").alias("n")).filter("n > 1")
