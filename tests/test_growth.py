@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from headway.operators import audits, derive, graph, links
+from headway.operators import audits, derive, familyrouting, graph, links
 
 STOPS = "stop_id string, stop_code string, stop_name string, stop_lat double, stop_lon double, parent_station string, location_type int"
 
@@ -54,3 +54,23 @@ def test_links_of_a_shared_code(spark, crowded):
     stations = spark.createDataFrame([("1", None, "c0", "x", None, None), ("2", None, "c1", "x", None, None), ("3", None, None, "Gleis 1", 51.503, 7.5001), ("4", None, None, "x", 51.506, 7.5), ("5", None, None, "x", 51.503, 7.5001)], "station_id string, global_id string, code string, name string, lat double, lon double")
     got = sorted(tuple(r) for r in links.station_links(stations, crowded.union(lone)).collect())
     assert got == [("1", "P", "EXACT_STOP_CODE"), ("4", "P", "COORDINATE_UNIQUE")]
+
+
+def test_rides_of_a_busy_station(spark, monkeypatch):
+    """Of a station's rides only those count that none later overtakes; searches and rides are dealt to parts, in steps."""
+    monkeypatch.setattr(familyrouting, "TASK_ROWS", 40)
+    monkeypatch.setattr(familyrouting, "STEP_MEETINGS", 16)
+    calls = [(f"T{k}", area, seq, at, at) for k in range(400) for seq, area, at in ((1, "N", 100 + k % 80), (2, f"S{k % 5}", 100 + k % 80 + 7 * (k % 11)))]
+    starts = [(f"H{k}", "N", 100 + k * 3) for k in range(30)]
+    rides = spark.createDataFrame(calls, "trip_id string, area_id string, stop_sequence int, arrival_seconds int, departure_seconds int")
+    way = graph.written(familyrouting.useful_rides(rides, 100, 500))
+    assert way.select("to_area", "leaves").distinct().count() < 200
+    got = familyrouting.ridden(spark.createDataFrame(starts, "start string, area_id string, ready int"), way)
+    best = {}
+    for start, _, ready in starts:
+        for k in range(400):
+            leaves = 100 + k % 80
+            if leaves >= ready:
+                at = leaves + 7 * (k % 11)
+                best[start, f"S{k % 5}"] = min(best.get((start, f"S{k % 5}"), at), at)
+    assert {(r.start, r.area_id): r.at for r in got.collect()} == best
