@@ -74,3 +74,15 @@ def test_rides_of_a_busy_station(spark, monkeypatch):
                 at = leaves + 7 * (k % 11)
                 best[start, f"S{k % 5}"] = min(best.get((start, f"S{k % 5}"), at), at)
     assert {(r.start, r.area_id): r.at for r in got.collect()} == best
+
+
+def test_trips_of_an_area_are_dealt(spark, monkeypatch):
+    """Trips of one area and route are counted in as many tasks as their calls need; calls of one trip there count once."""
+    monkeypatch.setattr(derive, "TASK_CALLS", 100)
+    calls = spark.range(400).selectExpr("concat('T', id) AS trip_id", "explode(array('a', 'a', 'b')) AS stop_id")
+    trips = spark.range(400).selectExpr("concat('T', id) AS trip_id", "concat('R', id % 2) AS route_id")
+    members = spark.createDataFrame([("a", "N"), ("b", "N")], "stop_id string, area_id string")
+    routes = spark.createDataFrame([("R0", 3, "x", None), ("R1", 3, "y", None)], "route_id string, route_type int, route_short_name string, route_long_name string")
+    got = derive.area_routes(calls, members, trips, routes)
+    assert sorted((r.area_id, r.route_id, r.stop_time_count, r.trip_count) for r in got.collect()) == [("N", "R0", 600, 200), ("N", "R1", 600, 200)]
+    assert "RepartitionByExpression [trip_id" in got._jdf.queryExecution().optimizedPlan().toString()
