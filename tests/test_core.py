@@ -314,3 +314,11 @@ def test_transfer_scope_of_either_end(spark):
     df = spark.createDataFrame(table, "transfer_id int, " + ", ".join(f"{c} string" for c in columns[1:])).withColumn("transfer_type", F.lit(None).cast("int"))
     got = rows(derive.transfer_kinds(df), "transfer_id", "scope_type", "pedestrian_usable")
     assert got == [(1, "TRIP", 0), (2, "ROUTE", 0), (3, "STOP", 1), (4, "TRIP_SERVICE", 0), (5, "SERVICE", 0), (6, "ROUTE", 0)]
+
+
+def test_names_are_folded_once(spark):
+    """A filter on a search form doesn't fold the name again in a worker of its own."""
+    rows = spark.createDataFrame([("Ｗｅｉｔｅ Straße",), ("ﬁliale Mühle",), ("  ",), (None,), ("a",)], "name string").select(c.normalised(F.col("name")).alias("n")).filter("n <> ''")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(r.n for r in rows.collect()) == ["a", "filiale muehle", "weite strasse"]
