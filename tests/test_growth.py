@@ -86,3 +86,33 @@ def test_trips_of_an_area_are_dealt(spark, monkeypatch):
     got = derive.area_routes(calls, members, trips, routes)
     assert sorted((r.area_id, r.route_id, r.stop_time_count, r.trip_count) for r in got.collect()) == [("N", "R0", 600, 200), ("N", "R1", 600, 200)]
     assert "RepartitionByExpression [trip_id" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_changes_at_a_busy_station(spark, monkeypatch):
+    """Rides with a change are counted, up to the limit a place of change, in parts and steps; second rides are the soonest to each area."""
+    monkeypatch.setattr(familyrouting, "TASK_ROWS", 60)
+    monkeypatch.setattr(familyrouting, "STEP_MEETINGS", 16)
+    calls = [(f"T{k}", area, seq, at, at) for k in range(400) for seq, area, at in ((1, f"N{k % 2}", 1000 + 13 * k), (2, f"S{k % 23}", 1500 + 13 * k + 7 * (k % 11)))]
+    calls = spark.createDataFrame(calls, "trip_id string, area_id string, stop_sequence int, arrival_seconds int, departure_seconds int")
+    starts = [(f"A{k % 7}", 900, 1200, 6000, f"N{k % 2}", 1000 + 60 * k) for k in range(40)]
+    ends = [("S1", 0), ("S2", 240), ("S2", 0)]
+    ways = graph.written(familyrouting.onward_rides(calls, calls))
+    rides = [tuple(r) for r in ways.collect()]
+    assert len(rides) == 400
+    want = {}
+    for *search, via, at in starts:
+        for b, walk in ends:
+            last = min(at + familyrouting.ONE_WAIT, search[3] - walk)
+            n = sum(r[0] == via and r[1] == b and at + 180 <= r[3] <= last for r in rides)
+            key = (*search, b, walk)
+            want[key] = want.get(key, 0) + (min(n, familyrouting.ONE_LIMIT) if last > at + 180 else 0)
+    frame = spark.createDataFrame(starts, "a string, low int, to_seconds int, latest int, via string, a_at int")
+    got = familyrouting.changes_counted(frame, ways, spark.createDataFrame(ends, "b string, walk int"))
+    assert {tuple(r)[:6]: r.n for r in got.collect()} == {k: n for k, n in want.items() if n}
+    got = familyrouting.second_rides(frame.select("via", "a_at", "latest"), calls, calls).collect()
+    for _, _, _, latest, via, at in starts:
+        first = {}
+        for r in sorted((r for r in rides if r[0] == via and at + 180 <= r[3] <= min(at + familyrouting.TWO_WAIT, latest)), key=lambda r: (r[4], r[3], r[2])):
+            first.setdefault(r[1], (r[2], r[3], r[4]))
+        soonest = sorted(first.items(), key=lambda x: (x[1][2], x[1][1], x[1][0], x[0]))[: familyrouting.TWO_SECOND]
+        assert {(r.second_via, r.b_trip, r.b_leaves, r.b_at) for r in got if (r.via, r.a_at) == (via, at)} == {(area, *x) for area, x in soonest}
