@@ -100,3 +100,20 @@ def test_empty(spark):
 
 def test_a_call_counts_once():
     assert shared_calls([("A", 0, 0), ("A", 10, 10)], [("A", 5, 5)]) == 1
+
+
+def test_trips_are_made_once(spark):
+    """The trips' own plan runs once, however often their buckets are looked at."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    kind = "source_id string, source_priority int, trip_id string, signature string, mode string, line_key string, journey_key string, calls array<struct<stop_key:string,arrival:int,departure:int>>"
+    rows = [(s, k, f"{s}::{n}", "sig", "3", "l", n, [(x, t, t) for x, t in (("p", 100), ("q", 200), ("r", 300))[: 3 - k]]) for k, s in enumerate("AB") for n in "12"]
+    trips = spark.createDataFrame(rows, kind).mapInArrow(seen, kind)
+    got = fusion.fuse_trips(trips).select("trip_id", "decision").collect()
+    assert sorted(map(tuple, got)) == [("B::1", "SUBSET_SUPPRESSED"), ("B::2", "SUBSET_SUPPRESSED")]
+    assert made.value == len(rows)
