@@ -1,14 +1,16 @@
 """A data source of a feed's lines, read by executors straight from a ZIP or a folder.
 
 The driver looks at the archive's directory only.  A deflated member is one stream and
-one task; stored members and plain files are cut into byte ranges, which begin behind the
-first line end inside them and run to the first behind their end.  Lines carry their
-place: the range's number and the line's in it, so that order is the file's.  Paths may
+one task, unless the archive has an index of its blocks, as those of ``zipsink`` do: then
+it is cut between blocks.  Stored members and plain files are cut into byte ranges, which
+begin behind the first line end inside them and run to the first behind their end.  Lines
+carry their place: the range's number and the line's in it, so that order is the file's.  Paths may
 have any scheme that pyarrow's file systems open.
 """
 
 from __future__ import annotations
 
+import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -20,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Bytes of a range, of a read, and about of a batch of lines.
-RANGE, CHUNK = 64 << 20, 1 << 20
+RANGE, CHUNK = 16 << 20, 1 << 20
 BOM = "\ufeff"
 LOCAL_HEADER = 30
+#: An index of a member's blocks: the extra field that tells where it is and how long, what it begins with, and a block in it (its length, deflated and not, and its checksum).
+INDEX_FIELD, INDEX_MARK, INDEX_BLOCK = 0x6862, b"headway blocks 1", struct.Struct("<QQI")
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -35,9 +39,27 @@ def member_name(name: str) -> str | None:
     return base[:-4] if base.endswith(".txt") else None
 
 
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials modulo that of the checksum, the highest bit the constant."""
+    out, bit = 0, 1 << 31
+    while bit:
+        if a & bit:
+            out ^= b
+        bit, b = bit >> 1, b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def joined_crc(a: int, b: int, n: int) -> int:
+    """The checksum of two pieces behind each other, the second of ``n`` bytes: the first's moved by as many zeros, in as many steps as the number has bits."""
+    step = 1 << 23
+    while n > 0:
+        a, step, n = _times(a, step) if n & 1 else a, _times(step, step), n >> 1
+    return a ^ b
+
+
 @dataclass
 class Member(InputPartition):
-    """Bytes ``start`` to ``stop`` of a file that hold a member, or range ``part`` of one from ``first``; ``crc`` of the whole for a deflated one."""
+    """Bytes ``start`` to ``stop`` of a file that hold a member, or range ``part`` of one from ``first``; ``crc`` of what it inflates to for a deflated one, and the blocks of one with an index."""
 
     path: str
     start: int
@@ -45,6 +67,40 @@ class Member(InputPartition):
     first: int = 0
     part: int = 0
     crc: int | None = None
+    blocks: tuple[tuple[int, int, int], ...] = ()
+
+
+def index(blocks: list[tuple[int, int, int]]) -> bytes:
+    """The index of a member's blocks (size, packed, crc), with its own checksum at the end."""
+    data = INDEX_MARK + b"".join(INDEX_BLOCK.pack(packed, size, crc) for size, packed, crc in blocks)
+    return data + struct.pack("<I", zlib.crc32(data))
+
+
+def indexed(f, info: zipfile.ZipInfo) -> tuple[tuple[int, int, int], ...]:
+    """The blocks (size, packed, crc) that a member's index names; none if it has no index, or one that isn't of this very member."""
+    extra = info.extra
+    while len(extra) >= 4:
+        field, length = struct.unpack_from("<HH", extra)
+        if field == INDEX_FIELD and length == 16 and len(extra) >= 20:
+            at, size = struct.unpack_from("<QQ", extra, 4)
+            break
+        extra = extra[4 + length :]
+    else:
+        return ()
+    end = f.seek(0, 2)
+    if at + size > end or size < len(INDEX_MARK) + 4:
+        return ()
+    f.seek(at)
+    data = f.read(size)
+    body = data[len(INDEX_MARK) : -4]
+    if not data.startswith(INDEX_MARK) or zlib.crc32(data[:-4]) != int.from_bytes(data[-4:], "little") or len(body) % INDEX_BLOCK.size:
+        return ()
+    found = tuple((size, packed, crc) for packed, size, crc in INDEX_BLOCK.iter_unpack(body))
+    whole = 0
+    for size, _, crc in found:
+        whole = joined_crc(whole, crc, size)
+    told = sum(b[0] for b in found), sum(b[1] for b in found), whole
+    return found if told[0] == info.file_size and told[1] <= info.compress_size and told[2] == info.CRC else ()
 
 
 def members(path: str) -> dict[str, Member]:
@@ -74,11 +130,20 @@ def members(path: str) -> dict[str, Member]:
             f.seek(info.header_offset)
             local = f.read(LOCAL_HEADER)
             start = info.header_offset + LOCAL_HEADER + int.from_bytes(local[26:28], "little") + int.from_bytes(local[28:30], "little")
-            out[name] = Member(path, start, start + info.compress_size, start, 0, info.CRC if info.compress_type else None)
+            out[name] = Member(path, start, start + info.compress_size, start, 0, info.CRC if info.compress_type else None, indexed(f, info) if info.compress_type else ())
     return out
 
 
 def ranges(member: Member, size: int = RANGE) -> list[Member]:
+    """A member in parts of about ``size`` bytes of text."""
+    if member.blocks:
+        out, at, begin, crc, held = [], member.start, member.start, 0, 0
+        for k, (more, packed, of_more) in enumerate(member.blocks):
+            at, crc, held = at + packed, joined_crc(crc, of_more, more), held + more
+            if held >= size or k == len(member.blocks) - 1:
+                out.append(Member(member.path, begin, at, member.start, len(out), crc))
+                begin, crc, held = at, 0, 0
+        return out
     if member.crc is not None or member.stop - member.start <= size:
         return [Member(member.path, member.start, member.stop, member.start, 0, member.crc)]
     starts = range(member.start, member.stop, size)

@@ -12,13 +12,16 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph
 from . import feedsource
+from .feedsource import joined_crc
 
 #: Bytes of a block, about.
 BLOCK = 4 << 20
@@ -26,17 +29,6 @@ BLOCK = 4 << 20
 END = b"\x03\x00"
 #: What stands for a number that needs 64 bits, and from where numbers do.
 LONG = LIMIT = 0xFFFFFFFF
-_ZEROS = bytes(1 << 20)
-
-
-def joined_crc(a: int, b: int, n: int) -> int:
-    """The checksum of two pieces behind each other, the second of ``n`` bytes: zeros in its place, and what the second changes of them."""
-    none = 0
-    while n > 0:
-        zeros = _ZEROS[:n]
-        a, none = zlib.crc32(zeros, a), zlib.crc32(zeros, none)
-        n -= len(zeros)
-    return a ^ none ^ b
 
 
 def deflated(data: bytes) -> bytes:
@@ -58,9 +50,14 @@ def blocks(lines: DataFrame, pack: bool) -> DataFrame:
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "data": out, "size": len(data), "crc": zlib.crc32(data)}], schema=schema)
 
         for batch in batches:
-            for line in batch.column("value").to_pylist():
-                held.append(line.encode() + b"\n")
-                size += len(held[-1])
+            some, at = batch.column("value"), 0
+            ends = np.cumsum(pc.binary_length(some).to_numpy().astype("int64") + 1)
+            while at < len(some):
+                before = ends[at - 1] if at else 0
+                # up to the line that fills the block
+                stop = min(int(np.searchsorted(ends, before + BLOCK - size)) + 1, len(some))
+                held.append(pc.binary_join(pa.ListArray.from_arrays([0, stop - at], some[at:stop]), "\n")[0].as_buffer().to_pybytes() + b"\n")
+                size, at = size + int(ends[stop - 1] - before), stop
                 if size >= BLOCK:
                     yield row()
                     held, size, block = [], 0, block + 1
@@ -82,19 +79,22 @@ def local_header(name: bytes, crc: int, size: int, packed: int) -> bytes:
     return struct.pack("<4s5H3I2H", b"PK\x03\x04", 45 if wide else 20, 0x800, 8, 0, 33, crc, *lengths, len(name), len(wide)) + name + wide
 
 
-def directory(entries: list[tuple[bytes, int, int, int, int]], start: int) -> bytes:
-    """The central directory of (name, crc, size, packed, offset), which begins at ``start``, and its end."""
-    out = b""
-    for name, crc, *numbers in entries:
+def directory(entries: list[tuple[bytes, int, int, int, int]], indexes: list[bytes], start: int) -> bytes:
+    """Indexes of blocks, which begin at ``start``, the central directory of (name, crc, size, packed, offset), which tells where they are, and its end."""
+    out, at = b"", start
+    start += sum(map(len, indexes))
+    for (name, crc, *numbers), own in zip(entries, indexes, strict=True):
         size, packed, offset = numbers
         long = [x for x in numbers if x >= LIMIT]
         wide = struct.pack(f"<HH{len(long)}Q", 1, 8 * len(long), *long) if long else b""
         version = 45 if wide else 20
+        wide += struct.pack("<HHQQ", feedsource.INDEX_FIELD, 16, at, len(own))
+        at += len(own)
         out += struct.pack("<4s6H3I5H2I", b"PK\x01\x02", version, version, 0x800, 8, 0, 33, crc, _short(packed), _short(size), len(name), len(wide), 0, 0, 0, 0, _short(offset)) + name + wide
     n, size = len(entries), len(out)
     if start >= LIMIT:
         out += struct.pack("<4sQ2H2I4Q", b"PK\x06\x06", 44, 45, 45, 0, 0, n, n, size, start) + struct.pack("<4sIQI", b"PK\x06\x07", 0, start + size, 1)
-    return out + struct.pack("<4s4H2IH", b"PK\x05\x06", 0, 0, n, n, size, _short(start), 0)
+    return b"".join(indexes) + out + struct.pack("<4s4H2IH", b"PK\x05\x06", 0, 0, n, n, size, _short(start), 0)
 
 
 def _write(path: str, heads: dict[int, bytes], rows: DataFrame, tail: bytes) -> None:
@@ -121,7 +121,11 @@ def _write(path: str, heads: dict[int, bytes], rows: DataFrame, tail: bytes) ->
 
 
 def write(path: str, members: dict[str, tuple[str, DataFrame]]) -> None:
-    """A ZIP of members: their first line and the lines behind it (value), in order of partitions."""
+    """A ZIP of members: their first line and the lines behind it (value), in order of partitions.
+
+    An index of each member's blocks stands before the directory, where other programs
+    see nothing; by it ``feedsource`` reads a member in many tasks.
+    """
     if not members:
         raise ValueError("a ZIP has a member")
     rows = None
@@ -133,11 +137,12 @@ def write(path: str, members: dict[str, tuple[str, DataFrame]]) -> None:
     facts: dict[int, list] = {k: [] for k in range(len(members))}
     for r in rows.select("member", "part", "block", "size", "crc", F.octet_length("data").alias("packed")).orderBy("member", "part", "block").toLocalIterator():
         facts[r["member"]].append((r["size"], r["packed"], r["crc"]))
-    heads, entries, offset, before = {}, [], 0, b""
+    heads, entries, indexes, offset, before = {}, [], [], 0, b""
     for k, (name, (first, _)) in enumerate(members.items()):
         data = first.encode()
         packed_first = deflated(data)
         size, packed, crc = len(data), len(packed_first), zlib.crc32(data)
+        indexes.append(feedsource.index([(size, packed, crc), *facts[k]]))
         for more, packed_more, crc_more in facts[k]:
             size, packed, crc = size + more, packed + packed_more, joined_crc(crc, crc_more, more)
         packed += len(END)
@@ -146,7 +151,7 @@ def write(path: str, members: dict[str, tuple[str, DataFrame]]) -> None:
         entries.append((name.encode(), crc, size, packed, offset))
         offset += len(head) + packed
         before = END
-    _write(path, heads, rows, END + directory(entries, offset))
+    _write(path, heads, rows, END + directory(entries, indexes, offset))
 
 
 def write_plain(path: str, first: str, lines: DataFrame) -> None:

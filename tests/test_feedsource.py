@@ -93,6 +93,30 @@ def test_zip_by_executors(spark, tmp_path, monkeypatch, limit):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["out.zip"]
 
 
+def test_deflated_member_in_many_tasks(spark, tmp_path, monkeypatch):
+    """A member deflated by executors is read in ranges of its blocks, in order; without a fitting index it is one stream."""
+    monkeypatch.setattr(zipsink, "BLOCK", 5_000)
+    path = str(tmp_path / "out.zip")
+    gtfs.write_zip({"stops": spark.range(20_000).repartitionByRange(3, "id").selectExpr("id AS stop_id", "concat('ü', id) AS stop_name")}, path)
+    whole = feedsource.members(path)["stops"]
+    parts = feedsource.ranges(whole, 20_000)
+    assert 10 < len(parts) < 30 and [p.part for p in parts] == list(range(len(parts)))
+    assert all(a.stop == b.start for a, b in zip(parts, parts[1:], strict=False))
+    want_rows = ["stop_id,stop_name", *(f"{k},ü{k}" for k in range(20_000))]
+    got = feedsource.feed_lines(spark, path, "stops", 20_000)
+    assert got.rdd.getNumPartitions() == len(parts)
+    assert [r.value for r in got.orderBy("_row").collect()] == want_rows
+    assert sorted(r.ordinal for r in gtfs.numbered(gtfs.read_rows(spark, path, ["a", "b"], "stops"), "ordinal").collect()) == list(range(20_000))
+    with pytest.raises(ValueError, match="checksum"):
+        list(feedsource.chunks(feedsource.Member(path, parts[3].start, parts[4].stop, whole.start, 3, parts[3].crc)))
+    # a damaged index counts as none
+    data = (tmp_path / "out.zip").read_bytes()
+    at = data.index(feedsource.INDEX_MARK) + len(feedsource.INDEX_MARK)
+    (tmp_path / "out.zip").write_bytes(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
+    assert len(feedsource.ranges(feedsource.members(path)["stops"], 20_000)) == 1
+    assert read(spark, path, "stops") == want_rows
+
+
 def test_joined_checksums():
     a, b = bytes(range(256)) * 9000, b"second" * 7
     assert zipsink.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
