@@ -26,7 +26,7 @@ FLAGS = ["has_train", "has_rail_service", "has_subway", "has_tram", "bus_only",
 def candidates(areas: DataFrame, profiles: DataFrame) -> DataFrame:
     """Areas with their profiles and what decisions on them need; ``rank`` orders primaries."""
     own = profiles.select("area_id", *FLAGS, "search_priority_score", "route_count", "profile_class", "line_labels")
-    rows = areas.select("area_id", "area_name", "area_lat", "area_lon").join(own, "area_id")
+    rows = graph.spread(areas.select("area_id", "area_name", "area_lat", "area_lon").join(own, "area_id"))
     on = lambda x: F.col(x) == 1
     rail = on("has_rail_service")
     n = c.normalised(F.col("area_name"))
@@ -64,15 +64,37 @@ def outranks(a: str, b: str) -> Column:
     return on(a, "has_rail_service") & on(b, "has_rail_service") & ((on(a, "has_train") & ~on(b, "has_train")) | (F.col(f"{a}_search_priority_score") >= F.col(f"{b}_search_priority_score")))
 
 
-def merge_links(primaries: DataFrame) -> DataFrame:
-    """a, b and their distance of primaries near each other, where a comes first in rank and may take b in."""
-    near = derive.nearby_pairs(primaries, "area_id", "area_lat", "area_lon", WIDE_CELL, 1, GENERIC_METRES).select(F.col("from_id").alias("a_area_id"), F.col("to_id").alias("b_area_id"), "distance_meters")
-    met = near.join(_side(primaries, "a"), "a_area_id").join(_side(primaries, "b"), "b_area_id").filter(F.col("a_rank") < F.col("b_rank"))
-    may = (F.col("distance_meters") <= PRIMARY_METRES) | (_special("a", "b") & outranks("a", "b"))
-    return met.filter(same_place("a", "b") & F.col("a_signal") & F.col("b_signal") & may).select(F.col("a_area_id").alias("a"), F.col("b_area_id").alias("b"), "distance_meters")
+def merge_links(primaries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """By what a primary may take in those behind it in rank: close places, words by which areas there are of one place, and links of pairs for their special names.
 
-
-def settle(primaries: DataFrame, links: DataFrame) -> DataFrame:
+    Places (from_lat, from_lon, lat, lon, distance_meters) are within PRIMARY_METRES; a
+    word (area_id, lat, lon, word, told) is one that several areas share, "" that an area
+    is a main station, told its rank.  Two areas with a common word at close places are
+    linked; they aren't paired, as a crowd has as many pairs as the square of its areas.
+    Pairs (a, b, distance_meters) are those of equal plain names, and of a street's and a
+    plain one, within GENERIC_METRES.
+    """
+    own = graph.written(primaries.filter(F.col("signal") & F.col("area_lat").isNotNull() & F.col("area_lon").isNotNull()).select("area_id", "rank", *SIDE))
+    lat, lon = F.col("area_lat").alias("lat"), F.col("area_lon").alias("lon")
+    close = derive.nearby_places(own.select(lat, lon).distinct(), WIDE_CELL, 1, PRIMARY_METRES)
+    said = F.array_distinct(F.concat("words", F.when(F.col("main_station_signal") == 1, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))))
+    words = own.select("area_id", lat, lon, F.explode(said).alias("word"), F.col("rank").alias("told"))
+    words = words.join(words.groupBy("word").count().filter("count > 1").select("word"), "word", "left_semi").select("area_id", "lat", "lon", "word", "told")
+    cells = own.select("area_id", "base", lat, lon, "generic", "technical", c.cell(F.col("area_lat"), WIDE_CELL).alias("cy"), c.cell(F.col("area_lon"), WIDE_CELL).alias("cx"))
+    steps = F.sequence(F.lit(-1), F.lit(1))
+    spread = cells.withColumn("cy", F.explode(F.transform(steps, lambda d: F.col("cy") + d))).withColumn("cx", F.explode(F.transform(steps, lambda d: F.col("cx") + d)))
+    side = lambda df, tag, *keys: df.select(*keys, *[F.col(x).alias(f"{tag}_{x}") for x in ("area_id", "lat", "lon")])
+    equal = graph.block_join(*(side(df.filter("generic AND base <> ''"), tag, "base", "cy", "cx") for df, tag in ((spread, "x"), (cells, "y"))), ["base", "cy", "cx"]).drop("base")
+    street = graph.block_join(side(spread.filter("technical"), "x", "cy", "cx"), side(cells.filter("generic"), "y", "cy", "cx"), ["cy", "cx"])
+    apart = street.unionByName(equal).filter("x_area_id <> y_area_id").withColumn("distance_meters", c.metres(*[F.col(f"{t}_{x}") for t in "xy" for x in ("lat", "lon")])).filter(F.col("distance_meters") <= GENERIC_METRES)
+    pairs = graph.written(apart.select(F.least("x_area_id", "y_area_id").alias("x"), F.greatest("x_area_id", "y_area_id").alias("y"), "distance_meters").distinct())
+    both = pairs.select(F.col("x").alias("a_area_id"), F.col("y").alias("b_area_id"), "distance_meters").union(pairs.select("y", "x", "distance_meters"))
+    met = both.join(_side(own, "a"), "a_area_id").join(_side(own, "b"), "b_area_id").filter(F.col("a_rank") < F.col("b_rank"))
+    met = met.filter(same_place("a", "b") & _special("a", "b") & outranks("a", "b"))
+    return close, words, met.select(F.col("a_area_id").alias("a"), F.col("b_area_id").alias("b"), "distance_meters")
+
+
+def settle(primaries: DataFrame, links: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
     """head, area_id and distance_meters of primaries, as if each in order of rank joined a family before it or began one.
 
     A primary joins the nearest head that is linked to it (of two as near the first in
@@ -81,18 +103,28 @@ def settle(primaries: DataFrame, links: DataFrame) -> DataFrame:
     none before them: no linked one may still begin a family, and of its key a head comes
     before all that may.  The first in rank that may is always among them; all that are
     linked to a new head are members from then on, so a crowd takes two rounds, and only
-    a chain of links in order of rank takes as many as it is long.
+    a chain of links in order of rank takes as many as it is long.  Primaries meet only
+    heads, of which few share a word within reach of each other; whether any other comes
+    before one is told by the first in rank of each word near its place.
     """
     own = ["area_id", "rank", "merge_key", *SIDE]
-    pending, links = graph.written(primaries.select(*own)), graph.written(links)
+    pending, (close, words, links) = graph.written(primaries.select(*own)), map(graph.written, links)
     heads, out = pending.limit(0), primaries.select(F.col("area_id").alias("head"), "area_id", F.lit(None).cast("long").alias("distance_meters")).limit(0)
     while not pending.isEmpty():
         links = graph.written(links.join(pending.select(F.col("area_id").alias("b")), "b", "left_semi"))
-        nearest = links.join(heads.select(F.col("area_id").alias("a"), "rank"), "a").groupBy(F.col("b").alias("area_id")).agg(F.min(F.struct("distance_meters", "rank", F.col("a").alias("head"))).alias("nearest"))
+        waiting = words.join(pending.select("area_id"), "area_id", "left_semi")
+        around = lambda df, *rest: df.withColumnsRenamed({"lat": "from_lat", "lon": "from_lon"}).join(close, ["from_lat", "from_lon"]).select("lat", "lon", "word", *rest)
+        of_words = around(words.join(heads.select("area_id"), "area_id", "left_semi"), F.struct("distance_meters", F.col("told").alias("rank"), F.col("area_id").alias("head")).alias("at"))
+        of_words = waiting.join(of_words, ["lat", "lon", "word"]).filter(F.col("at.rank") < F.col("told")).select("area_id", "at")
+        of_pairs = links.join(heads.select(F.col("area_id").alias("a"), "rank"), "a").select(F.col("b").alias("area_id"), F.struct("distance_meters", "rank", F.col("a").alias("head")).alias("at"))
+        nearest = of_words.union(of_pairs).groupBy("area_id").agg(F.min("at").alias("nearest"))
         seen = graph.written(pending.join(nearest, "area_id", "left"))
         # who has a head in reach will never be one, so none waits for it
         maybe = seen.filter("nearest IS NULL")
-        blocked = links.join(maybe.select(F.col("area_id").alias("a")), "a", "left_semi").select(F.col("b").alias("area_id"))
+        firsts = words.join(maybe.select("area_id"), "area_id", "left_semi").groupBy("lat", "lon", "word").agg(F.min("told").alias("least"))
+        firsts = around(firsts, "least").groupBy("lat", "lon", "word").agg(F.min("least").alias("least"))
+        blocked = waiting.join(firsts, ["lat", "lon", "word"]).filter(F.col("least") < F.col("told")).select("area_id")
+        blocked = blocked.union(links.join(maybe.select(F.col("area_id").alias("a")), "a", "left_semi").select(F.col("b").alias("area_id"))).distinct()
         first = heads.filter("merge_key <> ''").groupBy("merge_key").agg(F.min_by(F.struct(*[x for x in own if x != "merge_key"]), "rank").alias("first"))
         waits = maybe.filter("merge_key <> ''").groupBy("merge_key").agg(F.min("rank").alias("waits"))
         rows = seen.join(blocked, "area_id", "left_anti").join(first, "merge_key", "left").join(waits, "merge_key", "left")
@@ -131,8 +163,8 @@ def members(areas: DataFrame, profiles: DataFrame) -> DataFrame:
     # feeders: near an anchor of the family, within reach of its head; the first family counts
     anchors = merged.select("head", F.col("area_id").alias("anchor"))
     sides = graph.written(_side(rows, "x").withColumnRenamed("x_area_id", "id"))
-    points = rows.filter("NOT is_primary").select("area_id", "area_lat", "area_lon").union(merged.join(rows, "area_id").select("area_id", "area_lat", "area_lon"))
-    close = derive.nearby_pairs(points, "area_id", "area_lat", "area_lon", CELL, 1, 2000).select(F.col("from_id").alias("anchor"), F.col("to_id").alias("area_id"))
+    points = merged.select("area_id").join(rows.select("area_id", "area_lat", "area_lon"), "area_id")
+    close = derive.nearby_pairs(points, "area_id", "area_lat", "area_lon", CELL, 1, 2000, rows.filter("NOT is_primary")).select(F.col("from_id").alias("anchor"), F.col("to_id").alias("area_id"))
     met = close.join(anchors, "anchor").join(rows.filter("NOT is_primary").select("area_id", "bus_only", "has_subway", "has_tram", F.col("signal").alias("own_signal"), F.col("words").alias("o_words"), F.col("main_station_signal").alias("o_main_station_signal"), F.col("area_lat").alias("o_lat"), F.col("area_lon").alias("o_lon")), "area_id")
     tagged = lambda tag, key: sides.select(F.col("id").alias(key), F.col("x_words").alias(f"{tag}_words"), F.col("x_main_station_signal").alias(f"{tag}_main_station_signal"), F.col("x_area_lat").alias(f"{tag}_lat"), F.col("x_area_lon").alias(f"{tag}_lon"))
     met = met.join(tagged("h", "head"), "head").join(tagged("a", "anchor"), "anchor")
@@ -217,7 +249,7 @@ def family_names(family: DataFrame, areas: DataFrame, profiles: DataFrame, alias
     heads = family.select("canonical_area_id", "primary_area_id").distinct().join(facts.withColumnRenamed("area_id", "primary_area_id"), "primary_area_id").join(city.withColumnRenamed("area_id", "primary_area_id"), "primary_area_id", "left").withColumn("city", F.coalesce("city", blank))
     heads = heads.withColumn("p_city", c.plain(names.city_name(F.col("area_name"))))
     head = heads.select("canonical_area_id", F.col("area_name").alias("original_name"), "primary_area_id", "city", "p_city", F.col("has_train").alias("p_train"), F.col("has_rail_service").alias("p_rail"), F.col("main_station_signal").alias("p_main"), F.col("station_name_signal").alias("p_station"))
-    rows = family.select("canonical_area_id", "area_id").join(facts, "area_id").join(head, "canonical_area_id").withColumn("shown", names.clean_display(F.col("area_name"))).withColumn("n", c.plain(F.col("shown")))
+    rows = graph.spread(family.select("canonical_area_id", "area_id").join(facts, "area_id").join(head, "canonical_area_id")).withColumn("shown", names.clean_display(F.col("area_name"))).withColumn("n", c.plain(F.col("shown")))
     on, n = (lambda x: F.col(x) == 1), F.col("n")
     plain = names.any_of([n == F.concat("p_city", F.lit(w)) for w in (" bahnhof", " hbf", " hauptbahnhof")])
     # fixed values of the scores
@@ -227,9 +259,9 @@ def family_names(family: DataFrame, areas: DataFrame, profiles: DataFrame, alias
     )
     order = F.struct((-F.col("station_name_signal")).alias("a"), (-score).alias("b"), F.length("shown").alias("d"), "area_id")
     best = rows.groupBy("canonical_area_id").agg(F.min_by(F.struct("area_name", "shown"), order).alias("m"), F.count("*").alias("member_count"))
-    scored = alias_scores(family.select("canonical_area_id", "area_id").join(alias, "area_id").join(head.select("canonical_area_id", "city"), "canonical_area_id"))
+    scored = alias_scores(graph.spread(family.select("canonical_area_id", "area_id").join(alias, "area_id").join(head.select("canonical_area_id", "city"), "canonical_area_id")))
     told = scored.groupBy("canonical_area_id").agg(F.max("best").alias("best"), F.max("plain_station").alias("plain_station"), F.max("special").alias("special"))
-    out = head.join(best, "canonical_area_id").join(told, "canonical_area_id", "left")
+    out = graph.spread(head.join(best, "canonical_area_id").join(told, "canonical_area_id", "left"))
     text = lambda x: F.coalesce(F.col(x)["t"], blank)
     only_city = on("p_rail") & (F.col("city") != "") & (c.plain(F.col("m.shown")) == c.plain(F.col("city")))
     out = out.withColumns({"only_city": only_city, "by_alias": F.when(only_city & on("p_train"), text("plain_station")).otherwise(text("best"))})

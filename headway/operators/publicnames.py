@@ -162,7 +162,7 @@ def inferred(df: DataFrame, original: str, shown: str, city: str | None, station
     rules += [station_behind(s), station_first(s), generic(s)]
     last = F.struct(clean_stop(s).alias("stop"), blank.alias("city"), F.lit("CANONICAL_ONLY").alias("source"))
     # one column a rule, so that no rule's expression holds the others
-    tagged = df.withColumns({f"_r{k}": r.cast(PARTS) for k, r in enumerate(rules)})
+    tagged = graph.spread(df).withColumns({f"_r{k}": r.cast(PARTS) for k, r in enumerate(rules)})
     tagged = graph.written(tagged)
     return tagged.withColumn("_p", F.coalesce(*[F.col(f"_r{k}") for k in range(len(rules))], last)).drop(*[f"_r{k}" for k in range(len(rules))])
 
@@ -231,7 +231,7 @@ def public_names(df: DataFrame, original: str, shown: str, aliases: DataFrame, o
     rows = inferred(df, original, shown, city, station, rail)
     rows = rows.withColumn("_city", clean_city(F.col(official)) if official else blank)
     coded = aliases.groupBy("city").agg(F.collect_list(F.struct("code", "learned")).alias("_codes")).withColumnRenamed("city", "_key")
-    rows = rows.withColumn("_key", c.plain(F.col("_city"))).join(coded, "_key", "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<struct<code:string,learned:boolean>>")))
+    rows = graph.spread(rows.withColumn("_key", c.plain(F.col("_city"))).join(coded, "_key", "left")).withColumn("_codes", F.coalesce("_codes", F.array().cast("array<struct<code:string,learned:boolean>>")))
     rows = rows.withColumn("_stop", F.col("_p.stop"))
     rows = graph.written(chained(chained(rows, "_stop", "_city", "_codes", "_i"), shown, "_city", "_codes", "_n"))
     town, stop, source = F.col("_city"), F.col("_p.stop"), F.col("_p.source")

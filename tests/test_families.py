@@ -88,3 +88,13 @@ def test_hot_key_and_chain(spark):
 def test_nothing_to_merge(spark):
     none = some_primaries(spark, 1, 1, 0.1).limit(0)
     assert families.settle(none, families.merge_links(none)).collect() == []
+
+
+def test_crowd_is_not_paired(spark):
+    """Hundreds of near primaries that share words are linked by their words and places, not pair by pair."""
+    rows = [(f"p{k:03}", ["gleis", f"stadt{k % 3}", f"only{k}"], k % 2, True, True, False, f"b{k}", 51.5 + k % 5 * 0.001, 7.5, 1, 1, 1, f"b{k}", k) for k in range(400)]
+    primaries = families.graph.written(spark.createDataFrame(rows, PLAIN).withColumn("rank", F.struct("place", "area_id")))
+    links = families.merge_links(primaries)
+    assert sum(x.count() for x in links) < 400 * 10
+    got = {r.area_id: r.head for r in families.settle(primaries, links).collect()}
+    assert len(got) == 400 and set(got.values()) == {"p000"}

@@ -37,6 +37,14 @@ def test_footpaths_of_a_crowded_station(spark, crowded, monkeypatch):
     assert max(r["count"] for r in near.groupBy("part").count().collect()) < near.count() / 2
 
 
+def test_pairs_to_other_points(spark, crowded):
+    """Pairs to other points are those of all points together, without the pairs inside either."""
+    own, others = crowded.filter("stop_id < 's3'"), crowded.filter("stop_id >= 's3'")
+    near = derive.nearby_pairs(own, "stop_id", "stop_lat", "stop_lon", 0.005, 1, 500, others)
+    every = derive.nearby_pairs(crowded, "stop_id", "stop_lat", "stop_lon", 0.005, 1, 500).filter("from_id < 's3' AND to_id >= 's3'")
+    assert near.count() and sorted(map(tuple, near.collect())) == sorted(map(tuple, every.collect()))
+
+
 def test_footpaths_counted_by_places(spark, crowded):
     paths, places = derive.footpaths(crowded), derive.footpath_places(crowded)
     assert places.count() <= 64
