@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from . import graph
 
 # --- fixed values of the contract: codes, word lists and limits ---
 #: Codes of what a public name went through, in the order in which they are written; NONE stands for no code.
@@ -299,7 +300,7 @@ def aliases(areas: DataFrame, stops: DataFrame, cities: DataFrame | None = None)
     """
     own = areas.select("area_id", F.col("area_name").alias("name"), F.lit("AREA_NAME").alias("source"), F.lit(100).alias("base"))
     named = own.union(stops.select(c.area_id(F.col("parent_station"), F.col("stop_id")), "stop_name", F.lit("STOP_NAME"), F.lit(70)))
-    rows = named.withColumn("n", c.normalised(F.col("name"))).filter("n <> ''")
+    rows = graph.spread(named).withColumn("n", c.normalised(F.col("name"))).filter("n <> ''")
     listed = rows.select("area_id", "source", "name", "n", F.explode(_alias_list(F.col("n"), F.col("base"))).alias("x"))
     listed = listed.select("area_id", "source", F.when(F.col("x.k") == "CANONICAL", c.trimmed(F.col("name"))).otherwise(spaced(F.col("x.t"))).alias("alias"), spaced(F.col("x.t")).alias("alias_normalized"), F.col("x.k").alias("alias_type"), F.col("x.p").alias("priority"))
     if cities is not None:
