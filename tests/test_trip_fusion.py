@@ -117,3 +117,28 @@ def test_trips_are_made_once(spark):
     got = fusion.fuse_trips(trips).select("trip_id", "decision").collect()
     assert sorted(map(tuple, got)) == [("B::1", "SUBSET_SUPPRESSED"), ("B::2", "SUBSET_SUPPRESSED")]
     assert made.value == len(rows)
+
+
+def test_queries_decide_large_buckets(spark):
+    """Trips of a bucket beyond the contract's limit are decided by the queries like any others."""
+    from types import SimpleNamespace
+
+    from headway.plans import entities
+
+    n, days = 1200, "monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int"
+    feed = SimpleNamespace(
+        spark=spark,
+        routes=spark.createDataFrame([("R", 3, "S 1", None)], "route_id string, route_type int, route_short_name string, route_long_name string"),
+        trips=spark.range(n).selectExpr("concat('T', id) AS trip_id", "'R' AS route_id", "'W' AS service_id"),
+        stop_times=spark.range(n).selectExpr("concat('T', id) AS trip_id", "CAST(1000 * id AS int) AS start", "posexplode(array('P', 'Q', 'R', 'S', 'V')) AS (k, stop_id)").selectExpr("trip_id", "k + 1 AS stop_sequence", "stop_id", "start + 150 * k AS arrival_seconds", "start + 150 * k AS departure_seconds"),
+        calendar=spark.createDataFrame([("W", *[1] * 7, "20240101", "20240107")], f"service_id string, {days}, start_date string, end_date string"),
+        calendar_dates=spark.createDataFrame([], "service_id string, date string, exception_type int"),
+    )
+    want = []
+    for r in entities.two_sources(feed).filter("source_id = 'B'").collect():
+        own = f"A::{r.trip_id[3:]}"
+        want.append((r.trip_id, "STITCHED" if r["calls"][0].stop_key == "Q" else "SUBSET_SUPPRESSED", own))
+    got = sorted((r.trip_id, r.decision, r.other_trip_id) for r in entities.gr19_fused_trips(feed).collect())
+    assert got == sorted(want) and len(got) > 600 and len({d for _, d, _ in got}) == 2
+    counts = dict(map(tuple, entities.gr23_fusion_counts(feed).collect()))
+    assert counts["SUBSET_SUPPRESSED"] + counts["STITCHED"] == len(want)
