@@ -84,6 +84,25 @@ def test_rides_of_a_busy_station(spark, monkeypatch):
     assert {(r.start, r.area_id): r.at for r in got.collect()} == best
 
 
+def test_blocks_of_searches_and_rides(spark, monkeypatch):
+    """However many searches and rides there are, two blocks of fixed size meet in a task, and arrivals are as in one block; a ride is listed once."""
+    calls = [(f"T{k}", area, seq, at, at) for k in range(300) for seq, area, at in ((1, f"N{k % 3}", 100 + 2 * k), (2, f"S{k % 17}", 160 + 2 * k + 5 * (k % 7)), (3, f"N{k % 4}", 400 + 2 * k))]
+    rides = spark.createDataFrame(calls, "trip_id string, area_id string, stop_sequence int, arrival_seconds int, departure_seconds int")
+    way = graph.written(familyrouting.useful_rides(rides, 100, 900))
+    assert way.select("area_id", "to_area", "leaves").distinct().count() == way.count() <= 900
+    starts = [(f"H{k}", f"{'NS'[k % 2]}{k % 5}", 100 + k * 7) for k in range(60)]
+    edges = spark.createDataFrame(starts, "start string, area_id string, ready int")
+    whole = sorted(map(tuple, familyrouting.ridden(edges, way).collect()))
+    sizes = []
+    real = familyrouting.packed
+    monkeypatch.setattr(familyrouting, "packed", lambda df, block, columns: sizes.extend(r["count"] for r in df.groupBy(block.alias("b")).count().collect()) or real(df, block, columns))
+    monkeypatch.setattr(familyrouting, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(familyrouting, "PACK_ROWS", 7)
+    monkeypatch.setattr(familyrouting, "STEP_MEETINGS", 16)
+    assert sorted(map(tuple, familyrouting.ridden(edges, way).collect())) == whole and len(whole) > 60
+    assert len(sizes) > 10 and max(sizes) < 200
+
+
 def test_trips_of_an_area_are_dealt(spark, monkeypatch):
     """Trips of one area and route are counted in as many tasks as their calls need; calls of one trip there count once."""
     monkeypatch.setattr(derive, "TASK_CALLS", 100)
