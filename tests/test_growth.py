@@ -103,6 +103,45 @@ def test_blocks_of_searches_and_rides(spark, monkeypatch):
     assert len(sizes) > 10 and max(sizes) < 200
 
 
+def test_relations_are_made_by_all_cores(spark):
+    """All relations of families are dealt to tasks, and neither they nor what their areas are asked for is made again in one."""
+    from headway.plans import timetable
+    from headway.sources.testfeed import TestFeed
+
+    class Seen(Exception):
+        pass
+
+    def look(calls, family, cases):
+        got = cases.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+        assert len(got) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in got) * 2 < sum(r["count"] for r in got)
+        raise Seen
+
+    real, familyrouting.coverage = familyrouting.coverage, look
+    try:
+        with pytest.raises(Seen):
+            timetable.q22_all_relations(TestFeed(spark, "/root/testdata/sf0.01"))
+    finally:
+        familyrouting.coverage = real
+
+
+def test_second_rides_of_a_crowded_second(spark, monkeypatch):
+    """Of hundreds of rides that leave in one second few are sent on, and the soonest areas are as among all."""
+    calls = [(f"T{k:03}", area, seq, at, at) for k in range(600) for seq, area, at in ((1, "N", 1000 + k % 3), (2, f"S{k % 40}", 1500 + (k * 7) % 211))]
+    calls = spark.createDataFrame(calls, "trip_id string, area_id string, stop_sequence int, arrival_seconds int, departure_seconds int")
+    asked = spark.createDataFrame([("N", 820, 6000), ("N", 822, 6000)], "via string, a_at int, latest int")
+    sent = []
+    real = familyrouting.top
+    monkeypatch.setattr(familyrouting, "top", lambda rows, key, order, k: sent.append(x := real(rows, key, order, k)) or x)
+    got = {(r.a_at, r.second_via, r.b_trip) for r in familyrouting.second_rides(asked, calls, calls).collect()}
+    want = set()
+    for at in (820, 822):
+        first = {}
+        for arrives, leaves, trip, area in sorted((1500 + (k * 7) % 211, 1000 + k % 3, f"T{k:03}", f"S{k % 40}") for k in range(600) if 1000 + k % 3 >= at + 180):
+            first.setdefault(area, trip)
+        want |= {(at, area, trip) for area, trip in list(first.items())[: familyrouting.TWO_SECOND]}
+    assert got == want and sent[-1].count() == 3 * familyrouting.TWO_SECOND
+
+
 def test_trips_of_an_area_are_dealt(spark, monkeypatch):
     """Trips of one area and route are counted in as many tasks as their calls need; calls of one trip there count once."""
     monkeypatch.setattr(derive, "TASK_CALLS", 100)
