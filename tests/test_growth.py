@@ -193,3 +193,24 @@ def test_transfers_are_made_once(spark):
     scans = lambda df: sum("Relation [" in x and "l_orderkey" in x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
     assert scans(plans.ways(feed)) == 0
     assert scans(tables.gr22_rewritten_members(feed)) == 1
+
+
+def test_connections_make_calls_once(spark, monkeypatch):
+    """Both kinds of legs of join18 come from calls that are written once; a trip that is listed twice connects twice."""
+    from collections import Counter
+
+    from headway.plans import tables
+    from headway.sources.testfeed import TestFeed
+
+    feed = TestFeed(spark, "/root/testdata/sf0.001")
+    plans = []
+    real = graph.written
+    monkeypatch.setattr(graph, "written", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    once = Counter(map(tuple, tables.join18_connections(feed).collect()))
+    assert sum(any("Relation [" in x and "l_orderkey" in x for x in p.splitlines()) for p in plans) == 1
+    lines = [sum("Relation [" in x and "l_orderkey" in x for x in p.splitlines()) for p in plans]
+    assert sum(lines) == 1
+    trip = next(iter(once))[0]
+    feed.trips = feed.trips.union(feed.trips.filter(F.col("trip_id") == trip))
+    twice = Counter(map(tuple, tables.join18_connections(feed).collect()))
+    assert twice == Counter({k: n * (2 if k[0] == trip else 1) * (2 if k[1] == trip else 1) for k, n in once.items()})
